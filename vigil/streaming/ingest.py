@@ -73,18 +73,38 @@ def score_micro_batch(batch: DataFrame, history: DataFrame | None, model: M.Anom
     in front of the batch; only new rows are scored. Late rows are scored with
     the tail as of arrival; the batch job recomputes them in full order.
     """
-    cols = ["event_id", "ts"] + C.ANALOGUE_COLS + C.DIGITAL_COLS
+    cols = ["ts"] + C.ANALOGUE_COLS + C.DIGITAL_COLS
     new = O.drop_incomplete(batch.select(*cols)).withColumn("_new", F.lit(True))
     if history is not None:
-        tail = (O.drop_incomplete(history.select(*cols)).orderBy(F.col("ts").desc(), F.col("event_id").desc())
+        tail = (O.drop_incomplete(history.select(*cols)).orderBy(F.col("ts").desc())
                 .limit(preceding).withColumn("_new", F.lit(False)))
         new = tail.unionByName(new)
-    indexed = O.row_index(new, partitions=1)
+    indexed = O.row_index(new, order_cols=["ts"])
     featured = O.engineer_features(indexed).filter(F.col("_new")).drop("_new")
     scored = M.score(featured, model)
     return P.predictions(scored, model.threshold, F.current_timestamp(), run_id, "stream")
 
 
+def history_tail(spark: SparkSession, path: str, batch_id: int, need: int = C.ROLLING_PRECEDING,
+                 step: int = 8) -> DataFrame | None:
+    """Stored rows of the most recent earlier batches holding at least ``need`` complete rows.
+
+    Reads batch partitions newest first, ``step`` batch ids at a time (partition
+    pruning), so a micro-batch never scans the whole history.
+    """
+    if batch_id == 0 or not ingest.table_exists(spark, path):
+        return None
+    stored = spark.read.parquet(path)
+    hi = batch_id - 1
+    while hi >= 0:
+        lo = max(0, hi - step + 1)
+        part = stored.filter((F.col("batch_id") >= lo) & (F.col("batch_id") < batch_id))
+        if lo == 0 or O.drop_incomplete(part.select(*C.FEATURE_COLS)).count() >= need:
+            return part
+        hi, step = lo - 1, step * 2
+    return None
+
+
 def stream_score(messages: DataFrame, history_path: str, predictions_path: str, checkpoint: str,
                  model: M.AnomalyModel, run_id: str, available_now: bool = True) -> StreamingQuery:
     """Land each micro-batch and append its predictions (idempotent per batch id)."""
@@ -93,9 +113,7 @@ def stream_score(messages: DataFrame, history_path: str, predictions_path: str,
     def handle(batch: DataFrame, batch_id: int) -> None:
         rows = land(batch).withColumn("batch_id", F.lit(batch_id)).persist()
         try:
-            history = None
-            if ingest.table_exists(spark, history_path):
-                history = spark.read.parquet(history_path).filter(F.col("batch_id") < batch_id)
+            history = history_tail(spark, history_path, batch_id)
             preds = score_micro_batch(rows, history, model, run_id).withColumn("batch_id", F.lit(batch_id))
             (preds.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").parquet(predictions_path))
