@@ -15,9 +15,9 @@ _OPS = {"<": operator.lt, ">": operator.gt, "<=": operator.le, ">=": operator.ge
 # Number text accepted the way Python's float() accepts it: surrounding
 # whitespace, sign, digits with single underscores between them, optional
 # fraction and exponent, or inf / infinity / nan in any case.
-NUMBER_PATTERN = r"^[+-]?(([0-9](_?[0-9])*)?\.[0-9](_?[0-9])*|[0-9](_?[0-9])*\.?)([eE][+-]?[0-9](_?[0-9])*)?$"
-SPECIAL_PATTERN = r"^[+-]?(inf|infinity|nan)$"
-_EDGE_WS = r"^\s+|\s+$"
+NUMBER_PATTERN = (r"^[+-]?((([0-9](_?[0-9])*)?\.[0-9](_?[0-9])*|[0-9](_?[0-9])*\.?)([eE][+-]?[0-9](_?[0-9])*)?"
+                  r"|(?i:inf|infinity|nan))$")
+WHITESPACE = " \t\n\x0b\x0c\r"
 
 
 def pressure_diff_tp2_tp3() -> Column:
@@ -61,20 +61,29 @@ def breach_flags(rules: Sequence = C.FAULT_RULES) -> list[Column]:
 
 
 def strip_ws(c: Column) -> Column:
-    return F.regexp_replace(c, _EDGE_WS, "")
+    """Trim ASCII whitespace at both ends (no regex)."""
+    return F.btrim(c, F.lit(WHITESPACE))
+
+
+def float_of_stripped(s: Column) -> Column:
+    """Stripped text to double with float() acceptance rules; anything else is NULL.
+
+    Pass a column reference (not an expression): the text is used twice.
+    """
+    return F.when(s.rlike(NUMBER_PATTERN), F.replace(s, F.lit("_"), F.lit("")).try_cast("double"))
+
+
+def int_of_double(d: Column) -> Column:
+    """int(): truncate toward zero; NaN, inf or out-of-range is NULL. Pass a column reference."""
+    return F.when(~F.isnan(d), d.try_cast("int"))
 
 
 def python_float(c: Column) -> Column:
-    """Text to double with float() acceptance rules; anything else is NULL."""
-    s = strip_ws(c)
-    ok = s.rlike(NUMBER_PATTERN) | F.lower(s).rlike(SPECIAL_PATTERN)
-    return F.when(ok, F.regexp_replace(s, "_", "").try_cast("double"))
+    return float_of_stripped(strip_ws(c))
 
 
 def python_int_of_float(c: Column) -> Column:
-    """int(float(text)): truncate toward zero; NaN, inf or out-of-range is NULL."""
-    d = python_float(c)
-    return F.when(~F.isnan(d), d.try_cast("int"))
+    return int_of_double(python_float(c))
 
 
 def scaled_expr(name: str, mean: float, std: float) -> Column:

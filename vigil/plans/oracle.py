@@ -9,7 +9,7 @@ KMeans fit or on JSON text formatting have no oracle (rows-only check).
 from __future__ import annotations
 
 from vigil import config as C
-from vigil.functions.columns import NUMBER_PATTERN, SPECIAL_PATTERN, sql_double
+from vigil.functions.columns import NUMBER_PATTERN, sql_double
 from vigil.plans.catalog import ALERT_AS_OF, PLACES, PROCESSED_AT, RUN_ID
 from vigil.plans.fixture_model import FIXED_CENTERS, FIXED_MEAN, FIXED_STD
 from vigil.sources.fixture import raw_text_view_sql, sensor_view_sql
@@ -98,13 +98,12 @@ coerced as (select event_id, {_coerce_list()} from rawtext)"""
 
 
 def _strip(x: str) -> str:
-    return rf"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
+    return f"trim({x}, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 
 
 def _pyfloat(x: str) -> str:
     s = _strip(x)
-    return (f"(case when regexp_matches({s}, '{NUMBER_PATTERN}') or regexp_matches(lower({s}), '{SPECIAL_PATTERN}') "
-            f"then try_cast(replace({s}, '_', '') as double) end)")
+    return f"(case when regexp_matches({s}, '{NUMBER_PATTERN}') then try_cast(replace({s}, '_', '') as double) end)"
 
 
 def _pyint(x: str) -> str:

@@ -41,10 +41,14 @@ def coerce_sensor_rows(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     Analogue fields as float(); digital fields as int(float()); a bad or
     missing value becomes NULL. Extra columns are dropped unless in ``keep``.
     """
-    cols = [timestamp_text(df).alias("timestamp")]
-    cols += [X.python_float(_field(df, c)).alias(c) for c in C.ANALOGUE_COLS]
-    cols += [X.python_int_of_float(_field(df, c)).alias(c) for c in C.DIGITAL_COLS]
-    return df.select(*[F.col(k) for k in keep], *cols)
+    fields = C.ANALOGUE_COLS + C.DIGITAL_COLS
+    # Three narrow projections, so each field is stripped and parsed once
+    # (conditional branches get no common-subexpression elimination).
+    stripped = df.select(*[F.col(k) for k in keep], timestamp_text(df).alias("timestamp"),
+                         *[X.strip_ws(_field(df, c)).alias(c) for c in fields])
+    parsed = stripped.select(*keep, "timestamp", *[X.float_of_stripped(F.col(c)).alias(c) for c in fields])
+    return parsed.select(*keep, "timestamp", *C.ANALOGUE_COLS,
+                         *[X.int_of_double(F.col(c)).alias(c) for c in C.DIGITAL_COLS])
 
 
 def resolve_timestamp(coerced: DataFrame) -> DataFrame:
