@@ -148,35 +148,82 @@ def _fault_breakdown(src: str) -> str:
             f"(select fault_hint, count(*) as count from {src} where is_anomaly group by fault_hint)")
 
 
-def _quality() -> str:
+def _quality_body() -> str:
     rate = _pct("a", "n")
     gap = "(ma - mn)"
     strong = f"coalesce({gap} > {sql_double(C.STRONG_GAP)}, false)"
-    agg = ("agg_ as (select count(*) as n, count_if(is_anomaly) as a, "
+    agg = ("(select count(*) as n, count_if(is_anomaly) as a, "
            "avg(case when not is_anomaly then anomaly_score end) as mn, "
-           "avg(case when is_anomaly then anomaly_score end) as ma from test)")
-    return f"""with {ctes()},
-{agg}
-select 'anomaly_rate' as "check",
+           "avg(case when is_anomaly then anomaly_score end) as ma from test) agg_")
+    return f"""select 'anomaly_rate' as "check",
        case when {rate} >= {sql_double(C.RATE_LOW_PCT)} and {rate} <= {sql_double(C.RATE_HIGH_PCT)}
             then 'PASS' else 'WARN' end as status,
        {r(rate, 'value')},
        case when {rate} < {sql_double(C.RATE_LOW_PCT)} then 'rate below healthy range, threshold may be too strict'
             when {rate} > {sql_double(C.RATE_HIGH_PCT)} then 'rate above healthy range, threshold may be too lenient'
             when {rate} is null then 'no rows' else 'rate in healthy range' end as note
-from agg_
+from {agg}
 union all
 select 'class_separation', case when {strong} then 'PASS' else 'WARN' end, {r(gap, 'value')},
        case when {strong} then 'strong class separation' else 'weak class separation' end
-from agg_"""
+from {agg}"""
 
 
-def oracle_sql() -> dict[str, str]:
-    sensor_sel = sel(SENSOR, DOUBLES)
-    pred_sel = sel(PRED_COLS, PRED_DOUBLES)
+def _sections() -> dict[str, str]:
     pcts = ", ".join(f"quantile_disc(anomaly_score, {sql_double(p)}) as p{int(round(p * 100))}" for p in C.PERCENTILES)
     pct_round = ", ".join(r(f"p{int(round(p * 100))}") for p in C.PERCENTILES)
     breaches = ", ".join(f"count_if({c} {op} {sql_double(v)}) as breach_{c}" for _, c, op, v in C.FAULT_RULES)
+    return {
+        "dataset_overview": (f"select n as total_records, n - a as normal_records, a as anomaly_records, "
+                             f"round(100e0 - {_pct('a', 'n')}, 6) + 0e0 as normal_pct, round({_pct('a', 'n')}, 6) "
+                             f"+ 0e0 as anomaly_pct, round((select threshold from thr), 6) + 0e0 as threshold from "
+                             f"(select count(*) as n, count_if(is_anomaly) as a from test)"),
+        "score_distribution": (f"select {r('score_mean')}, {r('score_std')}, {r('score_min')}, {r('score_max')}, "
+                               f"{pct_round} from (select avg(anomaly_score) as score_mean, "
+                               f"stddev_samp(anomaly_score) as score_std, min(anomaly_score) as score_min, "
+                               f"max(anomaly_score) as score_max, {pcts} from test)"),
+        "class_separation": (f"select {r('normal_mean')}, {r('anomaly_mean')}, {r('anomaly_mean - normal_mean', 'gap')},"
+                             f" case when anomaly_mean - normal_mean is null then 'NO_ANOMALIES' "
+                             f"when anomaly_mean - normal_mean > {sql_double(C.GOOD_GAP_FACTOR)} * "
+                             f"(select threshold from thr) then 'GOOD' else 'LOW' end as verdict from "
+                             f"(select avg(case when not is_anomaly then anomaly_score end) as normal_mean, "
+                             f"avg(case when is_anomaly then anomaly_score end) as anomaly_mean from test)"),
+        "cluster_quality": _cluster_quality("test"),
+        "wcss_proxy": ("select round(coalesce(sum(m * s), 0e0), 6) + 0e0 as wcss_proxy from "
+                       "(select avg(anomaly_score) as m, count(*) as s from test group by cluster)"),
+        "fault_breakdown": _fault_breakdown("test"),
+        "sensor_breaches": f"select {breaches} from test",
+        "quality_checks": _quality_body(),
+    }
+
+
+def _evaluation_report() -> str:
+    sec = _sections()
+
+    def tidy(section, src, key, metrics, note="cast(null as varchar)"):
+        return [f"select '{section}' as section, cast({key} as varchar) as key, '{m}' as metric, "
+                f"round(cast({m} as double), 6) + 0e0 as value, {note} as note from ({src})" for m in metrics]
+
+    parts = []
+    parts += tidy("overview", sec["dataset_overview"], "''", ["total_records", "normal_records", "anomaly_records",
+                                                              "normal_pct", "anomaly_pct", "threshold"])
+    parts += tidy("score_distribution", sec["score_distribution"], "''",
+                  ["score_mean", "score_std", "score_min", "score_max"]
+                  + [f"p{int(round(p * 100))}" for p in C.PERCENTILES])
+    parts += tidy("class_separation", sec["class_separation"], "''", ["normal_mean", "anomaly_mean", "gap"],
+                  "verdict")
+    parts += tidy("cluster_quality", sec["cluster_quality"], "cluster", ["size", "mean_dist", "std_dist"])
+    parts += tidy("cluster_quality", sec["wcss_proxy"], "''", ["wcss_proxy"])
+    parts += tidy("fault_breakdown", sec["fault_breakdown"], "fault_hint", ["count", "pct"])
+    parts += tidy("sensor_breaches", sec["sensor_breaches"], "''", [f"breach_{c}" for _, c, _, _ in C.FAULT_RULES])
+    parts += tidy("quality_checks", sec["quality_checks"], '"check"', ["value"], "status")
+    return q("\nunion all\n".join(parts))
+
+
+def oracle_sql() -> dict[str, str]:
+    sections = _sections()
+    sensor_sel = sel(SENSOR, DOUBLES)
+    pred_sel = sel(PRED_COLS, PRED_DOUBLES)
     breach_flags = ", ".join(f"{c} {op} {sql_double(v)} as breach_{c}" for _, c, op, v in C.FAULT_RULES)
     as_of_alert = f"timestamp '{ALERT_AS_OF}' - interval {C.ALERT_WINDOW_MINUTES} minute"
     ts_summary = ("select '{name}' as table_name, {ncols} as n_columns, '{names}' as column_names, count(*) as records, "
@@ -254,26 +301,15 @@ def oracle_sql() -> dict[str, str]:
         "stage_counts": q("select 'raw' as stage, count(*) as rows from sensor union all "
                           "select 'clean', count(*) from clean union all select 'featured', count(*) from feat "
                           "union all select data_split, count(*) from split group by data_split"),
-        "dataset_overview": q(f"select n as total_records, n - a as normal_records, a as anomaly_records, "
-                              f"round(100e0 - {_pct('a', 'n')}, 6) + 0e0 as normal_pct, round({_pct('a', 'n')}, 6) + 0e0 as "
-                              f"anomaly_pct, round((select threshold from thr), 6) + 0e0 as threshold from "
-                              f"(select count(*) as n, count_if(is_anomaly) as a from test)"),
-        "score_distribution": q(f"select {r('score_mean')}, {r('score_std')}, {r('score_min')}, {r('score_max')}, "
-                                f"{pct_round} from (select avg(anomaly_score) as score_mean, stddev_samp(anomaly_score) "
-                                f"as score_std, min(anomaly_score) as score_min, max(anomaly_score) as score_max, "
-                                f"{pcts} from test)"),
-        "class_separation": q(f"select {r('normal_mean')}, {r('anomaly_mean')}, {r('anomaly_mean - normal_mean', 'gap')},"
-                              f" case when anomaly_mean - normal_mean is null then 'NO_ANOMALIES' "
-                              f"when anomaly_mean - normal_mean > {sql_double(C.GOOD_GAP_FACTOR)} * "
-                              f"(select threshold from thr) then 'GOOD' else 'LOW' end as verdict from "
-                              f"(select avg(case when not is_anomaly then anomaly_score end) as normal_mean, "
-                              f"avg(case when is_anomaly then anomaly_score end) as anomaly_mean from test)"),
-        "cluster_quality": q(_cluster_quality("test")),
-        "wcss_proxy": q("select round(coalesce(sum(m * s), 0e0), 6) + 0e0 as wcss_proxy from "
-                        "(select avg(anomaly_score) as m, count(*) as s from test group by cluster)"),
-        "fault_breakdown": q(_fault_breakdown("test")),
-        "sensor_breaches": q(f"select {breaches} from test"),
-        "quality_checks": _quality(),
+        "dataset_overview": q(sections["dataset_overview"]),
+        "score_distribution": q(sections["score_distribution"]),
+        "class_separation": q(sections["class_separation"]),
+        "cluster_quality": q(sections["cluster_quality"]),
+        "wcss_proxy": q(sections["wcss_proxy"]),
+        "fault_breakdown": q(sections["fault_breakdown"]),
+        "sensor_breaches": q(sections["sensor_breaches"]),
+        "quality_checks": q(sections["quality_checks"]),
+        "evaluation_report": _evaluation_report(),
         "run_summary": q(f"select '{RUN_ID}' as spark_run_id, count(*) as records_processed, "
                          f"count_if(is_anomaly) as anomalies_found, "
                          f"round({_pct('count_if(is_anomaly)', 'count(*)')}, 6) + 0e0 as anomaly_pct, "
