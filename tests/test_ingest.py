@@ -130,3 +130,19 @@ def test_validate_schema_warns_not_rejects(spark, tmp_dir):
     assert counts["timestamp:required"] == 1
     assert counts["Caudal_impulses:not_int"] == len(ROWS)             # missing column
     assert counts["TP2:not_double"] == 2                                # "abc" and "" (nan is a double)
+
+
+def test_publish_writes_json_values(spark, tmp_dir):
+    df = spark.createDataFrame([("2020-01-01 00:00:00", 1.5, 1)], "timestamp string, TP2 double, COMP int")
+    out = os.path.join(tmp_dir, "topic")
+    codec.publish(df, {"path": out}, fmt="parquet", limit=500)
+    back = spark.read.parquet(out).collect()
+    assert len(back) == 1 and json.loads(back[0].value) == {"timestamp": "2020-01-01 00:00:00", "TP2": 1.5, "COMP": 1}
+
+
+def test_prediction_rules(spark):
+    df = spark.createDataFrame([(None, 1.0, True), (None, None, None)],
+                               "source_timestamp timestamp, anomaly_score double, is_anomaly boolean")
+    counts = dict(validate.violation_counts(validate.validate_schema(df, validate.PREDICTION_RULES)).collect())
+    assert counts["source_timestamp:required"] == 2 and counts["anomaly_score:required"] == 1
+    assert counts["processed_at:required"] == 2
