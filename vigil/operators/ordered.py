@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,14 +45,23 @@ class Indexed:
     df: DataFrame
     n: int
     partitions: int
+    tagged: DataFrame | None = None
 
+    def release(self) -> None:
+        """Drop the kept tagged rows once a consumer has materialised what it needs."""
+        if self.tagged is not None and self.tagged.storageLevel != StorageLevel.NONE:
+            self.tagged.unpersist()
 
-def row_index(df: DataFrame, order_cols: list[str] = ORDER_COLS, partitions: int | None = None) -> Indexed:
+
+def row_index(df: DataFrame, order_cols: list[str] = ORDER_COLS, partitions: int | None = None,
+              reliable: bool = False) -> Indexed:
     """Dense global row number in ``order_cols`` order without a single-partition exchange.
 
     1. range-partition on the order key and sort inside partitions (one shuffle);
-    2. tag each row with its partition and position, cut lineage with a reliable
-       checkpoint so the tags never change on recomputation;
+    2. tag each row with its partition and position and keep the tagged rows
+       (``persist``: the range bounds are fixed once per exchange and the key
+       is unique, so a lost block recomputes to the same tags; ``reliable=True``
+       writes a checkpoint to the shared folder instead);
     3. count rows per partition (P numbers to the driver), prefix-sum to offsets;
     4. ``row_idx = offset[partition] + position`` via an array literal of P longs.
     """
@@ -61,7 +71,7 @@ def row_index(df: DataFrame, order_cols: list[str] = ORDER_COLS, partitions: int
               .sortWithinPartitions(*order_cols)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POS_BITS) - 1))))
-    tagged = cut_lineage(tagged)
+    tagged = cut_lineage(tagged) if reliable else tagged.persist(StorageLevel.MEMORY_AND_DISK)
     counts = dict(tagged.groupBy("_pid").count().collect())          # at most P rows
     n_parts = max(counts) + 1 if counts else 0
     offsets, acc = [], 0
@@ -72,7 +82,7 @@ def row_index(df: DataFrame, order_cols: list[str] = ORDER_COLS, partitions: int
         out = tagged.withColumn(IDX, F.lit(None).cast("long"))
     else:
         out = tagged.withColumn(IDX, F.element_at(F.lit(offsets), F.col("_pid") + 1) + F.col("_pos"))
-    return Indexed(out.drop("_pid", "_pos"), acc, p)
+    return Indexed(out.drop("_pid", "_pos"), acc, p, tagged)
 
 
 def choose_block(n: int, partitions: int) -> int:
@@ -120,7 +130,8 @@ def engineer_features(indexed: Indexed, block: int | None = None) -> DataFrame:
 
 def cap_rows(indexed: Indexed, max_rows: int = C.ROW_CAP) -> Indexed:
     """First ``max_rows`` rows in time order (the original took an unordered sample)."""
-    return Indexed(indexed.df.filter(F.col(IDX) < F.lit(max_rows)), min(indexed.n, max_rows), indexed.partitions)
+    return Indexed(indexed.df.filter(F.col(IDX) < F.lit(max_rows)), min(indexed.n, max_rows), indexed.partitions,
+                   indexed.tagged)
 
 
 def split_bounds(n: int, train: float = C.TRAIN_RATIO, test: float = C.TEST_RATIO) -> tuple[int, int]:

@@ -48,6 +48,7 @@ def run_batch(spark: SparkSession, sensors: DataFrame, paths: C.Paths, run_id: s
     if max_rows is not None:
         indexed = O.cap_rows(indexed, max_rows)
     labeled = cut_lineage(O.temporal_split(O.engineer_features(indexed), indexed.n))
+    indexed.release()                                    # everything below reads the checkpointed table
     train_end, test_end = O.split_bounds(indexed.n)
     parts = O.split_parts(labeled)
 

@@ -65,13 +65,14 @@ def replay_batch(spark: SparkSession, source_dir: str, sink_path: str, checkpoin
 
 
 def score_micro_batch(batch: DataFrame, history: DataFrame | None, model: M.AnomalyModel, run_id: str,
-                      preceding: int = C.ROLLING_PRECEDING) -> DataFrame:
+                      preceding: int = C.ROLLING_PRECEDING) -> tuple[DataFrame, O.Indexed]:
     """Predictions for the rows of one micro-batch.
 
     The rolling features of a new row need the ``preceding`` rows before it,
     so the newest ``preceding`` complete stored rows (a bounded top-k) are put
     in front of the batch; only new rows are scored. Late rows are scored with
     the tail as of arrival; the batch job recomputes them in full order.
+    Returns the predictions and the index to release once they are written.
     """
     cols = ["ts"] + C.ANALOGUE_COLS + C.DIGITAL_COLS
     new = O.drop_incomplete(batch.select(*cols)).withColumn("_new", F.lit(True))
@@ -82,7 +83,7 @@ def score_micro_batch(batch: DataFrame, history: DataFrame | None, model: M.Anom
     indexed = O.row_index(new, order_cols=["ts"])
     featured = O.engineer_features(indexed).filter(F.col("_new")).drop("_new")
     scored = M.score(featured, model)
-    return P.predictions(scored, model.threshold, F.current_timestamp(), run_id, "stream")
+    return P.predictions(scored, model.threshold, F.current_timestamp(), run_id, "stream"), indexed
 
 
 def history_tail(spark: SparkSession, path: str, batch_id: int, need: int = C.ROLLING_PRECEDING,
@@ -114,9 +115,10 @@ def stream_score(messages: DataFrame, history_path: str, predictions_path: str,
         rows = land(batch).withColumn("batch_id", F.lit(batch_id)).persist()
         try:
             history = history_tail(spark, history_path, batch_id)
-            preds = score_micro_batch(rows, history, model, run_id).withColumn("batch_id", F.lit(batch_id))
-            (preds.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(predictions_path))
+            preds, indexed = score_micro_batch(rows, history, model, run_id)
+            (preds.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(predictions_path))
+            indexed.release()
             (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").parquet(history_path))
         finally:
