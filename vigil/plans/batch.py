@@ -21,7 +21,7 @@ from vigil.operators import ordered as O
 from vigil.operators import output as P
 from vigil.operators import report as R
 from vigil.operators import serve as S
-from vigil.session import cut_lineage
+from vigil.session import write_table
 from vigil.sources import ingest, sinks
 
 
@@ -47,7 +47,7 @@ def run_batch(spark: SparkSession, sensors: DataFrame, paths: C.Paths, run_id: s
     indexed = O.row_index(clean, partitions=partitions)
     if max_rows is not None:
         indexed = O.cap_rows(indexed, max_rows)
-    labeled = cut_lineage(O.temporal_split(O.engineer_features(indexed), indexed.n))
+    labeled = write_table(O.temporal_split(O.engineer_features(indexed), indexed.n), "featured", ("data_split",))
     indexed.release()                                    # everything below reads the checkpointed table
     train_end, test_end = O.split_bounds(indexed.n)
     parts = O.split_parts(labeled)

@@ -24,7 +24,7 @@ from vigil.operators import output as P
 from vigil.operators import report as R
 from vigil.operators import serve as S
 from vigil.plans.fixture_model import fixed_model
-from vigil.session import cut_lineage
+from vigil.session import write_table
 from vigil.sources import codec, fixture, ingest, validate
 
 PLACES = 6
@@ -67,7 +67,7 @@ def prepared(spark: SparkSession, sf_dir: str) -> Prepared:
         clean = O.drop_incomplete(sensors)
         indexed = O.row_index(clean)
         featured = O.engineer_features(indexed)
-        labeled = cut_lineage(O.temporal_split(featured, indexed.n))    # window computed once, read by all
+        labeled = write_table(O.temporal_split(featured, indexed.n), "featured", ("data_split",))  # window once
         _MEMO[k] = Prepared(sensors, clean, indexed, labeled, indexed.n)
     return _MEMO[k]
 

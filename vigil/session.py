@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,3 +55,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Cut lineage by writing ``df`` once as parquet under the shared checkpoint folder and reading it back.
+
+    Unlike an eager ``checkpoint()`` of an unpersisted plan, the plan runs once;
+    the result is columnar (pruning, pushdown) and optionally partitioned.
+    """
+    root = ensure_checkpoint_dir(df.sparkSession)
+    path = f"{root.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return df.sparkSession.read.parquet(path)
