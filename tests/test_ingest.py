@@ -146,3 +146,12 @@ def test_prediction_rules(spark):
     counts = dict(validate.violation_counts(validate.validate_schema(df, validate.PREDICTION_RULES)).collect())
     assert counts["source_timestamp:required"] == 2 and counts["anomaly_score:required"] == 1
     assert counts["processed_at:required"] == 2
+
+
+def test_rule_counts_equal_exploded_counts(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "csv")
+    write_csv(path, ROWS)
+    coerced = ingest.coerce_sensor_rows(ingest.read_sensor_csv(spark, path))
+    a = dict(validate.violation_counts(validate.validate_schema(coerced)).collect())
+    b = dict(validate.rule_counts(coerced).collect())
+    assert a == b

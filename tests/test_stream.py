@@ -85,3 +85,14 @@ def test_stream_scoring_agrees_with_batch(spark, tmp_dir):
     worst = j.agg(F.max(F.abs(F.col("rolling_mean_TP2") - F.col("b_mean"))),
                   F.max(F.abs(F.col("anomaly_score") - F.col("b_score")))).first()
     assert worst[0] < 1e-9 and worst[1] < 1e-9
+
+
+def test_run_ingest_job_lands_into_configured_table(spark, tmp_dir):
+    from vigil.streaming.ingest import run_ingest
+    sensors = sensor_table(spark, SF_SMALL)
+    src = os.path.join(tmp_dir, "src")
+    os.makedirs(src)
+    n = write_messages(spark, sensors, src, "m.json", 0, 120)
+    paths = C.Paths(os.path.join(tmp_dir, "store"))
+    run_ingest(spark, paths, "text", {"maxFilesPerTrigger": "1"}, src, available_now=True).awaitTermination()
+    assert spark.read.parquet(paths.stream).count() == n

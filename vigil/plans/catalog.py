@@ -136,7 +136,7 @@ def q_stamp_ingest(spark, d):
 
 
 def q_validate_schema(spark, d):
-    return validate.violation_counts(validate.validate_schema(coerced(spark, d)))
+    return validate.rule_counts(coerced(spark, d))
 
 
 def q_decode_json(spark, d):

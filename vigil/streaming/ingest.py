@@ -46,7 +46,7 @@ def land(messages: DataFrame) -> DataFrame:
 
 
 def stream_ingest(messages: DataFrame, sink_path: str, checkpoint: str, available_now: bool = False,
-                  processing_time: str | None = None, bad_path: str | None = None) -> StreamingQuery:
+                  processing_time: str | None = None) -> StreamingQuery:
     """Messages to the landed sensor table (parquet, partitioned by date), exactly once per checkpoint."""
     w = (land(messages).writeStream.format("parquet").outputMode("append")
          .option("path", sink_path).option("checkpointLocation", checkpoint).partitionBy("date"))
@@ -64,6 +64,15 @@ def replay_batch(spark: SparkSession, source_dir: str, sink_path: str, checkpoin
     return stream_ingest(msgs, sink_path, checkpoint, available_now=True)
 
 
+def run_ingest(spark: SparkSession, paths: C.Paths, source_format: str = "kafka", source_options: dict | None = None,
+               source_path: str | None = None, checkpoint: str | None = None, available_now: bool = False,
+               processing_time: str | None = None) -> StreamingQuery:
+    """The ingest job: topic (or landed message files) to the landed sensor table."""
+    msgs = stream_source(spark, source_format, dict(source_options or {}), source_path)
+    ckpt = checkpoint or f"{paths.root}/_checkpoints/ingest"
+    return stream_ingest(msgs, paths.stream, ckpt, available_now=available_now, processing_time=processing_time)
+
+
 def score_micro_batch(batch: DataFrame, history: DataFrame | None, model: M.AnomalyModel, run_id: str,
                       preceding: int = C.ROLLING_PRECEDING) -> tuple[DataFrame, O.Indexed]:
     """Predictions for the rows of one micro-batch.
