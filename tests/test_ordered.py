@@ -93,3 +93,20 @@ def test_rolling_plan_has_no_single_partition_exchange(spark):
     plan = feat._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
     assert "hashpartitioning(_blk" in plan
+
+
+def test_reliable_index_equals_persisted_index(spark):
+    clean = O.drop_incomplete(sensor_table(spark, SF_SMALL))
+    a = O.row_index(clean, partitions=4)
+    b = O.row_index(clean, partitions=4, reliable=True)
+    assert a.n == b.n
+    got_a = {r.event_id: r.row_idx for r in a.df.select("event_id", "row_idx").collect()}
+    got_b = {r.event_id: r.row_idx for r in b.df.select("event_id", "row_idx").collect()}
+    assert got_a == got_b
+    a.release()
+
+
+def test_batch_cap_applies_before_features(spark):
+    labeled, n = O.prepare(sensor_table(spark, SF_SMALL), block=300, max_rows=500)
+    assert n == 500 and labeled.count() == 500
+    assert labeled.agg(F.max("row_idx")).first()[0] == 499
