@@ -145,15 +145,14 @@ def evaluation_report(labeled: DataFrame, split_rows: DataFrame, threshold: floa
     return out
 
 
-def stage_counts(raw: DataFrame, clean_n: int | None, labeled: DataFrame) -> DataFrame:
+def stage_counts(raw: DataFrame, clean: DataFrame, labeled: DataFrame) -> DataFrame:
     """Rows per stage: raw, clean, featured and per split, as (stage, rows)."""
+    def total(df: DataFrame, stage: str) -> DataFrame:
+        return df.agg(F.lit(stage).alias("stage"), F.count(F.lit(1)).alias("rows"))
+
     per_split = labeled.groupBy(F.col("data_split").alias("stage")).agg(F.count(F.lit(1)).alias("rows"))
-    featured = labeled.agg(F.lit("featured").alias("stage"), F.count(F.lit(1)).alias("rows"))
-    raw_n = raw.agg(F.lit("raw").alias("stage"), F.count(F.lit(1)).alias("rows"))
-    out = raw_n.unionByName(featured).unionByName(per_split)
-    if clean_n is not None:
-        out = out.unionByName(raw.sparkSession.createDataFrame([("clean", int(clean_n))], "stage string, rows long"))
-    return out
+    return total(raw, "raw").unionByName(total(clean, "clean")).unionByName(total(labeled, "featured")) \
+        .unionByName(per_split)
 
 
 def run_summary(labeled: DataFrame, threshold: float, run_id: str) -> DataFrame:

@@ -340,11 +340,7 @@ def q_score(spark, d):
 # ---------------------------------------------------------------------------
 def q_stage_counts(spark, d):
     pr = prepared(spark, d)
-    per_split = pr.labeled.groupBy(F.col("data_split").alias("stage")).agg(F.count(F.lit(1)).alias("rows"))
-    raw = pr.sensors.agg(F.lit("raw").alias("stage"), F.count(F.lit(1)).alias("rows"))
-    clean = pr.clean.agg(F.lit("clean").alias("stage"), F.count(F.lit(1)).alias("rows"))
-    featured = pr.labeled.agg(F.lit("featured").alias("stage"), F.count(F.lit(1)).alias("rows"))
-    return raw.unionByName(clean).unionByName(featured).unionByName(per_split)
+    return R.stage_counts(pr.sensors, pr.clean, pr.labeled)
 
 
 def q_dataset_overview(spark, d):

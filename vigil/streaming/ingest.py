@@ -45,11 +45,13 @@ def land(messages: DataFrame) -> DataFrame:
         .withColumn("date", F.to_date("ts"))
 
 
-def stream_ingest(messages: DataFrame, sink_path: str, checkpoint: str, available_now: bool = False,
-                  processing_time: str | None = None) -> StreamingQuery:
-    """Messages to the landed sensor table (parquet, partitioned by date), exactly once per checkpoint."""
-    w = (land(messages).writeStream.format("parquet").outputMode("append")
-         .option("path", sink_path).option("checkpointLocation", checkpoint).partitionBy("date"))
+def stream_sink(rows: DataFrame, sink_path: str, checkpoint: str, available_now: bool = False,
+                processing_time: str | None = None, partition_by: tuple[str, ...] = ("date",)) -> StreamingQuery:
+    """Append micro-batches to a parquet table; offsets and files are tied by the checkpoint (exactly once)."""
+    w = (rows.writeStream.format("parquet").outputMode("append")
+         .option("path", sink_path).option("checkpointLocation", checkpoint))
+    if partition_by:
+        w = w.partitionBy(*partition_by)
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:
@@ -57,6 +59,12 @@ def stream_ingest(messages: DataFrame, sink_path: str, checkpoint: str, availabl
     return w.start()
 
 
+def stream_ingest(messages: DataFrame, sink_path: str, checkpoint: str, available_now: bool = False,
+                  processing_time: str | None = None) -> StreamingQuery:
+    """Messages to the landed sensor table (decode, stamp, partitioned by date)."""
+    return stream_sink(land(messages), sink_path, checkpoint, available_now, processing_time)
+
+
 def replay_batch(spark: SparkSession, source_dir: str, sink_path: str, checkpoint: str,
                  files_per_batch: int = 1) -> StreamingQuery:
     """One scheduled run: drain the landed message files not yet seen, then stop."""
