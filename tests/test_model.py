@@ -110,7 +110,7 @@ def test_report_invariants(labeled):
     wcss = R.wcss_proxy(lab).first().wcss_proxy
     total = lab.agg(F.sum("anomaly_score")).first()[0]
     assert math.isclose(wcss, total, rel_tol=1e-9)
-    rep = R.evaluation_report(lab, t, 3.0)
+    rep = R.evaluation_report(lab, 3.0)
     assert set(r.section for r in rep.select("section").distinct().collect()) >= {
         "overview", "score_distribution", "class_separation", "cluster_quality", "fault_breakdown",
         "sensor_breaches", "quality_checks"}

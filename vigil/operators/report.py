@@ -110,39 +110,74 @@ def quality_checks(labeled: DataFrame) -> DataFrame:
     return one.select(F.inline(rows))
 
 
-def evaluation_report(labeled: DataFrame, split_rows: DataFrame, threshold: float) -> DataFrame:
-    """All sections in one tidy table: (section, key, metric, value, note)."""
-
-    def tidy(df: DataFrame, section: str, key: Column | None, metrics: list[str], note: Column | None = None):
-        k = key if key is not None else F.lit("")
-        nt = note if note is not None else F.lit(None).cast("string")
-        structs = [F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics]
-        return df.select(F.lit(section).alias("section"), k.cast("string").alias("key"), nt.alias("note"),
-                         F.explode(F.array(*structs)).alias("_m")) \
-            .select("section", "key", F.col("_m.metric").alias("metric"), F.col("_m.value").alias("value"), "note")
-
-    ov = dataset_overview(labeled, threshold)
-    sd = score_distribution(labeled)
-    cs = class_separation(labeled, threshold)
-    cq = cluster_quality(labeled)
-    fb = fault_breakdown(labeled)
-    sb = sensor_breaches(split_rows)
-    qc = quality_checks(labeled)
-    parts = [
-        tidy(ov, "overview", None, ["total_records", "normal_records", "anomaly_records", "normal_pct",
-                                    "anomaly_pct", "threshold"]),
-        tidy(sd, "score_distribution", None, sd.columns),
-        tidy(cs, "class_separation", None, ["normal_mean", "anomaly_mean", "gap"], F.col("verdict")),
-        tidy(cq, "cluster_quality", F.col("cluster"), ["size", "mean_dist", "std_dist"]),
-        tidy(wcss_proxy(labeled), "cluster_quality", None, ["wcss_proxy"]),
-        tidy(fb, "fault_breakdown", F.col("fault_hint"), ["count", "pct"]),
-        tidy(sb, "sensor_breaches", None, sb.columns),
-        tidy(qc, "quality_checks", F.col("check"), ["value"], F.col("status")),
+def evaluation_report(labeled: DataFrame, threshold: float, percentiles=C.PERCENTILES,
+                      rules=C.FAULT_RULES) -> DataFrame:
+    """All sections in one tidy table ``(section, key, metric, value, note)`` from ONE scan.
+
+    A single grouping-sets aggregation computes the overall metrics (grouping
+    set ``()``), the per-cluster metrics (``(cluster)``) and the per-label
+    anomaly counts (``(fault_hint)``); partial aggregation happens before the
+    only shuffle, whose output is 1 + k + (labels) rows. The few result rows
+    are then reshaped; fault shares use a window over those rows only.
+    """
+    s = F.col("anomaly_score")
+    anom = F.col("is_anomaly")
+    pct_names = [f"p{int(round(p * 100))}" for p in percentiles]
+    breach_names = [f"breach_{c}" for _, c, _, _ in rules]
+    aggs = [
+        F.count(F.lit(1)).alias("n"), F.count_if(anom).alias("a"),
+        F.avg(s).alias("score_mean"), F.stddev_samp(s).alias("score_std"),
+        F.min(s).alias("score_min"), F.max(s).alias("score_max"),
+        F.percentile_approx(s, list(percentiles), 10000).alias("_p"),
+        F.avg(F.when(~anom, s)).alias("normal_mean"), F.avg(F.when(anom, s)).alias("anomaly_mean"),
+        *[F.count_if(X.rule_condition(c, op, v)).alias(f"breach_{c}") for _, c, op, v in rules],
     ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    g = (labeled.groupingSets([[], ["cluster"], ["fault_hint"]], "cluster", "fault_hint")
+         .agg(*aggs, F.grouping_id().alias("_gid")))
+    # _gid: 3 = overall, 1 = per cluster (fault_hint rolled up), 2 = per label (cluster rolled up)
+    everything = Window.partitionBy()                     # over the 1 + k + labels result rows only
+    g = g.withColumns({
+        "_total_a": F.max(F.when(F.col("_gid") == 3, F.col("a"))).over(everything),
+        "_wcss": F.sum(F.when(F.col("_gid") == 1, F.col("score_mean") * F.col("n"))).over(everything),
+    })
+
+    def rows(metrics: list[tuple[str, Column]], key: Column, section: str, note: Column | None = None):
+        nt = note if note is not None else F.lit(None).cast("string")
+        return F.array(*[F.struct(F.lit(section).alias("section"), key.cast("string").alias("key"),
+                                  F.lit(m).alias("metric"), v.cast("double").alias("value"), nt.alias("note"))
+                         for m, v in metrics])
+
+    n, a = F.col("n"), F.col("a")
+    rate = _pct(a, n)
+    gap = F.col("anomaly_mean") - F.col("normal_mean")
+    verdict = (F.when(gap.isNull(), F.lit("NO_ANOMALIES"))
+               .when(gap > F.lit(C.GOOD_GAP_FACTOR * float(threshold)), F.lit("GOOD")).otherwise(F.lit("LOW")))
+    rate_status = (F.when((rate >= F.lit(C.RATE_LOW_PCT)) & (rate <= F.lit(C.RATE_HIGH_PCT)), F.lit("PASS"))
+                   .otherwise(F.lit("WARN")))
+    sep_status = F.when(F.coalesce(gap > F.lit(C.STRONG_GAP), F.lit(False)), F.lit("PASS")).otherwise(F.lit("WARN"))
+    blank = F.lit("")
+    overall = F.concat(
+        rows([("total_records", n), ("normal_records", n - a), ("anomaly_records", a),
+              ("normal_pct", F.lit(100.0) - rate), ("anomaly_pct", rate), ("threshold", F.lit(float(threshold)))],
+             blank, "overview"),
+        rows([("score_mean", F.col("score_mean")), ("score_std", F.col("score_std")),
+              ("score_min", F.col("score_min")), ("score_max", F.col("score_max"))]
+             + [(nm, F.col("_p")[i]) for i, nm in enumerate(pct_names)], blank, "score_distribution"),
+        rows([("normal_mean", F.col("normal_mean")), ("anomaly_mean", F.col("anomaly_mean")), ("gap", gap)],
+             blank, "class_separation", verdict),
+        rows([("wcss_proxy", F.coalesce(F.col("_wcss"), F.lit(0.0)))], blank, "cluster_quality"),
+        rows([(b, F.col(b)) for b in breach_names], blank, "sensor_breaches"),
+        rows([("value", rate)], F.lit("anomaly_rate"), "quality_checks", rate_status),
+        rows([("value", gap)], F.lit("class_separation"), "quality_checks", sep_status),
+    )
+    per_cluster = rows([("size", n), ("mean_dist", F.col("score_mean")),
+                        ("std_dist", F.coalesce(F.col("score_std"), F.lit(0.0)))], F.col("cluster"), "cluster_quality")
+    per_label = rows([("count", a), ("pct", _pct(a, F.col("_total_a")))], F.col("fault_hint"), "fault_breakdown")
+    out = g.select(F.explode(
+        F.when(F.col("_gid") == 3, overall)
+        .when(F.col("_gid") == 1, per_cluster)
+        .when((F.col("_gid") == 2) & (a > 0), per_label)).alias("r"))
+    return out.select("r.*")
 
 
 def stage_counts(raw: DataFrame, clean: DataFrame, labeled: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vigil import config as C
@@ -59,22 +59,21 @@ def run_batch(spark: SparkSession, sensors: DataFrame, paths: C.Paths, run_id: s
         M.save_model(spark, fitted, paths.model)
     model = fitted.model
 
-    test = M.score(parts["test"], model).persist()
-    try:
-        report = R.evaluation_report(test, test, model.threshold)
-        sinks.save_report(report.withColumn("spark_run_id", F.lit(run_id)), paths.report)
-    finally:
-        test.unpersist()
+    # Evaluation: one scan of the scored test split (grouping-sets aggregate), nothing cached.
+    report = R.evaluation_report(M.score(parts["test"], model), model.threshold)
+    sinks.save_report(report.withColumn("spark_run_id", F.lit(run_id)), paths.report)
 
+    # Scoring: the run summary is observed while the predictions are appended (no re-read).
     scored = M.score(parts[score_split], model)
     preds = P.predictions(scored, model.threshold, processed_at, run_id, score_split)
-    sinks.append_predictions(preds, paths.predictions)
-    summary = R.run_summary(spark.read.parquet(paths.predictions).filter(F.col("spark_run_id") == run_id),
-                            model.threshold, run_id).first()
-    sinks.append_run_log(spark, paths.run_log, run_id, int(summary["records_processed"]),
-                         int(summary["anomalies_found"]), model.threshold, cached, score_split)
+    obs = Observation("run_summary")
+    sinks.append_predictions(preds.observe(obs, F.count(F.lit(1)).alias("records"),
+                                           F.count_if(F.col("is_anomaly")).alias("anomalies")), paths.predictions)
+    summary = obs.get
+    records, anomalies = int(summary["records"]), int(summary["anomalies"])
+    sinks.append_run_log(spark, paths.run_log, run_id, records, anomalies, model.threshold, cached, score_split)
     return BatchResult(run_id, indexed.n, train_end, test_end - train_end, indexed.n - test_end,
-                       int(summary["anomalies_found"]), model.threshold, cached)
+                       anomalies, model.threshold, cached)
 
 
 def run_checks(spark: SparkSession, paths: C.Paths, as_of: Column, job=None) -> dict:

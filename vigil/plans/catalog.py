@@ -385,7 +385,7 @@ def q_quality_checks(spark, d):
 
 def q_evaluation_report(spark, d):
     t, thr = fixed_test(spark, d)
-    return rounded(R.evaluation_report(t, t, thr))
+    return rounded(R.evaluation_report(t, thr))
 
 
 def q_run_summary(spark, d):
