@@ -23,9 +23,11 @@ from vigil.operators import ordered as O
 from vigil.operators import output as P
 from vigil.operators import report as R
 from vigil.operators import serve as S
+from vigil.plans.batch import run_batch
 from vigil.plans.fixture_model import fixed_model
-from vigil.session import write_table
-from vigil.sources import codec, fixture, ingest, validate
+from vigil.session import scratch_path, write_table
+from vigil.sources import codec, fixture, ingest, sinks, validate
+from vigil.streaming.ingest import replay_batch, run_ingest
 
 PLACES = 6
 RUN_ID = "fixture-run"
@@ -441,6 +443,88 @@ def q_faults_by_count(spark, d):
     return rounded(R.fault_breakdown(lab))
 
 
+# ---------------------------------------------------------------------------
+# sinks, streams and jobs as round trips: derived rows go through the real sink
+# into the shared checkpoint folder and are read back
+# ---------------------------------------------------------------------------
+def q_write_raw_batches(spark, d):
+    path = scratch_path(spark, "raw")
+    ingest.write_raw_batches(prepared(spark, d).sensors.select(*SENSOR_COLS), path)
+    return rounded(spark.read.parquet(path).select(*SENSOR_COLS))
+
+
+def q_append_predictions(spark, d):
+    path = scratch_path(spark, "predictions")
+    sinks.append_predictions(fixed_predictions(spark, d), path)
+    return rounded(spark.read.parquet(path).select(*C.PREDICTION_COLS))
+
+
+def q_save_report(spark, d):
+    t, thr = fixed_test(spark, d)
+    path = scratch_path(spark, "report")
+    sinks.save_report(R.evaluation_report(t, thr), path)
+    schema = "section string, key string, metric string, value double, note string"
+    return rounded(spark.read.schema(schema).json(path))
+
+
+def q_load_raw(spark, d):
+    csv_dir, target = scratch_path(spark, "csv"), scratch_path(spark, "raw")
+    raw_text(spark, d).write.option("header", True).csv(csv_dir)      # event_id rides along as an extra column
+    ingest.load_raw(spark, csv_dir, target, drop=True, loaded_at=ntz(PROCESSED_AT))
+    out = spark.read.parquet(target)
+    return rounded(out.select(F.col("timestamp").try_cast("timestamp_ntz").alias("ts"), *C.ANALOGUE_COLS,
+                              *C.DIGITAL_COLS, "_loaded_at"))
+
+
+def q_append_run_log(spark, d):
+    lab, thr = fixed_scored(spark, d)
+    demo = lab.filter(F.col("data_split") == "demo")
+    row = R.run_summary(demo, thr, RUN_ID).first()                   # one row
+    path = scratch_path(spark, "run_log")
+    sinks.append_run_log(spark, path, RUN_ID, row["records_processed"], row["anomalies_found"], thr, False, "demo")
+    return rounded(spark.read.parquet(path).drop("processed_at"))      # a run parameter, not data
+
+
+def _messages(spark, d, parts: int = 8) -> str:
+    """The sensor rows as JSON message files (text), the stream source's input."""
+    path = scratch_path(spark, "messages")
+    rows = prepared(spark, d).sensors.withColumn("timestamp", F.col("ts").cast("string"))
+    codec.encode_json(rows.drop("ts", "asset_id", "event_id")).repartition(parts).write.text(path)
+    return path
+
+
+def _landed(spark, path):
+    return rounded(spark.read.parquet(path).select("ts", *C.ANALOGUE_COLS, *C.DIGITAL_COLS))
+
+
+def q_stream_ingest(spark, d):
+    src, paths = _messages(spark, d), C.Paths(scratch_path(spark, "store"))
+    run_ingest(spark, paths, "text", {}, src, available_now=True).awaitTermination()
+    return _landed(spark, paths.stream)
+
+
+def q_replay_batch(spark, d):
+    src, sink = _messages(spark, d), scratch_path(spark, "landed")
+    replay_batch(spark, src, sink, scratch_path(spark, "ckpt"), files_per_batch=1).awaitTermination()
+    return _landed(spark, sink)
+
+
+def q_load_model(spark, d):
+    fit = trained(spark, d)
+    path = scratch_path(spark, "model")
+    M.save_model(spark, fit, path)
+    back = M.load_model(spark, path)
+    rows = [(j, [float(v) for v in c]) for j, c in enumerate(back.model.centers)]
+    return spark.createDataFrame(rows, "cluster int, center array<double>")
+
+
+def q_run_batch(spark, d):
+    paths = C.Paths(scratch_path(spark, "store"))
+    run_batch(spark, prepared(spark, d).sensors.drop("asset_id"), paths, run_id=RUN_ID,
+              processed_at=ntz(PROCESSED_AT))
+    return spark.read.parquet(paths.predictions).select(*C.PREDICTION_COLS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

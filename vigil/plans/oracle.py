@@ -330,6 +330,19 @@ def oracle_sql() -> dict[str, str]:
                             f"arg_max(anomaly_score, source_timestamp) as latest_score from preds)"),
         "fault_distribution": q(f"select fault_hint, count(*) as count from preds where anomaly_score > "
                                 f"{sql_double(C.DASHBOARD_THRESHOLD)} group by fault_hint"),
+        # sinks, streams and jobs (round trips)
+        "write_raw_batches": q(f"select {sensor_sel} from sensor"),
+        "append_predictions": q(f"select {pred_sel} from preds"),
+        "save_report": _evaluation_report(),
+        "load_raw": q(f"select try_cast(timestamp as timestamp) as ts, {sel(A + D, DOUBLES)}, "
+                      f"timestamp '{PROCESSED_AT}' as _loaded_at from coerced where timestamp is not null"),
+        "append_run_log": q(f"select '{RUN_ID}' as spark_run_id, count(*) as records_processed, "
+                            f"count_if(is_anomaly) as anomalies_found, "
+                            f"round((select threshold from thr), 6) + 0e0 as threshold_used, "
+                            f"false as model_loaded_from_cache, 'demo' as data_split "
+                            f"from labeled where data_split = 'demo'"),
+        "stream_ingest": q(f"select ts, {sel(A + D, DOUBLES)} from sensor"),
+        "replay_batch": q(f"select ts, {sel(A + D, DOUBLES)} from sensor"),
         # 2.6
         "latest_n": q(f"select {sensor_sel} from sensor order by ts desc limit {C.RECENT_LIMIT}"),
         "last_alerts": q(f"select source_timestamp, round(anomaly_score, 6) + 0e0 as anomaly_score, fault_hint from preds "

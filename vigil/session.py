@@ -70,3 +70,9 @@ def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder (never machine-local on a cluster)."""
+    root = ensure_checkpoint_dir(spark)
+    return f"{root.rstrip('/')}/scratch/{name}-{uuid.uuid4().hex}"
