@@ -24,8 +24,9 @@ from vigil.session import cut_lineage
 ORDER_COLS = ["ts", "event_id"]
 IDX = "row_idx"
 _POS_BITS = 33                       # monotonically_increasing_id = partition << 33 | position
-MIN_BLOCK = 4 * (C.ROLLING_PRECEDING + 1)
-MAX_BLOCK = 2_000_000
+MIN_BLOCK = 2048                     # halo copies stay under 10% of the rows
+MAX_BLOCK = 2_000_000                # rows buffered by one window group
+BLOCKS_PER_PARTITION = 8             # blocks are hash-partitioned: several per task even out the load
 
 
 def drop_incomplete(df: DataFrame, cols: list[str] = C.FEATURE_COLS) -> DataFrame:
@@ -86,8 +87,8 @@ def row_index(df: DataFrame, order_cols: list[str] = ORDER_COLS, partitions: int
 
 
 def choose_block(n: int, partitions: int) -> int:
-    """Rows per window block: about two blocks per shuffle partition, bounded both ways."""
-    target = math.ceil(n / max(1, 2 * partitions)) if n else MIN_BLOCK
+    """Rows per window block: about eight blocks per shuffle partition, bounded both ways."""
+    target = math.ceil(n / max(1, BLOCKS_PER_PARTITION * partitions)) if n else MIN_BLOCK
     return int(min(MAX_BLOCK, max(MIN_BLOCK, target)))
 
 
