@@ -138,7 +138,10 @@ def q_stamp_ingest(spark, d):
 
 
 def q_validate_schema(spark, d):
-    return validate.rule_counts(coerced(spark, d))
+    raw = validate.rule_counts(coerced(spark, d)).select(F.lit(C.RAW_TABLE).alias("table_name"), "*")
+    preds = validate.rule_counts(fixed_predictions(spark, d), validate.PREDICTION_RULES) \
+        .select(F.lit(C.PREDICTIONS_TABLE).alias("table_name"), "*")
+    return raw.unionByName(preds)
 
 
 def q_decode_json(spark, d):

@@ -13,7 +13,7 @@ from vigil.functions.columns import NUMBER_PATTERN, sql_double
 from vigil.plans.catalog import ALERT_AS_OF, PLACES, PROCESSED_AT, RUN_ID
 from vigil.plans.fixture_model import FIXED_CENTERS, FIXED_MEAN, FIXED_STD
 from vigil.sources.fixture import raw_text_view_sql, sensor_view_sql
-from vigil.sources.validate import RAW_RULES, rule_name
+from vigil.sources.validate import PREDICTION_RULES, RAW_RULES, rule_name
 
 A, D = C.ANALOGUE_COLS, C.DIGITAL_COLS
 SENSOR = ["event_id", "ts", "asset_id"] + A + D
@@ -133,9 +133,12 @@ def _pct(part: str, whole: str) -> str:
 
 
 def _validate() -> str:
-    cases = ", ".join(f"case when {f} is null then '{rule_name(f, k, req)}' end" for f, k, req in RAW_RULES)
-    return q(f"select rule, count(*) as violations from "
-             f"(select unnest(list_value({cases})) as rule from coerced) where rule is not null group by rule")
+    def counts(table: str, src: str, rules) -> str:
+        cases = ", ".join(f"case when {f} is null then '{rule_name(f, k, req)}' end" for f, k, req in rules)
+        return (f"select '{table}' as table_name, rule, count(*) as violations from "
+                f"(select unnest(list_value({cases})) as rule from {src}) where rule is not null group by rule")
+    return q(counts(C.RAW_TABLE, "coerced", RAW_RULES) + " union all "
+             + counts(C.PREDICTIONS_TABLE, "preds", PREDICTION_RULES))
 
 
 def _cluster_quality(src: str) -> str:
