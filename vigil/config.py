@@ -6,7 +6,7 @@ results lives in the first block below, stated plainly and in natural order.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
@@ -54,30 +54,17 @@ LAST_ALERTS = 10
 ALERT_WINDOW_MINUTES = 15
 ALERTS_SHOWN = 5
 STREAM_BATCH_ROWS = 500
-LOAD_BATCH_ROWS = 5000
 
 # Table names (one configuration for all readers and writers).
-RAW_TABLE = "raw_sensor_data"
-STREAM_TABLE = "sensor_data"
-PREDICTIONS_TABLE = "processed_predictions"
-RUN_LOG_TABLE = "spark_run_log"
+RAW_TABLE = "raw_readings"
+STREAM_TABLE = "landed_readings"
+PREDICTIONS_TABLE = "predictions"
+RUN_LOG_TABLE = "run_log"
 
 
 # ---------------------------------------------------------------------------
 # Schemas
 # ---------------------------------------------------------------------------
-def raw_text_schema(extra: list[str] | None = None) -> T.StructType:
-    """CSV as read: every field text (no inference)."""
-    cols = ["timestamp"] + ANALOGUE_COLS + DIGITAL_COLS + list(extra or [])
-    return T.StructType([T.StructField(c, T.StringType(), True) for c in cols])
-
-
-RAW_SCHEMA = T.StructType(
-    [T.StructField("timestamp", T.StringType(), False)]
-    + [T.StructField(c, T.DoubleType(), True) for c in ANALOGUE_COLS]
-    + [T.StructField(c, T.IntegerType(), True) for c in DIGITAL_COLS]
-)
-
 # Stream message: digital fields are decoded as DOUBLE and cast afterwards, so
 # a "1.0" in a digital field survives decoding.
 MESSAGE_SCHEMA = T.StructType(
@@ -133,11 +120,3 @@ class Paths:
     @property
     def report(self) -> str:
         return f"{self.root}/evaluation_report"
-
-
-@dataclass(frozen=True)
-class Rules:
-    """Thresholds of the fault rules and checks, configurable per deployment."""
-
-    fault_rules: list = field(default_factory=lambda: list(FAULT_RULES))
-    sigmas: float = THRESHOLD_SIGMAS
