@@ -110,3 +110,12 @@ def test_batch_cap_applies_before_features(spark):
     labeled, n = O.prepare(sensor_table(spark, SF_SMALL), block=300, max_rows=500)
     assert n == 500 and labeled.count() == 500
     assert labeled.agg(F.max("row_idx")).first()[0] == 499
+
+
+def test_prepare_is_deterministic_across_partitionings(spark):
+    cols = ["event_id", "row_idx", "data_split"] + C.ROLLING_COLS + C.DERIVED_COLS
+    a, _ = O.prepare(sensor_table(spark, SF_SMALL), partitions=3, block=O.MIN_BLOCK)
+    b, _ = O.prepare(sensor_table(spark, SF_SMALL), partitions=11, block=5000)
+    ra = sorted(tuple(r) for r in a.select(*cols).collect())
+    rb = sorted(tuple(r) for r in b.select(*cols).collect())
+    assert ra == rb

@@ -70,7 +70,14 @@ def float_of_stripped(s: Column) -> Column:
 
     Pass a column reference (not an expression): the text is used twice.
     """
-    return F.when(s.rlike(NUMBER_PATTERN), F.replace(s, F.lit("_"), F.lit("")).try_cast("double"))
+    low = F.lower(s)
+    # Within the accepted shapes only inf / infinity / nan contain an "n"; they are mapped
+    # here because Spark's cast knows no signed nan.
+    special = (F.when(low.endswith("nan"), F.lit(float("nan")))
+               .when(s.startswith("-"), F.lit(float("-inf")))
+               .otherwise(F.lit(float("inf"))))
+    number = F.replace(s, F.lit("_"), F.lit("")).try_cast("double")
+    return F.when(s.rlike(NUMBER_PATTERN), F.when(low.contains("n"), special).otherwise(number))
 
 
 def int_of_double(d: Column) -> Column:

@@ -103,7 +103,10 @@ def _strip(x: str) -> str:
 
 def _pyfloat(x: str) -> str:
     s = _strip(x)
-    return f"(case when regexp_matches({s}, '{NUMBER_PATTERN}') then try_cast(replace({s}, '_', '') as double) end)"
+    special = (f"case when ends_with(lower({s}), 'nan') then cast('nan' as double) "
+               f"when starts_with({s}, '-') then cast('-inf' as double) else cast('inf' as double) end")
+    return (f"(case when regexp_matches({s}, '{NUMBER_PATTERN}') then (case when contains(lower({s}), 'n') "
+            f"then {special} else try_cast(replace({s}, '_', '') as double) end) end)")
 
 
 def _pyint(x: str) -> str:
