@@ -27,7 +27,7 @@ from vigil.plans.batch import run_batch
 from vigil.plans.fixture_model import fixed_model
 from vigil.session import scratch_path, write_table
 from vigil.sources import codec, fixture, ingest, sinks, validate
-from vigil.streaming.ingest import replay_batch, run_ingest
+from vigil.streaming.ingest import replay_batch, run_ingest, stream_score, stream_source
 
 PLACES = 6
 RUN_ID = "fixture-run"
@@ -512,6 +512,17 @@ def q_replay_batch(spark, d):
     return _landed(spark, sink)
 
 
+def q_stream_score(spark, d):
+    lab, thr = fixed_scored(spark, d)
+    src = _messages(spark, d, parts=4)
+    preds = scratch_path(spark, "stream-predictions")
+    msgs = stream_source(spark, "text", {"maxFilesPerTrigger": "2"}, src)
+    stream_score(msgs, scratch_path(spark, "history"), preds, scratch_path(spark, "ckpt"),
+                 fixed_model().with_threshold(thr), RUN_ID).awaitTermination()
+    return rounded(spark.read.parquet(preds).select("source_timestamp", "anomaly_score", "is_anomaly", "fault_hint",
+                                                    "cluster_id", "rolling_mean_TP2"))
+
+
 def q_load_model(spark, d):
     fit = trained(spark, d)
     path = scratch_path(spark, "model")
