@@ -119,3 +119,13 @@ def test_prepare_is_deterministic_across_partitionings(spark):
     ra = sorted(tuple(r) for r in a.select(*cols).collect())
     rb = sorted(tuple(r) for r in b.select(*cols).collect())
     assert ra == rb
+
+
+def test_broadcast_offsets_equal_literal_offsets(spark, monkeypatch):
+    clean = O.drop_incomplete(sensor_table(spark, SF_SMALL))
+    lit = {r.event_id: r.row_idx for r in O.row_index(clean, partitions=6).df.select("event_id", "row_idx").collect()}
+    monkeypatch.setattr(O, "LITERAL_OFFSETS_MAX", 2)
+    idx = O.row_index(clean, partitions=6)
+    plan = idx.df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+    assert {r.event_id: r.row_idx for r in idx.df.select("event_id", "row_idx").collect()} == lit

@@ -24,6 +24,7 @@ from vigil.session import cut_lineage
 ORDER_COLS = ["ts", "event_id"]
 IDX = "row_idx"
 _POS_BITS = 33                       # monotonically_increasing_id = partition << 33 | position
+LITERAL_OFFSETS_MAX = 8192          # above this many partitions the offsets are broadcast instead
 MIN_BLOCK = 2048                     # halo copies stay under 10% of the rows
 MAX_BLOCK = 2_000_000                # rows buffered by one window group
 BLOCKS_PER_PARTITION = 8             # blocks are hash-partitioned: several per task even out the load
@@ -64,7 +65,9 @@ def row_index(df: DataFrame, order_cols: list[str] = ORDER_COLS, partitions: int
        is unique, so a lost block recomputes to the same tags; ``reliable=True``
        writes a checkpoint to the shared folder instead);
     3. count rows per partition (P numbers to the driver), prefix-sum to offsets;
-    4. ``row_idx = offset[partition] + position`` via an array literal of P longs.
+    4. ``row_idx = offset[partition] + position``, the offsets as an array
+       literal of P longs, or as a broadcast (partition, offset) table when P
+       is large.
     """
     spark = df.sparkSession
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -81,8 +84,14 @@ def row_index(df: DataFrame, order_cols: list[str] = ORDER_COLS, partitions: int
         acc += counts.get(pid, 0)
     if n_parts == 0:
         out = tagged.withColumn(IDX, F.lit(None).cast("long"))
-    else:
+    elif n_parts <= LITERAL_OFFSETS_MAX:
+        # P longs travel inside the plan (serialized with each task): fine for thousands.
         out = tagged.withColumn(IDX, F.element_at(F.lit(offsets), F.col("_pid") + 1) + F.col("_pos"))
+    else:
+        # Many partitions: ship the P offsets once per executor as a broadcast table (size = P rows, checked above).
+        table = spark.createDataFrame(list(enumerate(offsets)), "_pid int, _off long")
+        out = (tagged.join(F.broadcast(table), "_pid")
+               .withColumn(IDX, F.col("_off") + F.col("_pos")).drop("_off"))
     return Indexed(out.drop("_pid", "_pos"), acc, p, tagged)
 
 
