@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_SMALL
 
-ROWS_ONLY = {"assemble_features", "encode_json", "fit_kmeans", "sample_record", "score", "train_model",
+ROWS_ONLY = {"encode_json", "fit_kmeans", "sample_record", "score", "train_model",
              "load_model", "run_batch", "stream_score"}
 SAMPLE = ["engineer_features", "temporal_split", "coerce_sensor_rows", "validate_schema", "anomaly_score",
           "fit_threshold", "evaluation_report", "recent_sensor_slice", "recent_alerts", "dashboard_kpis",

@@ -292,8 +292,8 @@ def _test_rows(spark, d):
 
 
 def q_assemble_features(spark, d):
-    out = M.assembler().transform(_test_rows(spark, d))
-    return out.select("event_id", vector_to_array("raw_features").alias("raw_features"))
+    out = M.assembler().transform(_test_rows(spark, d)).select("event_id", vector_to_array("raw_features").alias("v"))
+    return rounded(out.select("event_id", *[F.col("v")[i].alias(f"raw_{f}") for i, f in enumerate(C.EXTENDED_COLS)]))
 
 
 def q_scale_features(spark, d):

@@ -299,6 +299,8 @@ def oracle_sql() -> dict[str, str]:
             f"round(coalesce(({f} - (select avg({f}) from split where data_split = 'train')) / "
             f"nullif((select stddev_samp({f}) from split where data_split = 'train'), 0e0), 0e0), 6) + 0e0 as z_{f}"
             for f in C.EXTENDED_COLS) + " from split where data_split = 'test'"),
+        "assemble_features": q("select event_id, " + ", ".join(r(f, f"raw_{f}") for f in C.EXTENDED_COLS)
+                               + " from split where data_split = 'test'"),
         "assign_cluster": q("select event_id, cluster from labeled"),
         "anomaly_score": q("select event_id, cluster, round(anomaly_score, 6) + 0e0 as anomaly_score from labeled"),
         "fit_threshold": q("select round(score_mean, 6) + 0e0 as score_mean, round(score_std, 6) + 0e0 as score_std, "
