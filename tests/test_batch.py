@@ -33,3 +33,14 @@ def test_run_batch_twice(spark, tmp_dir):
     out = run_checks(spark, paths, F.lit("2024-02-01 00:05:00").cast("timestamp"))
     assert out["landed_rows"] == 1000
     assert out["alerts"] == preds.filter("is_anomaly").count() * 2 and len(out["shown"]) <= C.ALERTS_SHOWN
+
+
+def test_run_batch_leaves_no_intermediate_table(spark, tmp_dir):
+    from vigil.session import ensure_checkpoint_dir
+    root = ensure_checkpoint_dir(spark)
+    tables = os.path.join(root.replace("file:", ""), "tables")
+    before = set(os.listdir(tables)) if os.path.isdir(tables) else set()
+    paths = C.Paths(os.path.join(tmp_dir, "store2"))
+    run_batch(spark, sensor_table(spark, SF_SMALL).drop("asset_id"), paths, run_id="run-x")
+    after = set(os.listdir(tables)) if os.path.isdir(tables) else set()
+    assert not [t for t in after - before if t.startswith("featured-")]

@@ -21,7 +21,7 @@ from vigil.operators import ordered as O
 from vigil.operators import output as P
 from vigil.operators import report as R
 from vigil.operators import serve as S
-from vigil.session import write_table
+from vigil.session import drop_path, table_path, write_table
 from vigil.sources import ingest, sinks
 
 
@@ -47,9 +47,20 @@ def run_batch(spark: SparkSession, sensors: DataFrame, paths: C.Paths, run_id: s
     indexed = O.row_index(clean, partitions=partitions)
     if max_rows is not None:
         indexed = O.cap_rows(indexed, max_rows)
-    labeled = write_table(O.temporal_split(O.engineer_features(indexed), indexed.n), "featured", ("data_split",))
-    indexed.release()                                    # everything below reads the checkpointed table
-    train_end, test_end = O.split_bounds(indexed.n)
+    featured_path = table_path(spark, "featured")
+    try:
+        labeled = write_table(O.temporal_split(O.engineer_features(indexed), indexed.n), "featured",
+                              ("data_split",), featured_path)
+        indexed.release()                                # everything below reads the written table
+        return _train_evaluate_score(spark, labeled, indexed.n, paths, run_id, processed_at, retrain, score_split)
+    finally:
+        indexed.release()
+        drop_path(spark, featured_path)                  # the job's own intermediate table
+
+
+def _train_evaluate_score(spark: SparkSession, labeled: DataFrame, n: int, paths: C.Paths, run_id: str,
+                          processed_at: Column, retrain: bool, score_split: str) -> BatchResult:
+    train_end, test_end = O.split_bounds(n)
     parts = O.split_parts(labeled)
 
     fitted = None if retrain else M.load_model(spark, paths.model)
@@ -72,8 +83,7 @@ def run_batch(spark: SparkSession, sensors: DataFrame, paths: C.Paths, run_id: s
     summary = obs.get
     records, anomalies = int(summary["records"]), int(summary["anomalies"])
     sinks.append_run_log(spark, paths.run_log, run_id, records, anomalies, model.threshold, cached, score_split)
-    return BatchResult(run_id, indexed.n, train_end, test_end - train_end, indexed.n - test_end,
-                       anomalies, model.threshold, cached)
+    return BatchResult(run_id, n, train_end, test_end - train_end, n - test_end, anomalies, model.threshold, cached)
 
 
 def run_checks(spark: SparkSession, paths: C.Paths, as_of: Column, job=None) -> dict:

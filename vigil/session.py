@@ -57,14 +57,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), path: str | None = None) -> DataFrame:
     """Cut lineage by writing ``df`` once as parquet under the shared checkpoint folder and reading it back.
 
     Unlike an eager ``checkpoint()`` of an unpersisted plan, the plan runs once;
     the result is columnar (pruning, pushdown) and optionally partitioned.
     """
-    root = ensure_checkpoint_dir(df.sparkSession)
-    path = f"{root.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    path = path or table_path(df.sparkSession, name)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -72,6 +71,18 @@ def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
     return df.sparkSession.read.parquet(path)
 
 
+def table_path(spark: SparkSession, name: str) -> str:
+    root = ensure_checkpoint_dir(spark)
+    return f"{root.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a job-owned intermediate folder (Hadoop file system, so shared stores work)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder (never machine-local on a cluster)."""
     root = ensure_checkpoint_dir(spark)
