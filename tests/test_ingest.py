@@ -155,3 +155,15 @@ def test_rule_counts_equal_exploded_counts(spark, tmp_dir):
     a = dict(validate.violation_counts(validate.validate_schema(coerced)).collect())
     b = dict(validate.rule_counts(coerced).collect())
     assert a == b
+
+
+def test_producer_stamps_time_only_when_column_missing(spark, tmp_dir):
+    with_ts = spark.createDataFrame([("2020-01-01 00:00:00", "9.5", "1.0")], "timestamp string, TP2 string, COMP string")
+    no_ts = spark.createDataFrame([("9.5", "1")], "TP2 string, COMP string")
+    now = F.lit("2030-01-01T00:00:00")
+    a = json.loads(codec.producer_messages(with_ts, now).first().value)
+    b = json.loads(codec.producer_messages(no_ts, now).first().value)
+    assert a["timestamp"] == "2020-01-01 00:00:00" and a["TP2"] == 9.5 and a["COMP"] == 1
+    assert b["timestamp"] == "2030-01-01T00:00:00" and b["TP3"] is None
+    # the loader, by contrast, skips rows without a timestamp
+    assert ingest.ingest_counts(ingest.coerce_sensor_rows(no_ts)).first().skipped == 1

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil import config as C
+from vigil.sources.ingest import coerce_sensor_rows
 
 CORRUPT = "_corrupt_record"
 
@@ -40,6 +41,12 @@ def decode_json(messages: DataFrame, value_col: str = "value", keep: tuple[str,
                          F.col(f"_m.{CORRUPT}").alias(CORRUPT))
 
 
+def producer_messages(text_rows: DataFrame, now: Column | None = None) -> DataFrame:
+    """CSV text rows as stream messages: typed fields, and the current time when there is no timestamp column."""
+    stamp = now if now is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return encode_json(coerce_sensor_rows(text_rows, missing_ts=stamp))
+
+
 def publish(df: DataFrame, options: dict, fmt: str = "kafka", limit: int | None = None) -> None:
     """Write encoded rows to a topic (or any sink format); ``limit`` caps rows per run."""
     out = encode_json(df)

@@ -20,14 +20,18 @@ def read_sensor_csv(spark: SparkSession, path: str) -> DataFrame:
             .option("mode", "PERMISSIVE").csv(path))
 
 
-def timestamp_text(df: DataFrame) -> Column:
-    """The ``timestamp`` column, else ``Timestamp`` (header-level choice), trimmed, blank as NULL."""
+def timestamp_text(df: DataFrame, missing: Column | None = None) -> Column:
+    """The ``timestamp`` column, else ``Timestamp`` (header-level choice), trimmed, blank as NULL.
+
+    ``missing`` is used when the input has neither column (the producer stamps
+    the current time there; the loader leaves NULL and skips the rows).
+    """
     if "timestamp" in df.columns:
         src = F.col("timestamp")
     elif "Timestamp" in df.columns:
         src = F.col("Timestamp")
     else:
-        src = F.lit(None).cast("string")
+        return missing.cast("string") if missing is not None else F.lit(None).cast("string")
     return F.nullif(X.strip_ws(src), F.lit(""))
 
 
@@ -35,7 +39,7 @@ def _field(df: DataFrame, name: str) -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast("string")
 
 
-def coerce_sensor_rows(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def coerce_sensor_rows(df: DataFrame, keep: tuple[str, ...] = (), missing_ts: Column | None = None) -> DataFrame:
     """Text rows to the typed sensor schema in one projection.
 
     Analogue fields as float(); digital fields as int(float()); a bad or
@@ -44,7 +48,7 @@ def coerce_sensor_rows(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     fields = C.ANALOGUE_COLS + C.DIGITAL_COLS
     # Three narrow projections, so each field is stripped and parsed once
     # (conditional branches get no common-subexpression elimination).
-    stripped = df.select(*[F.col(k) for k in keep], timestamp_text(df).alias("timestamp"),
+    stripped = df.select(*[F.col(k) for k in keep], timestamp_text(df, missing_ts).alias("timestamp"),
                          *[X.strip_ws(_field(df, c)).alias(c) for c in fields])
     parsed = stripped.select(*keep, "timestamp", *[X.float_of_stripped(F.col(c)).alias(c) for c in fields])
     return parsed.select(*keep, "timestamp", *C.ANALOGUE_COLS,
