@@ -54,7 +54,7 @@ def newest_bound(df: DataFrame, ts_col: str, n: int, max_candidates: int | None
     for width, pad in _BUCKETS:
         hist = scope.groupBy(F.substring(text, 1, width).alias("b")).agg(F.count(F.lit(1)).alias("c"))
         acc, hit = 0, None
-        for row in hist.orderBy(F.desc("b")).toLocalIterator():
+        for row in sorted(hist.collect(), key=lambda r: r["b"], reverse=True):   # <= days, then 24 / 60 / 60
             if acc + row["c"] >= need:
                 hit = row
                 break
