@@ -87,3 +87,11 @@ def test_no_rule_fires_at_bounds(spark):
                                "Oil_temperature double, DV_pressure double, anomaly_score double")
     assert M.label(df, 1.0).first().fault_hint == C.FAULT_OTHER
     assert R.sensor_breaches(df).first().asDict() == {f"breach_{c}": 0 for _, c, _, _ in C.FAULT_RULES}
+
+
+def test_sizing_rounds_to_core_waves():
+    from vigil.session import sizing
+    conf = sizing(100 * 2**40, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) % 8000 == 0
+    assert int(conf["spark.sql.shuffle.partitions"]) * 256 * 2**20 >= 100 * 2**40
+    assert sizing(10, 8)["spark.sql.shuffle.partitions"] == "8"

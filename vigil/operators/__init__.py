@@ -1,0 +1 @@
+"""DataFrame -> DataFrame operators: ordering and windows, model, reports, serving, output."""

@@ -1,0 +1 @@
+"""Jobs and the registered query catalog with its SQL oracles."""

@@ -35,6 +35,24 @@ def build_session(master: str | None = None, app: str = "vigil", shuffle_partiti
     return spark
 
 
+def sizing(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict:
+    """Session settings for a given input size: partitions that fit executor memory.
+
+    Shuffle partitions ~ input / 256 MB, rounded up to whole waves of the
+    cluster's cores; file splits and AQE's advisory size at the same 256 MB,
+    so scans, shuffles and the window blocks all see similar task sizes.
+    Example: 100 TB on 1000 executors x 8 cores -> 409,600 partitions.
+    """
+    waves = max(1, -(-input_bytes // (partition_bytes * total_cores)))
+    return {
+        "spark.sql.shuffle.partitions": str(waves * total_cores),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's shared ``spark.checkpoint.dir``; create a scratch one only when unset (local/tests)."""
     sc = spark.sparkContext

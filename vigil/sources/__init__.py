@@ -1,0 +1 @@
+"""Sources and sinks: fixture views, CSV ingest, JSON codec, validation, append sinks."""

@@ -1,0 +1 @@
+"""Structured Streaming jobs: landing, replay and micro-batch scoring."""
