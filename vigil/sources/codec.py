@@ -48,7 +48,13 @@ def producer_messages(text_rows: DataFrame, now: Column | None = None) -> DataFr
 
 
 def publish(df: DataFrame, options: dict, fmt: str = "kafka", limit: int | None = None) -> None:
-    """Write encoded rows to a topic (or any sink format); ``limit`` caps rows per run."""
+    """Write encoded rows to a topic (or any sink format); ``limit`` caps rows per run.
+
+    For Kafka every message waits for all in-sync replicas (``acks=all``)
+    unless the options say otherwise.
+    """
+    if fmt == "kafka":
+        options = {"kafka.acks": "all", **options}
     out = encode_json(df)
     if limit is not None:
         out = out.limit(limit)
