@@ -2,8 +2,10 @@
 
 All read the driver's tables through the fixture views. The prepared table
 (clean, indexed, featurized, split) is built once per session and table
-folder and shared; its row index is already cut from lineage by a reliable
-checkpoint. Doubles are rounded to 6 places so results compare across engines.
+folder, written as parquet under the shared checkpoint folder and shared by
+the queries. Sinks, streams and jobs are registered as round trips through
+scratch folders under the same shared folder. Doubles are rounded to 6 places
+so results compare across engines.
 """
 
 from __future__ import annotations
