@@ -112,7 +112,7 @@ def rolling_window(indexed: DataFrame, specs: list[tuple[str, Column]], precedin
     """
     if block < preceding + 1:
         raise ValueError("block must exceed the frame length")
-    blk = F.floor(F.col(IDX) / F.lit(block)).cast("long")
+    blk = F.expr(f"{IDX} div {int(block)}")
     halo = (F.col(IDX) % F.lit(block)) >= F.lit(block - preceding)
     spread = (indexed
               .withColumn("_home", blk)
