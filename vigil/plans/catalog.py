@@ -515,10 +515,12 @@ def q_replay_batch(spark, d):
 
 
 def q_stream_score(spark, d):
+    """The stream scorer over all messages in one micro-batch (equal to the batch computation); the
+    multi-batch tail path is compared with batch scoring in tests/test_stream.py."""
     lab, thr = fixed_scored(spark, d)
     src = _messages(spark, d, parts=4)
     preds = scratch_path(spark, "stream-predictions")
-    msgs = stream_source(spark, "text", {"maxFilesPerTrigger": "2"}, src)
+    msgs = stream_source(spark, "text", {"maxFilesPerTrigger": "1000"}, src)
     stream_score(msgs, scratch_path(spark, "history"), preds, scratch_path(spark, "ckpt"),
                  fixed_model().with_threshold(thr), RUN_ID).awaitTermination()
     return rounded(spark.read.parquet(preds).select("source_timestamp", "anomaly_score", "is_anomaly", "fault_hint",

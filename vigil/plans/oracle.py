@@ -350,6 +350,9 @@ def oracle_sql() -> dict[str, str]:
                             f"false as model_loaded_from_cache, 'demo' as data_split "
                             f"from labeled where data_split = 'demo'"),
         "stream_ingest": q(f"select ts, {sel(A + D, DOUBLES)} from sensor"),
+        "stream_score": q("select ts as source_timestamp, round(anomaly_score, 6) + 0e0 as anomaly_score, is_anomaly, "
+                          "fault_hint, cluster as cluster_id, round(rolling_mean_TP2, 6) + 0e0 as rolling_mean_TP2 "
+                          "from labeled"),
         "replay_batch": q(f"select ts, {sel(A + D, DOUBLES)} from sensor"),
         # 2.6
         "latest_n": q(f"select {sensor_sel} from sensor order by ts desc limit {C.RECENT_LIMIT}"),
