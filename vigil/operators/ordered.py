@@ -102,13 +102,20 @@ def choose_block(n: int, partitions: int) -> int:
 
 
 def rolling_window(indexed: DataFrame, specs: list[tuple[str, Column]], preceding: int = C.ROLLING_PRECEDING,
-                   block: int = 100_000) -> DataFrame:
+                   block: int = 100_000, partitions: int | None = None) -> DataFrame:
     """Evaluate ``rowsBetween(-preceding, 0)`` aggregates in global ``row_idx`` order.
 
     Each row goes to block ``row_idx div block``; rows in the last ``preceding``
     slots of a block are also copied to the next block. The window runs per
     block (hash exchange on the block id), and only each block's own rows are
     kept, so every row sees exactly the frame the global window would give it.
+
+    The exchange is an explicit ``repartitionByRange(partitions, _blk)``:
+    block ids are dense, so each task gets an equal run of whole blocks (hash
+    placement of a few blocks per task leaves stragglers), and AQE does not
+    merge the tasks by size, which would starve a window that is CPU-heavy per
+    byte. Range partitioning on the block id satisfies the window's
+    distribution, so no second exchange is planned.
     """
     if block < preceding + 1:
         raise ValueError("block must exceed the frame length")
@@ -117,6 +124,8 @@ def rolling_window(indexed: DataFrame, specs: list[tuple[str, Column]], precedin
     spread = (indexed
               .withColumn("_home", blk)
               .withColumn("_blk", F.explode(F.when(halo, F.array(blk, blk + 1)).otherwise(F.array(blk)))))
+    if partitions:
+        spread = spread.repartitionByRange(int(partitions), "_blk")
     w = Window.partitionBy("_blk").orderBy(IDX).rowsBetween(-preceding, 0)
     rolled = spread.select("*", *[agg.over(w).alias(name) for name, agg in specs])
     return rolled.filter(F.col("_blk") == F.col("_home")).drop("_blk", "_home")
@@ -134,7 +143,7 @@ def rolling_specs() -> list[tuple[str, Column]]:
 def engineer_features(indexed: Indexed, block: int | None = None) -> DataFrame:
     """3 derived columns, 4 rolling columns over 181 rows, then nulls/NaN to 0."""
     b = block or choose_block(indexed.n, indexed.partitions)
-    rolled = rolling_window(indexed.df, rolling_specs(), block=b)
+    rolled = rolling_window(indexed.df, rolling_specs(), block=b, partitions=indexed.partitions)
     return fill_zero(rolled.select("*", *X.derived_columns()))
 
 
