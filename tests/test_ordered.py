@@ -130,3 +130,27 @@ def test_broadcast_offsets_equal_literal_offsets(spark, monkeypatch):
     plan = idx.df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
     assert {r.event_id: r.row_idx for r in idx.df.select("event_id", "row_idx").collect()} == lit
+
+
+@pytest.mark.parametrize("block,parts", [(181, 1), (362, 3), (905, 7), (100_000, 2)])
+def test_linear_rolling_equals_frame_rolling(spark, block, parts):
+    clean = O.drop_incomplete(sensor_table(spark, SF_SMALL))
+    idx = O.row_index(clean, partitions=parts)
+    frame = {r.event_id: r for r in O.engineer_features(idx, block=max(block, 181)).collect()}
+    linear = O.engineer_features(idx, block=block, method="linear").collect()
+    assert len(linear) == len(frame)
+    for r in linear:
+        e = frame[r.event_id]
+        for c in C.ROLLING_COLS:
+            assert abs(r[c] - e[c]) <= 1e-9 * max(1.0, abs(e[c])), (c, r[c], e[c])
+
+
+def test_linear_rolling_constant_input_gives_zero_std(spark):
+    df = spark.range(0, 1000).selectExpr("id as event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) as ts",
+                                         "9.3e0 as TP2", "9.3e0 as TP3", "9e0 as H1", "1e0 as DV_pressure",
+                                         "9e0 as Reservoirs", "70e0 as Oil_temperature", "4.4e0 as Motor_current")
+    feat = O.engineer_features(O.row_index(df, partitions=3), block=362, method="linear")
+    rows = feat.collect()
+    assert len(rows) == 1000
+    assert max(max(r.rolling_std_TP2, r.rolling_std_motor) for r in rows) < 1e-12
+    assert {round(r.rolling_mean_TP2, 9) for r in rows} == {9.3}

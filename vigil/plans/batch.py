@@ -39,7 +39,7 @@ class BatchResult:
 
 def run_batch(spark: SparkSession, sensors: DataFrame, paths: C.Paths, run_id: str | None = None,
               processed_at: Column | None = None, max_rows: int | None = None, partitions: int | None = None,
-              retrain: bool = False, score_split: str = "demo") -> BatchResult:
+              retrain: bool = False, score_split: str = "demo", rolling_method: str = "frame") -> BatchResult:
     run_id = run_id or str(uuid.uuid4())
     processed_at = processed_at if processed_at is not None else F.current_timestamp()
 
@@ -49,7 +49,8 @@ def run_batch(spark: SparkSession, sensors: DataFrame, paths: C.Paths, run_id: s
         indexed = O.cap_rows(indexed, max_rows)
     featured_path = table_path(spark, "featured")
     try:
-        labeled = write_table(O.temporal_split(O.engineer_features(indexed), indexed.n), "featured",
+        featured = O.engineer_features(indexed, method=rolling_method)
+        labeled = write_table(O.temporal_split(featured, indexed.n), "featured",
                               ("data_split",), featured_path)
         indexed.release()                                # everything below reads the written table
         return _train_evaluate_score(spark, labeled, indexed.n, paths, run_id, processed_at, retrain, score_split)
