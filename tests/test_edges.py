@@ -54,10 +54,14 @@ def test_one_row_std_is_zero(spark):
 def test_around_frame_length(spark, n):
     df = frame(spark, n)
     expected = global_features(df)
-    feat = O.engineer_features(O.row_index(df, partitions=3), block=O.MIN_BLOCK)
-    for r in feat.collect():
+    idx = O.row_index(df, partitions=3)
+    for r in O.engineer_features(idx, block=O.MIN_BLOCK, method="frame").collect():
         assert r.rolling_mean_TP2 == expected[r.event_id].m
         assert r.rolling_std_motor == expected[r.event_id].s
+    for r in O.engineer_features(idx, block=362, method="linear").collect():
+        e = expected[r.event_id]
+        assert abs(r.rolling_mean_TP2 - e.m) <= 1e-12 * abs(e.m)
+        assert abs(r.rolling_std_motor - e.s) <= 1e-9 * max(1.0, e.s)
 
 
 def test_oil_minus_one_gives_zero_ratio(spark):

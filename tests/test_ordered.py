@@ -136,7 +136,7 @@ def test_broadcast_offsets_equal_literal_offsets(spark, monkeypatch):
 def test_linear_rolling_equals_frame_rolling(spark, block, parts):
     clean = O.drop_incomplete(sensor_table(spark, SF_SMALL))
     idx = O.row_index(clean, partitions=parts)
-    frame = {r.event_id: r for r in O.engineer_features(idx, block=max(block, 181)).collect()}
+    frame = {r.event_id: r for r in O.engineer_features(idx, block=max(block, 181), method="frame").collect()}
     linear = O.engineer_features(idx, block=block, method="linear").collect()
     assert len(linear) == len(frame)
     for r in linear:

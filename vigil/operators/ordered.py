@@ -207,12 +207,14 @@ def rolling_specs() -> list[tuple[str, Column]]:
     ]
 
 
-def engineer_features(indexed: Indexed, block: int | None = None, method: str = "frame") -> DataFrame:
+def engineer_features(indexed: Indexed, block: int | None = None, method: str = "linear") -> DataFrame:
     """3 derived columns, 4 rolling columns over 181 rows, then nulls/NaN to 0.
 
-    ``method="frame"`` (default) evaluates Spark's sliding row frame: bit-identical
-    to the original's global window, O(181) work per row. ``method="linear"``
-    uses running windows (O(1) per row) and equals it up to last-bit rounding.
+    ``method="linear"`` (default) uses chunked running windows, O(1) window
+    work per row; its results do not depend on blocks or partitions and equal
+    the sliding frame to 1e-9 relative (identical at 6 decimals on every test
+    table). ``method="frame"`` evaluates Spark's sliding row frame, O(181) per
+    row, bit-identical to the original's global window.
     """
     b = block or choose_block(indexed.n, indexed.partitions)
     if method == "linear":
@@ -250,7 +252,7 @@ def split_parts(labeled: DataFrame) -> dict[str, DataFrame]:
 
 
 def prepare(df: DataFrame, partitions: int | None = None, block: int | None = None,
-            max_rows: int | None = None, method: str = "frame") -> tuple[DataFrame, int]:
+            max_rows: int | None = None, method: str = "linear") -> tuple[DataFrame, int]:
     """Clean, index, featurize and split a sensor DataFrame. Returns (labeled, n)."""
     clean = drop_incomplete(df)
     indexed = row_index(clean, partitions=partitions)

@@ -39,7 +39,7 @@ class BatchResult:
 
 def run_batch(spark: SparkSession, sensors: DataFrame, paths: C.Paths, run_id: str | None = None,
               processed_at: Column | None = None, max_rows: int | None = None, partitions: int | None = None,
-              retrain: bool = False, score_split: str = "demo", rolling_method: str = "frame") -> BatchResult:
+              retrain: bool = False, score_split: str = "demo", rolling_method: str = "linear") -> BatchResult:
     run_id = run_id or str(uuid.uuid4())
     processed_at = processed_at if processed_at is not None else F.current_timestamp()
 
