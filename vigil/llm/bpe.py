@@ -20,12 +20,11 @@ from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm.common import small_slices, table, text_bytes
+from vigil.llm.common import ship, small_slices, table, text_bytes
 
 BLOCK_BYTES = 8 << 20           # text whose new pieces share one pair index
 KEPT_WORDS = 600_000            # words kept per worker before the table starts anew
@@ -205,6 +204,8 @@ def codec(path: str) -> PairIndexCodec:
 
 def bpe_encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Columns ``id_col``, ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit integers) of every row."""
+    ship(df.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
         for batch in small_slices(batches, "text", BLOCK_BYTES):
@@ -220,6 +221,7 @@ def bpe_encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 
 def bpe_decode(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """All columns of ``df`` but ``ids_col``, which gives way to the decoded text; null ids give an empty text."""
+    ship(df.sparkSession)
     rest = [c for c in df.columns if c != ids_col]
     kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in rest)
 

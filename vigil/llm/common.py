@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +20,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the package to the Python workers (once a session), as ``--py-files`` would: Spark's file server sends it
+    to executors that have no copy of this repository."""
+    sc = spark.sparkContext
+    if getattr(sc, "_vigil_shipped", False):
+        return
+    import vigil
+
+    top = os.path.dirname(os.path.abspath(vigil.__file__))
+    if os.path.isdir(top):
+        path = os.path.join(tempfile.mkdtemp(prefix="vigil-py-"), "vigil_package.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for folder, _, names in os.walk(top):
+                for name in sorted(n for n in names if n.endswith(".py")):
+                    z.write(full := os.path.join(folder, name), os.path.relpath(full, os.path.dirname(top)))
+        sc.addPyFile(path)
+    sc._vigil_shipped = True
+
+
 def words(text: Column) -> Column:
     """The words of a text, in order; null and blank texts have none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_GAP), lambda w: w != "")
