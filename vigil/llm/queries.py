@@ -1,7 +1,8 @@
 """The queries of the training-data operators and their DuckDB SQL."""
 
 from vigil.llm.bpe import op1_bpe
+from vigil.llm.chat import op2_chat
 from vigil.llm.simhash import op5_simhash
 
-QUERIES = {"op1_bpe": op1_bpe, "op5_simhash": op5_simhash}
+QUERIES = {"op1_bpe": op1_bpe, "op2_chat": op2_chat, "op5_simhash": op5_simhash}
 ORACLES: dict[str, str] = {}
