@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 
 from vigil.llm.common import ship, small_slices, table, text_bytes
 
-BLOCK_BYTES = 8 << 20           # text whose new pieces share one pair index
-KEPT_WORDS = 600_000            # words kept per worker before the table starts anew
+BLOCK_BYTES = 4 << 20           # text that is split and looked up at once
+INDEX_WORDS = 40_000            # new words that share one pair index
+KEPT_WORDS = 300_000            # words kept per worker before the table starts anew
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -92,21 +93,19 @@ class PairIndexCodec:
 
     def merge(self, pieces: list[str]) -> list[list[int]]:
         """Token ids of each piece (characters of the byte alphabet)."""
-        sym: list[int] = []
+        sym, after, before = array("i"), array("i"), array("i")
         starts: list[int] = []
         ranks, merges = self.ranks, self.merges
         inner, last = self.inner, self.last
-        after: list[int] = []
-        before: list[int] = []
         for piece in pieces:
             begin = len(sym)
             starts.append(begin)
-            sym += [inner[c] for c in piece[:-1] if c in inner]
+            sym.extend([inner[c] for c in piece[:-1] if c in inner])
             if piece and piece[-1] in last:
                 sym.append(last[piece[-1]])
             n = len(sym)
-            after += range(begin + 1, n + 1)
-            before += range(begin - 1, n - 1)
+            after.extend(range(begin + 1, n + 1))
+            before.extend(range(begin - 1, n - 1))
             if n > begin:
                 after[-1] = before[begin] = -1
         starts.append(len(sym))
@@ -183,8 +182,8 @@ class PairIndexCodec:
         if len(self.known) + len(new) > KEPT_WORDS:
             self.known = {}
             new = sorted(seen)
-        if new:
-            self.learn(new)
+        for start in range(0, len(new), INDEX_WORDS):
+            self.learn(new[start:start + INDEX_WORDS])
         get = self.known.__getitem__
         return [b"".join(map(get, w)) for w in split]
 
