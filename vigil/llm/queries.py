@@ -2,7 +2,9 @@
 
 from vigil.llm.bpe import op1_bpe
 from vigil.llm.chat import op2_chat
+from vigil.llm.mixing import op10_mixing
 from vigil.llm.simhash import op5_simhash
+from vigil.llm.substring import op7_substring
 
-QUERIES = {"op1_bpe": op1_bpe, "op2_chat": op2_chat, "op5_simhash": op5_simhash}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_chat, op5_simhash, op7_substring, op10_mixing)}
 ORACLES: dict[str, str] = {}
