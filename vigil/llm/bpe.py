@@ -28,7 +28,7 @@ from vigil.llm.common import ship, small_slices, table, text_bytes
 
 BLOCK_BYTES = 4 << 20           # text that is split and looked up at once
 INDEX_WORDS = 40_000            # new words that share one pair index
-KEPT_WORDS = 300_000            # words kept per worker before the table starts anew
+KEPT_WORDS = 450_000            # words kept per worker; beyond, those that the last block didn't use go
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -178,10 +178,9 @@ class PairIndexCodec:
         seen: set[bytes] = set()
         for w in split:
             seen.update(w)
-        new = sorted(seen.difference(self.known))
+        new = sorted(seen.difference(self.known), key=bytes.lower)      # spellings of a word side by side share its piece
         if len(self.known) + len(new) > KEPT_WORDS:
-            self.known = {}
-            new = sorted(seen)
+            self.known = {w: self.known[w] for w in seen.intersection(self.known)}
         for start in range(0, len(new), INDEX_WORDS):
             self.learn(new[start:start + INDEX_WORDS])
         get = self.known.__getitem__
