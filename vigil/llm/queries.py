@@ -5,6 +5,7 @@ from vigil.llm.chat import op2_chat
 from vigil.llm.mixing import op10_mixing
 from vigil.llm.simhash import op5_simhash
 from vigil.llm.substring import op7_substring
+from vigil.llm.toxicity import op3_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_chat, op5_simhash, op7_substring, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_chat, op3_toxicity, op5_simhash, op7_substring, op10_mixing)}
 ORACLES: dict[str, str] = {}
