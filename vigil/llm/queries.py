@@ -4,9 +4,10 @@ from vigil.llm.bpe import op1_bpe
 from vigil.llm.chat import op2_chat
 from vigil.llm.mixing import op10_mixing
 from vigil.llm.mtree import TOP_K_SQL, op4_top_k
+from vigil.llm.quality import op8_quality
 from vigil.llm.simhash import op5_simhash
 from vigil.llm.substring import op7_substring
 from vigil.llm.toxicity import op3_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_chat, op3_toxicity, op4_top_k, op5_simhash, op7_substring, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_chat, op3_toxicity, op4_top_k, op5_simhash, op7_substring, op8_quality, op10_mixing)}
 ORACLES: dict[str, str] = {"op4_top_k": TOP_K_SQL}
