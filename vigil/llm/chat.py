@@ -202,8 +202,8 @@ with t as (
   union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
 e as (
   select *, length(regexp_replace(replace(text, '\', '\\'), '([<\[])(s>|/s>|SYS\]|/SYS\]|INST\]|/INST\]|ROLE\]|AS\]|/ROLE\])', '\1\\\2', 'g'))
-    + case role when 'system' then 15 when 'user' then 17 when 'assistant' then 6
-      else 23 + length(regexp_replace(replace(role, '\', '\\'), '([<\[])(s>|/s>|SYS\]|/SYS\]|INST\]|/INST\]|ROLE\]|AS\]|/ROLE\])', '\1\\\2', 'g')) end as shown
+    + case role when 'system' then 16 when 'user' then 18 when 'assistant' then 6
+      else 24 + length(regexp_replace(replace(role, '\', '\\'), '([<\[])(s>|/s>|SYS\]|/SYS\]|INST\]|/INST\]|ROLE\]|AS\]|/ROLE\])', '\1\\\2', 'g')) end as shown
   from t)
 select conv_id, count(*) as n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,

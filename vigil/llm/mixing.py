@@ -20,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vigil.llm.common import ship, table, word_count
@@ -153,6 +153,16 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     return mix(sized, source_targets(sized))
 
 
+def take(docs: DataFrame, mixed: DataFrame) -> DataFrame:
+    """``docs`` with every row as often as ``mixed`` takes it. Rows that share an id get the copies of that id in turn,
+    the highest first."""
+    wanted = mixed.groupBy(F.col("doc_id").alias("_id")).agg(*(F.count_if(F.col("copies") >= k).alias(f"_at_least_{k}") for k in range(1, MOST + 1)))
+    order = Window.partitionBy("doc_id").orderBy("doc_id")
+    numbered = docs.withColumn("_nth", F.row_number().over(order)).join(wanted, docs["doc_id"].eqNullSafe(wanted["_id"]))
+    copies = sum(((F.col("_nth") <= F.col(f"_at_least_{k}")).cast("int") for k in range(1, MOST + 1)), start=F.lit(0))
+    return numbered.withColumn("_copy", F.explode(F.sequence(F.lit(0), copies))).where("_copy > 0").select(*docs.columns)
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))

@@ -134,6 +134,14 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return fps.join(component, "fp").select(id_col, "fp", "component_id")
 
 
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """One row of each component: the document whose id names it. Documents without an id all stay."""
+    named = docs.where("doc_id is not null")
+    found = simhash_components(named, shingle=shingle, radius=radius)
+    kept = found.where("doc_id = component_id").select("doc_id").distinct()
+    return named.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns).union(docs.where("doc_id is null"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
