@@ -14,7 +14,7 @@ from vigil.llm.bpe import round_trip, tokenizer_path
 from vigil.llm.common import table
 from vigil.llm.linededup import line_dedup
 from vigil.llm.mixing import mix_documents, take
-from vigil.llm.quality import gram_weights, quality, trusted_ids
+from vigil.llm.quality import gram_weights, keep_good, trusted_ids
 from vigil.llm.simhash import keep_one
 from vigil.session import write_table
 
@@ -22,7 +22,7 @@ from vigil.session import write_table
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents that fail a base rule or whose n-grams are far from the trusted ones (operator 8)."""
     weights = gram_weights(docs.select("doc_id", "text"), trusted_ids(table(spark, sf_dir, "labels")))
-    return quality(docs, weights).where("quality.kept").select(*docs.columns)
+    return keep_good(docs, weights)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

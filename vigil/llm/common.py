@@ -55,6 +55,16 @@ def text_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 
 
+def packed(df: DataFrame, name: str = "row") -> DataFrame:
+    """All columns in one struct, so that no name of theirs can clash with a column that an operator adds."""
+    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias(name))
+
+
+def unpacked(df: DataFrame, columns: list[str], name: str = "row", **changed: Column) -> DataFrame:
+    """The columns of the struct again, those of ``changed`` with a new value."""
+    return df.select(*(changed.get(c, F.col(f"{name}.`{c}`")).alias(c) for c in columns))
+
+
 def small_slices(batches: Iterator[pa.RecordBatch], weigh: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that column ``weigh`` holds about ``limit`` bytes in each slice (one row at least)."""
     for batch in batches:

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vigil.llm.common import table, words
+from vigil.llm.common import packed, table, unpacked, words
 from vigil.llm.quality import let
 from vigil.session import write_table
 
@@ -159,16 +159,22 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return copies.union(found.select("x.d", "x.line", F.lit(False)))
 
 
+def _flags(gone: Column) -> Column:
+    """For the sorted numbers 2, 5: false, false, true, false, false, true."""
+    steps = F.transform(gone, lambda x, i: F.concat(
+        F.array_repeat(F.lit(False), x - F.coalesce(F.get(gone, i - 1), F.lit(-1)) - 1), F.array(F.lit(True))))
+    return F.flatten(steps)
+
+
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without their removed lines; all columns stay, texts of other documents are untouched."""
     gone = removed_lines(docs, id_col, text_col).groupBy("d").agg(F.collect_set("line").alias("_gone"))    # at most a document's lines
-    joined = docs.join(gone, docs[id_col] == gone["d"], "left")
+    joined = packed(docs).join(gone, F.col(f"row.`{id_col}`") == F.col("d"), "left")
+    before = F.col(f"row.`{text_col}`")
     # one flag for each line up to the last removed one, so that a line is looked up by its number
-    flags = F.aggregate(F.sort_array("_gone"), F.array().cast("array<boolean>"), lambda acc, i: F.concat(
-        acc, F.array_repeat(F.lit(False), i - F.size(acc)), F.array(F.lit(True))))
-    kept = let(flags, lambda f: F.array_join(F.filter(F.split(F.col(text_col), "\n"), lambda _, i: ~F.coalesce(F.get(f, i), F.lit(False))), "\n"))
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(kept)
-    return joined.select(*(text.alias(c) if c == text_col else docs[c] for c in docs.columns))
+    flags = let(F.sort_array("_gone"), _flags)
+    kept = let(flags, lambda f: F.array_join(F.filter(F.split(before, "\n"), lambda _, i: ~F.coalesce(F.get(f, i), F.lit(False))), "\n"))
+    return unpacked(joined, docs.columns, **{text_col: F.when(F.col("_gone").isNull(), before).otherwise(kept)})
 
 
 def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

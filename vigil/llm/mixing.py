@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vigil.llm.common import ship, table, word_count
+from vigil.llm.common import packed, ship, table, unpacked, word_count
 from vigil.operators.ordered import row_index
 from vigil.session import write_table
 
@@ -157,10 +157,11 @@ def take(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """``docs`` with every row as often as ``mixed`` takes it. Rows that share an id get the copies of that id in turn,
     the highest first."""
     wanted = mixed.groupBy(F.col("doc_id").alias("_id")).agg(*(F.count_if(F.col("copies") >= k).alias(f"_at_least_{k}") for k in range(1, MOST + 1)))
-    order = Window.partitionBy("doc_id").orderBy("doc_id")
-    numbered = docs.withColumn("_nth", F.row_number().over(order)).join(wanted, docs["doc_id"].eqNullSafe(wanted["_id"]))
-    copies = sum(((F.col("_nth") <= F.col(f"_at_least_{k}")).cast("int") for k in range(1, MOST + 1)), start=F.lit(0))
-    return numbered.withColumn("_copy", F.explode(F.sequence(F.lit(0), copies))).where("_copy > 0").select(*docs.columns)
+    named = packed(docs).withColumn("key", F.col("row.doc_id"))
+    numbered = named.withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("key")))
+    met = numbered.join(wanted, F.col("key").eqNullSafe(F.col("_id")))
+    copies = sum(((F.col("nth") <= F.col(f"_at_least_{k}")).cast("int") for k in range(1, MOST + 1)), start=F.lit(0))
+    return unpacked(met.withColumn("copy", F.explode(F.sequence(F.lit(0), copies))).where("copy > 0"), docs.columns)
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm.common import WORD_GAP, table, words
+from vigil.llm.common import WORD_GAP, packed, table, unpacked, words
 
 BUCKETS = 1 << 16
 LOWEST = -0.2               # mean log ratio of a document that is kept, at least
@@ -75,8 +75,8 @@ def gram_weights(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) ->
 
 
 def quality(docs: DataFrame, weights: list[float], lowest: float = LOWEST) -> DataFrame:
-    """``docs`` with one struct column ``quality``: the base figures, ``score``, ``base_failed`` and ``kept``."""
-    text = F.coalesce(F.col("text"), F.lit(""))
+    """``(row, quality)``: the document's columns as a struct, and the base figures, ``score``, ``base_failed`` and ``kept``."""
+    text = F.coalesce(F.col("row.text"), F.lit(""))
     known = F.split(F.lit(",".join(f"{x:.6f}" for x in weights)), ",").cast("array<double>")     # folded into one literal
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
 
@@ -84,18 +84,23 @@ def quality(docs: DataFrame, weights: list[float], lowest: float = LOWEST) -> Da
         return F.when(F.size(g) == 0, F.lit(0.0)).otherwise(
             F.aggregate(g, F.lit(0.0), lambda a, b: a + F.get(known, b)) / F.size(g))
 
-    figures = let(words(F.col("text")), lambda w: F.struct(
+    figures = let(words(F.col("row.text")), lambda w: F.struct(
         F.size(w).cast("long").alias("n_words"),
         repeated_words(w).cast("long").alias("n_repeat_words"),
         let(grams(w, len(weights)), score).alias("score")))
-    n, again = F.col("_q.n_words"), F.col("_q.n_repeat_words")
+    n, again, score_ = (F.col(f"figures.{c}") for c in ("n_words", "n_repeat_words", "score"))
     failed = (n < FEWEST_WORDS) | (100 * again > 50 * n)
-    return docs.withColumn("_q", figures).withColumn("quality", F.struct(
+    return packed(docs).withColumn("figures", figures).select("row", F.struct(
         n.alias("n_words"), F.length(F.regexp_replace(text, WORD_GAP, "")).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
         again.alias("n_repeat_words"), failed.alias("base_failed"),
-        (~failed & (F.col("_q.score") >= lowest)).alias("kept"), F.col("_q.score").alias("score"))).drop("_q")
+        (~failed & (score_ >= lowest)).alias("kept"), score_.alias("score")).alias("quality"))
+
+
+def keep_good(docs: DataFrame, weights: list[float], lowest: float = LOWEST) -> DataFrame:
+    """The documents that are kept."""
+    return unpacked(quality(docs, weights, lowest).where("quality.kept"), docs.columns)
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -105,4 +110,4 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     weights = gram_weights(docs, trusted_ids(table(spark, sf_dir, "labels")))
-    return quality(docs, weights).select("doc_id", "quality.*").drop("score")
+    return quality(docs, weights).select("row.doc_id", "quality.*").drop("score")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vigil.llm.common import ship, small_slices, table
+from vigil.llm.common import packed, ship, small_slices, table, unpacked
 from vigil.session import write_table
 
 MIN_WORDS = 40              # words of the shortest span that is removed
@@ -93,9 +93,9 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The documents with repeated passages cut out of ``text_col``; other columns stay as they are."""
     spans = repeated_spans(docs, id_col, text_col, min_words).groupBy(F.col(id_col).alias("_span_id")).agg(
         F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_spans"))
-    joined = docs.join(spans, docs[id_col].eqNullSafe(spans["_span_id"]), "left")
-    cut = F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(without(F.col(text_col), F.col("_spans")))
-    return joined.select(*(cut.alias(c) if c == text_col else docs[c] for c in docs.columns))
+    joined = packed(docs).join(spans, F.col(f"row.`{id_col}`").eqNullSafe(F.col("_span_id")), "left")
+    text = F.col(f"row.`{text_col}`")
+    return unpacked(joined, docs.columns, **{text_col: F.when(F.col("_spans").isNull(), text).otherwise(without(text, F.col("_spans")))})
 
 
 def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
