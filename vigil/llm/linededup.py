@@ -13,8 +13,8 @@ the threshold. The rest is verified.
 
 Many variants of one line would give a pair for each two of them. A line is therefore compared with
 the first line of its token group, and with the others only where that first one is ruled out by the
-filters; a line whose first comparisons passed the filters but failed verification is then compared
-with all. So every line finds an earlier partner if there is one, and a hot group stays linear.
+filters; a line whose candidates all fail verification is then compared with all. Of a line's
+candidates the earliest is verified first, the others only if it fails. So every line finds an earlier partner if there is one, and a hot group stays linear.
 
 Only DataFrame functions run on the main path. Lines without a word stay. Documents without an id
 stay as they are and take no part; rows that share an id count as one document. Null texts stay null.
@@ -25,10 +25,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vigil.llm.common import packed, table, unpacked, words
+from vigil.llm.common import WORD_GAP, packed, table, unpacked
 from vigil.llm.quality import let
 from vigil.session import write_table
 
+A_WORD = r"[^\x20\x09-\x0D]"
+BLANKS = " \t\n\x0b\x0c\r"
 NUM, DEN = 4, 5             # similarity of at least NUM / DEN
 RARITY = 1 << 16            # places of the rarity table
 FILTER_WORDS = 1 << 15      # 64-bit words of the bitmap that thins the lines before verification
@@ -46,8 +48,10 @@ def _line_key() -> list[Column]:
 
 def line_classes(lines: DataFrame) -> DataFrame:
     """One row for each different line with a word: ``(d, line)`` of its first occurrence, its tokens and how often it occurs."""
-    found = lines.select("d", "line", *_line_key(), F.array_distinct(F.transform(words(F.col("text")), lambda w: F.hash(w))).alias("tokens"))
-    first = found.where(F.size("tokens") > 0).groupBy("h", "g").agg(F.min(F.struct("d", "line")).alias("first"), F.first("tokens").alias("tokens"))
+    cut = F.split(F.btrim("text", F.lit(BLANKS)), WORD_GAP)
+    found = lines.where(F.col("text").rlike(A_WORD)).select(
+        "d", "line", *_line_key(), F.array_distinct(F.transform(cut, lambda w: F.hash(w))).alias("tokens"))
+    first = found.groupBy("h", "g").agg(F.min(F.struct("d", "line")).alias("first"), F.first("tokens").alias("tokens"))
     return first.select("first.d", "first.line", "h", "g", "tokens")
 
 
@@ -74,25 +78,27 @@ def _literal(numbers: list[int], kind: str) -> Column:
 
 
 def prefix_index(classes: DataFrame, rarity: list[int]) -> DataFrame:
-    """``(token, d, line, n, pos, sketch)`` for the tokens of every line's prefix. pos counts from 0."""
+    """``(token, d, line, n, pos, sketch)`` for the tokens of every line's prefix; pos counts from 0."""
     known = _literal(rarity, "long")
     ordered = F.sort_array(F.transform("tokens", lambda t: F.shiftleft(F.get(known, _place(t)), 32).bitwiseOR(
         t.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))))
-    n = F.size("tokens")
-    prefix = n - F.expr(f"({NUM} * size(tokens) + {DEN - 1}) div {DEN}").cast("int") + 1
+    prefix = F.expr(f"size(tokens) - ({NUM} * size(tokens) + {DEN - 1}) div {DEN} + 1").cast("int")
     sketch = F.aggregate("tokens", F.lit(0).cast("long"), lambda a, t: a.bitwiseOR(_shift(t.bitwiseAND(F.lit(63)))))
-    return classes.select("d", "line", n.alias("n"), sketch.alias("sketch"), F.posexplode(F.slice(ordered, 1, prefix)).alias("pos", "key")).select(
-        F.col("key").bitwiseAND(F.lit(0xFFFFFFFF)).alias("token"), "d", "line", "n", "pos", "sketch")
+    entries = classes.select("d", "line", F.size("tokens").alias("n"), sketch.alias("sketch"),
+                             F.posexplode(F.slice(ordered, 1, prefix)).alias("pos", "key"))
+    # nothing is null here; saying so keeps the optimizer from putting different filters before the one exchange
+    return entries.select(F.coalesce(F.col("key").bitwiseAND(F.lit(0xFFFFFFFF)), F.lit(0)).alias("token"),
+                          *(F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("d", "line", "n", "pos", "sketch")))
 
 
 def may_match(a: str, b: str) -> Column:
     """Length, positional and sketch filter between the index entries ``a`` and ``b`` (column prefixes)."""
-    c = {f"{k}{s}": F.col(f"{x}{k}") for s, x in ((1, a), (2, b)) for k in ("n", "pos", "sketch")}
-    both = c["n1"] + c["n2"]
-    reach = F.least(c["pos1"], c["pos2"]) + F.least(c["n1"] - c["pos1"], c["n2"] - c["pos2"])
-    apart = F.bit_count(c["sketch1"].bitwiseXOR(c["sketch2"]))
+    c = {f"{k}_{s}": F.col(f"{x}{k}") for s, x in (("a", a), ("b", b)) for k in ("n", "pos", "sketch")}
+    both = c["n_a"] + c["n_b"]
+    reach = F.least(c["pos_a"], c["pos_b"]) + F.least(c["n_a"] - c["pos_a"], c["n_b"] - c["pos_b"])
+    apart = F.bit_count(c["sketch_a"].bitwiseXOR(c["sketch_b"]))       # a bit of one sketch only: a token of one line only
     # overlap >= NUM / (NUM + DEN) * both is what the threshold asks for
-    return ((DEN * F.least(c["n1"], c["n2"]) >= NUM * F.greatest(c["n1"], c["n2"])) & ((NUM + DEN) * reach >= NUM * both)
+    return ((DEN * F.least(c["n_a"], c["n_b"]) >= NUM * F.greatest(c["n_a"], c["n_b"])) & ((NUM + DEN) * reach >= NUM * both)
             & ((NUM + DEN) * (both - apart) >= 2 * NUM * both))
 
 
@@ -111,6 +117,7 @@ def _pairs(index: DataFrame, left: DataFrame) -> DataFrame:
 def first_candidates(index: DataFrame) -> DataFrame:
     """``(x, y, by_first)``: candidates with the first line of each token group, or, where the filters rule that one out,
     with every earlier line of the group."""
+    index = index.repartition("token")          # the window and the join share this exchange
     group = Window.partitionBy("token").orderBy("d", "line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     seen = index.withColumn("first", F.first(F.struct("d", "line", "n", "pos", "sketch")).over(group)).where(_before("first.", ""))
     likely = may_match("", "first.")
@@ -147,14 +154,17 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     classes = write_table(line_classes(lines), "lines")
     index = prefix_index(classes, rarity_table(classes))
     pairs = write_table(first_candidates(index), "line-pairs")
-    found = write_table(verified(pairs, classes).select("x").distinct(), "line-matches")
+    earliest = write_table(pairs.groupBy("x").agg(F.min("y").alias("y")), "line-pairs")
+    found = write_table(verified(earliest, classes).select("x"), "line-matches")
+    rest = write_table(pairs.join(found, "x", "left_anti").join(earliest, ["x", "y"], "left_anti"), "line-pairs")
+    found = write_table(found.union(verified(rest, classes).select("x").distinct()), "line-matches")
     open_ = write_table(pairs.where("by_first").select("x").distinct().join(found, "x", "left_anti"), "line-open")
     if open_.limit(1).count():
         left = index.join(open_.select("x.d", "x.line"), ["d", "line"], "left_semi").select(*index.columns)
         again = write_table(_pairs(index, left).distinct().join(pairs.select("x", "y"), ["x", "y"], "left_anti"), "line-pairs")
-        found = found.union(verified(again, classes).select("x")).distinct()
+        found = found.union(verified(again, classes).select("x").distinct())
     firsts = classes.select("h", "g", F.col("d").alias("first_d"), F.col("line").alias("first_line"))
-    copies = lines.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).select("d", "line", *_line_key()).join(firsts, ["h", "g"]).where(
+    copies = lines.where(F.col("text").rlike(A_WORD)).select("d", "line", *_line_key()).join(firsts, ["h", "g"]).where(
         "d <> first_d or line <> first_line").select("d", "line", F.lit(True).alias("exact"))
     return copies.union(found.select("x.d", "x.line", F.lit(False)))
 
