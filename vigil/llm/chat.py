@@ -103,7 +103,7 @@ def locate(turns: list[Turn], template: Template) -> tuple[str, list[tuple[int,
             zero, one = (template([*turns[:k], (role, probe)]) for probe in "01")
             head = _common_prefix(zero, one)
             tail = len(zero) - head - 1
-            if len(zero) == len(one) and zero[head + 1:] == one[head + 1:] and head >= len(before) and head + tail <= len(done):
+            if zero[head:head + 1] == "0" and one[head:] == "1" + zero[head + 1:] and head >= len(before) and head + tail <= len(done):
                 spans.append((len(before), len(done), head, len(done) - tail))
             else:
                 spans = None                        # the text isn't shown once as it is

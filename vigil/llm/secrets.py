@@ -14,6 +14,7 @@ means more texts to verify, and are scanned each on its own. Null and empty text
 
 from __future__ import annotations
 
+import re
 import re._parser as sre
 from dataclasses import dataclass
 from functools import reduce
@@ -201,7 +202,8 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _kind_sql(place: int, rule: Rule) -> str:
     """Spans of one rule, by the pieces between its matches as well."""
-    pattern = rule.pattern.replace("'", "''")
+    spelled = re.sub(r"\(\?i:(\(.*?\))\)", lambda m: re.sub("[a-z]", lambda c: f"[{c[0]}{c[0].upper()}]", m[1]), rule.pattern)
+    pattern = spelled.replace("'", "''")          # DuckDB's (?i) would take more than the two cases of ASCII
     return f"""select d.row, {place} as place, '{rule.kind}' as kind,
       cast(list_sum(list_transform(pieces[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) as bigint) as start_,
       length(m[i]) as n
