@@ -26,7 +26,6 @@ TEST_RATIO = 0.20
 KMEANS_K = 8
 KMEANS_SEED = 42
 THRESHOLD_SIGMAS = 3.0             # threshold = mean + 3 * sample stddev of train scores
-ROW_CAP = 200_000                  # optional input cap (off by default, see README)
 
 # Fault rules, first match wins; applied to anomalous rows only.
 FAULT_RULES = [
@@ -53,7 +52,12 @@ RECENT_LIMIT = 5000
 LAST_ALERTS = 10
 ALERT_WINDOW_MINUTES = 15
 ALERTS_SHOWN = 5
-STREAM_BATCH_ROWS = 500
+
+PREDICTION_COLS = [
+    "source_timestamp", "anomaly_score", "is_anomaly", "fault_hint", "cluster_id", "threshold_used",
+    "TP2", "Motor_current", "Oil_temperature", "DV_pressure", "pressure_diff_TP2_TP3", "motor_oil_ratio",
+    "rolling_mean_TP2", "rolling_mean_motor", "processed_at", "spark_run_id", "data_split",
+]
 
 # Table names (one configuration for all readers and writers).
 RAW_TABLE = "raw_readings"
@@ -65,20 +69,11 @@ RUN_LOG_TABLE = "run_log"
 # ---------------------------------------------------------------------------
 # Schemas
 # ---------------------------------------------------------------------------
-# Stream message: digital fields are decoded as DOUBLE and cast afterwards, so
-# a "1.0" in a digital field survives decoding.
+# Stream message: every field is read as text and coerced like a CSV field, so one bad field costs that field only.
 MESSAGE_SCHEMA = T.StructType(
-    [T.StructField("timestamp", T.StringType(), True)]
-    + [T.StructField(c, T.DoubleType(), True) for c in ANALOGUE_COLS]
-    + [T.StructField(c, T.DoubleType(), True) for c in DIGITAL_COLS]
+    [T.StructField(c, T.StringType(), True) for c in ["timestamp", *ANALOGUE_COLS, *DIGITAL_COLS]]
 )
 
-PREDICTION_COLS = [
-    "source_timestamp", "anomaly_score", "is_anomaly", "fault_hint", "cluster_id", "threshold_used",
-    "TP2", "Motor_current", "Oil_temperature", "DV_pressure", "pressure_diff_TP2_TP3", "motor_oil_ratio",
-    "rolling_mean_TP2", "rolling_mean_motor", "processed_at", "spark_run_id", "data_split",
-]
-
 RUN_LOG_SCHEMA = T.StructType([
     T.StructField("spark_run_id", T.StringType(), False),
     T.StructField("processed_at", T.TimestampType(), False),
@@ -105,6 +100,10 @@ class Paths:
     def stream(self) -> str:
         return f"{self.root}/{STREAM_TABLE}"
 
+    @property
+    def rejects(self) -> str:
+        return f"{self.root}/rejected_messages"
+
     @property
     def predictions(self) -> str:
         return f"{self.root}/{PREDICTIONS_TABLE}"

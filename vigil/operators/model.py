@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from vigil import config as C
 from vigil.functions import columns as X
 
-MODEL_VERSION = 1
+MODEL_VERSION = 2
 SCALED_PREFIX = "_z_"
 DIST_PREFIX = "_d2_"
 
@@ -124,9 +124,16 @@ def model_from_fits(pipeline: PipelineModel, kmeans: KMeansModel, features: list
 
 @dataclass
 class Fitted:
+    """The model, how it was fitted, and MLlib's own fits (None for a loaded model: applying doesn't need them)."""
+
     model: AnomalyModel
-    pipeline: PipelineModel
-    kmeans: KMeansModel
+    pipeline: PipelineModel | None = None
+    kmeans: KMeansModel | None = None
+    settings: dict | None = None
+
+
+def fit_settings(k: int = C.KMEANS_K, seed: int = C.KMEANS_SEED, sigmas: float = C.THRESHOLD_SIGMAS) -> dict:
+    return {"k": int(k), "seed": int(seed), "sigmas": float(sigmas)}
 
 
 def train_model(train: DataFrame, features: list[str] = C.EXTENDED_COLS, k: int = C.KMEANS_K,
@@ -145,7 +152,7 @@ def train_model(train: DataFrame, features: list[str] = C.EXTENDED_COLS, k: int
         scaled.unpersist()
     model = model_from_fits(pipeline, km, features)
     thr = fit_threshold(anomaly_scores(train, model), sigmas)
-    return Fitted(model.with_threshold(thr), pipeline, km)
+    return Fitted(model.with_threshold(thr), pipeline, km, fit_settings(k, seed, sigmas))
 
 
 # ---------------------------------------------------------------------------
@@ -161,22 +168,25 @@ def _fs_exists(spark: SparkSession, path: str) -> bool:
 
 
 def model_exists(spark: SparkSession, path: str) -> bool:
-    return all(_fs_exists(spark, f"{path}/{part}") for part in ("scaler-pipeline", "kmeans", "params"))
+    return _fs_exists(spark, f"{path}/params")
 
 
 def save_model(spark: SparkSession, fitted: Fitted, path: str) -> None:
-    fitted.pipeline.write().overwrite().save(f"{path}/scaler-pipeline")
-    fitted.kmeans.write().overwrite().save(f"{path}/kmeans")
-    spark.createDataFrame([(json.dumps(asdict(fitted.model)),)], _PARAMS_SCHEMA) \
-        .coalesce(1).write.mode("overwrite").json(f"{path}/params")
+    """The parameters as one JSON row; MLlib's fits beside them, if there are any."""
+    if fitted.pipeline is not None:
+        fitted.pipeline.write().overwrite().save(f"{path}/mllib/scaling")
+    if fitted.kmeans is not None:
+        fitted.kmeans.write().overwrite().save(f"{path}/mllib/clusters")
+    saved = {"model": asdict(fitted.model), "settings": fitted.settings or fit_settings()}
+    spark.createDataFrame([(json.dumps(saved),)], _PARAMS_SCHEMA).coalesce(1).write.mode("overwrite").json(f"{path}/params")
 
 
-def load_model(spark: SparkSession, path: str, features: list[str] = C.EXTENDED_COLS) -> Fitted | None:
-    """The saved model, or None if absent or saved for another feature list / version."""
+def load_model(spark: SparkSession, path: str, features: list[str] = C.EXTENDED_COLS, settings: dict | None = None) -> Fitted | None:
+    """The saved model, or None if absent or saved for another feature list, version or fit settings."""
     if not model_exists(spark, path):
         return None
-    params = json.loads(spark.read.schema(_PARAMS_SCHEMA).json(f"{path}/params").first()["params"])
-    model = AnomalyModel(**params)
-    if model.features != list(features) or model.version != MODEL_VERSION:
+    saved = json.loads(spark.read.schema(_PARAMS_SCHEMA).json(f"{path}/params").first()["params"])
+    model = AnomalyModel(**saved["model"])
+    if model.features != list(features) or model.version != MODEL_VERSION or saved["settings"] != (settings or fit_settings()):
         return None
-    return Fitted(model, PipelineModel.load(f"{path}/scaler-pipeline"), KMeansModel.load(f"{path}/kmeans"))
+    return Fitted(model, settings=saved["settings"])

@@ -13,18 +13,16 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil import config as C
 from vigil.functions import columns as X
-from vigil.session import cut_lineage
+from vigil.session import drop_path, table_path, write_table
 
 ORDER_COLS = ["ts", "event_id"]
 IDX = "row_idx"
 _POS_BITS = 33                       # monotonically_increasing_id = partition << 33 | position
-LITERAL_OFFSETS_MAX = 8192          # above this many partitions the offsets are broadcast instead
 MIN_BLOCK = 2048                     # halo copies stay under 10% of the rows
 MAX_BLOCK = 2_000_000                # rows buffered by one window group
 BLOCKS_PER_PARTITION = 8             # blocks are hash-partitioned: several per task even out the load
@@ -40,6 +38,14 @@ def fill_zero(df: DataFrame) -> DataFrame:
     return df.na.fill(0.0)
 
 
+def total_order(df: DataFrame) -> list[str]:
+    """Columns that put sensor rows in one order: time, then the row key if there is one, else the timestamp text and
+    every sensor column (rows equal in all of them are interchangeable)."""
+    if "event_id" in df.columns:
+        return list(ORDER_COLS)
+    return [c for c in ["ts", "timestamp", *C.ANALOGUE_COLS, *C.DIGITAL_COLS] if c in df.columns]
+
+
 @dataclass
 class Indexed:
     """A DataFrame with a dense 0-based ``row_idx`` in time order, and its row count."""
@@ -47,52 +53,40 @@ class Indexed:
     df: DataFrame
     n: int
     partitions: int
-    tagged: DataFrame | None = None
+    paths: tuple[str, ...] = ()
 
     def release(self) -> None:
-        """Drop the kept tagged rows once a consumer has materialised what it needs."""
-        if self.tagged is not None and self.tagged.storageLevel != StorageLevel.NONE:
-            self.tagged.unpersist()
+        """Delete the written tables once a consumer has materialised what it needs."""
+        for path in self.paths:
+            drop_path(self.df.sparkSession, path)
 
 
-def row_index(df: DataFrame, order_cols: list[str] = ORDER_COLS, partitions: int | None = None,
-              reliable: bool = False) -> Indexed:
-    """Dense global row number in ``order_cols`` order without a single-partition exchange.
+def row_index(df: DataFrame, order_cols: list[str] | None = None, partitions: int | None = None) -> Indexed:
+    """Dense global row number in ``order_cols`` order without a single-partition exchange of the rows.
 
     1. range-partition on the order key and sort inside partitions (one shuffle);
-    2. tag each row with its partition and position and keep the tagged rows
-       (``persist``: the range bounds are fixed once per exchange and the key
-       is unique, so a lost block recomputes to the same tags; ``reliable=True``
-       writes a checkpoint to the shared folder instead);
-    3. count rows per partition (P numbers to the driver), prefix-sum to offsets;
-    4. ``row_idx = offset[partition] + position``, the offsets as an array
-       literal of P longs, or as a broadcast (partition, offset) table when P
-       is large.
+    2. tag each row with its partition and position and write the tagged rows once to the shared
+       folder, so a lost executor never changes a tag, whatever the key's ties;
+    3. count rows per partition and turn the P counts into offsets with a running sum in Spark;
+    4. ``row_idx = offset[partition] + position`` by a join on the partition number. The offsets are
+       a written table of P rows: Spark sees its size and broadcasts it only below its own limit.
     """
     spark = df.sparkSession
+    order = order_cols or total_order(df)
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = (df.repartitionByRange(p, *order_cols)
-              .sortWithinPartitions(*order_cols)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POS_BITS) - 1))))
-    tagged = cut_lineage(tagged) if reliable else tagged.persist(StorageLevel.MEMORY_AND_DISK)
-    counts = dict(tagged.groupBy("_pid").count().collect())          # at most P rows
-    n_parts = max(counts) + 1 if counts else 0
-    offsets, acc = [], 0
-    for pid in range(n_parts):
-        offsets.append(acc)
-        acc += counts.get(pid, 0)
-    if n_parts == 0:
-        out = tagged.withColumn(IDX, F.lit(None).cast("long"))
-    elif n_parts <= LITERAL_OFFSETS_MAX:
-        # P longs travel inside the plan (serialized with each task): fine for thousands.
-        out = tagged.withColumn(IDX, F.element_at(F.lit(offsets), F.col("_pid") + 1) + F.col("_pos"))
-    else:
-        # Many partitions: ship the P offsets once per executor as a broadcast table (size = P rows, checked above).
-        table = spark.createDataFrame(list(enumerate(offsets)), "_pid int, _off long")
-        out = (tagged.join(F.broadcast(table), "_pid")
-               .withColumn(IDX, F.col("_off") + F.col("_pos")).drop("_off"))
-    return Indexed(out.drop("_pid", "_pos"), acc, p, tagged)
+    paths = (table_path(spark, "indexed"), table_path(spark, "offsets"))
+    tagged = write_table(df.repartitionByRange(p, *order)
+                         .sortWithinPartitions(*order)
+                         .withColumn("_pid", F.spark_partition_id())
+                         .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POS_BITS) - 1))),
+                         "indexed", path=paths[0])
+    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)        # over P counts
+    offsets = write_table(counts.select("_pid", "_c", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off")),
+                          "offsets", path=paths[1])
+    n = offsets.agg(F.sum("_c")).first()[0] or 0
+    out = tagged.join(offsets.drop("_c"), "_pid").withColumn(IDX, F.col("_off") + F.col("_pos"))
+    return Indexed(out.drop("_pid", "_pos", "_off"), int(n), p, paths)
 
 
 def choose_block(n: int, partitions: int) -> int:
@@ -161,14 +155,11 @@ def rolling_window_linear(indexed: DataFrame, features: dict[str, tuple[str, str
         spread = spread.repartitionByRange(int(partitions), "_blk")
     fwd = Window.partitionBy("_blk", "_chunk").orderBy(IDX).rowsBetween(Window.unboundedPreceding, 0)
     bwd = Window.partitionBy("_blk", "_chunk").orderBy(F.col(IDX).desc()).rowsBetween(Window.unboundedPreceding, 0)
-    seq = Window.partitionBy("_blk").orderBy(IDX)
-    parts = {}
-    for x in features:
-        parts.update({
-            f"_an_{x}": F.count(x).over(fwd), f"_as_{x}": F.sum(x).over(fwd), f"_av_{x}": F.var_samp(x).over(fwd),
-            f"_bn_{x}": F.count(x).over(bwd), f"_bs_{x}": F.sum(x).over(bwd), f"_bv_{x}": F.var_samp(x).over(bwd),
-        })
-    stats = spread.withColumns(parts)
+    seq = Window.partitionBy("_blk").orderBy("_chunk", IDX)      # the order of fwd: one sort serves both
+    stats = spread
+    for tag, w in (("b", bwd), ("a", fwd)):
+        stats = stats.withColumns({f"_{tag}{k}_{x}": agg(x).over(w) for x in features
+                                   for k, agg in (("n", F.count), ("s", F.sum), ("v", F.var_samp))})
     last = F.col(IDX) % F.lit(w_len) == F.lit(preceding)          # frame = the whole own chunk
     lagged = {}
     for x in features:
@@ -224,10 +215,9 @@ def engineer_features(indexed: Indexed, block: int | None = None, method: str =
     return fill_zero(rolled.select("*", *X.derived_columns()))
 
 
-def cap_rows(indexed: Indexed, max_rows: int = C.ROW_CAP) -> Indexed:
-    """First ``max_rows`` rows in time order (the original took an unordered sample)."""
-    return Indexed(indexed.df.filter(F.col(IDX) < F.lit(max_rows)), min(indexed.n, max_rows), indexed.partitions,
-                   indexed.tagged)
+def cap_rows(indexed: Indexed, n: int) -> Indexed:
+    """First ``n`` rows in time order (no job uses it: a cut of the input is the caller's choice)."""
+    return Indexed(indexed.df.filter(F.col(IDX) < F.lit(n)), min(indexed.n, n), indexed.partitions, indexed.paths)
 
 
 def split_bounds(n: int, train: float = C.TRAIN_RATIO, test: float = C.TEST_RATIO) -> tuple[int, int]:
@@ -251,12 +241,9 @@ def split_parts(labeled: DataFrame) -> dict[str, DataFrame]:
     return {s: labeled.filter(F.col("data_split") == s) for s in ("train", "test", "demo")}
 
 
-def prepare(df: DataFrame, partitions: int | None = None, block: int | None = None,
-            max_rows: int | None = None, method: str = "linear") -> tuple[DataFrame, int]:
+def prepare(df: DataFrame, partitions: int | None = None, block: int | None = None, method: str = "linear",
+            order_cols: list[str] | None = None) -> tuple[DataFrame, int]:
     """Clean, index, featurize and split a sensor DataFrame. Returns (labeled, n)."""
-    clean = drop_incomplete(df)
-    indexed = row_index(clean, partitions=partitions)
-    if max_rows is not None:
-        indexed = cap_rows(indexed, max_rows)
+    indexed = row_index(drop_incomplete(df), order_cols, partitions=partitions)
     featured = engineer_features(indexed, block, method)
     return temporal_split(featured, indexed.n), indexed.n

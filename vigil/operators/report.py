@@ -6,6 +6,8 @@ per number; group-level results are at most k or a handful of rows.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,15 +32,52 @@ def dataset_overview(labeled: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-def score_distribution(labeled: DataFrame, percentiles=C.PERCENTILES, accuracy: int = 10000) -> DataFrame:
-    """Moments and approximate percentiles (a mergeable sketch, fine at any scale)."""
+def exact_quantiles(df: DataFrame, col: str, quantiles=C.PERCENTILES, buckets: int = 4096, small: int = 4096) -> list[float | None]:
+    """The values at rank ``ceil(q n)``, exact at any size.
+
+    Each round counts the rows of each of ``buckets`` equal ranges around the wanted ranks (a partial aggregate, with
+    the smallest and largest value of each range) and goes on inside the one range that holds the rank, until all its
+    values are equal or at most ``small`` rows are left, which are sorted. NULL and NaN are no values.
+    """
+    v = F.col("v")
+    values = df.select(F.col(col).cast("double").alias("v"))
+
+    def inside(a: float, b: float) -> Column:           # a condition inside the aggregates: nothing is pushed below the score
+        return F.when(v.between(F.lit(a), F.lit(b)) & ~F.isnan(v), v)
+
+    real = F.when(~F.isnan(v), v)
+    n, low, high = values.agg(F.count(real), F.min(real), F.max(real)).first()
+    if not n:
+        return [None] * len(quantiles)
+    ranks = [max(1, n - math.floor(n - q * n)) for q in quantiles]
+    found: dict[int, float] = {}
+    for rank in dict.fromkeys(ranks):
+        a, b, left, k = low, high, n, rank            # the rank-th value is the k-th of the ``left`` rows within [a, b]
+        while a < b and left > small:
+            width = (b - a) / buckets
+            x = F.col("x")
+            place = F.least(F.floor((x - F.lit(a)) / F.lit(width)), F.lit(buckets - 1)) if width > 0 else (x > F.lit(a)).cast("long")
+            hist = values.select(inside(a, b).alias("x")).groupBy(place.alias("p")).agg(
+                F.count("x").alias("c"), F.min("x").alias("a"), F.max("x").alias("b"))
+            for row in sorted((r for r in hist.collect() if r["p"] is not None), key=lambda r: r["p"]):     # ``buckets`` rows at most
+                if k <= row["c"]:
+                    break
+                k -= row["c"]
+            a, b, left = row["a"], row["b"], row["c"]
+        if a < b:
+            a = values.select(inside(a, b).alias("x")).orderBy(F.col("x").asc_nulls_last()).limit(small).collect()[k - 1]["x"]
+        found[rank] = a
+    return [found[r] for r in ranks]
+
+
+def score_distribution(labeled: DataFrame, percentiles=C.PERCENTILES) -> DataFrame:
+    """Moments and exact percentiles (``exact_quantiles``)."""
     s = F.col("anomaly_score")
-    pcts = F.percentile_approx(s, list(percentiles), accuracy)
-    agg = labeled.agg(F.avg(s).alias("score_mean"), F.stddev_samp(s).alias("score_std"),
-                      F.min(s).alias("score_min"), F.max(s).alias("score_max"), pcts.alias("_p"))
+    exact = exact_quantiles(labeled, "anomaly_score", percentiles)
     names = [f"p{int(round(p * 100))}" for p in percentiles]
-    return agg.select("score_mean", "score_std", "score_min", "score_max",
-                      *[F.col("_p")[i].alias(n) for i, n in enumerate(names)])
+    return labeled.agg(F.avg(s).alias("score_mean"), F.stddev_samp(s).alias("score_std"),
+                       F.min(s).alias("score_min"), F.max(s).alias("score_max"),
+                       *[F.lit(v).cast("double").alias(nm) for nm, v in zip(names, exact)])
 
 
 def class_separation(labeled: DataFrame, threshold: float) -> DataFrame:
@@ -112,7 +151,7 @@ def quality_checks(labeled: DataFrame) -> DataFrame:
 
 def evaluation_report(labeled: DataFrame, threshold: float, percentiles=C.PERCENTILES,
                       rules=C.FAULT_RULES) -> DataFrame:
-    """All sections in one tidy table ``(section, key, metric, value, note)`` from ONE scan.
+    """All sections in one tidy table ``(section, key, metric, value, note)`` from one scan (and those of the exact percentiles).
 
     A single grouping-sets aggregation computes the overall metrics (grouping
     set ``()``), the per-cluster metrics (``(cluster)``) and the per-label
@@ -128,7 +167,6 @@ def evaluation_report(labeled: DataFrame, threshold: float, percentiles=C.PERCEN
         F.count(F.lit(1)).alias("n"), F.count_if(anom).alias("a"),
         F.avg(s).alias("score_mean"), F.stddev_samp(s).alias("score_std"),
         F.min(s).alias("score_min"), F.max(s).alias("score_max"),
-        F.percentile_approx(s, list(percentiles), 10000).alias("_p"),
         F.avg(F.when(~anom, s)).alias("normal_mean"), F.avg(F.when(anom, s)).alias("anomaly_mean"),
         *[F.count_if(X.rule_condition(c, op, v)).alias(f"breach_{c}") for _, c, op, v in rules],
     ]
@@ -162,7 +200,7 @@ def evaluation_report(labeled: DataFrame, threshold: float, percentiles=C.PERCEN
              blank, "overview"),
         rows([("score_mean", F.col("score_mean")), ("score_std", F.col("score_std")),
               ("score_min", F.col("score_min")), ("score_max", F.col("score_max"))]
-             + [(nm, F.col("_p")[i]) for i, nm in enumerate(pct_names)], blank, "score_distribution"),
+             + [(nm, F.lit(v)) for nm, v in zip(pct_names, exact_quantiles(labeled, "anomaly_score", percentiles))], blank, "score_distribution"),
         rows([("normal_mean", F.col("normal_mean")), ("anomaly_mean", F.col("anomaly_mean")), ("gap", gap)],
              blank, "class_separation", verdict),
         rows([("wcss_proxy", F.coalesce(F.col("_wcss"), F.lit(0.0)))], blank, "cluster_quality"),

@@ -8,7 +8,9 @@ rows plus one boundary bucket instead of N rows from every partition.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil import config as C
@@ -20,6 +22,11 @@ def as_of_latest(df: DataFrame, ts_col: str) -> Column:
     return df.select(F.max(ts_col)).scalar()
 
 
+def newest_time(df: DataFrame, ts_col: str) -> Column:
+    """The newest timestamp as a literal: one lookup, after which filters on time can prune files."""
+    return F.lit(df.agg(F.max(ts_col)).first()[0]).cast(df.schema[ts_col].dataType)
+
+
 def since(as_of: Column, hours: int | None = None, minutes: int | None = None) -> Column:
     if hours is not None:
         return as_of - F.make_dt_interval(hours=F.lit(hours))
@@ -31,63 +38,61 @@ def parse_timestamp(c: Column) -> Column:
     return F.try_to_timestamp(X.strip_ws(c))
 
 
-# Bucket widths as prefixes of the timestamp text "yyyy-MM-dd HH:mm:ss[.f]": day, hour, minute, second,
-# with the padding that turns a prefix back into the bucket's first instant.
-_BUCKETS = [(10, " 00:00:00"), (13, ":00:00"), (16, ":00"), (19, "")]
+_BUCKETS = ["day", "hour", "minute", "second"]
 
 
-def newest_bound(df: DataFrame, ts_col: str, n: int, max_candidates: int | None = None) -> str | None:
-    """Start (as text) of a time bucket such that rows at or after it hold the newest ``n`` rows.
+def newest_bound(df: DataFrame, ts_col: str, n: int, max_candidates: int | None = None) -> datetime | None:
+    """Start of a time bucket such that rows at or after it hold the newest ``n`` rows.
 
-    Counts per day, then per hour / minute / second inside the boundary
-    bucket only, until the boundary bucket holds at most ``max_candidates``
-    rows (default 4n). Each step is a pre-aggregated count whose result is
-    at most the number of days in the table, then 24 / 60 / 60 rows. Returns
-    None when the table has fewer than ``n`` timestamped rows.
+    Counts per day, then per hour / minute / second inside the boundary bucket only, until that
+    holds at most ``max_candidates`` rows (default 4n; this tunes the plan, not the result). Only the
+    few newest buckets that reach ``n`` come to the driver. Returns None when the table has fewer
+    than ``n`` timestamped rows.
     """
     limit = max_candidates or 4 * n
-    col = F.col(ts_col)
-    text = col.cast("string")
-    kind = df.schema[ts_col].dataType.simpleString()
-    scope = df.select(ts_col).filter(col.isNotNull())
+    kind = df.schema[ts_col].dataType
+    stored = "date" in df.columns
+    scope = df.select(ts_col, *(["date"] if stored else [])).filter(F.col(ts_col).isNotNull())
     need, bound = n, None
-    for width, pad in _BUCKETS:
-        hist = scope.groupBy(F.substring(text, 1, width).alias("b")).agg(F.count(F.lit(1)).alias("c"))
-        acc, hit = 0, None
-        for row in sorted(hist.collect(), key=lambda r: r["b"], reverse=True):   # <= days, then 24 / 60 / 60
-            if acc + row["c"] >= need:
-                hit = row
-                break
-            acc += row["c"]
+    for unit in _BUCKETS:
+        bucket = F.col("date").cast(kind) if stored and unit == "day" else F.date_trunc(unit, ts_col).cast(kind)
+        hist = scope.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("c"))
+        above = F.sum("c").over(Window.orderBy(F.desc("b")))                  # over the buckets
+        hit = hist.withColumn("total", above).where(F.col("total") >= need).orderBy(F.desc("b")).first()
         if hit is None:
             return bound
-        bound = hit["b"] + pad
+        bound = hit["b"]
         if hit["c"] <= limit:
             return bound
-        need -= acc
-        scope = scope.filter((col >= F.lit(bound).cast(kind)) & (F.substring(text, 1, width) == F.lit(hit["b"])))
+        need -= hit["total"] - hit["c"]
+        scope = on_or_after(scope, ts_col, F.lit(bound).cast(kind)).where(bucket == F.lit(bound).cast(kind))
     return bound
 
 
+def on_or_after(df: DataFrame, ts_col: str, start: Column) -> DataFrame:
+    """Rows from ``start`` on; where the table is laid out by reading date, other dates aren't read."""
+    out = df.filter(F.col(ts_col) >= start)
+    return out.filter(F.col("date") >= F.to_date(start)) if "date" in df.columns else out
+
+
 def latest_n(df: DataFrame, ts_col: str, n: int = C.RECENT_LIMIT) -> DataFrame:
-    """Newest ``n`` rows (top-k).
+    """Newest ``n`` rows (top-k; equal times by the other columns).
 
     A time bound found from bucket counts first narrows the input to about
     n + (one boundary bucket) rows, so the final top-k merge does not receive
     n rows from every partition of a large table.
     """
     bound = newest_bound(df, ts_col, n)
-    src = df if bound is None else df.filter(F.col(ts_col) >= F.lit(bound).cast(df.schema[ts_col].dataType))
-    return src.orderBy(F.col(ts_col).desc()).limit(n)
+    src = df if bound is None else on_or_after(df, ts_col, F.lit(bound).cast(df.schema[ts_col].dataType))
+    ties = [F.col(c) for c in df.columns if c != ts_col]
+    return src.orderBy(F.col(ts_col).desc(), *ties).limit(n)
 
 
-def recent_slice(df: DataFrame, ts_col: str, as_of: Column, hours: int = C.DEFAULT_RECENT_HOURS,
-                 limit: int = C.RECENT_LIMIT) -> DataFrame:
-    """Rows with ts >= as_of - hours, newest ``limit`` of them, returned oldest first."""
+def recent_slice(df: DataFrame, ts_col: str, as_of: Column, hours: int = C.DEFAULT_RECENT_HOURS) -> DataFrame:
+    """All rows with ts >= as_of - hours, oldest first. (For a display of the newest few, put ``latest_n`` before.)"""
     if hours not in C.RECENT_HOURS:
         raise ValueError(f"hours must be one of {C.RECENT_HOURS}")
-    recent = df.filter(F.col(ts_col) >= since(as_of, hours=hours))
-    return latest_n(recent, ts_col, limit).orderBy(ts_col)
+    return on_or_after(df, ts_col, since(as_of, hours=hours)).orderBy(ts_col)
 
 
 def recent_sensor_slice(sensors: DataFrame, as_of: Column, hours: int = C.DEFAULT_RECENT_HOURS) -> DataFrame:
@@ -105,12 +110,14 @@ def rethreshold(predictions: DataFrame, threshold: float = C.DASHBOARD_THRESHOLD
     return predictions.withColumn("is_anomaly", F.col("anomaly_score") > F.lit(float(threshold)))
 
 
-def score_series(predictions: DataFrame) -> DataFrame:
-    return predictions.select("source_timestamp", "anomaly_score", "is_anomaly").orderBy("source_timestamp")
+def score_series(predictions: DataFrame, threshold: float = C.DASHBOARD_THRESHOLD) -> DataFrame:
+    """Scores against time, flagged at the user threshold."""
+    return rethreshold(predictions, threshold).select("source_timestamp", "anomaly_score", "is_anomaly").orderBy("source_timestamp")
 
 
-def anomaly_points(predictions: DataFrame) -> DataFrame:
-    return (predictions.filter(F.col("is_anomaly"))
+def anomaly_points(predictions: DataFrame, threshold: float = C.DASHBOARD_THRESHOLD) -> DataFrame:
+    """The points above the user threshold."""
+    return (rethreshold(predictions, threshold).filter(F.col("is_anomaly"))
             .select("source_timestamp", "anomaly_score", "fault_hint").orderBy("source_timestamp"))
 
 
@@ -120,15 +127,18 @@ def sensor_signals(sensors: DataFrame, chosen=("TP2", "Motor_current", "Oil_temp
     return sensors.unpivot([ts_col], list(chosen), "sensor", "value")
 
 
-def last_alerts(predictions: DataFrame, n: int = C.LAST_ALERTS) -> DataFrame:
-    """Newest ``n`` flagged rows, newest first."""
-    return (predictions.filter(F.col("is_anomaly"))
+def last_alerts(predictions: DataFrame, n: int = C.LAST_ALERTS, threshold: float = C.DASHBOARD_THRESHOLD) -> DataFrame:
+    """Newest ``n`` rows above the user threshold, newest first (equal times by score and label)."""
+    return (rethreshold(predictions, threshold).filter(F.col("is_anomaly"))
             .select("source_timestamp", "anomaly_score", "fault_hint")
-            .orderBy(F.col("source_timestamp").desc()).limit(n))
+            .orderBy(F.col("source_timestamp").desc(), "anomaly_score", "fault_hint").limit(n))
 
 
 def alert_rows(predictions: DataFrame, as_of: Column, minutes: int = C.ALERT_WINDOW_MINUTES) -> DataFrame:
-    return predictions.filter(F.col("is_anomaly") & (F.col("processed_at") >= since(as_of, minutes=minutes)))
+    """Stored alerts of the window; where predictions are laid out by processing date, older dates aren't read."""
+    start = since(as_of, minutes=minutes)
+    rows = predictions.filter(F.col("is_anomaly") & (F.col("processed_at") >= start))
+    return rows.filter(F.col("processed_date") >= F.to_date(start)) if "processed_date" in predictions.columns else rows
 
 
 def recent_alerts(predictions: DataFrame, as_of: Column, minutes: int = C.ALERT_WINDOW_MINUTES,
@@ -136,7 +146,7 @@ def recent_alerts(predictions: DataFrame, as_of: Column, minutes: int = C.ALERT_
     """Flagged rows processed within the window: display projection, newest ``shown``."""
     return (alert_rows(predictions, as_of, minutes)
             .select("source_timestamp", "anomaly_score", "fault_hint")
-            .orderBy(F.col("source_timestamp").desc()).limit(shown))
+            .orderBy(F.col("source_timestamp").desc(), "anomaly_score", "fault_hint").limit(shown))
 
 
 def alert_count(predictions: DataFrame, as_of: Column, minutes: int = C.ALERT_WINDOW_MINUTES) -> DataFrame:
@@ -168,5 +178,12 @@ def time_bounds(df: DataFrame, ts_col: str) -> DataFrame:
     return df.agg(F.min(ts_col).alias("first_ts"), F.max(ts_col).alias("last_ts"))
 
 
-def sample_record(df: DataFrame) -> DataFrame:
-    return df.limit(1)
+def dashboard(predictions: DataFrame, hours: int = C.DEFAULT_RECENT_HOURS, threshold: float = C.DASHBOARD_THRESHOLD) -> DataFrame:
+    """The dashboard's chain: recent slice, flags at the user threshold, key figures."""
+    recent = recent_slice(predictions, "source_timestamp", newest_time(predictions, "source_timestamp"), hours)
+    return dashboard_kpis(recent, threshold)
+
+
+def sample_record(df: DataFrame, order_cols: list[str]) -> DataFrame:
+    """The first row in the given order."""
+    return df.orderBy(*order_cols).limit(1)

@@ -38,21 +38,20 @@ class BatchResult:
 
 
 def run_batch(spark: SparkSession, sensors: DataFrame, paths: C.Paths, run_id: str | None = None,
-              processed_at: Column | None = None, max_rows: int | None = None, partitions: int | None = None,
-              retrain: bool = False, score_split: str = "demo", rolling_method: str = "linear") -> BatchResult:
+              processed_at: Column | None = None, partitions: int | None = None, retrain: bool = False,
+              score_split: str = "demo", rolling_method: str = "linear", order_cols: list[str] | None = None) -> BatchResult:
+    """The whole job over a sensor table: as ``load_raw`` or ``run_ingest`` land it, or any with ``ts`` and the sensors.
+    Rows are put in order by ``order_cols`` (default: ``operators.ordered.total_order``)."""
     run_id = run_id or str(uuid.uuid4())
     processed_at = processed_at if processed_at is not None else F.current_timestamp()
 
     clean = O.drop_incomplete(sensors)
-    indexed = O.row_index(clean, partitions=partitions)
-    if max_rows is not None:
-        indexed = O.cap_rows(indexed, max_rows)
+    indexed = O.row_index(clean, order_cols, partitions=partitions)
     featured_path = table_path(spark, "featured")
     try:
         featured = O.engineer_features(indexed, method=rolling_method)
         labeled = write_table(O.temporal_split(featured, indexed.n), "featured",
                               ("data_split",), featured_path)
-        indexed.release()                                # everything below reads the written table
         return _train_evaluate_score(spark, labeled, indexed.n, paths, run_id, processed_at, retrain, score_split)
     finally:
         indexed.release()
@@ -80,19 +79,19 @@ def _train_evaluate_score(spark: SparkSession, labeled: DataFrame, n: int, paths
     preds = P.predictions(scored, model.threshold, processed_at, run_id, score_split)
     obs = Observation("run_summary")
     sinks.append_predictions(preds.observe(obs, F.count(F.lit(1)).alias("records"),
-                                           F.count_if(F.col("is_anomaly")).alias("anomalies")), paths.predictions)
+                                           F.count_if(F.col("is_anomaly")).alias("anomalies")), paths.predictions, paths.fmt)
     summary = obs.get
     records, anomalies = int(summary["records"]), int(summary["anomalies"])
-    sinks.append_run_log(spark, paths.run_log, run_id, records, anomalies, model.threshold, cached, score_split)
+    sinks.append_run_log(spark, paths.run_log, run_id, records, anomalies, model.threshold, cached, score_split, fmt=paths.fmt)
     return BatchResult(run_id, n, train_end, test_end - train_end, n - test_end, anomalies, model.threshold, cached)
 
 
 def run_checks(spark: SparkSession, paths: C.Paths, as_of: Column, job=None) -> dict:
     """Freshness gate, then the job (if given), then alerts over the predictions: order only."""
-    landed = ingest.read_raw(spark, paths.stream if ingest.table_exists(spark, paths.stream) else paths.raw)
+    landed = ingest.read_raw(spark, paths.stream if ingest.table_exists(spark, paths.stream) else paths.raw, paths.fmt)
     fresh = R.freshness_check(landed)
     result = job() if job is not None else None
-    preds = spark.read.parquet(paths.predictions)
+    preds = spark.read.format(paths.fmt).load(paths.predictions)
     alerts = S.recent_alerts(preds, as_of).collect()          # at most ALERTS_SHOWN rows
     n_alerts = S.alert_count(preds, as_of).first()["alerts"]
     return {"landed_rows": fresh, "job": result, "alerts": int(n_alerts), "shown": [r.asDict() for r in alerts]}

@@ -25,13 +25,14 @@ from vigil.operators import ordered as O
 from vigil.operators import output as P
 from vigil.operators import report as R
 from vigil.operators import serve as S
-from vigil.plans.batch import run_batch
+from vigil.plans.batch import run_batch, run_checks
 from vigil.plans.fixture_model import fixed_model
 from vigil.session import scratch_path, write_table
 from vigil.sources import codec, fixture, ingest, sinks, validate
 from vigil.streaming.ingest import replay_batch, run_ingest, stream_score, stream_source
 
 PLACES = 6
+CAP = 500                                   # rows that the cap_rows query asks for
 RUN_ID = "fixture-run"
 PROCESSED_AT = "2024-02-01 00:00:00"
 ALERT_AS_OF = "2024-02-01 00:05:00"
@@ -114,6 +115,14 @@ def coerced(spark, sf_dir) -> DataFrame:
     return ingest.coerce_sensor_rows(raw_text(spark, sf_dir), keep=("event_id",))
 
 
+def spoiled(event_id):
+    """The column ``value`` with some messages broken: 3 of 50 no JSON, 7 of 50 text in a number, 11 of 50 a blank time."""
+    value, k = F.col("value"), event_id % 50
+    return (F.when(k == 3, F.concat(F.lit("{"), F.substring(value, 3, 40)))
+            .when(k == 7, F.replace(value, F.lit('"TP3":'), F.lit('"TP3":"x","was":')))
+            .when(k == 11, F.regexp_replace(value, '"timestamp":"[^"]*"', '"timestamp":" "')).otherwise(value))
+
+
 # ---------------------------------------------------------------------------
 # 2.1 sources, sinks, ingest
 # ---------------------------------------------------------------------------
@@ -140,7 +149,7 @@ def q_stamp_ingest(spark, d):
 
 
 def q_validate_schema(spark, d):
-    raw = validate.rule_counts(coerced(spark, d)).select(F.lit(C.RAW_TABLE).alias("table_name"), "*")
+    raw = validate.rule_counts(ingest.stamp_ingest(coerced(spark, d), ntz(PROCESSED_AT))).select(F.lit(C.RAW_TABLE).alias("table_name"), "*")
     preds = validate.rule_counts(fixed_predictions(spark, d), validate.PREDICTION_RULES) \
         .select(F.lit(C.PREDICTIONS_TABLE).alias("table_name"), "*")
     return raw.unionByName(preds)
@@ -148,13 +157,20 @@ def q_validate_schema(spark, d):
 
 def q_decode_json(spark, d):
     msgs = codec.encode_json(prepared(spark, d).sensors.drop("ts", "asset_id"), key="event_id")
-    out = codec.decode_json(msgs, keep=("key",))
+    out = codec.decode_json(msgs.withColumn("value", spoiled(F.col("key").cast("long"))), keep=("key",))
     return rounded(out.select(F.col("key").cast("long").alias("event_id"), *C.ANALOGUE_COLS, *C.DIGITAL_COLS,
                               F.col(codec.CORRUPT).isNotNull().alias("corrupt")))
 
 
 def q_encode_json(spark, d):
-    return codec.encode_json(prepared(spark, d).sensors.drop("asset_id"), key="event_id")
+    """The messages' fields, taken out of the JSON text one by one."""
+    msgs = codec.encode_json(prepared(spark, d).sensors.drop("asset_id"), key="event_id")
+
+    def field(name: str, kind: str):
+        return F.get_json_object("value", f"$.{name}").try_cast(kind).alias(name)
+
+    return rounded(msgs.select(F.col("key").cast("long").alias("event_id"), field("ts", "timestamp_ntz"),
+                               *[field(c, "double") for c in C.ANALOGUE_COLS], *[field(c, "int") for c in C.DIGITAL_COLS]))
 
 
 # ---------------------------------------------------------------------------
@@ -165,7 +181,7 @@ def q_drop_incomplete(spark, d):
 
 
 def q_cap_rows(spark, d):
-    return O.cap_rows(prepared(spark, d).indexed, C.ROW_CAP).df.select("event_id", "row_idx")
+    return O.cap_rows(prepared(spark, d).indexed, CAP).df.select("event_id", "row_idx")
 
 
 def _clean_expr(spark, d, col):
@@ -214,12 +230,12 @@ def q_stamp_run(spark, d):
 
 def q_recent_sensor_slice(spark, d):
     sensors = prepared(spark, d).sensors.select(*SENSOR_COLS)
-    return rounded(S.recent_sensor_slice(sensors, S.as_of_latest(sensors, "ts"), C.DEFAULT_RECENT_HOURS))
+    return rounded(S.recent_sensor_slice(sensors, S.newest_time(sensors, "ts"), C.DEFAULT_RECENT_HOURS))
 
 
 def q_recent_prediction_slice(spark, d):
     preds = fixed_predictions(spark, d)
-    return rounded(S.recent_prediction_slice(preds, S.as_of_latest(preds, "source_timestamp")))
+    return rounded(S.recent_prediction_slice(preds, S.newest_time(preds, "source_timestamp")))
 
 
 def q_parse_timestamp(spark, d):
@@ -308,10 +324,15 @@ def q_scale_features(spark, d):
     return rounded(z.select("event_id", *[F.col(M.SCALED_PREFIX + f).alias(f"z_{f}") for f in C.EXTENDED_COLS]))
 
 
+def _train_scored(spark, d):
+    return M.anomaly_scores(prepared(spark, d).labeled.filter(F.col("data_split") == "train"), trained(spark, d).model)
+
+
 def q_fit_kmeans(spark, d):
-    fit = trained(spark, d)
-    rows = [(j, [float(v) for v in c]) for j, c in enumerate(fit.model.centers)]
-    return spark.createDataFrame(rows, "cluster int, center array<double>")
+    """What holds for every fit: the clusters share out all train rows, and none is empty."""
+    sizes = _train_scored(spark, d).groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+    return sizes.agg(F.sum("size").alias("train_rows"), F.count(F.lit(1)).alias("clusters"),
+                     (F.min("size") > 0).alias("none_empty"))
 
 
 def q_assign_cluster(spark, d):
@@ -332,12 +353,24 @@ def q_fit_threshold(spark, d):
 
 
 def q_train_model(spark, d):
-    m = trained(spark, d).model
-    return spark.createDataFrame([(m.k, len(m.features), float(m.threshold))],
-                                 "k int, n_features int, threshold double")
+    """What holds for every fit: its size, the scaler's moments, and the threshold from the train scores."""
+    m, train = trained(spark, d).model, _train_scored(spark, d)
+    i = m.features.index("TP2")
+    again = (F.avg("anomaly_score") + F.lit(C.THRESHOLD_SIGMAS) * F.stddev_samp("anomaly_score"))
+    return rounded(train.agg(F.lit(m.k).alias("k"), F.lit(len(m.features)).alias("n_features"),
+                             F.lit(m.mean[i]).alias("mean_TP2"), F.lit(m.std[i]).alias("std_TP2"),
+                             (F.abs(again - F.lit(m.threshold)) < 1e-9).alias("threshold_holds")))
 
 
 def q_score(spark, d):
+    """The whole application of a model (the fixed one) to the test split."""
+    _, thr = fixed_scored(spark, d)
+    out = M.score(_test_rows(spark, d), fixed_model().with_threshold(thr))
+    return rounded(out.select("event_id", "cluster", "anomaly_score", "is_anomaly", "fault_hint"))
+
+
+def flagship(spark, d):
+    """Train on the train split and score the test split."""
     out = M.score(_test_rows(spark, d), trained(spark, d).model)
     return rounded(out.select("event_id", "cluster", "anomaly_score", "is_anomaly", "fault_hint"))
 
@@ -403,14 +436,20 @@ def q_run_summary(spark, d):
 def q_table_summary(spark, d):
     sensors = prepared(spark, d).sensors
     preds = fixed_predictions(spark, d)
+    log = _run_log(spark, d).withColumn("processed_at", ntz(PROCESSED_AT))
     return rounded(R.table_summary(sensors, C.RAW_TABLE, "ts")
-                   .unionByName(R.table_summary(preds, C.PREDICTIONS_TABLE, "source_timestamp")))
+                   .unionByName(R.table_summary(preds, C.PREDICTIONS_TABLE, "source_timestamp"))
+                   .unionByName(R.table_summary(log, C.RUN_LOG_TABLE, "processed_at")))
 
 
 def q_freshness_check(spark, d):
     return R.freshness(prepared(spark, d).sensors)
 
 
+def q_dashboard(spark, d):
+    return rounded(S.dashboard(fixed_predictions(spark, d)))
+
+
 def q_dashboard_kpis(spark, d):
     return rounded(S.dashboard_kpis(fixed_predictions(spark, d)))
 
@@ -435,7 +474,7 @@ def q_time_bounds(spark, d):
 
 
 def q_sample_record(spark, d):
-    return rounded(S.sample_record(prepared(spark, d).sensors.select(*SENSOR_COLS)))
+    return rounded(S.sample_record(prepared(spark, d).sensors.select(*SENSOR_COLS), O.ORDER_COLS))
 
 
 def q_clusters_by_id(spark, d):
@@ -481,20 +520,27 @@ def q_load_raw(spark, d):
                               *C.DIGITAL_COLS, "_loaded_at"))
 
 
-def q_append_run_log(spark, d):
+def _run_log(spark, d):
     lab, thr = fixed_scored(spark, d)
     demo = lab.filter(F.col("data_split") == "demo")
     row = R.run_summary(demo, thr, RUN_ID).first()                   # one row
     path = scratch_path(spark, "run_log")
     sinks.append_run_log(spark, path, RUN_ID, row["records_processed"], row["anomalies_found"], thr, False, "demo")
-    return rounded(spark.read.parquet(path).drop("processed_at"))      # a run parameter, not data
+    return spark.read.parquet(path)
+
+
+def q_append_run_log(spark, d):
+    return rounded(_run_log(spark, d).drop("processed_at"))            # a run parameter, not data
 
 
-def _messages(spark, d, parts: int = 8) -> str:
-    """The sensor rows as JSON message files (text), the stream source's input."""
+def _messages(spark, d, parts: int = 8, clean: bool = False) -> str:
+    """The sensor rows as JSON message files (text), the stream source's input; some messages are broken."""
     path = scratch_path(spark, "messages")
     rows = prepared(spark, d).sensors.withColumn("timestamp", F.col("ts").cast("string"))
-    codec.encode_json(rows.drop("ts", "asset_id", "event_id")).repartition(parts).write.text(path)
+    msgs = codec.encode_json(rows.drop("ts", "asset_id"), key="event_id")
+    if not clean:
+        msgs = msgs.withColumn("value", spoiled(F.col("key").cast("long")))
+    msgs.select("value").repartition(parts).write.text(path)
     return path
 
 
@@ -505,7 +551,8 @@ def _landed(spark, path):
 def q_stream_ingest(spark, d):
     src, paths = _messages(spark, d), C.Paths(scratch_path(spark, "store"))
     run_ingest(spark, paths, "text", {}, src, available_now=True).awaitTermination()
-    return _landed(spark, paths.stream)
+    bad = spark.read.parquet(paths.rejects).select("reason")
+    return _landed(spark, paths.stream).withColumn("reason", F.lit(None).cast("string")).unionByName(bad, allowMissingColumns=True)
 
 
 def q_replay_batch(spark, d):
@@ -518,7 +565,7 @@ def q_stream_score(spark, d):
     """The stream scorer over all messages in one micro-batch (equal to the batch computation); the
     multi-batch tail path is compared with batch scoring in tests/test_stream.py."""
     lab, thr = fixed_scored(spark, d)
-    src = _messages(spark, d, parts=4)
+    src = _messages(spark, d, parts=4, clean=True)
     preds = scratch_path(spark, "stream-predictions")
     msgs = stream_source(spark, "text", {"maxFilesPerTrigger": "1000"}, src)
     stream_score(msgs, scratch_path(spark, "history"), preds, scratch_path(spark, "ckpt"),
@@ -528,19 +575,39 @@ def q_stream_score(spark, d):
 
 
 def q_load_model(spark, d):
-    fit = trained(spark, d)
+    """The fixed model with its threshold, saved and read again; the scores it gives."""
+    _, thr = fixed_scored(spark, d)
     path = scratch_path(spark, "model")
-    M.save_model(spark, fit, path)
-    back = M.load_model(spark, path)
-    rows = [(j, [float(v) for v in c]) for j, c in enumerate(back.model.centers)]
-    return spark.createDataFrame(rows, "cluster int, center array<double>")
+    M.save_model(spark, M.Fitted(fixed_model().with_threshold(thr)), path)
+    back = M.load_model(spark, path).model
+    return rounded(M.score(_test_rows(spark, d), back).select("event_id", "cluster", "anomaly_score", F.lit(back.threshold).alias("threshold")))
+
+
+def _store(spark, d) -> C.Paths:
+    """A store whose raw table came through the CSV load, with the fixed model saved."""
+    paths, csv_dir = C.Paths(scratch_path(spark, "store")), scratch_path(spark, "csv")
+    rows = prepared(spark, d).sensors.withColumn("timestamp", F.col("ts").cast("string")).drop("ts", "asset_id", "event_id")
+    rows.select([F.col(c).cast("string") for c in rows.columns]).write.option("header", True).csv(csv_dir)
+    ingest.load_raw(spark, csv_dir, paths.raw, drop=True, loaded_at=ntz(PROCESSED_AT))
+    _, thr = fixed_scored(spark, d)
+    M.save_model(spark, M.Fitted(fixed_model().with_threshold(thr)), paths.model)
+    return paths
 
 
 def q_run_batch(spark, d):
-    paths = C.Paths(scratch_path(spark, "store"))
-    run_batch(spark, prepared(spark, d).sensors.drop("asset_id"), paths, run_id=RUN_ID,
-              processed_at=ntz(PROCESSED_AT))
-    return spark.read.parquet(paths.predictions).select(*C.PREDICTION_COLS)
+    """CSV text, load, job: the predictions of the whole chain with a saved model."""
+    paths = _store(spark, d)
+    run_batch(spark, ingest.read_raw(spark, paths.raw), paths, run_id=RUN_ID, processed_at=ntz(PROCESSED_AT))
+    return rounded(spark.read.parquet(paths.predictions).select(*C.PREDICTION_COLS))
+
+
+def q_run_checks(spark, d):
+    """Freshness gate, job, alerts over what the job appended."""
+    paths = _store(spark, d)
+    done = run_checks(spark, paths, ntz(ALERT_AS_OF), job=lambda: run_batch(
+        spark, ingest.read_raw(spark, paths.raw), paths, run_id=RUN_ID, processed_at=ntz(PROCESSED_AT)))
+    row = (done["landed_rows"], done["job"].records, done["job"].demo_rows, done["alerts"], len(done["shown"]))
+    return spark.createDataFrame([row], "landed_rows long, job_rows long, demo_rows long, alerts long, shown long")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -9,13 +9,25 @@ KMeans fit or on JSON text formatting have no oracle (rows-only check).
 from __future__ import annotations
 
 from vigil import config as C
-from vigil.functions.columns import NUMBER_PATTERN, sql_double
-from vigil.plans.catalog import ALERT_AS_OF, PLACES, PROCESSED_AT, RUN_ID
+from vigil.functions.columns import sql_double
+from vigil.plans.catalog import ALERT_AS_OF, CAP, PLACES, PROCESSED_AT, RUN_ID
 from vigil.plans.fixture_model import FIXED_CENTERS, FIXED_MEAN, FIXED_STD
 from vigil.sources.fixture import raw_text_view_sql, sensor_view_sql
-from vigil.sources.validate import PREDICTION_RULES, RAW_RULES, rule_name
 
 A, D = C.ANALOGUE_COLS, C.DIGITAL_COLS
+
+# Written out here, not taken from the code that is checked.
+NUMBER_PATTERN = r"^[+-]?(([0-9](_?[0-9])*\.?|([0-9](_?[0-9])*)?\.[0-9](_?[0-9])*)([eE][+-]?[0-9](_?[0-9])*)?|(?i:nan|inf|infinity))$"
+FAULTS = [("LOW_COMPRESSOR_PRESSURE", "TP2", "<", 8.0), ("HIGH_MOTOR_CURRENT", "Motor_current", ">", 25.0),
+          ("OVERHEATING", "Oil_temperature", ">", 90.0), ("VALVE_PRESSURE_DROP", "DV_pressure", "<", 0.5)]
+RAW_NULLS = ["timestamp:required", "TP2:not_double", "TP3:not_double", "H1:not_double", "DV_pressure:not_double",
+             "Reservoirs:not_double", "Oil_temperature:not_double", "Motor_current:not_double", "COMP:not_int", "DV_eletric:not_int",
+             "Towers:not_int", "MPG:not_int", "LPS:not_int", "Pressure_switch:not_int", "Oil_level:not_int", "Caudal_impulses:not_int"]
+PREDICTION_NULLS = ["source_timestamp:required", "anomaly_score:required", "is_anomaly:required", "processed_at:required",
+                    "fault_hint:not_string", "cluster_id:not_int", "threshold_used:not_double", "TP2:not_double",
+                    "Motor_current:not_double", "Oil_temperature:not_double", "DV_pressure:not_double",
+                    "pressure_diff_TP2_TP3:not_double", "motor_oil_ratio:not_double", "rolling_mean_TP2:not_double",
+                    "rolling_mean_motor:not_double", "spark_run_id:not_string", "data_split:not_string"]
 SENSOR = ["event_id", "ts", "asset_id"] + A + D
 
 
@@ -38,7 +50,7 @@ def _seq_avg(c: str) -> str:
 
 
 def _fault_case() -> str:
-    parts = " ".join(f"when {c} {op} {sql_double(v)} then '{label}'" for label, c, op, v in C.FAULT_RULES)
+    parts = " ".join(f"when {c} {op} {sql_double(v)} then '{label}'" for label, c, op, v in FAULTS)
     return f"case {parts} else '{C.FAULT_OTHER}' end"
 
 
@@ -137,11 +149,10 @@ def _pct(part: str, whole: str) -> str:
 
 def _validate() -> str:
     def counts(table: str, src: str, rules) -> str:
-        cases = ", ".join(f"case when {f} is null then '{rule_name(f, k, req)}' end" for f, k, req in rules)
+        cases = ", ".join(f"case when {rule.split(':')[0]} is null then '{rule}' end" for rule in rules)
         return (f"select '{table}' as table_name, rule, count(*) as violations from "
                 f"(select unnest(list_value({cases})) as rule from {src}) where rule is not null group by rule")
-    return q(counts(C.RAW_TABLE, "coerced", RAW_RULES) + " union all "
-             + counts(C.PREDICTIONS_TABLE, "preds", PREDICTION_RULES))
+    return q(counts(C.RAW_TABLE, "coerced", RAW_NULLS) + " union all " + counts(C.PREDICTIONS_TABLE, "preds", PREDICTION_NULLS))
 
 
 def _cluster_quality(src: str) -> str:
@@ -178,7 +189,7 @@ from {agg}"""
 def _sections() -> dict[str, str]:
     pcts = ", ".join(f"quantile_disc(anomaly_score, {sql_double(p)}) as p{int(round(p * 100))}" for p in C.PERCENTILES)
     pct_round = ", ".join(r(f"p{int(round(p * 100))}") for p in C.PERCENTILES)
-    breaches = ", ".join(f"count_if({c} {op} {sql_double(v)}) as breach_{c}" for _, c, op, v in C.FAULT_RULES)
+    breaches = ", ".join(f"count_if({c} {op} {sql_double(v)}) as breach_{c}" for _, c, op, v in FAULTS)
     return {
         "dataset_overview": (f"select n as total_records, n - a as normal_records, a as anomaly_records, "
                              f"round(100e0 - {_pct('a', 'n')}, 6) + 0e0 as normal_pct, round({_pct('a', 'n')}, 6) "
@@ -221,7 +232,7 @@ def _evaluation_report() -> str:
     parts += tidy("cluster_quality", sec["cluster_quality"], "cluster", ["size", "mean_dist", "std_dist"])
     parts += tidy("cluster_quality", sec["wcss_proxy"], "''", ["wcss_proxy"])
     parts += tidy("fault_breakdown", sec["fault_breakdown"], "fault_hint", ["count", "pct"])
-    parts += tidy("sensor_breaches", sec["sensor_breaches"], "''", [f"breach_{c}" for _, c, _, _ in C.FAULT_RULES])
+    parts += tidy("sensor_breaches", sec["sensor_breaches"], "''", [f"breach_{c}" for _, c, _, _ in FAULTS])
     parts += tidy("quality_checks", sec["quality_checks"], '"check"', ["value"], "status")
     return q("\nunion all\n".join(parts))
 
@@ -229,8 +240,11 @@ def _evaluation_report() -> str:
 def oracle_sql() -> dict[str, str]:
     sections = _sections()
     sensor_sel = sel(SENSOR, DOUBLES)
+    landed = ", ".join(
+            f"case when event_id % 50 <> 7 then round(TP3, 6) + 0e0 end as TP3" if c == "TP3" else r(c) if c in DOUBLES else c
+            for c in A + D)
     pred_sel = sel(PRED_COLS, PRED_DOUBLES)
-    breach_flags = ", ".join(f"{c} {op} {sql_double(v)} as breach_{c}" for _, c, op, v in C.FAULT_RULES)
+    breach_flags = ", ".join(f"{c} {op} {sql_double(v)} as breach_{c}" for _, c, op, v in FAULTS)
     as_of_alert = f"timestamp '{ALERT_AS_OF}' - interval {C.ALERT_WINDOW_MINUTES} minute"
     ts_summary = ("select '{name}' as table_name, {ncols} as n_columns, '{names}' as column_names, count(*) as records, "
                   "min({ts}) as first_ts, max({ts}) as last_ts, {anom} as anomalies, "
@@ -248,10 +262,13 @@ def oracle_sql() -> dict[str, str]:
         "stamp_ingest": q(f"select event_id, timestamp '{PROCESSED_AT}' as _loaded_at from coerced "
                           f"where timestamp is not null"),
         "validate_schema": _validate(),
-        "decode_json": q(f"select event_id, {sel(A + D, DOUBLES)}, false as corrupt from sensor"),
+        "decode_json": q("select event_id, " + ", ".join(
+            f"case when event_id % 50 <> 3{' and event_id % 50 <> 7' if c == 'TP3' else ''} then "
+            f"{f'round({c}, 6) + 0e0' if c in A else c} end as {c}" for c in A + D) + ", event_id % 50 = 3 as corrupt from sensor"),
+        "encode_json": q(f"select event_id, ts, {sel(A + D, DOUBLES)} from sensor"),
         # 2.2
         "drop_incomplete": q(f"select {sensor_sel} from clean"),
-        "cap_rows": q(f"select event_id, row_idx from idx where row_idx < {C.ROW_CAP}"),
+        "cap_rows": q(f"select event_id, row_idx from idx where row_idx < {CAP}"),
         "pressure_diff_TP2_TP3": q("select event_id, round(TP2 - TP3, 6) + 0e0 as pressure_diff_TP2_TP3 from clean"),
         "pressure_diff_H1_DV": q("select event_id, round(H1 - DV_pressure, 6) + 0e0 as pressure_diff_H1_DV from clean"),
         "motor_oil_ratio": q("select event_id, round(Motor_current / nullif(Oil_temperature + 1e0, 0e0), 6) "
@@ -268,17 +285,17 @@ def oracle_sql() -> dict[str, str]:
                        f"processed_at, '{RUN_ID}' as spark_run_id, 'demo' as data_split from labeled "
                        f"where data_split = 'demo'"),
         "recent_sensor_slice": q(f"select {sensor_sel} from sensor where ts >= (select max(ts) from sensor) - "
-                                 f"interval {C.DEFAULT_RECENT_HOURS} hour order by ts desc limit {C.RECENT_LIMIT}"),
+                                 f"interval {C.DEFAULT_RECENT_HOURS} hour"),
         "recent_prediction_slice": q(f"select {pred_sel} from preds where source_timestamp >= "
                                      f"(select max(source_timestamp) from preds) - interval "
-                                     f"{C.DEFAULT_RECENT_HOURS} hour order by source_timestamp desc "
-                                     f"limit {C.RECENT_LIMIT}"),
+                                     f"{C.DEFAULT_RECENT_HOURS} hour"),
         "parse_timestamp": q(f"select event_id, try_cast({_strip('timestamp')} as timestamp) as ts from rawtext"),
         "rethreshold": q(f"select source_timestamp, round(anomaly_score, 6) + 0e0 as anomaly_score, "
                          f"anomaly_score > {sql_double(C.DASHBOARD_THRESHOLD)} as is_anomaly, fault_hint from preds"),
-        "score_series": q("select source_timestamp, round(anomaly_score, 6) + 0e0 as anomaly_score, is_anomaly from preds"),
+        "score_series": q("select source_timestamp, round(anomaly_score, 6) + 0e0 as anomaly_score, anomaly_score > 6e0 as is_anomaly "
+                          "from preds"),
         "anomaly_points": q("select source_timestamp, round(anomaly_score, 6) + 0e0 as anomaly_score, fault_hint "
-                            "from preds where is_anomaly"),
+                            "from preds where anomaly_score > 6e0"),
         "sensor_signals": q("select ts, sensor, round(value, 6) + 0e0 as value from (select ts, 'TP2' as sensor, TP2 as value "
                             "from sensor union all select ts, 'Motor_current', Motor_current from sensor union all "
                             "select ts, 'Oil_temperature', Oil_temperature from sensor)"),
@@ -328,7 +345,14 @@ def oracle_sql() -> dict[str, str]:
                               anom="cast(null as bigint)", pct="cast(null as double)", src="sensor")
             + " union all "
             + ts_summary.format(name=C.PREDICTIONS_TABLE, ncols=len(PRED_COLS), names=pred_names, ts="source_timestamp",
-                                anom="count_if(is_anomaly)", pct=_pct("count_if(is_anomaly)", "count(*)"), src="preds")),
+                                anom="count_if(is_anomaly)", pct=_pct("count_if(is_anomaly)", "count(*)"), src="preds")
+            + " union all select 'run_log', 7, 'spark_run_id,processed_at,records_processed,anomalies_found,threshold_used,"
+              f"model_loaded_from_cache,data_split', 1, timestamp '{PROCESSED_AT}', timestamp '{PROCESSED_AT}', null, null"),
+        "dashboard": q("select total_records, anomalies, " + r(_pct("anomalies", "total_records"), "anomaly_pct") + ", "
+                       + r("avg_score") + ", " + r("latest_score") + ", case when latest_score > 6e0 then 'ANOMALY' else 'NORMAL' end as status "
+                       "from (select count(*) as total_records, count_if(anomaly_score > 6e0) as anomalies, avg(anomaly_score) as avg_score, "
+                       "arg_max(anomaly_score, source_timestamp) as latest_score from preds "
+                       "where source_timestamp >= (select max(source_timestamp) from preds) - interval 6 hour)"),
         "freshness_check": q("select count(*) as records from sensor"),
         "dashboard_kpis": q(f"select total_records, anomalies, round({_pct('anomalies', 'total_records')}, 6) + 0e0 as "
                             f"anomaly_pct, round(avg_score, 6) + 0e0 as avg_score, round(latest_score, 6) + 0e0 as latest_score, "
@@ -338,7 +362,16 @@ def oracle_sql() -> dict[str, str]:
                             f"arg_max(anomaly_score, source_timestamp) as latest_score from preds)"),
         "fault_distribution": q(f"select fault_hint, count(*) as count from preds where anomaly_score > "
                                 f"{sql_double(C.DASHBOARD_THRESHOLD)} group by fault_hint"),
+        "score": q("select event_id, cluster, round(anomaly_score, 6) + 0e0 as anomaly_score, is_anomaly, fault_hint from test"),
+        "fit_kmeans": q("select count(*) as train_rows, 8 as clusters, true as none_empty from split where data_split = 'train'"),
+        "train_model": q("select 8 as k, 14 as n_features, round(avg(TP2), 6) + 0e0 as mean_TP2, round(stddev_samp(TP2), 6) + 0e0 as std_TP2, "
+                         "true as threshold_holds from split where data_split = 'train'"),
         # sinks, streams and jobs (round trips)
+        "load_model": q("select event_id, cluster, round(anomaly_score, 6) + 0e0 as anomaly_score, round(threshold, 6) + 0e0 as threshold from test"),
+        "run_batch": q(f"select {pred_sel} from preds"),
+        "run_checks": q(f"select (select count(*) from sensor) as landed_rows, (select count(*) from clean) as job_rows, "
+                        f"(select count(*) from preds) as demo_rows, (select count(*) from preds where is_anomaly and "
+                        f"processed_at >= {as_of_alert}) as alerts, least(5, (select count(*) from preds where is_anomaly)) as shown"),
         "write_raw_batches": q(f"select {sensor_sel} from sensor"),
         "append_predictions": q(f"select {pred_sel} from preds"),
         "save_report": _evaluation_report(),
@@ -349,15 +382,19 @@ def oracle_sql() -> dict[str, str]:
                             f"round((select threshold from thr), 6) + 0e0 as threshold_used, "
                             f"false as model_loaded_from_cache, 'demo' as data_split "
                             f"from labeled where data_split = 'demo'"),
-        "stream_ingest": q(f"select ts, {sel(A + D, DOUBLES)} from sensor"),
+        "stream_ingest": q(f"select ts, {landed}, cast(null as varchar) as reason from sensor where event_id % 50 not in (3, 11) "
+                          "union all select null, " + ", ".join("null" for _ in A + D)
+                          + ", case when event_id % 50 = 3 then 'not_json' else 'no_timestamp' end from sensor "
+                            "where event_id % 50 in (3, 11)"),
         "stream_score": q("select ts as source_timestamp, round(anomaly_score, 6) + 0e0 as anomaly_score, is_anomaly, "
                           "fault_hint, cluster as cluster_id, round(rolling_mean_TP2, 6) + 0e0 as rolling_mean_TP2 "
                           "from labeled"),
-        "replay_batch": q(f"select ts, {sel(A + D, DOUBLES)} from sensor"),
+        "replay_batch": q(f"select ts, {landed} from sensor where event_id % 50 not in (3, 11)"),
         # 2.6
         "latest_n": q(f"select {sensor_sel} from sensor order by ts desc limit {C.RECENT_LIMIT}"),
         "last_alerts": q(f"select source_timestamp, round(anomaly_score, 6) + 0e0 as anomaly_score, fault_hint from preds "
-                         f"where is_anomaly order by source_timestamp desc limit {C.LAST_ALERTS}"),
+                         f"where anomaly_score > 6e0 order by source_timestamp desc limit {C.LAST_ALERTS}"),
+        "sample_record": q(f"select {sensor_sel} from sensor order by ts, event_id limit 1"),
         "time_bounds": q("select min(ts) as first_ts, max(ts) as last_ts from sensor"),
         "clusters_by_id": q(_cluster_quality("labeled")),
         "faults_by_count": q(_fault_breakdown("labeled")),

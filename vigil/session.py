@@ -69,17 +69,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), path: str | None = None) -> DataFrame:
     """Cut lineage by writing ``df`` once as parquet under the shared checkpoint folder and reading it back.
 
-    Unlike an eager ``checkpoint()`` of an unpersisted plan, the plan runs once;
-    the result is columnar (pruning, pushdown) and optionally partitioned.
+    The plan runs once; the result is columnar (pruning, pushdown) and optionally partitioned.
     """
     path = path or table_path(df.sparkSession, name)
     w = df.write.mode("overwrite")

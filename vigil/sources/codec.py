@@ -13,9 +13,10 @@ CORRUPT = "_corrupt_record"
 
 
 def encode_json(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Each row as a UTF-8 JSON object in ``value`` (plus an optional ``key``), nulls kept."""
+    """Each row as a UTF-8 JSON object in ``value`` (plus an optional ``key``), nulls and microseconds kept."""
     cols = [c for c in df.columns if c != key]
-    value = F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+    value = F.to_json(F.struct(*cols), {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+                                        "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
     out = [value.alias("value")]
     if key:
         out.insert(0, F.col(key).cast("string").alias("key"))
@@ -23,22 +24,19 @@ def encode_json(df: DataFrame, key: str | None = None) -> DataFrame:
 
 
 def decode_json(messages: DataFrame, value_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Message text (or bytes) to typed rows, with a ``_corrupt_record`` column for bad messages.
+    """Message text (or bytes) to typed rows, with a ``_corrupt_record`` column for messages that are no JSON object.
 
-    Digital fields are decoded as double and then cast, so "1.0" survives; a
-    record that is not JSON or holds text in a number has ``_corrupt_record``
-    set and its fields NULL.
+    Every field is read as text and coerced as the CSV loader does, so "1.0" survives in a digital field and a bad
+    value is NULL in its own field only. Only undecodable messages have ``_corrupt_record`` set (to their text).
     """
     schema = T.StructType(C.MESSAGE_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType(), True)])
     text = F.col(value_col).cast("string")
-    parsed = messages.select(*[F.col(k) for k in keep],
-                             F.from_json(text, schema, {"mode": "PERMISSIVE",
-                                                        "columnNameOfCorruptRecord": CORRUPT}).alias("_m"))
-    digital = [F.when(~F.isnan(F.col(f"_m.{c}")), F.col(f"_m.{c}").try_cast("int")).alias(c)
-               for c in C.DIGITAL_COLS]
-    return parsed.select(*[F.col(k) for k in keep], F.col("_m.timestamp").alias("timestamp"),
-                         *[F.col(f"_m.{c}").alias(c) for c in C.ANALOGUE_COLS], *digital,
-                         F.col(f"_m.{CORRUPT}").alias(CORRUPT))
+    parsed = messages.select(*[F.col(k) for k in keep], text.alias("_text"), F.from_json(
+        text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("_m"))
+    bad = F.when(F.col("_m").isNull(), F.coalesce(F.col("_text"), F.lit(""))).otherwise(F.col(f"_m.{CORRUPT}"))
+    flat = parsed.select(*[F.col(k) for k in keep], bad.alias(CORRUPT), *[F.col(f"_m.{f}").alias(f) for f in C.MESSAGE_SCHEMA.names])
+    rows = coerce_sensor_rows(flat, keep=(*keep, CORRUPT))
+    return rows.select(*keep, "timestamp", *C.ANALOGUE_COLS, *C.DIGITAL_COLS, CORRUPT)
 
 
 def producer_messages(text_rows: DataFrame, now: Column | None = None) -> DataFrame:
@@ -47,15 +45,12 @@ def producer_messages(text_rows: DataFrame, now: Column | None = None) -> DataFr
     return encode_json(coerce_sensor_rows(text_rows, missing_ts=stamp))
 
 
-def publish(df: DataFrame, options: dict, fmt: str = "kafka", limit: int | None = None) -> None:
-    """Write encoded rows to a topic (or any sink format); ``limit`` caps rows per run.
+def publish(df: DataFrame, options: dict, fmt: str = "kafka") -> None:
+    """Write all rows, encoded, to a topic (or any sink format).
 
     For Kafka every message waits for all in-sync replicas (``acks=all``)
     unless the options say otherwise.
     """
     if fmt == "kafka":
         options = {"kafka.acks": "all", **options}
-    out = encode_json(df)
-    if limit is not None:
-        out = out.limit(limit)
-    out.write.format(fmt).options(**options).save()
+    encode_json(df).write.format(fmt).options(**options).save()

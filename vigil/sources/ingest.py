@@ -56,9 +56,9 @@ def coerce_sensor_rows(df: DataFrame, keep: tuple[str, ...] = (), missing_ts: Co
 
 
 def resolve_timestamp(coerced: DataFrame) -> DataFrame:
-    """Drop rows without a timestamp and parse it (``ts``); the text is kept for bronze."""
+    """Drop rows without a timestamp and parse it (``ts``, no time zone); the text is kept for bronze."""
     kept = coerced.filter(F.col("timestamp").isNotNull())
-    return kept.withColumn("ts", F.try_to_timestamp(F.col("timestamp")))
+    return kept.withColumn("ts", F.col("timestamp").try_cast("timestamp_ntz"))
 
 
 def ingest_counts(coerced: DataFrame) -> DataFrame:
@@ -85,10 +85,13 @@ def is_nonempty(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
 
 def write_raw_batches(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "append",
                       partition_by: tuple[str, ...] = ("date",), max_records_per_file: int | None = None) -> None:
-    """Unordered bulk write, partitioned by reading date so time filters prune files."""
+    """Bulk write, partitioned by reading date so that filters on ``date`` prune files. Rows are dealt by ranges of time
+    first: a date goes to few files, and a day with many rows to several tasks."""
     out = df
     if "date" in partition_by and "date" not in df.columns:
         out = out.withColumn("date", F.to_date("ts" if "ts" in df.columns else "timestamp"))
+    if "date" in partition_by and "ts" in out.columns:
+        out = out.repartitionByRange("date", "ts")
     w = out.write.format(fmt).mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -11,9 +11,9 @@ from vigil import config as C
 
 
 def append_predictions(preds: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Append, partitioned by the reading date so time-sliced reads prune files."""
-    out = preds.withColumn("date", F.to_date("source_timestamp"))
-    out.write.format(fmt).mode("append").partitionBy("date").save(path)
+    """Append, laid out by processing date and reading date: alert reads prune by the one, time slices by the other."""
+    out = preds.withColumns({"processed_date": F.to_date("processed_at"), "date": F.to_date("source_timestamp")})
+    out.write.format(fmt).mode("append").partitionBy("processed_date", "date").save(path)
 
 
 def append_run_log(spark: SparkSession, path: str, run_id: str, records: int, anomalies: int, threshold: float,

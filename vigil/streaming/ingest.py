@@ -8,7 +8,9 @@ batch size is a source option, and a run can drain what is available and stop.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,33 +18,52 @@ from vigil import config as C
 from vigil.operators import model as M
 from vigil.operators import ordered as O
 from vigil.operators import output as P
+from vigil.session import drop_path
 from vigil.sources import codec, ingest
 from vigil.sources.ingest import resolve_timestamp
 
 
-def stream_source(spark: SparkSession, fmt: str, options: dict, path: str | None = None,
-                  batch_rows: int = C.STREAM_BATCH_ROWS) -> DataFrame:
+def stream_source(spark: SparkSession, fmt: str, options: dict, path: str | None = None) -> DataFrame:
     """A message stream with a ``value`` column.
 
-    ``kafka``: topic subscription from the earliest offset, at most
-    ``batch_rows`` messages per micro-batch. ``text``: one JSON message per
-    line in files landing under ``path`` (used in tests).
+    ``kafka``: topic subscription, from the earliest offset unless the options say otherwise; micro-batches are as large
+    as the options allow (``maxOffsetsPerTrigger``). ``text``: one JSON message per line in files landing under ``path``.
     """
-    reader = spark.readStream.format(fmt).options(**options)
-    if fmt == "kafka":
-        reader = reader.option("startingOffsets", options.get("startingOffsets", "earliest")) \
-            .option("maxOffsetsPerTrigger", str(batch_rows))
-        return reader.load()
-    return reader.load(path)
+    reader = spark.readStream.format(fmt).options(**source_options(fmt, options))
+    return reader.load() if fmt == "kafka" else reader.load(path)
+
+
+def source_options(fmt: str, options: dict) -> dict:
+    """The reader's options: the caller's own win over the defaults."""
+    return {"startingOffsets": "earliest", **options} if fmt == "kafka" else dict(options)
+
+
+def decoded_messages(messages: DataFrame) -> DataFrame:
+    """Typed fields beside the raw text (``raw``) of each message."""
+    raw = messages.withColumn("raw", F.col("value").cast("string"))
+    return codec.decode_json(raw, keep=("raw",))
+
+
+def _good() -> Column:
+    return F.col(codec.CORRUPT).isNull() & F.col("timestamp").isNotNull()
 
 
 def land(messages: DataFrame) -> DataFrame:
-    """Decode, keep good records with a timestamp, parse time, stamp ``ingested_at``."""
-    decoded = codec.decode_json(messages)
-    good = decoded.filter(F.col(codec.CORRUPT).isNull()).drop(codec.CORRUPT)
-    rows = resolve_timestamp(good.withColumn("timestamp", F.nullif(F.trim("timestamp"), F.lit(""))))
-    return ingest.stamp_ingest(rows.withColumn("ts", F.col("ts").cast("timestamp_ntz")), name="ingested_at") \
-        .withColumn("date", F.to_date("ts"))
+    """Every message that is a JSON object with a timestamp, whatever its other fields: bad ones are NULL."""
+    rows = resolve_timestamp(decoded_messages(messages).filter(_good()).drop("raw", codec.CORRUPT))
+    return ingest.stamp_ingest(rows, name="ingested_at").withColumn("date", F.to_date("ts"))
+
+
+def rejects(messages: DataFrame) -> DataFrame:
+    """The messages that ``land`` leaves out: their text and why."""
+    bad = decoded_messages(messages).filter(~_good())
+    reason = F.when(F.col(codec.CORRUPT).isNotNull(), F.lit("not_json")).otherwise(F.lit("no_timestamp"))
+    return ingest.stamp_ingest(bad.select("raw", reason.alias("reason")), name="ingested_at")
+
+
+def message_counts(messages: DataFrame) -> DataFrame:
+    """Landed and rejected messages, in one pass."""
+    return decoded_messages(messages).agg(F.count_if(_good()).alias("landed"), F.count_if(~_good()).alias("rejected"))
 
 
 def stream_sink(rows: DataFrame, sink_path: str, checkpoint: str, available_now: bool = False,
@@ -65,6 +86,28 @@ def stream_ingest(messages: DataFrame, sink_path: str, checkpoint: str, availabl
     return stream_sink(land(messages), sink_path, checkpoint, available_now, processing_time)
 
 
+def stream_rejects(messages: DataFrame, sink_path: str, checkpoint: str, available_now: bool = False,
+                   processing_time: str | None = None) -> StreamingQuery:
+    """The messages that can't be landed, to a table of their own (same guarantees)."""
+    return stream_sink(rejects(messages), sink_path, checkpoint, available_now, processing_time, partition_by=())
+
+
+@dataclass
+class IngestRun:
+    """The two queries of one ingest run."""
+
+    landed: StreamingQuery
+    rejected: StreamingQuery
+
+    def awaitTermination(self) -> None:  # noqa: N802 - the name of Spark's own queries
+        self.landed.awaitTermination()
+        self.rejected.awaitTermination()
+
+    def stop(self) -> None:
+        self.landed.stop()
+        self.rejected.stop()
+
+
 def replay_batch(spark: SparkSession, source_dir: str, sink_path: str, checkpoint: str,
                  files_per_batch: int = 1) -> StreamingQuery:
     """One scheduled run: drain the landed message files not yet seen, then stop."""
@@ -74,72 +117,78 @@ def replay_batch(spark: SparkSession, source_dir: str, sink_path: str, checkpoin
 
 def run_ingest(spark: SparkSession, paths: C.Paths, source_format: str = "kafka", source_options: dict | None = None,
                source_path: str | None = None, checkpoint: str | None = None, available_now: bool = False,
-               processing_time: str | None = None) -> StreamingQuery:
-    """The ingest job: topic (or landed message files) to the landed sensor table."""
-    msgs = stream_source(spark, source_format, dict(source_options or {}), source_path)
+               processing_time: str | None = None) -> IngestRun:
+    """The ingest job: topic (or landed message files) to the landed sensor table and the table of rejected messages."""
     ckpt = checkpoint or f"{paths.root}/_checkpoints/ingest"
-    return stream_ingest(msgs, paths.stream, ckpt, available_now=available_now, processing_time=processing_time)
+    how = {"available_now": available_now, "processing_time": processing_time}
+
+    def messages() -> DataFrame:
+        return stream_source(spark, source_format, dict(source_options or {}), source_path)
+
+    return IngestRun(stream_ingest(messages(), paths.stream, ckpt, **how),
+                     stream_rejects(messages(), paths.rejects, f"{ckpt}-rejects", **how))
 
 
-def score_micro_batch(batch: DataFrame, history: DataFrame | None, model: M.AnomalyModel, run_id: str,
-                      preceding: int = C.ROLLING_PRECEDING) -> tuple[DataFrame, O.Indexed]:
+SCORE_COLS = ["ts"] + C.ANALOGUE_COLS + C.DIGITAL_COLS
+
+
+def newest_rows(rows: DataFrame, n: int) -> DataFrame:
+    """The last ``n`` complete rows in time order (ties by all sensor columns)."""
+    complete = O.drop_incomplete(rows.select(*SCORE_COLS))
+    return complete.orderBy(*[F.col(c).desc() for c in SCORE_COLS]).limit(n)
+
+
+def score_micro_batch(batch: DataFrame, tail: DataFrame | None, model: M.AnomalyModel, run_id: str) -> tuple[DataFrame, O.Indexed]:
     """Predictions for the rows of one micro-batch.
 
-    The rolling features of a new row need the ``preceding`` rows before it,
-    so the newest ``preceding`` complete stored rows (a bounded top-k) are put
-    in front of the batch; only new rows are scored. Late rows are scored with
-    the tail as of arrival; the batch job recomputes them in full order.
-    Returns the predictions and the index to release once they are written.
+    The rolling features of a new row need the rows before it, so the ``tail`` (the newest stored rows by reading time,
+    not by arrival) is put in front of the batch; only new rows are scored. Late rows are scored with the tail as of
+    arrival; the batch job recomputes them in full order. Returns the predictions and the index to release once they
+    are written.
     """
-    cols = ["ts"] + C.ANALOGUE_COLS + C.DIGITAL_COLS
-    new = O.drop_incomplete(batch.select(*cols)).withColumn("_new", F.lit(True))
-    if history is not None:
-        tail = (O.drop_incomplete(history.select(*cols)).orderBy(F.col("ts").desc())
-                .limit(preceding).withColumn("_new", F.lit(False)))
-        new = tail.unionByName(new)
-    indexed = O.row_index(new, order_cols=["ts"])
+    new = O.drop_incomplete(batch.select(*SCORE_COLS)).withColumn("_new", F.lit(True))
+    if tail is not None:
+        new = tail.select(*SCORE_COLS).withColumn("_new", F.lit(False)).unionByName(new)
+    indexed = O.row_index(new, order_cols=SCORE_COLS)
     featured = O.engineer_features(indexed).filter(F.col("_new")).drop("_new")
     scored = M.score(featured, model)
     return P.predictions(scored, model.threshold, F.current_timestamp(), run_id, "stream"), indexed
 
 
-def history_tail(spark: SparkSession, path: str, batch_id: int, need: int = C.ROLLING_PRECEDING,
-                 step: int = 8) -> DataFrame | None:
-    """Stored rows of the most recent earlier batches holding at least ``need`` complete rows.
+def tail_path(history_path: str, batch_id: int) -> str:
+    return f"{history_path.rstrip('/')}-tail/{batch_id}"
 
-    Reads batch partitions newest first, ``step`` batch ids at a time (partition
-    pruning), so a micro-batch never scans the whole history.
-    """
-    if batch_id == 0 or not ingest.table_exists(spark, path):
-        return None
-    stored = spark.read.parquet(path)
-    hi = batch_id - 1
-    while hi >= 0:
-        lo = max(0, hi - step + 1)
-        part = stored.filter((F.col("batch_id") >= lo) & (F.col("batch_id") < batch_id))
-        if lo == 0 or O.drop_incomplete(part.select(*C.FEATURE_COLS)).count() >= need:
-            return part
-        hi, step = lo - 1, step * 2
-    return None
+
+def read_tail(spark: SparkSession, history_path: str, batch_id: int) -> DataFrame | None:
+    """The tail that the batch before left: one small folder, whatever the length of the history."""
+    path = tail_path(history_path, batch_id - 1)
+    return spark.read.parquet(path) if batch_id > 0 and ingest.table_exists(spark, path) else None
 
 
 def stream_score(messages: DataFrame, history_path: str, predictions_path: str, checkpoint: str,
-                 model: M.AnomalyModel, run_id: str, available_now: bool = True) -> StreamingQuery:
-    """Land each micro-batch and append its predictions (idempotent per batch id)."""
+                 model: M.AnomalyModel, run_id: str, available_now: bool = True,
+                 preceding: int = C.ROLLING_PRECEDING) -> StreamingQuery:
+    """Land each micro-batch, append its predictions and keep the newest rows for the next one (idempotent per batch id)."""
     spark = messages.sparkSession
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         rows = land(batch).withColumn("batch_id", F.lit(batch_id)).persist()
+        indexed = None
         try:
-            history = history_tail(spark, history_path, batch_id)
-            preds, indexed = score_micro_batch(rows, history, model, run_id)
+            tail = read_tail(spark, history_path, batch_id)
+            preds, indexed = score_micro_batch(rows, tail, model, run_id)
             (preds.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(predictions_path))
-            indexed.release()
             (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").parquet(history_path))
+            known = rows.select(*SCORE_COLS) if tail is None else rows.select(*SCORE_COLS).unionByName(tail.select(*SCORE_COLS))
+            newest_rows(known, preceding).write.mode("overwrite").parquet(tail_path(history_path, batch_id))
+            if batch_id > 1:
+                drop_path(spark, tail_path(history_path, batch_id - 2))     # a retried batch needs the one before only
         finally:
             rows.unpersist()
+            if indexed is not None:
+                indexed.release()
 
     w = messages.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     if available_now:
