@@ -8,8 +8,8 @@ Tokens are ordered by rarity: how often they occur in different lines, counted i
 ``RARITY`` hashed places (any order that all lines share is exact; a full place only makes a token
 look more common), then by hash. Two similar lines share a token among the first ``n - ceil(0.8 n) + 1``
 of each. Lines that meet in such a token pass the length filter, the positional filter (tokens left
-behind both positions) and a bound from 64-bit sketches; all three only drop pairs that can't reach
-the threshold. The rest is verified.
+behind both positions), a bound from 64-bit sketches and one from the number of tokens that the two
+prefixes share; all four only drop pairs that can't reach the threshold. The rest is verified.
 
 Many variants of one line would give a pair for each two of them. A line is therefore compared with
 the first line of its token group, and with the others only where that first one is ruled out by the
@@ -108,22 +108,38 @@ def _before(a: str, b: str) -> Column:
 
 
 def _pairs(index: DataFrame, left: DataFrame) -> DataFrame:
-    """Pairs of an entry of ``left`` and an earlier one of the index with the same token that pass the filters."""
+    """``(x, y, n_x, n_y)`` for every entry of ``left`` and each earlier one of the index with the same token that passes the filters."""
     right = index.select(*(F.col(c).alias(f"o_{c}") for c in index.columns))
     return left.join(right, (F.col("token") == F.col("o_token")) & _before("o_", "") & may_match("", "o_")).select(
-        F.struct("d", "line").alias("x"), F.struct(F.col("o_d").alias("d"), F.col("o_line").alias("line")).alias("y"))
+        F.struct("d", "line").alias("x"), F.struct(F.col("o_d").alias("d"), F.col("o_line").alias("line")).alias("y"),
+        F.col("n").alias("n_x"), F.col("o_n").alias("n_y"))
+
+
+def enough_shared() -> Column:
+    """Whether ``shared`` common tokens of the prefixes leave the threshold in reach. Of the line whose prefix ends with
+    the more common token, only tokens behind the prefix can be shared besides; the longer of the two ends is taken."""
+    behind = [F.expr(f"({NUM} * {n} + {DEN - 1}) div {DEN} - 1") for n in ("n_x", "n_y")]
+    return (NUM + DEN) * (F.col("shared") + F.greatest(*behind)) >= NUM * (F.col("n_x") + F.col("n_y"))
+
+
+def _counted(pairs: DataFrame, *more: Column) -> DataFrame:
+    return pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("shared"), F.max("n_x").alias("n_x"), F.max("n_y").alias("n_y"), *more)
 
 
 def first_candidates(index: DataFrame) -> DataFrame:
     """``(x, y, by_first)``: candidates with the first line of each token group, or, where the filters rule that one out,
-    with every earlier line of the group."""
+    with every earlier line of the group. A line without candidates of the first kind has met all lines it shares a
+    token with, so how many tokens it shares with each is known and rules out most of them."""
     index = index.repartition("token")          # the window and the join share this exchange
     group = Window.partitionBy("token").orderBy("d", "line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     seen = index.withColumn("first", F.first(F.struct("d", "line", "n", "pos", "sketch")).over(group)).where(_before("first.", ""))
     likely = may_match("", "first.")
-    near = seen.where(likely).select(F.struct("d", "line").alias("x"), F.struct("first.d", "first.line").alias("y"), F.lit(True).alias("by_first"))
-    rest = _pairs(index, seen.where(~likely).drop("first"))
-    return near.union(rest.withColumn("by_first", F.lit(False))).groupBy("x", "y").agg(F.max("by_first").alias("by_first"))
+    near = seen.where(likely).select(F.struct("d", "line").alias("x"), F.struct("first.d", "first.line").alias("y"),
+                                     F.col("n").alias("n_x"), F.col("first.n").alias("n_y"), F.lit(True).alias("by_first"))
+    rest = _pairs(index, seen.where(~likely).drop("first")).withColumn("by_first", F.lit(False))
+    met = write_table(_counted(near.union(rest), F.max("by_first").alias("by_first")), "line-meetings")
+    partly = met.where("by_first").select("x", F.lit(True).alias("partly")).distinct()
+    return met.join(partly, "x", "left").where(F.col("partly") | enough_shared()).select("x", "y", "by_first")
 
 
 def _thinned(classes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -161,7 +177,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     open_ = write_table(pairs.where("by_first").select("x").distinct().join(found, "x", "left_anti"), "line-open")
     if open_.limit(1).count():
         left = index.join(open_.select("x.d", "x.line"), ["d", "line"], "left_semi").select(*index.columns)
-        again = write_table(_pairs(index, left).distinct().join(pairs.select("x", "y"), ["x", "y"], "left_anti"), "line-pairs")
+        again = write_table(_counted(_pairs(index, left)).where(enough_shared()).select("x", "y").join(pairs.select("x", "y"), ["x", "y"], "left_anti"), "line-pairs")
         found = found.union(verified(again, classes).select("x").distinct())
     firsts = classes.select("h", "g", F.col("d").alias("first_d"), F.col("line").alias("first_line"))
     copies = lines.where(F.col("text").rlike(A_WORD)).select("d", "line", *_line_key()).join(firsts, ["h", "g"]).where(
