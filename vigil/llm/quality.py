@@ -61,7 +61,8 @@ def gram_weights(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) ->
     """Log ratio of target and raw share of every bucket, each with one added; zeros if nothing is trusted.
     ``trusted`` has the ids of the target documents."""
     names = trusted.select(F.col("doc_id").alias("_trusted")).where("_trusted is not null").distinct()
-    marked = docs.select("doc_id", "text").join(names, F.col("doc_id") == F.col("_trusted"), "left")
+    # both sides grow with the corpus: dealt by id at any size
+    marked = docs.select("doc_id", "text").join(names.hint("merge"), F.col("doc_id") == F.col("_trusted"), "left")
     found = marked.select(F.col("_trusted").isNotNull().alias("good"), F.explode(let(words(F.col("text")), lambda w: grams(w, buckets))).alias("bucket"))
     counts = found.groupBy("bucket").agg(F.count("*").alias("raw"), F.count_if("good").alias("target")).collect()    # one row a bucket
     raw, target = [1] * buckets, [1] * buckets
