@@ -49,7 +49,7 @@ def test_replay_lands_every_message_once(spark, tmp_dir, sizes):
     assert "ingested_at" in landed.columns
 
 
-def test_bad_messages_are_not_landed(spark, tmp_dir):
+def test_only_undecodable_messages_and_blank_times_are_rejected(spark, tmp_dir):
     src, sink, ckpt = (os.path.join(tmp_dir, x) for x in ("src", "sink", "ckpt"))
     os.makedirs(src)
     with open(os.path.join(src, "m.json"), "w") as f:
@@ -58,8 +58,44 @@ def test_bad_messages_are_not_landed(spark, tmp_dir):
         f.write(json.dumps({"timestamp": "2024-01-01 00:00:10", "TP2": "x"}) + "\n")
         f.write(json.dumps({"timestamp": "", "TP2": 1.0}) + "\n")
     replay_batch(spark, src, sink, ckpt).awaitTermination()
-    rows = spark.read.parquet(sink).collect()
-    assert len(rows) == 1 and rows[0].COMP == 1 and rows[0].TP2 == 9.0
+    rows = spark.read.parquet(sink).orderBy("ts").collect()
+    assert len(rows) == 2 and rows[0].COMP == 1 and rows[0].TP2 == 9.0
+    assert rows[1].TP2 is None and str(rows[1].ts) == "2024-01-01 00:00:10"
+    from vigil.streaming.ingest import message_counts, rejects
+    msgs = spark.read.text(src)
+    assert sorted((r.reason, r.raw[:7]) for r in rejects(msgs).collect()) == [("no_timestamp", '{"times'), ("not_json", "{broken")]
+    assert tuple(message_counts(msgs).first()) == (2, 2)
+
+
+def test_the_callers_batch_size_wins():
+    from vigil.streaming.ingest import source_options
+    assert "maxOffsetsPerTrigger" not in source_options("kafka", {})
+    assert source_options("kafka", {"maxOffsetsPerTrigger": "9", "startingOffsets": "latest"}) == {
+        "maxOffsetsPerTrigger": "9", "startingOffsets": "latest"}
+
+
+def test_late_batches_do_not_spoil_on_time_rows(spark, tmp_dir):
+    """400 rows, then 9 late batches of old rows, then on-time rows: these see the newest stored rows by reading time."""
+    sensors = sensor_table(spark, SF_SMALL)
+    rows = [r.asDict() for r in O.drop_incomplete(sensors).orderBy("ts", "event_id").collect()]
+    late, first, last = rows[:270], rows[270:670], rows[670:750]
+    src = os.path.join(tmp_dir, "src")
+    os.makedirs(src)
+    for i, part in enumerate([first, *(late[k:k + 30] for k in range(0, 270, 30)), last, rows[750:800]]):
+        with open(os.path.join(src, f"b{i:02d}.json"), "w") as f:
+            for r in part:
+                f.write(json.dumps({"timestamp": str(r["ts"]), **{c: r[c] for c in C.ANALOGUE_COLS + C.DIGITAL_COLS}}) + "\n")
+        os.utime(os.path.join(src, f"b{i:02d}.json"), (1_700_000_000 + i * 60,) * 2)
+    from vigil.plans.fixture_model import fixed_model
+    stream_score(stream_source(spark, "text", {"maxFilesPerTrigger": "1"}, src), os.path.join(tmp_dir, "hist"),
+                 os.path.join(tmp_dir, "preds"), os.path.join(tmp_dir, "ckpt"), fixed_model().with_threshold(5.0), "late").awaitTermination()
+    got = {r.source_timestamp: r.rolling_mean_TP2 for r in spark.read.parquet(os.path.join(tmp_dir, "preds")).collect()}
+    assert len(got) == 800
+    on_time = first + last + rows[750:800]
+    for i in range(400, len(on_time)):
+        frame = [r["TP2"] for r in on_time[i - 180:i + 1]]
+        assert abs(got[on_time[i]["ts"]] - sum(frame) / 181) < 1e-9
+    assert sorted(os.listdir(os.path.join(tmp_dir, "hist-tail"))) == ["10", "11"]
 
 
 def test_stream_scoring_agrees_with_batch(spark, tmp_dir):
