@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 
 tokenizers = pytest.importorskip("tokenizers")
 
+from odd_tables import docs_of  # noqa: E402,F401
 from vigil.llm.bpe import PairIndexCodec, bpe_decode, bpe_encode, codec, op1_bpe, tokenizer_path  # noqa: E402
 
 HARD = ["", " ", "a<|endoftext|>b <|startoftext|><|startoftext|>", "İstanbul ΣΑΣ ς x\x1cy\x85z é ́a", "漢字テスト 👩‍👩‍👧", "aaaa aaaaaaaa",

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from odd_tables import docs_of  # noqa: E402,F401
 from vigil.llm.common import table
 from vigil.llm.components import connected_components
 from vigil.llm.linededup import line_dedup, removed_lines

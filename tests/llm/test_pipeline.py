@@ -4,6 +4,7 @@ from collections import Counter
 
 import pytest
 
+from odd_tables import docs_of  # noqa: E402,F401
 import corpus_pipeline
 from test_brute import WORD, slow_components, slow_fingerprint, slow_targets
 from vigil.llm.common import table

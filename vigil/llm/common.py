@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
 import zipfile
 from collections.abc import Iterator
 
@@ -12,6 +12,8 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigil.session import ensure_checkpoint_dir
+
 #: Fixed by the contracts: a word is a run of characters other than space and the controls 9 to 13.
 WORD_GAP = r"[\x20\x09-\x0D]+"
 
@@ -21,8 +23,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the package to the Python workers (once a session), as ``--py-files`` would: Spark's file server sends it
-    to executors that have no copy of this repository."""
+    """Give the package to the Python workers (once a session), as ``--py-files`` would: executors that have no copy of
+    this repository get it from the shared checkpoint folder."""
     sc = spark.sparkContext
     if getattr(sc, "_vigil_shipped", False):
         return
@@ -30,12 +32,16 @@ def ship(spark: SparkSession) -> None:
 
     top = os.path.dirname(os.path.abspath(vigil.__file__))
     if os.path.isdir(top):
-        path = os.path.join(tempfile.mkdtemp(prefix="vigil-py-"), "vigil_package.zip")
-        with zipfile.ZipFile(path, "w") as z:
+        held = io.BytesIO()
+        with zipfile.ZipFile(held, "w") as z:
             for folder, _, names in os.walk(top):
                 for name in sorted(n for n in names if n.endswith(".py")):
                     z.write(full := os.path.join(folder, name), os.path.relpath(full, os.path.dirname(top)))
-        sc.addPyFile(path)
+        path = sc._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark)}/vigil_package.zip")
+        out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path)
+        out.write(bytearray(held.getvalue()))
+        out.close()
+        sc.addPyFile(path.toString())
     sc._vigil_shipped = True
 
 
