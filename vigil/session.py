@@ -69,17 +69,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), path: str | None = None) -> DataFrame:
     """Cut lineage by writing ``df`` once as parquet under the shared checkpoint folder and reading it back.
 
     The plan runs once; the result is columnar (pruning, pushdown) and optionally partitioned.
     """
-    path = path or table_path(df.sparkSession, name)
+    spark = df.sparkSession
+    path = path or table_path(spark, name)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    kept = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")            # the table stands for the plan: its shuffle files can go at once
+    try:
+        w.parquet(path)
+    finally:
+        if kept is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, kept)
+    return spark.read.parquet(path)
 
 
 def table_path(spark: SparkSession, name: str) -> str:
