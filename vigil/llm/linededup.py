@@ -88,7 +88,7 @@ def prefix_index(classes: DataFrame, rarity: list[int]) -> DataFrame:
                              F.posexplode(F.slice(ordered, 1, prefix)).alias("pos", "key"))
     # nothing is null here; saying so keeps the optimizer from putting different filters before the one exchange
     return entries.select(F.coalesce(F.col("key").bitwiseAND(F.lit(0xFFFFFFFF)), F.lit(0)).alias("token"),
-                          *(F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("d", "line", "n", "pos", "sketch")))
+                          *(F.coalesce(F.col(c), F.lit(0).cast(entries.schema[c].dataType)).alias(c) for c in ("d", "line", "n", "pos", "sketch")))
 
 
 def may_match(a: str, b: str) -> Column:
