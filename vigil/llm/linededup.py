@@ -8,7 +8,7 @@ Tokens are ordered by rarity: how often they occur in different lines, counted i
 ``RARITY`` hashed places (any order that all lines share is exact; a full place only makes a token
 look more common), then by hash. Two similar lines share a token among the first ``n - ceil(0.8 n) + 1``
 of each. Lines that meet in such a token pass the length filter, the positional filter (tokens left
-behind both positions), a bound from 64-bit sketches and one from the number of tokens that the two
+behind both positions), a bound from 128-bit sketches and one from the number of tokens that the two
 prefixes share; all four only drop pairs that can't reach the threshold. The rest is verified.
 
 Many variants of one line would give a pair for each two of them. A line is therefore compared with
@@ -78,25 +78,30 @@ def _literal(numbers: list[int], kind: str) -> Column:
 
 
 def prefix_index(classes: DataFrame, rarity: list[int]) -> DataFrame:
-    """``(token, d, line, n, pos, sketch)`` for the tokens of every line's prefix; pos counts from 0."""
+    """``(token, d, line, n, pos, s1, s2)`` for the tokens of every line's prefix; pos counts from 0."""
     known = _literal(rarity, "long")
     ordered = F.sort_array(F.transform("tokens", lambda t: F.shiftleft(F.get(known, _place(t)), 32).bitwiseOR(
         t.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))))
     prefix = F.expr(f"size(tokens) - ({NUM} * size(tokens) + {DEN - 1}) div {DEN} + 1").cast("int")
-    sketch = F.aggregate("tokens", F.lit(0).cast("long"), lambda a, t: a.bitwiseOR(_shift(t.bitwiseAND(F.lit(63)))))
-    entries = classes.select("d", "line", F.size("tokens").alias("n"), sketch.alias("sketch"),
+
+    def sketch(half: int) -> Column:
+        """The tokens' bits 0 to 63 or 64 to 127."""
+        return F.aggregate("tokens", F.lit(0).cast("long"), lambda a, t: F.when(
+            t.bitwiseAND(F.lit(64)) == half, a.bitwiseOR(_shift(t.bitwiseAND(F.lit(63))))).otherwise(a))
+
+    entries = classes.select("d", "line", F.size("tokens").alias("n"), sketch(0).alias("s1"), sketch(64).alias("s2"),
                              F.posexplode(F.slice(ordered, 1, prefix)).alias("pos", "key"))
     # nothing is null here; saying so keeps the optimizer from putting different filters before the one exchange
     return entries.select(F.coalesce(F.col("key").bitwiseAND(F.lit(0xFFFFFFFF)), F.lit(0)).alias("token"),
-                          *(F.coalesce(F.col(c), F.lit(0).cast(entries.schema[c].dataType)).alias(c) for c in ("d", "line", "n", "pos", "sketch")))
+                          *(F.coalesce(F.col(c), F.lit(0).cast(entries.schema[c].dataType)).alias(c) for c in ("d", "line", "n", "pos", "s1", "s2")))
 
 
 def may_match(a: str, b: str) -> Column:
     """Length, positional and sketch filter between the index entries ``a`` and ``b`` (column prefixes)."""
-    c = {f"{k}_{s}": F.col(f"{x}{k}") for s, x in (("a", a), ("b", b)) for k in ("n", "pos", "sketch")}
+    c = {f"{k}_{s}": F.col(f"{x}{k}") for s, x in (("a", a), ("b", b)) for k in ("n", "pos", "s1", "s2")}
     both = c["n_a"] + c["n_b"]
     reach = F.least(c["pos_a"], c["pos_b"]) + F.least(c["n_a"] - c["pos_a"], c["n_b"] - c["pos_b"])
-    apart = F.bit_count(c["sketch_a"].bitwiseXOR(c["sketch_b"]))       # a bit of one sketch only: a token of one line only
+    apart = F.bit_count(c["s1_a"].bitwiseXOR(c["s1_b"])) + F.bit_count(c["s2_a"].bitwiseXOR(c["s2_b"]))      # a bit of one sketch only: a token of one line only
     # overlap >= NUM / (NUM + DEN) * both is what the threshold asks for
     return ((DEN * F.least(c["n_a"], c["n_b"]) >= NUM * F.greatest(c["n_a"], c["n_b"])) & ((NUM + DEN) * reach >= NUM * both)
             & ((NUM + DEN) * (both - apart) >= 2 * NUM * both))
@@ -132,7 +137,7 @@ def first_candidates(index: DataFrame) -> DataFrame:
     token with, so how many tokens it shares with each is known and rules out most of them."""
     index = index.repartition("token")          # the window and the join share this exchange
     group = Window.partitionBy("token").orderBy("d", "line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    seen = index.withColumn("first", F.first(F.struct("d", "line", "n", "pos", "sketch")).over(group)).where(_before("first.", ""))
+    seen = index.withColumn("first", F.first(F.struct("d", "line", "n", "pos", "s1", "s2")).over(group)).where(_before("first.", ""))
     likely = may_match("", "first.")
     near = seen.where(likely).select(F.struct("d", "line").alias("x"), F.struct("first.d", "first.line").alias("y"),
                                      F.col("n").alias("n_x"), F.col("first.n").alias("n_y"), F.lit(True).alias("by_first"))
