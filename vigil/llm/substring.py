@@ -2,20 +2,25 @@
 
 A text is cut into units: at line ends and, because passages are also pasted into the middle of
 a line, after a full stop, question or exclamation mark and before a capitalised word. Every
-unit is normalised (lower case, white space) and hashed to 128 bits. Digests are grouped over
-the whole corpus; the occurrence with the smallest (doc_id, unit) is kept, all others are
-repeats. Repeats that follow each other in a document are one span, and spans of at least
-``MIN_WORDS`` words are removed. Spans keep their offsets in the original text.
-
-Only a digest's first occurrence and its count are gathered, by partial aggregation, so a unit
+unit is normalised (lower case, white space). The shortest ranges of neighbouring units with
+``MIN_WORDS`` words, from each unit on and up to each unit, are windows, hashed to 128 bits. Digests
+are grouped over the whole corpus; the occurrence with the smallest (doc_id, unit) is kept, all
+others are repeats (a text that goes round in a circle keeps its first round). So a unit goes only as part of a sequence that stands
+elsewhere as a whole, however often it occurs by itself; and as windows cover every longer
+range, all units of a repeated sequence of ``MIN_WORDS`` words go. Windows that overlap or touch
+are one span. Spans keep their offsets in the original text.
+
+Only a digest's first occurrence and its count are gathered, by partial aggregation, so a window
 that a third of all documents share is one row. Null and empty texts have no units. Rows with a
-null id come last in rank; rows that share an id are one document, whose equal units are kept.
+null id come last in rank; rows that share an id are one document.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -28,56 +33,89 @@ CUTS = r"\n+|(?<=[.!?])\s+|\s+(?=\p{Lu})"
 SLICE_BYTES = 4 << 20
 
 
-def units_of(text: str, cutter) -> Iterator[tuple[int, int, int, bytes]]:
-    """Start, end, number of words and digest of each unit with a word."""
-    import xxhash
-
+def units_of(text: str, cutter) -> Iterator[tuple[int, int, int, str]]:
+    """Start, end, number of words and normalised text of each unit with a word."""
     at = 0
     for end, after in [*((m.start(), m.end()) for m in cutter.finditer(text)), (len(text), len(text))]:
         words = text[at:end].lower().split()
         if words:
-            yield at, end, len(words), xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass"))
+            yield at, end, len(words), " ".join(words)
         at = after
 
 
-def text_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, unit, start, end, n_words, digest)`` of all units of all texts."""
+def windows_of(counts: list[int], least: int) -> list[tuple[int, int]]:
+    """The shortest ranges ``(from, to)`` of units with ``least`` words, one from each unit on and one up to each unit, as far
+    as the text has them. Any range with ``least`` words is covered by those inside it."""
+    out = set()
+    to = total = 0
+    for at, n in enumerate(counts):
+        while to < len(counts) and total < least:
+            total += counts[to]
+            to += 1
+        if total < least:
+            break
+        out.add((at, to))
+        total -= n
+    at = total = 0
+    for to, n in enumerate(counts, 1):
+        total += n
+        while total - counts[at] >= least:
+            total -= counts[at]
+            at += 1
+        if total >= least:
+            out.add((at, to))
+    return sorted(out)
+
+
+def text_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """``(id, unit, to, start, end, before, n_words, h, g)`` of all windows of all texts: the first unit and the one behind the
+    last, offsets, words of the text before it and in it, and the digest."""
     ship(docs.sparkSession)
-    names = ["id", "unit", "start", "end", "n_words", "digest"]
-    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    names = ["id", "unit", "to", "start", "end", "before", "n_words", "h", "g"]
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
+        import xxhash
 
         cutter = regex.compile(CUTS)
         for batch in small_slices(batches, "text", SLICE_BYTES):
             ids = batch.column("id")
-            rows, cols = [], [[] for _ in kinds]
+            rows, cols, digests = [], [[] for _ in kinds], []
             for i, text in enumerate(batch.column("text").to_pylist()):
-                for n, unit in enumerate(units_of(text or "", cutter)):
+                units = list(units_of(text or "", cutter))
+                counts = [n for _, _, n, _ in units]
+                sums = [0, *itertools.accumulate(counts)]
+                for at, to in windows_of(counts, min_words):
                     rows.append(i)
-                    for col, value in zip(cols, (n, *unit), strict=True):
+                    words = " ".join([u[3] for u in units[at:to]])
+                    digests.append(xxhash.xxh3_128_digest(words.encode("utf-8", "surrogatepass")))
+                    for col, value in zip(cols, (at, to, units[at][0], units[to - 1][1], sums[at], sums[to] - sums[at]), strict=True):
                         col.append(value)
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows, pa.int32())), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=names)
+            halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows, pa.int32())), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True)),
+                                              pa.array(halves[:, 0]), pa.array(halves[:, 1])], names=names)
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"id {kind}, unit int, start long, end long, n_words int, digest binary")
+        run, f"id {kind}, unit int, to int, start long, end long, before int, n_words int, h long, g long")
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``(id_col, start, end, n_words, kept_id, kept_start)``: spans to remove, in code points with ``end`` exclusive, and
-    where the first unit of each is kept."""
-    units = write_table(text_units(docs, id_col, text_col), "units")
+    where the first window of each is kept."""
+    windows = write_table(text_windows(docs, id_col, text_col, min_words), "windows")
     place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "unit", "start")
-    first = units.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    later = units.join(first, "digest").where(~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("unit") == F.col("first.unit"))))
-    order = Window.partitionBy("id").orderBy("unit")
-    runs = later.select("id", "unit", "start", "end", "n_words", "first",
-                        (F.col("unit") - F.row_number().over(order)).alias("run"))
+    # written, so that the shuffle files of the grouping are gone before the join has its own
+    first = write_table(windows.groupBy("h", "g").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "firsts")
+    later = windows.join(first, ["h", "g"]).where(~F.col("id").eqNullSafe(F.col("first.id")) | (F.col("unit") != F.col("first.unit")))
+    order = Window.partitionBy("id").orderBy("unit", "to")
+    reach = F.max("to").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    apart = later.withColumn("apart", F.coalesce(F.col("unit") > reach, F.lit(True)).cast("int"))
+    runs = apart.withColumn("run", F.sum("apart").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     spans = runs.groupBy("id", "run").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n_words").alias("n_words"),
-        F.min_by("first", "unit").alias("kept")).where(F.col("n_words") >= min_words)
+        F.min("start").alias("start"), F.max("end").alias("end"),
+        (F.max(F.col("before") + F.col("n_words")) - F.min("before")).cast("long").alias("n_words"), F.min_by("first", "unit").alias("kept"))
     return spans.select(F.col("id").alias(id_col), "start", "end", "n_words", F.col("kept.id").alias("kept_id"), F.col("kept.start").alias("kept_start"))
 
 
