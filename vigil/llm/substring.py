@@ -8,7 +8,8 @@ are grouped over the whole corpus; the occurrence with the smallest (doc_id, uni
 others are repeats (a text that goes round in a circle keeps its first round). So a unit goes only as part of a sequence that stands
 elsewhere as a whole, however often it occurs by itself; and as windows cover every longer
 range, all units of a repeated sequence of ``MIN_WORDS`` words go. Windows that overlap or touch
-are one span. Spans keep their offsets in the original text.
+are one span. Lines are windows as well, whatever their length: every line that equals an earlier
+whole line goes. Spans keep their offsets in the original text.
 
 Only a digest's first occurrence and its count are gathered, by partial aggregation, so a window
 that a third of all documents share is one row. Null and empty texts have no units. Rows with a
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from vigil.llm.common import packed, ship, small_slices, table, unpacked
 from vigil.session import write_table
 
-MIN_WORDS = 40              # words of the shortest span that is removed
+MIN_WORDS = 10              # words of the shortest window; whole lines of any length are removed
 CUTS = r"\n+|(?<=[.!?])\s+|\s+(?=\p{Lu})"
 SLICE_BYTES = 4 << 20
 
@@ -67,9 +68,19 @@ def windows_of(counts: list[int], least: int) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def lines_of(units: list[tuple[int, int, int, str]], text: str) -> Iterator[tuple[int, int]]:
+    """The ranges ``(from, to)`` of units that are the lines of the text."""
+    at = 0
+    for to in range(1, len(units) + 1):
+        if to == len(units) or text.find("\n", units[to - 1][1], units[to][0]) >= 0:
+            yield at, to
+            at = to
+
+
 def text_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """``(id, unit, to, start, end, before, n_words, h, g)`` of all windows of all texts: the first unit and the one behind the
-    last, offsets, words of the text before it and in it, and the digest."""
+    """``(id, unit, to, start, end, before, n_words, h, g)`` of all windows and lines of all texts: the first unit and the one
+    behind the last, offsets, words of the text before it and in it, and the digest. Lines of fewer words than a window
+    have digests of their own, so that they only meet whole lines."""
     ship(docs.sparkSession)
     names = ["id", "unit", "to", "start", "end", "before", "n_words", "h", "g"]
     kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
@@ -86,9 +97,11 @@ def text_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 units = list(units_of(text or "", cutter))
                 counts = [n for _, _, n, _ in units]
                 sums = [0, *itertools.accumulate(counts)]
-                for at, to in windows_of(counts, min_words):
+                for at, to in sorted({*windows_of(counts, min_words), *lines_of(units, text or "")}):
                     rows.append(i)
                     words = " ".join([u[3] for u in units[at:to]])
+                    if sums[to] - sums[at] < min_words:
+                        words = "\n" + words
                     digests.append(xxhash.xxh3_128_digest(words.encode("utf-8", "surrogatepass")))
                     for col, value in zip(cols, (at, to, units[at][0], units[to - 1][1], sums[at], sums[to] - sums[at]), strict=True):
                         col.append(value)
