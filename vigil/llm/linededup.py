@@ -17,13 +17,15 @@ filters; a line whose candidates all fail verification is then compared with all
 candidates the earliest is verified first, the others only if it fails. So every line finds an earlier partner if there is one, and a hot group stays linear.
 
 Only DataFrame functions run on the main path. Lines without a word stay. Documents without an id
-stay as they are and take no part; rows that share an id count as one document. Null texts stay null.
+stay as they are and take no part; rows that share an id count as one document, in ``line_dedup`` only if
+their texts are equal. Null texts stay null.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from vigil.llm.common import WORD_GAP, packed, table, unpacked
 from vigil.llm.quality import let
@@ -92,8 +94,12 @@ def prefix_index(classes: DataFrame, rarity: list[int]) -> DataFrame:
     entries = classes.select("d", "line", F.size("tokens").alias("n"), sketch(0).alias("s1"), sketch(64).alias("s2"),
                              F.posexplode(F.slice(ordered, 1, prefix)).alias("pos", "key"))
     # nothing is null here; saying so keeps the optimizer from putting different filters before the one exchange
+    def filled(c: str) -> Column:
+        kind = entries.schema[c].dataType
+        return F.col(c) if isinstance(kind, StructType) else F.coalesce(F.col(c), F.lit(0).cast(kind)).alias(c)
+
     return entries.select(F.coalesce(F.col("key").bitwiseAND(F.lit(0xFFFFFFFF)), F.lit(0)).alias("token"),
-                          *(F.coalesce(F.col(c), F.lit(0).cast(entries.schema[c].dataType)).alias(c) for c in ("d", "line", "n", "pos", "s1", "s2")))
+                          *(filled(c) for c in ("d", "line", "n", "pos", "s1", "s2")))
 
 
 def may_match(a: str, b: str) -> Column:
@@ -199,9 +205,13 @@ def _flags(gone: Column) -> Column:
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without their removed lines; all columns stay, texts of other documents are untouched."""
-    gone = removed_lines(docs, id_col, text_col).groupBy("d").agg(F.collect_set("line").alias("_gone"))    # at most a document's lines
-    joined = packed(docs).join(gone, F.col(f"row.`{id_col}`") == F.col("d"), "left")
-    before = F.col(f"row.`{text_col}`")
+    before, key = F.col(f"row.`{text_col}`"), F.col(f"row.`{id_col}`")
+    ids = docs.select(F.col(f"`{id_col}`").alias("d")).where("d is not null")
+    if ids.groupBy("d").count().where("count > 1").limit(1).count():     # ids don't name the rows: the text does besides
+        key = F.when(key.isNotNull(), F.struct(key.alias("id"), F.xxhash64(before).alias("h")))
+    keyed = packed(docs).select(key.alias("key"), before.alias("text"))
+    gone = removed_lines(keyed, "key", "text").groupBy("d").agg(F.collect_set("line").alias("_gone"))    # at most a document's lines
+    joined = packed(docs).join(gone, key == F.col("d"), "left")
     # one flag for each line up to the last removed one, so that a line is looked up by its number
     flags = let(F.sort_array("_gone"), _flags)
     kept = let(flags, lambda f: F.array_join(F.filter(F.split(before, "\n"), lambda _, i: ~F.coalesce(F.get(f, i), F.lit(False))), "\n"))

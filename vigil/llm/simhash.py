@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm.common import ship, small_slices, table, text_bytes
+from vigil.llm.common import packed, ship, small_slices, table, text_bytes, unpacked
 from vigil.llm.components import connected_components
 from vigil.session import write_table
 
@@ -135,11 +135,12 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """One row of each component: the document whose id names it. Documents without an id all stay."""
-    named = docs.where("doc_id is not null")
-    found = simhash_components(named, shingle=shingle, radius=radius)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    return named.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns).union(docs.where("doc_id is null"))
+    """One row of each component: the document whose id names it. Documents without an id all stay. Rows that share an id
+    and have different texts are told apart by a hash of the text, so that each names a component of its own."""
+    named = packed(docs.where("doc_id is not null")).withColumn("key", F.struct("row.doc_id", F.xxhash64("row.text").alias("h")))
+    found = simhash_components(named.select("key", F.col("row.text").alias("text")), "key", shingle=shingle, radius=radius)
+    kept = found.where("key = component_id").select("key").distinct()
+    return unpacked(named.join(kept, "key", "left_semi").dropDuplicates(["key"]), docs.columns).union(docs.where("doc_id is null"))
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
