@@ -13,7 +13,8 @@ whole line goes. Spans keep their offsets in the original text.
 
 Only a digest's first occurrence and its count are gathered, by partial aggregation, so a window
 that a third of all documents share is one row. Null and empty texts have no units. Rows with a
-null id come last in rank; rows that share an id are one document.
+null id come last in rank; rows that share an id (or have none) are told apart by a hash of their texts, so
+that only rows with equal texts are one document.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vigil.llm.common import packed, ship, small_slices, table, unpacked
+from vigil.llm.common import ship, small_slices, table, unpacked
 from vigil.session import write_table
 
 MIN_WORDS = 10              # words of the shortest window; whole lines of any length are removed
@@ -77,12 +78,19 @@ def lines_of(units: list[tuple[int, int, int, str]], text: str) -> Iterator[tupl
             at = to
 
 
-def text_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """``(id, unit, to, start, end, before, n_words, h, g)`` of all windows and lines of all texts: the first unit and the one
+def row_key(docs: DataFrame, id_col: str, text_col: str) -> Column:
+    """What tells rows with one id apart: a hash of the text if an id (or none) stands in several rows, else 0."""
+    ids = docs.select(F.col(f"`{id_col}`").alias("id")).groupBy("id").count()
+    return F.xxhash64(F.col(f"`{text_col}`")) if ids.where("count > 1").limit(1).count() else F.lit(0).cast("long")
+
+
+def text_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
+                 key: Column | None = None) -> DataFrame:
+    """``(id, key, unit, to, start, end, before, n_words, h, g)`` of all windows and lines of all texts: the first unit and the one
     behind the last, offsets, words of the text before it and in it, and the digest. Lines of fewer words than a window
     have digests of their own, so that they only meet whole lines."""
     ship(docs.sparkSession)
-    names = ["id", "unit", "to", "start", "end", "before", "n_words", "h", "g"]
+    names = ["id", "key", "unit", "to", "start", "end", "before", "n_words", "h", "g"]
     kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,7 +99,7 @@ def text_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
         cutter = regex.compile(CUTS)
         for batch in small_slices(batches, "text", SLICE_BYTES):
-            ids = batch.column("id")
+            ids, keys = batch.column("id"), batch.column("key")
             rows, cols, digests = [], [[] for _ in kinds], []
             for i, text in enumerate(batch.column("text").to_pylist()):
                 units = list(units_of(text or "", cutter))
@@ -106,29 +114,37 @@ def text_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     for col, value in zip(cols, (at, to, units[at][0], units[to - 1][1], sums[at], sums[to] - sums[at]), strict=True):
                         col.append(value)
             halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows, pa.int32())), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True)),
+            at_rows = pa.array(rows, pa.int32())
+            yield pa.RecordBatch.from_arrays([ids.take(at_rows), keys.take(at_rows), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True)),
                                               pa.array(halves[:, 0]), pa.array(halves[:, 1])], names=names)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"id {kind}, unit int, to int, start long, end long, before int, n_words int, h long, g long")
+    key = row_key(docs, id_col, text_col) if key is None else key
+    return docs.select(F.col(id_col).alias("id"), key.alias("key"), F.col(text_col).alias("text")).mapInArrow(
+        run, f"id {kind}, key long, unit int, to int, start long, end long, before int, n_words int, h long, g long")
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """``(id_col, start, end, n_words, kept_id, kept_start)``: spans to remove, in code points with ``end`` exclusive, and
-    where the first window of each is kept."""
-    windows = write_table(text_windows(docs, id_col, text_col, min_words), "windows")
-    place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "unit", "start")
+def keyed_spans(docs: DataFrame, key: Column, id_col: str, text_col: str, min_words: int) -> DataFrame:
+    """``(id, key, start, end, n_words, kept)``; a row is named by its id and ``key``."""
+    windows = write_table(text_windows(docs, id_col, text_col, min_words, key), "windows")
+    place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "key", "unit", "start")
     # written, so that the shuffle files of the grouping are gone before the join has its own
     first = write_table(windows.groupBy("h", "g").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "firsts")
-    later = windows.join(first, ["h", "g"]).where(~F.col("id").eqNullSafe(F.col("first.id")) | (F.col("unit") != F.col("first.unit")))
-    order = Window.partitionBy("id").orderBy("unit", "to")
+    later = windows.join(first, ["h", "g"]).where(
+        ~F.col("id").eqNullSafe(F.col("first.id")) | (F.col("key") != F.col("first.key")) | (F.col("unit") != F.col("first.unit")))
+    order = Window.partitionBy("id", "key").orderBy("unit", "to")
     reach = F.max("to").over(order.rowsBetween(Window.unboundedPreceding, -1))
     apart = later.withColumn("apart", F.coalesce(F.col("unit") > reach, F.lit(True)).cast("int"))
     runs = apart.withColumn("run", F.sum("apart").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    spans = runs.groupBy("id", "run").agg(
+    return runs.groupBy("id", "key", "run").agg(
         F.min("start").alias("start"), F.max("end").alias("end"),
         (F.max(F.col("before") + F.col("n_words")) - F.min("before")).cast("long").alias("n_words"), F.min_by("first", "unit").alias("kept"))
+
+
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """``(id_col, start, end, n_words, kept_id, kept_start)``: spans to remove, in code points with ``end`` exclusive, and
+    where the first window of each is kept."""
+    spans = keyed_spans(docs, row_key(docs, id_col, text_col), id_col, text_col, min_words)
     return spans.select(F.col("id").alias(id_col), "start", "end", "n_words", F.col("kept.id").alias("kept_id"), F.col("kept.start").alias("kept_start"))
 
 
@@ -142,9 +158,11 @@ def without(text: Column, spans: Column) -> Column:
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """The documents with repeated passages cut out of ``text_col``; other columns stay as they are."""
-    spans = repeated_spans(docs, id_col, text_col, min_words).groupBy(F.col(id_col).alias("_span_id")).agg(
+    key = row_key(docs, id_col, text_col)
+    spans = keyed_spans(docs, key, id_col, text_col, min_words).groupBy(F.col("id").alias("_span_id"), F.col("key").alias("_span_key")).agg(
         F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_spans"))
-    joined = packed(docs).join(spans, F.col(f"row.`{id_col}`").eqNullSafe(F.col("_span_id")), "left")
+    joined = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), key.alias("_key")).join(
+        spans, F.col(f"row.`{id_col}`").eqNullSafe(F.col("_span_id")) & (F.col("_key") == F.col("_span_key")), "left")
     text = F.col(f"row.`{text_col}`")
     return unpacked(joined, docs.columns, **{text_col: F.when(F.col("_spans").isNull(), text).otherwise(without(text, F.col("_spans")))})
 
