@@ -1,8 +1,9 @@
 """Alignment of two tokenizers' tokens over whole texts, by whitespace-token anchors.
 
-A block of texts is tokenized by both. Offsets where a space-marked token starts in both, so that both have a token
+Texts are tokenized by both, whole. Offsets where a space-marked token starts in both, so that both have a token
 that ends there, are the anchors; the joined token bytes of both are compared with the text before, so an anchor's
-offset is the same place in it. Anchors cut a document into windows of token ids. A window's alignment hangs on its
+offset is the same place in it. Anchors cut a document into windows of token ids. Runs of text between single spaces that
+return are not tokenized again: no token reaches over such a space, so their windows are looked up in a bounded table per worker. A window's alignment hangs on its
 ids alone, so it is looked up by its two id tuples in a bounded table per worker; windows that are not there, or too
 long to keep, are walked along the ends of their tokens. It gives groups (cut where tokens of both end) and links
 (pairs of tokens that share a byte).
@@ -20,10 +21,13 @@ Empty tables give empty results.
 from __future__ import annotations
 
 import functools
+import gc
 import json
 import os
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
+from typing import Generic, TypeVar
 
 import numpy as np
 import pyarrow as pa
@@ -34,13 +38,23 @@ from vigil.llm.bpe import byte_alphabet, tokenizer_path
 from vigil.llm.common import ship, small_slices, table
 from vigil.session import write_table
 
-BLOCK_BYTES = 2 << 20           # text that is tokenized and aligned at once
-KEPT_WINDOWS = 200_000          # window alignments kept per worker, the least recently used go
-LONGEST_KEPT = 64               # longer windows are aligned each time
+BLOCK_BYTES = 1 << 20           # text that is tokenized and aligned at once
+KEPT_WINDOWS = 20_000           # window alignments kept per worker, and as many older ones
+KEPT_RUNS = 120_000             # runs of text whose ids are kept per worker, and as many older ones
+LONGEST_KEPT = 64               # longer windows (in tokens) and runs (in characters) are not kept
+#: A space between two characters that are neither white space nor joined to what stands beside them: both tokenizers start
+#: a token at each such space, whatever else the text holds.
+CUT = re.compile(" (?<=[!-~\u00c0-\u024f] )(?=[!-~\u00c0-\u024f])")
+EDGES = re.compile("[!-~\u00c0-\u024f](?:.*[!-~\u00c0-\u024f])?\\Z", re.DOTALL)
 HOT_PAIRS = 1 << 18             # pairs whose counts are sent to all tasks, at most (17 bytes each)
 FIRST, SECOND = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
+K, V = TypeVar("K"), TypeVar("V")
+Window = tuple[tuple[int, ...], tuple[int, ...]]
+Aligned = tuple[int, int, int, bytes, str]
+
+
 class Aligner:
     """Two tokenizers, the bytes of their tokens, and the table of window alignments."""
 
@@ -55,7 +69,8 @@ class Aligner:
         self.a.no_truncation()
         self.b = sentencepiece.SentencePieceProcessor(model_file=second)
         with open(first, encoding="utf-8") as f:
-            vocab: dict[str, int] = json.load(f)["model"]["vocab"]
+            spec = json.load(f)
+        vocab: dict[str, int] = spec["model"]["vocab"]
         byte = {c: i for i, c in enumerate(byte_alphabet())}
         self.bytes_a = [b""] * (max(vocab.values(), default=-1) + 1)
         for text, i in vocab.items():
@@ -64,81 +79,130 @@ class Aligner:
         self.bytes_a += [b""] * (self.a.get_vocab_size() - len(self.bytes_a))
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))]
-        self.sizes_a, self.sizes_b = [len(x) for x in self.bytes_a], [len(x) for x in self.bytes_b]
+        self.sizes_a, self.sizes_b = (np.array([len(x) for x in held], np.int64) for held in (self.bytes_a, self.bytes_b))
+        # an id as text, with what stands behind it: within a group and at its end
+        self.shown = [str(i) + c for n, last in ((len(self.sizes_a), "|"), (len(self.sizes_b), ";")) for i in range(n) for c in (",", last)]
         self.marked_a = np.array([x[:1] == b" " for x in self.bytes_a], bool)
         self.marked_b = np.array([x[:1] == b" " for x in self.bytes_b], bool)
-        self.kept = functools.lru_cache(maxsize=KEPT_WINDOWS)(self.walk)
-
-    def tokenize(self, texts: list[str | None]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both for each text; none where the text has none or its bytes don't come back."""
-        some = [t for t in texts if t]
-        ids_a = iter([e.ids for e in self.a.encode_batch_fast([" " + t for t in some], add_special_tokens=False)])
-        ids_b = iter(self.b.encode(some, num_threads=1) if some else [])
-        out_a, out_b = [], []
-        for t in texts:
-            a, b = (next(ids_a), next(ids_b)) if t else ([], [])
-            if t:
-                raw = b" " + t.encode()
-                if b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
-                    a, b = [], []
-            out_a.append(a)
-            out_b.append(b)
-        return out_a, out_b
-
-    def walk(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[int, np.ndarray, str]:
-        """Number of groups, links (first id times 2^32 plus second id) and the groups as text, of a window."""
-        sizes_a, sizes_b = self.sizes_a, self.sizes_b
-        links, groups = [], []
-        i = j = from_i = from_j = 0
-        end_a, end_b = sizes_a[a[0]], sizes_b[b[0]]
-        while True:
-            links.append(a[i] << 32 | b[j])
-            if end_a < end_b:
-                i += 1
-                end_a += sizes_a[a[i]]
-            elif end_b < end_a:
-                j += 1
-                end_b += sizes_b[b[j]]
-            else:
-                i, j = i + 1, j + 1
-                groups.append(",".join(map(str, a[from_i:i])) + "|" + ",".join(map(str, b[from_j:j])))
-                if i == len(a):
-                    return len(groups), np.array(links, np.int64), ";".join(groups)
-                from_i, from_j = i, j
-                end_a += sizes_a[a[i]]
-                end_b += sizes_b[b[j]]
+        # no token of either reaches over a cut of CUT, and nothing outside a run changes its ids
+        self.by_runs = (spec.get("normalizer") is None and spec.get("post_processor") is None
+                        and spec.get("pre_tokenizer") == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+                        and not any(b" " in x.lstrip(b" ") for x in self.bytes_b))
+        self.runs: Kept[str, list[Aligned] | None] = Kept(KEPT_RUNS)
+        self.kept: Kept[Window, Aligned] = Kept(KEPT_WINDOWS)
+
+    def windows(self, texts: list[str]) -> list[list[tuple[int, Window]] | None]:
+        """Byte offset and ids of the windows of each text; None if a tokenizer doesn't give the text back. Texts are not
+        empty and tokenized whole."""
+        out = []
+        for text, first, b in zip(texts, self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False),
+                                  self.b.encode(texts, num_threads=1), strict=True):
+            a, raw = first.ids, b" " + text.encode()
+            if b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
+                out.append(None)
+                continue
+            (at_a, from_a), (at_b, from_b) = _marked(a, self.sizes_a, self.marked_a), _marked(b, self.sizes_b, self.marked_b)
+            # the bytes are the same: a common offset is the same place, and a token of each ends there
+            starts, in_a, in_b = np.intersect1d(from_a, from_b, assume_unique=True, return_indices=True)
+            cut_a, cut_b = at_a[in_a].tolist(), at_b[in_b].tolist()
+            out.append([(s, (tuple(a[i:k]), tuple(b[j:m]))) for s, i, k, j, m in zip(
+                starts.tolist(), cut_a, [*cut_a[1:], len(a)], cut_b, [*cut_b[1:], len(b)], strict=True)])
+        return out
+
+    def read(self, runs: list[str]) -> dict[str, list[Window] | None]:
+        """The windows of each run; None if its bytes don't come back. Runs are read as one text with spaces between, and by
+        themselves if a run can't stand in it or a window reaches over such a space."""
+        out: dict[str, list[Window] | None] = {}
+        joined = [r for r in runs if EDGES.match(r)]
+        if joined and (found := self.windows([" ".join(joined)])[0]):
+            starts = np.array([w[0] for w in found])
+            own = np.cumsum([0, *(len(r.encode()) + 1 for r in joined[:-1])])
+            place = np.searchsorted(starts, own)
+            if (starts[np.minimum(place, len(starts) - 1)] == own).all():
+                whole = [w[1] for w in found]
+                out = {r: whole[i:k] for r, i, k in zip(joined, place.tolist(), [*place[1:].tolist(), len(found)], strict=True)}
+        rest = [r for r in runs if r not in out]
+        for r, found in zip(rest, self.windows(rest) if rest else [], strict=True):
+            out[r] = None if found is None else [w[1] for w in found]
+        return out
+
+    def walk(self, windows: list[Window]) -> list[Aligned]:
+        """The alignment of each window: numbers of tokens of both, number of groups, links (first id times 2^32 plus second id) and
+        groups as text. The windows are laid side by side: a byte range between two ends of tokens is a link, an end of
+        tokens of both closes a group."""
+        ids_a, ids_b = (np.fromiter(chain.from_iterable([w[k] for w in windows]), np.int64) for k in (0, 1))
+        ends_a, ends_b = np.cumsum(self.sizes_a[ids_a]), np.cumsum(self.sizes_b[ids_b])
+        ends = np.union1d(ends_a, ends_b)
+        links = ids_a[np.searchsorted(ends_a, ends)] << 32 | ids_b[np.searchsorted(ends_b, ends)]
+        shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)
+        # the groups' texts: ids of the first, the last with a bar, ids of the second, the last with a semicolon
+        shown = np.concatenate([2 * ids_a + (shared[group_a] == ends_a), 2 * (ids_b + len(self.sizes_a)) + (shared[group_b] == ends_b)])
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        shown = list(map(self.shown.__getitem__, shown[order].tolist()))
+        n_a, n_b = np.array([len(w[0]) for w in windows]), np.array([len(w[1]) for w in windows])
+        ends_of = ends_a[np.cumsum(n_a) - 1]                # every window ends with a token of both
+        at_link, at_group = (np.concatenate([[0], np.searchsorted(x, ends_of) + 1]) for x in (ends, shared))
+        at_shown = np.concatenate([[0], np.cumsum(n_a + n_b)]).tolist()
+        held, at_byte = links.tobytes(), (8 * at_link).tolist()
+        return [(a, b, g, held[i:k], "".join(shown[m:o])[:-1]) for a, b, g, i, k, m, o in zip(
+            n_a.tolist(), n_b.tolist(), np.diff(at_group).tolist(), at_byte, at_byte[1:], at_shown, at_shown[1:], strict=False)]
+
+    def align_runs(self, runs: list[str]) -> list[list[Aligned] | None]:
+        """The alignments of each run's windows; None if its bytes don't come back."""
+        windows = self.read(runs)
+        aligned = self.kept.look_up({w for ws in windows.values() if ws is not None for w in ws}, self.walk,
+                                    lambda w: len(w[0]) + len(w[1]) <= LONGEST_KEPT)
+        return [None if (ws := windows[r]) is None else [aligned[w] for w in ws] for r in runs]
 
     def align(self, texts: list[str | None]) -> list[tuple[int, int, int, np.ndarray, str]]:
         """``(n_a, n_b, n_groups, links, groups)`` of each text."""
-        lists_a, lists_b = self.tokenize(texts)
-        ids_a, cuts_a = _anchors(lists_a, np.array(self.sizes_a, np.int64), self.marked_a)
-        ids_b, cuts_b = _anchors(lists_b, np.array(self.sizes_b, np.int64), self.marked_b)
-        # the texts of a block stand one behind the other, with the same bytes in both: a common offset is the same place
-        _, in_a, in_b = np.intersect1d(cuts_a[1], cuts_b[1], assume_unique=True, return_indices=True)
-        at_a, at_b = cuts_a[0][in_a], cuts_b[0][in_b]
-        ends_a, ends_b = np.append(at_a[1:], len(ids_a)).tolist(), np.append(at_b[1:], len(ids_b)).tolist()
-        ids_a, ids_b = ids_a.tolist(), ids_b.tolist()
-        found = [self.kept(tuple(ids_a[i:k]), tuple(ids_b[j:m])) if k - i <= LONGEST_KEPT and m - j <= LONGEST_KEPT
-                 else self.walk(tuple(ids_a[i:k]), tuple(ids_b[j:m]))
-                 for i, k, j, m in zip(at_a.tolist(), ends_a, at_b.tolist(), ends_b, strict=True)]
-        first = np.searchsorted(at_a, np.cumsum([0, *map(len, lists_a)])).tolist()      # every text's first token starts a window
+        cut = [(CUT.split(t) if self.by_runs else [t]) if t else [] for t in texts]
+        done = self.runs.look_up(set(chain.from_iterable(cut)), self.align_runs, lambda r: len(r) <= LONGEST_KEPT)
         out = []
-        for k, (a, b) in enumerate(zip(lists_a, lists_b, strict=True)):
-            own = found[first[k]:first[k + 1]]
-            links = np.concatenate([w[1] for w in own]) if own else np.empty(0, np.int64)
-            out.append((len(a), len(b), sum(w[0] for w in own), links, ";".join([w[2] for w in own])))
+        for runs in cut:
+            own = list(map(done.__getitem__, runs))
+            own = [] if None in own else list(chain.from_iterable(own))
+            links = np.frombuffer(b"".join([w[3] for w in own]), np.int64)
+            out.append((*(sum([w[k] for w in own]) for k in range(3)), links, ";".join([w[4] for w in own])))
         return out
 
 
-def _anchors(lists: list[list[int]], sizes: np.ndarray, marked: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
-    """All ids of a block; places and byte offsets of the tokens that start with a space or a text."""
-    ids = np.fromiter(chain.from_iterable(lists), np.int64)
-    long = sizes[ids]
-    mark = marked[ids]
-    starts = np.cumsum([0, *map(len, lists)])[:-1]
-    mark[starts[[bool(x) for x in lists]]] = True
-    at = np.flatnonzero(mark)
-    return ids, (at, (np.cumsum(long) - long)[at])
+class Kept(Generic[K, V]):
+    """A bounded table: the last ``limit`` entries used, and up to ``limit`` older ones."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.newer: dict[K, V] = {}
+        self.older: dict[K, V] = {}
+
+    def look_up(self, keys: Iterable[K], make: Callable[[list[K]], list[V]], keep: Callable[[K], bool]) -> dict[K, V]:
+        """Values of all keys; ``make`` gives those that are not here, ``keep`` says which of them to keep."""
+        newer, older = self.newer, self.older
+        out, new = {}, []
+        for k in keys:
+            if k in newer:
+                out[k] = newer[k]
+            elif k in older:
+                out[k] = newer[k] = older[k]
+            else:
+                new.append(k)
+        for k, v in zip(new, make(new) if new else [], strict=True):
+            out[k] = v
+            if keep(k):
+                newer[k] = v
+        if len(newer) > self.limit:
+            self.newer, self.older = {}, newer
+        return out
+
+
+def _marked(ids: list[int], sizes: np.ndarray, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and byte offsets of the first token and of those that start with a space."""
+    held = np.fromiter(ids, np.int64, len(ids))
+    mark = marked[held]
+    mark[:1] = True
+    at, long = np.flatnonzero(mark), sizes[held]
+    return at, (np.cumsum(long) - long)[at]
 
 
 @functools.lru_cache(maxsize=2)
@@ -153,16 +217,22 @@ def align_tokens(docs: DataFrame, first: str, second: str, id_col: str = "doc_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = aligner(first, second)
-        for batch in small_slices(batches, "text", BLOCK_BYTES):
-            rows = own.align(batch.column("text").to_pylist())
-            different = [np.unique(r[3], return_counts=True) for r in rows]
-            ends = pa.array(np.cumsum([0, *(len(p) for p, _ in different)]), pa.int32())
-            pairs, times = (pa.array(np.concatenate(x) if x else [], pa.int64()) for x in zip(*different, strict=True))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), *(pa.array([r[k] for r in rows], pa.int64()) for k in range(3)),
-                 pa.array([len(r[3]) for r in rows], pa.int64()), pa.array([r[4] for r in rows], pa.string()),
-                 pa.ListArray.from_arrays(ends, pairs), pa.ListArray.from_arrays(ends, times)],
-                names=[id_col, "n_a", "n_b", "n_groups", "n_links", "groups", "pairs", "times"])
+        collects = gc.isenabled()
+        gc.disable()            # the tables hold no cycles, and walking them costs a tenth of the time
+        try:
+            for batch in small_slices(batches, "text", BLOCK_BYTES):
+                rows = own.align(batch.column("text").to_pylist())
+                different = [np.unique(r[3], return_counts=True) for r in rows]
+                ends = pa.array(np.cumsum([0, *(len(p) for p, _ in different)]), pa.int32())
+                pairs, times = (pa.array(np.concatenate(x), pa.int64()) for x in zip(*different, strict=True))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id"), *(pa.array([r[k] for r in rows], pa.int64()) for k in range(3)),
+                     pa.array([len(r[3]) for r in rows], pa.int64()), pa.array([r[4] for r in rows], pa.string()),
+                     pa.ListArray.from_arrays(ends, pairs), pa.ListArray.from_arrays(ends, times)],
+                    names=[id_col, "n_a", "n_b", "n_groups", "n_links", "groups", "pairs", "times"])
+        finally:
+            if collects:
+                gc.enable()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).mapInArrow(
