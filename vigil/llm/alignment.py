@@ -4,7 +4,7 @@ Texts are tokenized by both, whole. Offsets where a space-marked token starts in
 that ends there, are the anchors; the joined token bytes of both are compared with the text before, so an anchor's
 offset is the same place in it. Anchors cut a document into windows of token ids. Runs of text between single spaces that
 return are not tokenized again: no token reaches over such a space, so their windows are looked up in a bounded table per worker. A window's alignment hangs on its
-ids alone, so it is looked up by its two id tuples in a bounded table per worker; windows that are not there, or too
+ids alone, so it is looked up by its two (packed) id tuples in a bounded table per worker; windows that are not there, or too
 long to keep, are walked along the ends of their tokens. It gives groups (cut where tokens of both end) and links
 (pairs of tokens that share a byte).
 
@@ -46,12 +46,12 @@ LONGEST_KEPT = 64               # longer windows (in tokens) and runs (in charac
 #: a token at each such space, whatever else the text holds.
 CUT = re.compile(" (?<=[!-~\u00c0-\u024f] )(?=[!-~\u00c0-\u024f])")
 EDGES = re.compile("[!-~\u00c0-\u024f](?:.*[!-~\u00c0-\u024f])?\\Z", re.DOTALL)
+BETWEEN = b"\xff" * 4           # stands between the two id tuples (32-bit integers) of a window: no id
 HOT_PAIRS = 1 << 18             # pairs whose counts are sent to all tasks, at most (17 bytes each)
 FIRST, SECOND = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 K, V = TypeVar("K"), TypeVar("V")
-Window = tuple[tuple[int, ...], tuple[int, ...]]
 Aligned = tuple[int, int, int, bytes, str]
 
 
@@ -89,48 +89,59 @@ class Aligner:
                         and spec.get("pre_tokenizer") == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
                         and not any(b" " in x.lstrip(b" ") for x in self.bytes_b))
         self.runs: Kept[str, list[Aligned] | None] = Kept(KEPT_RUNS)
-        self.kept: Kept[Window, Aligned] = Kept(KEPT_WINDOWS)
+        self.kept: Kept[bytes, Aligned] = Kept(KEPT_WINDOWS)
 
-    def windows(self, texts: list[str]) -> list[list[tuple[int, Window]] | None]:
-        """Byte offset and ids of the windows of each text; None if a tokenizer doesn't give the text back. Texts are not
+    def windows(self, texts: list[str]) -> list[tuple[np.ndarray, list[bytes]] | None]:
+        """Byte offsets and ids of the windows of each text; None if a tokenizer doesn't give the text back. Texts are not
         empty and tokenized whole."""
         out = []
-        for text, first, b in zip(texts, self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False),
-                                  self.b.encode(texts, num_threads=1), strict=True):
-            a, raw = first.ids, b" " + text.encode()
+        for text, first, second in zip(texts, self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False),
+                                       self.b.encode(texts, num_threads=1), strict=True):
+            a, b, raw = first.ids, second, b" " + text.encode()
             if b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
                 out.append(None)
                 continue
+            a, b = np.array(a, "<i4"), np.array(b, "<i4")
             (at_a, from_a), (at_b, from_b) = _marked(a, self.sizes_a, self.marked_a), _marked(b, self.sizes_b, self.marked_b)
             # the bytes are the same: a common offset is the same place, and a token of each ends there
             starts, in_a, in_b = np.intersect1d(from_a, from_b, assume_unique=True, return_indices=True)
-            cut_a, cut_b = at_a[in_a].tolist(), at_b[in_b].tolist()
-            out.append([(s, (tuple(a[i:k]), tuple(b[j:m]))) for s, i, k, j, m in zip(
-                starts.tolist(), cut_a, [*cut_a[1:], len(a)], cut_b, [*cut_b[1:], len(b)], strict=True)])
+            cut_a, cut_b = (4 * at_a[in_a]).tolist(), (4 * at_b[in_b]).tolist()
+            a, b = a.tobytes(), b.tobytes()
+            out.append((starts, [a[i:k] + BETWEEN + b[j:m] for i, k, j, m in zip(
+                cut_a, [*cut_a[1:], len(a)], cut_b, [*cut_b[1:], len(b)], strict=True)]))
         return out
 
-    def read(self, runs: list[str]) -> dict[str, list[Window] | None]:
+    def read(self, runs: list[str]) -> dict[str, list[bytes] | None]:
         """The windows of each run; None if its bytes don't come back. Runs are read as one text with spaces between, and by
         themselves if a run can't stand in it or a window reaches over such a space."""
-        out: dict[str, list[Window] | None] = {}
+        out: dict[str, list[bytes] | None] = {}
         joined = [r for r in runs if EDGES.match(r)]
         if joined and (found := self.windows([" ".join(joined)])[0]):
-            starts = np.array([w[0] for w in found])
-            own = np.cumsum([0, *(len(r.encode()) + 1 for r in joined[:-1])])
+            starts, whole = found
+            own = np.cumsum([0, *[len(r.encode()) + 1 for r in joined[:-1]]])
             place = np.searchsorted(starts, own)
             if (starts[np.minimum(place, len(starts) - 1)] == own).all():
-                whole = [w[1] for w in found]
-                out = {r: whole[i:k] for r, i, k in zip(joined, place.tolist(), [*place[1:].tolist(), len(found)], strict=True)}
+                place = place.tolist()
+                out = {r: whole[i:k] for r, i, k in zip(joined, place, [*place[1:], len(whole)], strict=True)}
         rest = [r for r in runs if r not in out]
         for r, found in zip(rest, self.windows(rest) if rest else [], strict=True):
-            out[r] = None if found is None else [w[1] for w in found]
+            out[r] = None if found is None else found[1]
         return out
 
-    def walk(self, windows: list[Window]) -> list[Aligned]:
+    def walk(self, windows: list[bytes]) -> list[Aligned]:
         """The alignment of each window: numbers of tokens of both, number of groups, links (first id times 2^32 plus second id) and
         groups as text. The windows are laid side by side: a byte range between two ends of tokens is a link, an end of
         tokens of both closes a group."""
-        ids_a, ids_b = (np.fromiter(chain.from_iterable([w[k] for w in windows]), np.int64) for k in (0, 1))
+        ids = np.frombuffer(b"".join(windows), "<i4").astype(np.int64)
+        lasts = np.cumsum([len(w) // 4 for w in windows])               # behind each window
+        bars = np.flatnonzero(ids < 0)
+        is_a = np.repeat(np.tile([True, False], len(windows)), np.diff(np.column_stack([bars, lasts]).ravel(), prepend=0))
+        is_a[bars] = False
+        is_b = ~is_a
+        is_b[bars] = False
+        ids_a, ids_b = ids[is_a], ids[is_b]
+        n_all = np.diff(lasts, prepend=0) - 1
+        n_a = bars - (lasts - n_all - 1)
         ends_a, ends_b = np.cumsum(self.sizes_a[ids_a]), np.cumsum(self.sizes_b[ids_b])
         ends = np.union1d(ends_a, ends_b)
         links = ids_a[np.searchsorted(ends_a, ends)] << 32 | ids_b[np.searchsorted(ends_b, ends)]
@@ -140,19 +151,17 @@ class Aligner:
         shown = np.concatenate([2 * ids_a + (shared[group_a] == ends_a), 2 * (ids_b + len(self.sizes_a)) + (shared[group_b] == ends_b)])
         order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
         shown = list(map(self.shown.__getitem__, shown[order].tolist()))
-        n_a, n_b = np.array([len(w[0]) for w in windows]), np.array([len(w[1]) for w in windows])
         ends_of = ends_a[np.cumsum(n_a) - 1]                # every window ends with a token of both
-        at_link, at_group = (np.concatenate([[0], np.searchsorted(x, ends_of) + 1]) for x in (ends, shared))
-        at_shown = np.concatenate([[0], np.cumsum(n_a + n_b)]).tolist()
-        held, at_byte = links.tobytes(), (8 * at_link).tolist()
-        return [(a, b, g, held[i:k], "".join(shown[m:o])[:-1]) for a, b, g, i, k, m, o in zip(
-            n_a.tolist(), n_b.tolist(), np.diff(at_group).tolist(), at_byte, at_byte[1:], at_shown, at_shown[1:], strict=False)]
+        at_byte, at_group = ([0, *(np.searchsorted(x, ends_of) + 1).tolist()] for x in (ends, shared))
+        at_shown = np.cumsum(n_all).tolist()
+        held = links.tobytes()
+        return [(a, n - a, h - g, held[8 * i:8 * k], "".join(shown[m - n:m])[:-1]) for a, n, g, h, i, k, m in zip(
+            n_a.tolist(), n_all.tolist(), at_group, at_group[1:], at_byte, at_byte[1:], at_shown, strict=False)]
 
     def align_runs(self, runs: list[str]) -> list[list[Aligned] | None]:
         """The alignments of each run's windows; None if its bytes don't come back."""
         windows = self.read(runs)
-        aligned = self.kept.look_up({w for ws in windows.values() if ws is not None for w in ws}, self.walk,
-                                    lambda w: len(w[0]) + len(w[1]) <= LONGEST_KEPT)
+        aligned = self.kept.look_up({w for ws in windows.values() if ws is not None for w in ws}, self.walk, lambda w: len(w) <= 4 * LONGEST_KEPT)
         return [None if (ws := windows[r]) is None else [aligned[w] for w in ws] for r in runs]
 
     def align(self, texts: list[str | None]) -> list[tuple[int, int, int, np.ndarray, str]]:
@@ -196,12 +205,11 @@ class Kept(Generic[K, V]):
         return out
 
 
-def _marked(ids: list[int], sizes: np.ndarray, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _marked(ids: np.ndarray, sizes: np.ndarray, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places and byte offsets of the first token and of those that start with a space."""
-    held = np.fromiter(ids, np.int64, len(ids))
-    mark = marked[held]
+    mark = marked[ids]
     mark[:1] = True
-    at, long = np.flatnonzero(mark), sizes[held]
+    at, long = np.flatnonzero(mark), sizes[ids]
     return at, (np.cumsum(long) - long)[at]
 
 
