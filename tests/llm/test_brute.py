@@ -135,26 +135,45 @@ def test_toxicity_odd(spark, docs_of):
     assert len(np.unique(whole)) == len(np.unique(np.concatenate(list(buckets_of("ab" * 50)))))
 
 
-def slow_units(text):
+def slow_spans(rows, least=10):
+    """Sequences of units with ``least`` words or more, and whole lines, that stand elsewhere before: every such range of
+    units is looked at, by its words."""
     import regex
-    return [(s, e, n, tuple(text[s:e].lower().split())) for s, e, n, _ in units_of(text or "", regex.compile(CUTS))]
-
-
-def slow_spans(rows, least=40):
-    first = {}
+    cutter, texts = regex.compile(CUTS), []
     for i, text in sorted(rows):
-        for k, (*_, words) in enumerate(slow_units(text)):
-            first.setdefault(words, (i, k))
+        units = [(s, e, text[s:e].lower().split()) for s, e, *_ in units_of(text or "", cutter)]
+        ranges = set()
+        for a in range(len(units)):
+            n = 0
+            for b in range(a, len(units)):
+                n += len(units[b][2])
+                if n >= least:
+                    ranges.add((a, b + 1))
+                    if n >= 3 * least:      # a longer range is covered by those inside it
+                        break
+        held = [(a, b, tuple(w for u in units[a:b] for w in u[2])) for a, b in ranges]
+        lines = []
+        for k, (s, _, words) in enumerate(units):
+            if not k or "\n" in text[units[k - 1][1]:s]:
+                lines.append([k, k, ()])
+            lines[-1] = [lines[-1][0], k + 1, (*lines[-1][2], *words)]
+        # a line of fewer words than a window only equals whole lines
+        held += [(a, b, w if len(w) >= least else ("\n", *w)) for a, b, w in lines]
+        texts.append((i, units, sorted(held)))
+    first = {}
+    for i, units, held in texts:
+        for a, b, words in held:
+            first.setdefault(words, (i, a))
     out = []
-    for i, text in rows:
-        run = []
-        for k, (s, e, n, words) in [*enumerate(slow_units(text)), (None, (0, 0, 0, None))]:
-            if words is not None and first[words] != (i, k):
-                run.append((s, e, n))
+    for i, units, held in texts:
+        gone = sorted((a, b) for a, b, words in held if first[words] != (i, a))
+        runs = []
+        for a, b in gone:
+            if runs and a <= runs[-1][1]:
+                runs[-1][1] = max(runs[-1][1], b)
             else:
-                if run and sum(r[2] for r in run) >= least:
-                    out.append((i, run[0][0], run[-1][1], sum(r[2] for r in run)))
-                run = []
+                runs.append([a, b])
+        out += [(i, units[a][0], units[b - 1][1], sum(len(u[2]) for u in units[a:b])) for a, b in runs]
     return sorted(out)
 
 

@@ -1,6 +1,7 @@
 """Line deduplication by an exact set-similarity join.
 
-The tokens of a line are its distinct words (by 32-bit hash). A line is removed if an earlier line
+The tokens of a line are 32-bit hashes of its distinct words, one for each word: different words with one hash can only let
+more lines meet. Pairs are verified on the words themselves. A line is removed if an earlier line
 (smaller ``(doc_id, line)``) has a Jaccard similarity of at least 4/5. Equal lines are reduced to
 their first occurrence beforehand, so copies cost one row each and never meet in pairs.
 
@@ -52,9 +53,9 @@ def line_classes(lines: DataFrame) -> DataFrame:
     """One row for each different line with a word: ``(d, line)`` of its first occurrence, its tokens and how often it occurs."""
     cut = F.split(F.btrim("text", F.lit(BLANKS)), WORD_GAP)
     found = lines.where(F.col("text").rlike(A_WORD)).select(
-        "d", "line", *_line_key(), F.array_distinct(F.transform(cut, lambda w: F.hash(w))).alias("tokens"))
-    first = found.groupBy("h", "g").agg(F.min(F.struct("d", "line")).alias("first"), F.first("tokens").alias("tokens"))
-    return first.select("first.d", "first.line", "h", "g", "tokens")
+        "d", "line", *_line_key(), F.array_distinct(cut).alias("words"))
+    first = found.groupBy("h", "g").agg(F.min(F.struct("d", "line")).alias("first"), F.first("words").alias("words"))
+    return first.select("first.d", "first.line", "h", "g", "words", F.transform("words", lambda w: F.hash(w)).alias("tokens"))
 
 
 def _place(token: Column) -> Column:
@@ -167,10 +168,10 @@ def _thinned(classes: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs whose Jaccard similarity reaches the threshold."""
-    held = _thinned(classes, pairs).select(F.struct("d", "line").alias("key"), "tokens")
-    one = held.select(F.col("key").alias("x"), F.col("tokens").alias("a"))
-    two = held.select(F.col("key").alias("y"), F.col("tokens").alias("b"))
+    """The pairs whose Jaccard similarity, of the sets of words, reaches the threshold."""
+    held = _thinned(classes, pairs).select(F.struct("d", "line").alias("key"), "words")
+    one = held.select(F.col("key").alias("x"), F.col("words").alias("a"))
+    two = held.select(F.col("key").alias("y"), F.col("words").alias("b"))
     met = pairs.join(one, "x").join(two, "y").withColumn("shared", F.size(F.array_intersect("a", "b")))
     return met.where(DEN * F.col("shared") >= NUM * (F.size("a") + F.size("b") - F.col("shared"))).select("x", "y")
 
