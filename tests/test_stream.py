@@ -2,17 +2,22 @@
 
 import json
 import os
+import shutil
+from datetime import timedelta
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from conftest import SF_MID, SF_SMALL
 from vigil import config as C
 from vigil.operators import model as M
 from vigil.operators import ordered as O
+from vigil.plans.fixture_model import fixed_model
 from vigil.sources import codec
 from vigil.sources.fixture import sensor_table
-from vigil.streaming.ingest import replay_batch, stream_score, stream_source
+from vigil.streaming.ingest import replay_batch, stream_source
+from vigil.streaming.scoring import late_rows, stream_score
 
 
 def write_messages(spark, sensors, folder, name, lo, hi):
@@ -74,28 +79,97 @@ def test_the_callers_batch_size_wins():
         "maxOffsetsPerTrigger": "9", "startingOffsets": "latest"}
 
 
-def test_late_batches_do_not_spoil_on_time_rows(spark, tmp_dir):
-    """400 rows, then 9 late batches of old rows, then on-time rows: these see the newest stored rows by reading time."""
-    sensors = sensor_table(spark, SF_SMALL)
-    rows = [r.asDict() for r in O.drop_incomplete(sensors).orderBy("ts", "event_id").collect()]
-    late, first, last = rows[:270], rows[270:670], rows[670:750]
-    src = os.path.join(tmp_dir, "src")
-    os.makedirs(src)
-    for i, part in enumerate([first, *(late[k:k + 30] for k in range(0, 270, 30)), last, rows[750:800]]):
-        with open(os.path.join(src, f"b{i:02d}.json"), "w") as f:
-            for r in part:
-                f.write(json.dumps({"timestamp": str(r["ts"]), **{c: r[c] for c in C.ANALOGUE_COLS + C.DIGITAL_COLS}}) + "\n")
-        os.utime(os.path.join(src, f"b{i:02d}.json"), (1_700_000_000 + i * 60,) * 2)
-    from vigil.plans.fixture_model import fixed_model
-    stream_score(stream_source(spark, "text", {"maxFilesPerTrigger": "1"}, src), os.path.join(tmp_dir, "hist"),
-                 os.path.join(tmp_dir, "preds"), os.path.join(tmp_dir, "ckpt"), fixed_model().with_threshold(5.0), "late").awaitTermination()
+def write_file(src, k, rows):
+    with open(os.path.join(src, f"b{k:02d}.json"), "w") as f:
+        for r in rows:
+            f.write(json.dumps({"timestamp": str(r["ts"]), **{c: r[c] for c in C.ANALOGUE_COLS + C.DIGITAL_COLS}}) + "\n")
+    os.utime(os.path.join(src, f"b{k:02d}.json"), (1_700_000_000 + k * 60,) * 2)
+
+
+def score_files(spark, tmp_dir, delay, key=None, **options):
+    source = stream_source(spark, "text", {"maxFilesPerTrigger": "1", **options}, os.path.join(tmp_dir, "src"))
+    query = stream_score(source, os.path.join(tmp_dir, "preds"), os.path.join(tmp_dir, "ckpt"), fixed_model().with_threshold(5.0), "run", delay, key)
+    query.awaitTermination()
+    return query
+
+
+def policy(files, delay):
+    """The stated policy, one reading at a time: what is scored (with the mean of its frame), what is late, what still waits."""
+    def passed(seen):
+        newest = max(r["ts"] for f in seen for r in f)
+        return newest.replace(microsecond=newest.microsecond // 1000 * 1000) - delay
+    taken, late = [], []
+    for k, rows in enumerate(files):
+        mark = passed(files[:k - 1]) if k >= 2 else None
+        for r in rows:
+            (late if mark is not None and r["ts"] <= mark else taken).append(r)
+    taken.sort(key=lambda r: r["ts"])
+    means = {r["ts"]: sum(x["TP2"] for x in taken[max(0, i - 180):i + 1]) / min(i + 1, 181) for i, r in enumerate(taken)}
+    return {t: m for t, m in means.items() if t <= passed(files)}, late, [r for r in taken if r["ts"] > passed(files)]
+
+
+def test_readings_within_the_delay_in_any_order_and_late_ones(spark, tmp_dir):
+    """14 micro-batches, 9 of them with late readings; then a second run on the same checkpoint takes what waited."""
+    rows = [r.asDict() for r in O.drop_incomplete(sensor_table(spark, SF_SMALL)).orderBy("ts", "event_id").collect()]
+    os.makedirs(src := os.path.join(tmp_dir, "src"))
+    files = [rows[60 * k:60 * (k + 1)] for k in range(14)]
+    for k in range(5, 14):                              # readings of three files before, and some from the file before
+        files[k - 3], moved = files[k - 3][:-3], files[k - 3][-3:]
+        files[k - 1], near = files[k - 1][:-5], files[k - 1][-5:]
+        files[k] = moved + files[k][::-1] + near
+    for k, f in enumerate(files):
+        write_file(src, k, f)
+    delay = timedelta(hours=40)
+    query = score_files(spark, tmp_dir, "40 hours")
+    want, late, waiting = policy(files, delay)
+    got = {r.source_timestamp: r.rolling_mean_TP2 for r in spark.read.parquet(os.path.join(tmp_dir, "preds")).collect()}
+    assert sum(p.numInputRows > 0 for p in query.recentProgress) == 14
+    assert set(got) == set(want) and all(abs(got[t] - m) < 1e-9 for t, m in want.items())
+    assert late_rows(query) == len(late) and len({r["ts"] for r in late}) >= 9 and waiting
+    # restarted: the frames go on where they were, nothing is scored twice
+    files += [rows[840:900], rows[900:978]]
+    for k in (14, 15):
+        write_file(src, k, files[k])
+    score_files(spark, tmp_dir, "40 hours")
+    scored = [r.source_timestamp for r in spark.read.parquet(os.path.join(tmp_dir, "preds")).collect()]
+    assert len(scored) == len(set(scored)) and {r["ts"] for r in waiting} <= set(scored)
+    more = {r.source_timestamp: r.rolling_mean_TP2 for r in spark.read.parquet(os.path.join(tmp_dir, "preds")).collect()}
+    taken = sorted([r for f in files for r in f if r not in late], key=lambda r: r["ts"])
+    for i, r in enumerate(taken):
+        if r["ts"] in more and r["ts"] > rows[840]["ts"]:
+            frame = [x["TP2"] for x in taken[max(0, i - 180):i + 1]]
+            assert abs(more[r["ts"]] - sum(frame) / len(frame)) < 1e-9
+
+
+def test_lost_state_stops_the_query(spark, tmp_dir):
+    rows = [r.asDict() for r in O.drop_incomplete(sensor_table(spark, SF_SMALL)).orderBy("ts").limit(90).collect()]
+    os.makedirs(src := os.path.join(tmp_dir, "src"))
+    for k in range(2):
+        write_file(src, k, rows[30 * k:30 * (k + 1)])
+    score_files(spark, tmp_dir, "1 hour")
+    shutil.rmtree(os.path.join(tmp_dir, "ckpt", "state"))
+    spark._jvm.org.apache.spark.sql.execution.streaming.state.StateStore.stop()          # as on another executor: nothing is in memory
+    write_file(src, 2, rows[60:])
+    with pytest.raises(StreamingQueryException):
+        score_files(spark, tmp_dir, "1 hour")
+
+
+def test_assets_have_states_of_their_own(spark, tmp_dir):
+    """Two assets in one stream, told apart by a message column (here the folder); each sees its own readings only."""
+    rows = [r.asDict() for r in O.drop_incomplete(sensor_table(spark, SF_SMALL)).orderBy("ts").limit(400).collect()]
+    for k, part in enumerate((rows[:200], rows[200:])):
+        for asset in (0, 1):
+            os.makedirs(folder := os.path.join(tmp_dir, "src", f"asset={asset}"), exist_ok=True)
+            write_file(folder, k, part[asset::2])
+    read = spark.readStream.schema("value string, asset int").option("maxFilesPerTrigger", 2).text(os.path.join(tmp_dir, "src"))
+    stream_score(read, os.path.join(tmp_dir, "preds"), os.path.join(tmp_dir, "ckpt"), fixed_model().with_threshold(5.0), "run", "0 seconds", "asset").awaitTermination()
     got = {r.source_timestamp: r.rolling_mean_TP2 for r in spark.read.parquet(os.path.join(tmp_dir, "preds")).collect()}
-    assert len(got) == 800
-    on_time = first + last + rows[750:800]
-    for i in range(400, len(on_time)):
-        frame = [r["TP2"] for r in on_time[i - 180:i + 1]]
-        assert abs(got[on_time[i]["ts"]] - sum(frame) / 181) < 1e-9
-    assert sorted(os.listdir(os.path.join(tmp_dir, "hist-tail"))) == ["10", "11"]
+    assert len(got) == 399                   # the newest waits for the watermark
+    for asset in (0, 1):
+        own = [r for r in rows[asset::2] if r["ts"] in got]
+        for i, r in enumerate(own):
+            frame = [x["TP2"] for x in own[max(0, i - 180):i + 1]]
+            assert abs(got[r["ts"]] - sum(frame) / len(frame)) < 1e-9
 
 
 def test_stream_scoring_agrees_with_batch(spark, tmp_dir):
@@ -107,17 +181,15 @@ def test_stream_scoring_agrees_with_batch(spark, tmp_dir):
     bounds = [0, 300, 310, 700, 1000]
     for i in range(len(bounds) - 1):
         write_messages(spark, sensors, src, f"b{i}.json", bounds[i], bounds[i + 1])
-    msgs = stream_source(spark, "text", {"maxFilesPerTrigger": "1"}, src)
-    q = stream_score(msgs, os.path.join(tmp_dir, "hist"), os.path.join(tmp_dir, "preds"),
-                     os.path.join(tmp_dir, "ckpt"), fitted.model, "stream-run")
-    q.awaitTermination()
+    msgs = stream_source(spark, "text", {"maxFilesPerTrigger": "4"}, src)
+    stream_score(msgs, os.path.join(tmp_dir, "preds"), os.path.join(tmp_dir, "ckpt"), fitted.model, "stream-run", "0 seconds").awaitTermination()
     preds = spark.read.parquet(os.path.join(tmp_dir, "preds"))
-    assert preds.count() == n
+    assert preds.count() == n - 1            # the newest stands above the watermark's millisecond
     batch = M.score(labeled, fitted.model).select(
         F.col("ts").alias("source_timestamp"), F.col("rolling_mean_TP2").alias("b_mean"),
         F.col("anomaly_score").alias("b_score"))
     j = preds.join(batch, "source_timestamp")
-    assert j.count() == n
+    assert j.count() == n - 1
     worst = j.agg(F.max(F.abs(F.col("rolling_mean_TP2") - F.col("b_mean"))),
                   F.max(F.abs(F.col("anomaly_score") - F.col("b_score")))).first()
     assert worst[0] < 1e-9 and worst[1] < 1e-9

@@ -10,9 +10,11 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vigil import config as C
 from vigil.functions import columns as X
+from vigil.session import write_table
 
 
 def _pct(part: Column, whole: Column) -> Column:
@@ -32,52 +34,108 @@ def dataset_overview(labeled: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-def exact_quantiles(df: DataFrame, col: str, quantiles=C.PERCENTILES, buckets: int = 4096, small: int = 4096) -> list[float | None]:
-    """The values at rank ``ceil(q n)``, exact at any size.
+SKETCH_K = 4096                     # a sketch of about 100 kB, whatever the number of rows
+RANK_ERROR = 0.004                  # share of the rows by which a bracket reaches below and above its rank: three times the sketch's error
+FEW_VALUES = 65_536                 # different values of all brackets that the driver takes; more are selected in Spark
+
+
+def quantile_sketch(value: Column) -> Column:
+    """A mergeable quantile sketch (KLL) of the values that are numbers: an aggregate like any other of the same scan."""
+    return F.kll_sketch_agg_double(F.when(~F.isnan(value), value), F.lit(SKETCH_K))
 
-    Each round counts the rows of each of ``buckets`` equal ranges around the wanted ranks (a partial aggregate, with
-    the smallest and largest value of each range) and goes on inside the one range that holds the rank, until all its
-    values are equal or at most ``small`` rows are left, which are sorted. NULL and NaN are no values.
-    """
-    v = F.col("v")
-    values = df.select(F.col(col).cast("double").alias("v"))
 
-    def inside(a: float, b: float) -> Column:           # a condition inside the aggregates: nothing is pushed below the score
-        return F.when(v.between(F.lit(a), F.lit(b)) & ~F.isnan(v), v)
+def _kth(counts: DataFrame, k: int) -> float | None:
+    """The k-th smallest of values ``v`` that stand ``c`` times each: ranges of values are counted, and the one that holds it again."""
+    n, low, high = counts.agg(F.sum("c"), F.min("v"), F.max("v")).first()
+    while low < high:
+        width = (high - low) / 4096
+        place = F.least(F.floor((F.col("v") - F.lit(low)) / F.lit(width)), F.lit(4095)) if width > 0 else (F.col("v") > F.lit(low)).cast("long")
+        parts = counts.filter(F.col("v").between(F.lit(low), F.lit(high))).groupBy(place.alias("p")).agg(
+            F.sum("c").alias("c"), F.min("v").alias("a"), F.max("v").alias("b")).orderBy("p").collect()        # 4,096 rows at most
+        for row in parts:
+            if k <= row["c"]:
+                break
+            k -= row["c"]
+        low, high = row["a"], row["b"]
+    return low
 
-    real = F.when(~F.isnan(v), v)
-    n, low, high = values.agg(F.count(real), F.min(real), F.max(real)).first()
+
+def exact_quantiles(df: DataFrame, col: str, quantiles=C.PERCENTILES, sketch: bytes | None = None, few: int = FEW_VALUES) -> list[float | None]:
+    """The values at rank ``ceil(q n)``, exact at any size, from two scans whatever the number of ranks: one for the sketch
+    (none, if the caller has it from a scan of its own), one that counts.
+
+    The sketch gives every rank a bracket of values. The second scan counts, in one aggregation, the rows between the
+    brackets and, within them, the rows of each value; the sum of the counts up to a bracket says which of its values has the
+    rank. A rank outside its bracket (a sketch is a matter of chance) is looked for in a wider one. NULL and NaN are no
+    values.
+    """
+    v = F.col(col).cast("double")
+    if sketch is None:
+        sketch = df.agg(quantile_sketch(v).alias("s")).first()["s"]
+    one = df.sparkSession.range(1).select(F.lit(bytes(sketch)).alias("s")) if sketch is not None else None
+    n = one.select(F.kll_sketch_get_n_double("s")).first()[0] if one is not None else 0
     if not n:
         return [None] * len(quantiles)
-    ranks = [max(1, n - math.floor(n - q * n)) for q in quantiles]
+    ranks = {q: max(1, n - math.floor(n - q * n)) for q in quantiles}
     found: dict[int, float] = {}
-    for rank in dict.fromkeys(ranks):
-        a, b, left, k = low, high, n, rank            # the rank-th value is the k-th of the ``left`` rows within [a, b]
-        while a < b and left > small:
-            width = (b - a) / buckets
-            x = F.col("x")
-            place = F.least(F.floor((x - F.lit(a)) / F.lit(width)), F.lit(buckets - 1)) if width > 0 else (x > F.lit(a)).cast("long")
-            hist = values.select(inside(a, b).alias("x")).groupBy(place.alias("p")).agg(
-                F.count("x").alias("c"), F.min("x").alias("a"), F.max("x").alias("b"))
-            for row in sorted((r for r in hist.collect() if r["p"] is not None), key=lambda r: r["p"]):     # ``buckets`` rows at most
-                if k <= row["c"]:
+    reach = RANK_ERROR
+    while len(found) < len(set(ranks.values())):
+        left = sorted({r for r in ranks.values() if r not in found})
+        at = [min(1.0, max(0.0, r / n + d)) for r in left for d in (-reach, reach)]
+        ends = one.select(F.kll_sketch_get_quantile_double("s", F.array(*map(F.lit, at)))).first()[0]
+        # an end of the sketch's range is no bound: a bracket that reaches it is open
+        spans = [(-math.inf if lo <= 0 else a, math.inf if hi >= 1 else b)
+                 for lo, hi, a, b in zip(at[::2], at[1::2], ends[::2], ends[1::2], strict=True)]
+        merged: list[list[float]] = []
+        for a, b in sorted(spans):
+            if merged and a <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], b)
+            else:
+                merged.append([a, b])
+        x = F.col("v")
+        inside = F.lit(False)
+        place = F.lit(0)
+        for a, b in merged:                                 # 2 i + 1 within bracket i, 2 i before it
+            inside = inside | x.between(F.lit(a), F.lit(b))
+            place = place + (x >= F.lit(a)).cast("int") + (x > F.lit(b)).cast("int")
+        counts = df.select(v.alias("v")).filter(x.isNotNull() & ~F.isnan(x)).select(
+            place.alias("p"), F.when(inside, x).alias("v")).groupBy("p", "v").agg(F.count(F.lit(1)).alias("c"))
+        few_rows = n * 2 * reach * len(left) <= few         # the brackets hold about that many rows, so no more values
+        rows = counts.limit(few + 1).collect() if few_rows else None
+        held = None
+        if rows is None or len(rows) > few:
+            held = write_table(counts, "bracket-counts")    # a small share of the rows; the input is not read again
+            rows = held.groupBy("p").agg(F.sum("c").alias("c")).collect()
+        sums: dict[int, int] = {}
+        for r in rows:
+            sums[r["p"]] = sums.get(r["p"], 0) + r["c"]
+        for rank in left:
+            below = 0
+            for p in sorted(sums):
+                if below + sums[p] >= rank:
                     break
-                k -= row["c"]
-            a, b, left = row["a"], row["b"], row["c"]
-        if a < b:
-            a = values.select(inside(a, b).alias("x")).orderBy(F.col("x").asc_nulls_last()).limit(small).collect()[k - 1]["x"]
-        found[rank] = a
-    return [found[r] for r in ranks]
+                below += sums[p]
+            if p % 2 == 0:
+                continue                                    # between the brackets
+            if held is not None:
+                found[rank] = _kth(held.filter(F.col("p") == p), rank - below)
+            else:
+                for r in sorted((r for r in rows if r["p"] == p), key=lambda r: r["v"]):
+                    below += r["c"]
+                    if below >= rank:
+                        break
+                found[rank] = r["v"]
+        reach *= 8
+    return [found[ranks[q]] for q in quantiles]
 
 
 def score_distribution(labeled: DataFrame, percentiles=C.PERCENTILES) -> DataFrame:
-    """Moments and exact percentiles (``exact_quantiles``)."""
+    """Moments and exact percentiles: one scan for moments and sketch, one for the percentiles (``exact_quantiles``)."""
     s = F.col("anomaly_score")
-    exact = exact_quantiles(labeled, "anomaly_score", percentiles)
-    names = [f"p{int(round(p * 100))}" for p in percentiles]
-    return labeled.agg(F.avg(s).alias("score_mean"), F.stddev_samp(s).alias("score_std"),
-                       F.min(s).alias("score_min"), F.max(s).alias("score_max"),
-                       *[F.lit(v).cast("double").alias(nm) for nm, v in zip(names, exact)])
+    names = ["score_mean", "score_std", "score_min", "score_max", *(f"p{int(round(p * 100))}" for p in percentiles)]
+    row = labeled.agg(F.avg(s), F.stddev_samp(s), F.min(s), F.max(s), quantile_sketch(s)).first()
+    values = [*row[:4], *exact_quantiles(labeled, "anomaly_score", percentiles, row[4])]
+    return labeled.sparkSession.createDataFrame([tuple(values)], ", ".join(f"{n} double" for n in names))
 
 
 def class_separation(labeled: DataFrame, threshold: float) -> DataFrame:
@@ -151,13 +209,15 @@ def quality_checks(labeled: DataFrame) -> DataFrame:
 
 def evaluation_report(labeled: DataFrame, threshold: float, percentiles=C.PERCENTILES,
                       rules=C.FAULT_RULES) -> DataFrame:
-    """All sections in one tidy table ``(section, key, metric, value, note)`` from one scan (and those of the exact percentiles).
+    """All sections in one tidy table ``(section, key, metric, value, note)`` from two scans: one for all metrics and the
+    sketch of the scores, one for the exact percentiles.
 
     A single grouping-sets aggregation computes the overall metrics (grouping
     set ``()``), the per-cluster metrics (``(cluster)``) and the per-label
     anomaly counts (``(fault_hint)``); partial aggregation happens before the
-    only shuffle, whose output is 1 + k + (labels) rows. The few result rows
-    are then reshaped; fault shares use a window over those rows only.
+    only shuffle, whose output is 1 + k + (labels) rows. These go through the driver (the
+    sketch of the overall row says where the percentiles are looked for) and are then
+    reshaped; fault shares use a window over those rows only.
     """
     s = F.col("anomaly_score")
     anom = F.col("is_anomaly")
@@ -171,7 +231,12 @@ def evaluation_report(labeled: DataFrame, threshold: float, percentiles=C.PERCEN
         *[F.count_if(X.rule_condition(c, op, v)).alias(f"breach_{c}") for _, c, op, v in rules],
     ]
     g = (labeled.groupingSets([[], ["cluster"], ["fault_hint"]], "cluster", "fault_hint")
-         .agg(*aggs, F.grouping_id().alias("_gid")))
+         .agg(*aggs, F.grouping_id().alias("_gid"), quantile_sketch(s).alias("_sketch")))
+    few = g.collect()                                     # 1 + k + labels rows
+    sketch = next((r["_sketch"] for r in few if r["_gid"] == 3), None)
+    exact = exact_quantiles(labeled, "anomaly_score", percentiles, sketch)
+    kept = [f for f in g.schema.fields if f.name != "_sketch"]
+    g = labeled.sparkSession.createDataFrame([tuple(r[f.name] for f in kept) for r in few], T.StructType(kept))
     # _gid: 3 = overall, 1 = per cluster (fault_hint rolled up), 2 = per label (cluster rolled up)
     everything = Window.partitionBy()                     # over the 1 + k + labels result rows only
     g = g.withColumns({
@@ -200,7 +265,7 @@ def evaluation_report(labeled: DataFrame, threshold: float, percentiles=C.PERCEN
              blank, "overview"),
         rows([("score_mean", F.col("score_mean")), ("score_std", F.col("score_std")),
               ("score_min", F.col("score_min")), ("score_max", F.col("score_max"))]
-             + [(nm, F.lit(v)) for nm, v in zip(pct_names, exact_quantiles(labeled, "anomaly_score", percentiles))], blank, "score_distribution"),
+             + [(nm, F.lit(v)) for nm, v in zip(pct_names, exact)], blank, "score_distribution"),
         rows([("normal_mean", F.col("normal_mean")), ("anomaly_mean", F.col("anomaly_mean")), ("gap", gap)],
              blank, "class_separation", verdict),
         rows([("wcss_proxy", F.coalesce(F.col("_wcss"), F.lit(0.0)))], blank, "cluster_quality"),

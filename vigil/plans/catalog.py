@@ -29,10 +29,13 @@ from vigil.plans.batch import run_batch, run_checks
 from vigil.plans.fixture_model import fixed_model
 from vigil.session import scratch_path, write_table
 from vigil.sources import codec, fixture, ingest, sinks, validate
-from vigil.streaming.ingest import replay_batch, run_ingest, stream_score, stream_source
+from vigil.streaming.ingest import replay_batch, run_ingest, stream_source
+from vigil.streaming.scoring import stream_score
 
 PLACES = 6
 CAP = 500                                   # rows that the cap_rows query asks for
+STREAM_FILES = 14                           # message files of the stream_score query, and how long a message may be on its way
+STREAM_DELAY = "3 days"
 RUN_ID = "fixture-run"
 PROCESSED_AT = "2024-02-01 00:00:00"
 ALERT_AS_OF = "2024-02-01 00:05:00"
@@ -561,17 +564,32 @@ def q_replay_batch(spark, d):
     return _landed(spark, sink)
 
 
+def _arriving(spark, d) -> str:
+    """The sensor rows as JSON message files that arrive one after the other, some messages one or five files late."""
+    path = scratch_path(spark, "arriving")
+    rows = prepared(spark, d).sensors.withColumn("timestamp", F.col("ts").cast("string"))
+    n, i = rows.count(), F.col("key").cast("long")
+    late = F.when(i % 97 == 5, 5).when(i % 41 == 3, 1).otherwise(0)
+    msgs = codec.encode_json(rows.drop("ts", "asset_id"), key="event_id").withColumn(
+        "file", F.floor(i * STREAM_FILES / F.lit(n)).cast("int") + late)
+    msgs.select("value", "file").repartition("file").write.partitionBy("file").text(path)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for k in range(STREAM_FILES + 5):                   # the source reads files in the order of their times
+        found = jvm.org.apache.hadoop.fs.Path(f"{path}/file={k}/part-*")
+        fs = found.getFileSystem(conf)
+        for f in fs.globStatus(found) or ():
+            fs.setTimes(f.getPath(), 1_700_000_000_000 + 60_000 * k, -1)
+    return path
+
+
 def q_stream_score(spark, d):
-    """The stream scorer over all messages in one micro-batch (equal to the batch computation); the
-    multi-batch tail path is compared with batch scoring in tests/test_stream.py."""
-    lab, thr = fixed_scored(spark, d)
-    src = _messages(spark, d, parts=4, clean=True)
+    """The stream scorer over messages that arrive in 19 micro-batches, some of them within the allowed delay and some late."""
+    _, thr = fixed_scored(spark, d)
     preds = scratch_path(spark, "stream-predictions")
-    msgs = stream_source(spark, "text", {"maxFilesPerTrigger": "1000"}, src)
-    stream_score(msgs, scratch_path(spark, "history"), preds, scratch_path(spark, "ckpt"),
-                 fixed_model().with_threshold(thr), RUN_ID).awaitTermination()
+    msgs = stream_source(spark, "text", {"maxFilesPerTrigger": "1"}, _arriving(spark, d))
+    stream_score(msgs, preds, scratch_path(spark, "ckpt"), fixed_model().with_threshold(thr), RUN_ID, delay=STREAM_DELAY).awaitTermination()
     return rounded(spark.read.parquet(preds).select("source_timestamp", "anomaly_score", "is_anomaly", "fault_hint",
-                                                    "cluster_id", "rolling_mean_TP2"))
+                                                    "cluster_id", "rolling_mean_TP2", "rolling_mean_motor"))
 
 
 def q_load_model(spark, d):

@@ -3,14 +3,14 @@
 Written as plain SQL over the pre-registered tables: a global window where
 the Spark plan uses halo blocks, ``row_number()`` where it uses partition
 offsets, scalar subqueries for fitted constants. Queries that depend on a
-KMeans fit or on JSON text formatting have no oracle (rows-only check).
+KMeans fit or on JSON text formatting return what holds for every fit and format.
 """
 
 from __future__ import annotations
 
 from vigil import config as C
 from vigil.functions.columns import sql_double
-from vigil.plans.catalog import ALERT_AS_OF, CAP, PLACES, PROCESSED_AT, RUN_ID
+from vigil.plans.catalog import ALERT_AS_OF, CAP, PLACES, PROCESSED_AT, RUN_ID, STREAM_FILES
 from vigil.plans.fixture_model import FIXED_CENTERS, FIXED_MEAN, FIXED_STD
 from vigil.sources.fixture import raw_text_view_sql, sensor_view_sql
 
@@ -63,7 +63,7 @@ def _d2(j: int) -> str:
     return " + ".join(f"(z{i} - {sql_double(c)}) * (z{i} - {sql_double(c)})" for i, c in enumerate(FIXED_CENTERS[j]))
 
 
-def ctes() -> str:
+def ctes(stream: bool = False) -> str:
     not_null = " and ".join(f"{c} is not null and not isnan({c})" for c in A)
     feat_cols = ", ".join(["event_id", "ts", "asset_id"] + A + [f"coalesce({c}, 0) as {c}" for c in D])
     k = len(FIXED_CENTERS)
@@ -71,33 +71,55 @@ def ctes() -> str:
     cluster = "case " + " ".join(f"when d{j} = {least} then {j}" for j in range(k)) + " end"
     zs = ", ".join(f"{_z(i, f)} as z{i}" for i, f in enumerate(C.EXTENDED_COLS))
     ds = ", ".join(f"{_d2(j)} as d{j}" for j in range(k))
-    return f"""
-sensor as ({sensor_view_sql()}),
-clean as (select * from sensor where {not_null}),
-idx as (select *, row_number() over (order by ts, event_id) - 1 as row_idx, count(*) over () as n from clean),
-feat as (
+
+    def chain(p: str, source: str) -> str:
+        """From clean rows to scored ones, under names that start with ``p``."""
+        return f"""
+{p}idx as (select *, row_number() over (order by ts, event_id) - 1 as row_idx, count(*) over () as n from {source}),
+{p}feat as (
   select {feat_cols}, row_idx, n,
     TP2 - TP3 as pressure_diff_TP2_TP3, H1 - DV_pressure as pressure_diff_H1_DV,
     coalesce(Motor_current / nullif(Oil_temperature + 1e0, 0e0), 0e0) as motor_oil_ratio,
     {_seq_avg("TP2")} as rolling_mean_TP2, coalesce(stddev_samp(TP2) over w, 0e0) as rolling_std_TP2,
     {_seq_avg("Motor_current")} as rolling_mean_motor,
     coalesce(stddev_samp(Motor_current) over w, 0e0) as rolling_std_motor
-  from idx {_W}),
-split as (
+  from {p}idx {_W}),
+{p}split as (
   select *, case when row_idx < floor(n * {sql_double(C.TRAIN_RATIO)}) then 'train'
                  when row_idx < floor(n * ({sql_double(C.TRAIN_RATIO)} + {sql_double(C.TEST_RATIO)})) then 'test'
                  else 'demo' end as data_split
-  from feat),
-zs as (select *, {zs} from split),
-ds as (select *, {ds} from zs),
-scored as (select *, cast({cluster} as integer) as cluster, sqrt({least}) as anomaly_score from ds),
+  from {p}feat),
+{p}zs as (select *, {zs} from {p}split),
+{p}ds as (select *, {ds} from {p}zs),
+{p}scored as (select *, cast({cluster} as integer) as cluster, sqrt({least}) as anomaly_score from {p}ds)"""
+
+    def labels(p: str) -> str:
+        return f"""{p}labeled as (
+  select s.*, s.anomaly_score > t.threshold as is_anomaly, t.threshold,
+         case when s.anomaly_score > t.threshold then {_fault_case()} else '{C.FAULT_NONE}' end as fault_hint
+  from {p}scored s cross join thr t)"""
+
+    arrivals = ""
+    if stream:
+        # file k holds a fourteenth of the readings and those of earlier ones that were on their way too long; in micro-batch k the
+        # readings up to the watermark of micro-batch k - 1, which rests on the files before that one, are late
+        arrivals = f""",
+arrived as (select *, event_id * {STREAM_FILES} // (select count(*) from sensor) + case when event_id % 97 = 5 then 5 when event_id % 41 = 3 then 1 else 0 end as k from clean),
+newest as (select k, max(max(ts)) over (order by k) as newest from arrived group by k),
+passed as (select k, date_trunc('millisecond', newest) - interval 3 days as mark, row_number() over (order by k) as nth from newest),
+ontime as (
+  select a.* exclude (k) from arrived a join passed p on p.k = a.k left join passed w on w.nth = p.nth - 2
+  where w.mark is null or a.ts > w.mark),
+{chain("s_", "ontime")},
+{labels("s_")}"""
+    return f"""
+sensor as ({sensor_view_sql()}),
+clean as (select * from sensor where {not_null}),
+{chain("", "clean")},
 thr as (select avg(anomaly_score) as score_mean, stddev_samp(anomaly_score) as score_std,
                avg(anomaly_score) + {sql_double(C.THRESHOLD_SIGMAS)} * stddev_samp(anomaly_score) as threshold
         from scored where data_split = 'train'),
-labeled as (
-  select s.*, s.anomaly_score > t.threshold as is_anomaly, t.threshold,
-         case when s.anomaly_score > t.threshold then {_fault_case()} else '{C.FAULT_NONE}' end as fault_hint
-  from scored s cross join thr t),
+{labels("")},
 preds as (
   select ts as source_timestamp, anomaly_score, is_anomaly, fault_hint, cluster as cluster_id,
          threshold as threshold_used, TP2, Motor_current, Oil_temperature, DV_pressure, pressure_diff_TP2_TP3,
@@ -106,7 +128,7 @@ preds as (
   from labeled where data_split = 'demo'),
 test as (select * from labeled where data_split = 'test'),
 rawtext as ({raw_text_view_sql()}),
-coerced as (select event_id, {_coerce_list()} from rawtext)"""
+coerced as (select event_id, {_coerce_list()} from rawtext){arrivals}"""
 
 
 def _strip(x: str) -> str:
@@ -133,8 +155,8 @@ def _coerce_list() -> str:
     return ", ".join(parts)
 
 
-def q(body: str) -> str:
-    return f"with {ctes()}\n{body}"
+def q(body: str, stream: bool = False) -> str:
+    return f"with {ctes(stream)}\n{body}"
 
 
 PRED_COLS = list(C.PREDICTION_COLS)
@@ -386,9 +408,11 @@ def oracle_sql() -> dict[str, str]:
                           "union all select null, " + ", ".join("null" for _ in A + D)
                           + ", case when event_id % 50 = 3 then 'not_json' else 'no_timestamp' end from sensor "
                             "where event_id % 50 in (3, 11)"),
+        # those that the last watermark has passed, with the frames of the readings that were not late
         "stream_score": q("select ts as source_timestamp, round(anomaly_score, 6) + 0e0 as anomaly_score, is_anomaly, "
-                          "fault_hint, cluster as cluster_id, round(rolling_mean_TP2, 6) + 0e0 as rolling_mean_TP2 "
-                          "from labeled"),
+                          "fault_hint, cluster as cluster_id, round(rolling_mean_TP2, 6) + 0e0 as rolling_mean_TP2, "
+                          "round(rolling_mean_motor, 6) + 0e0 as rolling_mean_motor "
+                          "from s_labeled where ts <= (select max(mark) from passed)", stream=True),
         "replay_batch": q(f"select ts, {landed} from sensor where event_id % 50 not in (3, 11)"),
         # 2.6
         "latest_n": q(f"select {sensor_sel} from sensor order by ts desc limit {C.RECENT_LIMIT}"),

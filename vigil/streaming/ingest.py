@@ -1,4 +1,4 @@
-"""Structured Streaming jobs: landing messages and scoring micro-batches.
+"""Structured Streaming jobs: landing messages (scoring them: ``streaming/scoring.py``).
 
 The original consumer buffers 500 messages in memory and auto-commits
 offsets, so a crash can lose the tail. Here the source offsets and the sink
@@ -38,19 +38,19 @@ def source_options(fmt: str, options: dict) -> dict:
     return {"startingOffsets": "earliest", **options} if fmt == "kafka" else dict(options)
 
 
-def decoded_messages(messages: DataFrame) -> DataFrame:
-    """Typed fields beside the raw text (``raw``) of each message."""
+def decoded_messages(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Typed fields beside the raw text (``raw``) of each message, and the message's columns in ``keep``."""
     raw = messages.withColumn("raw", F.col("value").cast("string"))
-    return codec.decode_json(raw, keep=("raw",))
+    return codec.decode_json(raw, keep=("raw", *keep))
 
 
 def _good() -> Column:
     return F.col(codec.CORRUPT).isNull() & F.col("timestamp").isNotNull()
 
 
-def land(messages: DataFrame) -> DataFrame:
+def land(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Every message that is a JSON object with a timestamp, whatever its other fields: bad ones are NULL."""
-    rows = resolve_timestamp(decoded_messages(messages).filter(_good()).drop("raw", codec.CORRUPT))
+    rows = resolve_timestamp(decoded_messages(messages, keep).filter(_good()).drop("raw", codec.CORRUPT))
     return ingest.stamp_ingest(rows, name="ingested_at").withColumn("date", F.to_date("ts"))
 
 
@@ -127,70 +127,3 @@ def run_ingest(spark: SparkSession, paths: C.Paths, source_format: str = "kafka"
 
     return IngestRun(stream_ingest(messages(), paths.stream, ckpt, **how),
                      stream_rejects(messages(), paths.rejects, f"{ckpt}-rejects", **how))
-
-
-SCORE_COLS = ["ts"] + C.ANALOGUE_COLS + C.DIGITAL_COLS
-
-
-def newest_rows(rows: DataFrame, n: int) -> DataFrame:
-    """The last ``n`` complete rows in time order (ties by all sensor columns)."""
-    complete = O.drop_incomplete(rows.select(*SCORE_COLS))
-    return complete.orderBy(*[F.col(c).desc() for c in SCORE_COLS]).limit(n)
-
-
-def score_micro_batch(batch: DataFrame, tail: DataFrame | None, model: M.AnomalyModel, run_id: str) -> tuple[DataFrame, O.Indexed]:
-    """Predictions for the rows of one micro-batch.
-
-    The rolling features of a new row need the rows before it, so the ``tail`` (the newest stored rows by reading time,
-    not by arrival) is put in front of the batch; only new rows are scored. Late rows are scored with the tail as of
-    arrival; the batch job recomputes them in full order. Returns the predictions and the index to release once they
-    are written.
-    """
-    new = O.drop_incomplete(batch.select(*SCORE_COLS)).withColumn("_new", F.lit(True))
-    if tail is not None:
-        new = tail.select(*SCORE_COLS).withColumn("_new", F.lit(False)).unionByName(new)
-    indexed = O.row_index(new, order_cols=SCORE_COLS)
-    featured = O.engineer_features(indexed).filter(F.col("_new")).drop("_new")
-    scored = M.score(featured, model)
-    return P.predictions(scored, model.threshold, F.current_timestamp(), run_id, "stream"), indexed
-
-
-def tail_path(history_path: str, batch_id: int) -> str:
-    return f"{history_path.rstrip('/')}-tail/{batch_id}"
-
-
-def read_tail(spark: SparkSession, history_path: str, batch_id: int) -> DataFrame | None:
-    """The tail that the batch before left: one small folder, whatever the length of the history."""
-    path = tail_path(history_path, batch_id - 1)
-    return spark.read.parquet(path) if batch_id > 0 and ingest.table_exists(spark, path) else None
-
-
-def stream_score(messages: DataFrame, history_path: str, predictions_path: str, checkpoint: str,
-                 model: M.AnomalyModel, run_id: str, available_now: bool = True,
-                 preceding: int = C.ROLLING_PRECEDING) -> StreamingQuery:
-    """Land each micro-batch, append its predictions and keep the newest rows for the next one (idempotent per batch id)."""
-    spark = messages.sparkSession
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = land(batch).withColumn("batch_id", F.lit(batch_id)).persist()
-        indexed = None
-        try:
-            tail = read_tail(spark, history_path, batch_id)
-            preds, indexed = score_micro_batch(rows, tail, model, run_id)
-            (preds.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(predictions_path))
-            (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(history_path))
-            known = rows.select(*SCORE_COLS) if tail is None else rows.select(*SCORE_COLS).unionByName(tail.select(*SCORE_COLS))
-            newest_rows(known, preceding).write.mode("overwrite").parquet(tail_path(history_path, batch_id))
-            if batch_id > 1:
-                drop_path(spark, tail_path(history_path, batch_id - 2))     # a retried batch needs the one before only
-        finally:
-            rows.unpersist()
-            if indexed is not None:
-                indexed.release()
-
-    w = messages.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-    if available_now:
-        w = w.trigger(availableNow=True)
-    return w.start()
