@@ -47,10 +47,15 @@ def quantile_sketch(value: Column) -> Column:
 def _kth(counts: DataFrame, k: int) -> float | None:
     """The k-th smallest of values ``v`` that stand ``c`` times each: ranges of values are counted, and the one that holds it again."""
     n, low, high = counts.agg(F.sum("c"), F.min("v"), F.max("v")).first()
+    v = F.col("v")
     while low < high:
-        width = (high - low) / 4096
-        place = F.least(F.floor((F.col("v") - F.lit(low)) / F.lit(width)), F.lit(4095)) if width > 0 else (F.col("v") > F.lit(low)).cast("long")
-        parts = counts.filter(F.col("v").between(F.lit(low), F.lit(high))).groupBy(place.alias("p")).agg(
+        if math.isinf(low) or math.isinf(high):
+            place = (v > F.lit(low)).cast("long") + (v >= F.lit(high)).cast("long")
+        elif (width := high / 4096 - low / 4096) > 0:
+            place = F.greatest(F.lit(0), F.least(F.floor(v / F.lit(width) - F.lit(low / width)), F.lit(4095)))
+        else:
+            place = (v > F.lit(low)).cast("long")
+        parts = counts.filter(v.between(F.lit(low), F.lit(high))).groupBy(place.alias("p")).agg(
             F.sum("c").alias("c"), F.min("v").alias("a"), F.max("v").alias("b")).orderBy("p").collect()        # 4,096 rows at most
         for row in parts:
             if k <= row["c"]:
