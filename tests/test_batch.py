@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from vigil import config as C
 from vigil.plans.batch import run_batch, run_checks
+from vigil.sources.commit import current_version
 from vigil.sources.fixture import sensor_table
 
 
@@ -26,7 +27,7 @@ def test_run_batch_twice(spark, tmp_dir):
     assert [r.spark_run_id for r in log] == ["run-1", "run-2"]
     assert [r.model_loaded_from_cache for r in log] == [False, True]
     assert log[0].records_processed == r1.demo_rows and log[0].anomalies_found == r1.demo_anomalies
-    report = spark.read.json(paths.report)
+    report = spark.read.json(current_version(spark, paths.report))
     assert report.filter("section = 'overview' and metric = 'total_records'").first().value == r1.test_rows
     # the landed table the freshness gate reads
     sensors.write.parquet(paths.raw)

@@ -94,10 +94,10 @@ def test_load_modes_skip_and_drop(spark, tmp_dir):
     assert first["loaded"] and first["inserted"] == 5
     again = ingest.load_raw(spark, path, target)                   # non-empty target: skipped
     assert not again["loaded"]
-    assert spark.read.parquet(target).count() == 5
+    assert ingest.read_raw(spark, target).count() == 5
     dropped = ingest.load_raw(spark, path, target, drop=True)      # replace
     assert dropped["loaded"]
-    raw = spark.read.parquet(target)
+    raw = ingest.read_raw(spark, target)
     assert raw.count() == 5 and "_loaded_at" in raw.columns and "date" in raw.columns
 
 

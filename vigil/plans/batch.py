@@ -1,7 +1,8 @@
 """Batch job and scheduled checks.
 
 ``run_batch``: load, clean, index, featurize, split, train-or-load, evaluate on
-the test split, score the demo split, append predictions and a run-log row.
+the test split, score the demo split, append predictions and a run-log row
+(each once per run id: a job that was killed can be run again with its id).
 The featurized table is written once to the shared checkpoint folder, so the
 model fit, the evaluation and the scoring all read it without recomputing the
 window, and a lost executor costs a re-read, not a re-run.
@@ -23,6 +24,7 @@ from vigil.operators import report as R
 from vigil.operators import serve as S
 from vigil.session import drop_path, table_path, write_table
 from vigil.sources import ingest, sinks
+from vigil.sources.commit import run_folder
 
 
 @dataclass
@@ -78,9 +80,12 @@ def _train_evaluate_score(spark: SparkSession, labeled: DataFrame, n: int, paths
     scored = M.score(parts[score_split], model)
     preds = P.predictions(scored, model.threshold, processed_at, run_id, score_split)
     obs = Observation("run_summary")
-    sinks.append_predictions(preds.observe(obs, F.count(F.lit(1)).alias("records"),
-                                           F.count_if(F.col("is_anomaly")).alias("anomalies")), paths.predictions, paths.fmt)
-    summary = obs.get
+    if sinks.append_predictions(preds.observe(obs, F.count(F.lit(1)).alias("records"),
+                                              F.count_if(F.col("is_anomaly")).alias("anomalies")), paths.predictions, paths.fmt, run_id):
+        summary = obs.get
+    else:                                    # an earlier attempt of this run got so far: what it wrote counts
+        summary = spark.read.format(paths.fmt).load(run_folder(paths.predictions, run_id)).agg(
+            F.count(F.lit(1)).alias("records"), F.count_if(F.col("is_anomaly")).alias("anomalies")).first()
     records, anomalies = int(summary["records"]), int(summary["anomalies"])
     sinks.append_run_log(spark, paths.run_log, run_id, records, anomalies, model.threshold, cached, score_split, fmt=paths.fmt)
     return BatchResult(run_id, n, train_end, test_end - train_end, n - test_end, anomalies, model.threshold, cached)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from vigil import config as C
 from vigil.functions import columns as X
+from vigil.sources.commit import current_version, replace_version
 
 
 def read_sensor_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -80,18 +81,20 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def is_nonempty(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
+    path = current_version(spark, path)
     return table_exists(spark, path) and not spark.read.format(fmt).load(path).isEmpty()
 
 
 def write_raw_batches(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "append",
                       partition_by: tuple[str, ...] = ("date",), max_records_per_file: int | None = None) -> None:
-    """Bulk write, partitioned by reading date so that filters on ``date`` prune files. Rows are dealt by date and
-    hour first (one pass, no sampling): a date has 24 files at most, and a day with many rows goes to several tasks."""
+    """Bulk write, partitioned by reading date so that filters on ``date`` prune files. Rows are dealt by date and then
+    rebalanced by size: a day (or an hour) with very many rows goes to as many tasks and files as it needs, days with few
+    share a task."""
     out = df
     if "date" in partition_by and "date" not in df.columns:
         out = out.withColumn("date", F.to_date("ts" if "ts" in df.columns else "timestamp"))
-    if "date" in partition_by and "ts" in out.columns:
-        out = out.repartition("date", F.hour("ts"))
+    if partition_by:
+        out = out.hint("rebalance", *[F.col(c) for c in partition_by])
     w = out.write.format(fmt).mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -104,8 +107,9 @@ def load_raw(spark: SparkSession, csv_path: str, target: str, drop: bool = False
              loaded_at: Column | None = None) -> dict:
     """Load a CSV folder into the raw table.
 
-    Skips when the target already holds rows (unless ``drop``); ``drop``
-    replaces the table. Returns inserted / skipped counts.
+    Skips when the target already holds rows (unless ``drop``). The rows are a new version of the table, which takes the
+    old one's place when it is whole (``commit.replace_version``): a load that fails leaves what was there. Returns
+    inserted / skipped counts.
     """
     if not drop and is_nonempty(spark, target, fmt):
         return {"inserted": 0, "skipped": 0, "loaded": False}
@@ -115,12 +119,12 @@ def load_raw(spark: SparkSession, csv_path: str, target: str, drop: bool = False
     counted = coerced.observe(obs, F.count_if(F.col("timestamp").isNotNull()).alias("inserted"),
                               F.count_if(F.col("timestamp").isNull()).alias("skipped"))
     rows = stamp_ingest(resolve_timestamp(counted), loaded_at)
-    write_raw_batches(rows, target, fmt, mode="overwrite" if drop else "append")
+    replace_version(spark, target, lambda folder: write_raw_batches(rows, folder, fmt, mode="overwrite"))
     counts = obs.get
     return {"inserted": int(counts["inserted"]), "skipped": int(counts["skipped"]), "loaded": True}
 
 
 def read_raw(spark: SparkSession, path: str, fmt: str = "parquet", columns: list[str] | None = None) -> DataFrame:
-    """Whole-table scan of a landed table (format is configuration)."""
-    df = spark.read.format(fmt).load(path)
+    """Whole-table scan of a landed table, in its current version (format is configuration)."""
+    df = spark.read.format(fmt).load(current_version(spark, path))
     return df.select(*columns) if columns else df
