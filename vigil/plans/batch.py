@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vigil import config as C
+from vigil.operators import ghost as G
 from vigil.operators import model as M
 from vigil.operators import ordered as O
 from vigil.operators import output as P
@@ -41,17 +42,21 @@ class BatchResult:
 
 def run_batch(spark: SparkSession, sensors: DataFrame, paths: C.Paths, run_id: str | None = None,
               processed_at: Column | None = None, partitions: int | None = None, retrain: bool = False,
-              score_split: str = "demo", rolling_method: str = "linear", order_cols: list[str] | None = None) -> BatchResult:
+              score_split: str = "demo", rolling_method: str = "ghost", order_cols: list[str] | None = None) -> BatchResult:
     """The whole job over a sensor table: as ``load_raw`` or ``run_ingest`` land it, or any with ``ts`` and the sensors.
-    Rows are put in order by ``order_cols`` (default: ``operators.ordered.total_order``)."""
+    Rows are put in order by ``order_cols`` (default: ``operators.ordered.total_order``); ``rolling_method``: ``ghost`` (one
+    exchange of the rows), or ``linear`` or ``frame`` of ``engineer_features``."""
     run_id = run_id or str(uuid.uuid4())
     processed_at = processed_at if processed_at is not None else F.current_timestamp()
 
     clean = O.drop_incomplete(sensors)
-    indexed = O.row_index(clean, order_cols, partitions=partitions)
+    if rolling_method == "ghost":
+        featured, indexed = G.engineer_rows(clean, order_cols, partitions)
+    else:
+        indexed = O.row_index(clean, order_cols, partitions=partitions)
+        featured = O.engineer_features(indexed, method=rolling_method)
     featured_path = table_path(spark, "featured")
     try:
-        featured = O.engineer_features(indexed, method=rolling_method)
         labeled = write_table(O.temporal_split(featured, indexed.n), "featured",
                               ("data_split",), featured_path)
         return _train_evaluate_score(spark, labeled, indexed.n, paths, run_id, processed_at, retrain, score_split)

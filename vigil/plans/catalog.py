@@ -20,6 +20,7 @@ from pyspark.ml.functions import vector_to_array
 
 from vigil import config as C
 from vigil.functions import columns as X
+from vigil.operators import ghost as G
 from vigil.operators import model as M
 from vigil.operators import ordered as O
 from vigil.operators import output as P
@@ -57,7 +58,6 @@ def ntz(text: str):
 class Prepared:
     sensors: DataFrame
     clean: DataFrame
-    indexed: O.Indexed
     labeled: DataFrame          # featured + data_split
     n: int
 
@@ -74,10 +74,17 @@ def prepared(spark: SparkSession, sf_dir: str) -> Prepared:
     if k not in _MEMO:
         sensors = fixture.sensor_table(spark, sf_dir)
         clean = O.drop_incomplete(sensors)
-        indexed = O.row_index(clean)
-        featured = O.engineer_features(indexed)
-        labeled = write_table(O.temporal_split(featured, indexed.n), "featured", ("data_split",))  # window once
-        _MEMO[k] = Prepared(sensors, clean, indexed, labeled, indexed.n)
+        featured, rolled = G.engineer_rows(clean)
+        labeled = write_table(O.temporal_split(featured, rolled.n), "featured", ("data_split",))  # window once
+        rolled.release()
+        _MEMO[k] = Prepared(sensors, clean, labeled, rolled.n)
+    return _MEMO[k]
+
+
+def indexed(spark: SparkSession, sf_dir: str) -> O.Indexed:
+    k = _key(spark, sf_dir, "indexed")
+    if k not in _MEMO:
+        _MEMO[k] = O.row_index(prepared(spark, sf_dir).clean)
     return _MEMO[k]
 
 
@@ -185,7 +192,7 @@ def q_drop_incomplete(spark, d):
 
 
 def q_cap_rows(spark, d):
-    return O.cap_rows(prepared(spark, d).indexed, CAP).df.select("event_id", "row_idx")
+    return O.cap_rows(indexed(spark, d), CAP).df.select("event_id", "row_idx")
 
 
 def _clean_expr(spark, d, col):
@@ -299,7 +306,7 @@ def q_engineer_features(spark, d):
 
 
 def q_row_index(spark, d):
-    return prepared(spark, d).indexed.df.select("event_id", "row_idx")
+    return indexed(spark, d).df.select("event_id", "row_idx")
 
 
 def q_temporal_split(spark, d):

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,6 +71,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the package to the Python workers (once a session), as ``--py-files`` would: executors that have no copy of
+    this repository get it from the shared checkpoint folder."""
+    sc = spark.sparkContext
+    if getattr(sc, "_vigil_shipped", False):
+        return
+    import vigil
+
+    top = os.path.dirname(os.path.abspath(vigil.__file__))
+    if os.path.isdir(top):
+        held = io.BytesIO()
+        with zipfile.ZipFile(held, "w") as z:
+            for folder, _, names in os.walk(top):
+                for name in sorted(n for n in names if n.endswith(".py")):
+                    z.write(full := os.path.join(folder, name), os.path.relpath(full, os.path.dirname(top)))
+        path = sc._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark)}/vigil_package.zip")
+        out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path)
+        out.write(bytearray(held.getvalue()))
+        out.close()
+        sc.addPyFile(path.toString())
+    sc._vigil_shipped = True
+
+
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 

@@ -25,26 +25,17 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from vigil import config as C
 from vigil.functions import columns as X
+from vigil.functions.frames import frame_stats
 from vigil.operators import model as M
 from vigil.operators import ordered as O
 from vigil.operators import output as P
+from vigil.session import ship
 from vigil.streaming.ingest import land, stream_sink
 
 SCORE_COLS = ["ts"] + C.ANALOGUE_COLS + C.DIGITAL_COLS
 STATE = "rings array<array<double>>, waiting binary"        # newest values of each rolled column; rows that wait (Arrow stream)
 
 
-def frame_stats(values: np.ndarray, new: int, preceding: int) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and sample deviation (NaN for a single value) of the last ``new`` values, each with up to ``preceding`` before it."""
-    padded = np.concatenate([np.full(max(0, preceding + new - len(values)), np.nan), values[-(preceding + new):]])
-    frames = np.lib.stride_tricks.sliding_window_view(padded, preceding + 1)
-    held = ~np.isnan(frames)
-    n = held.sum(axis=1)
-    mean = np.where(held, frames, 0.0).cumsum(axis=1)[:, -1] / n       # summed in row order, as a sliding frame does
-    squares = np.where(held, frames - mean[:, None], 0.0) ** 2
-    return mean, np.sqrt(squares.sum(axis=1) / np.where(n > 1, n - 1, np.nan))
-
-
 def packed_rows(rows: pd.DataFrame) -> bytes:
     table = pa.Table.from_pandas(rows, preserve_index=False)
     sink = pa.BufferOutputStream()
@@ -56,6 +47,7 @@ def packed_rows(rows: pd.DataFrame) -> bytes:
 def rolling_stream(rows: DataFrame, key: str, delay: str, preceding: int = C.ROLLING_PRECEDING) -> DataFrame:
     """Complete readings with the rolling columns, each once the watermark has passed it. ``rows`` is a stream with ``key``, ``ts``
     and the sensor columns."""
+    ship(rows.sparkSession)
     rolled = O.ROLLING_OUTPUTS
     names = [n for pair in rolled.values() for n in pair]
     # a watermark needs an instant: the reading time, which has no zone, as if it were UTC, whatever the session's zone is
