@@ -204,3 +204,72 @@ def test_run_ingest_job_lands_into_configured_table(spark, tmp_dir):
     paths = C.Paths(os.path.join(tmp_dir, "store"))
     run_ingest(spark, paths, "text", {"maxFilesPerTrigger": "1"}, src, available_now=True).awaitTermination()
     assert spark.read.parquet(paths.stream).count() == n
+
+
+def test_ingest_reads_once_counts_and_writes_a_retried_batch_once(spark, tmp_dir, monkeypatch):
+    """Killed between the two tables: the micro-batch is done again, and neither table has a row twice."""
+    from vigil.streaming import ingest as I
+    os.makedirs(src := os.path.join(tmp_dir, "src"))
+    good = [json.dumps({"timestamp": f"2024-01-01 00:{i:02d}:00", "TP2": float(i)}) for i in range(30)]
+    for k in range(3):
+        with open(os.path.join(src, f"b{k}.json"), "w") as f:
+            f.write("\n".join([*good[10 * k:10 * k + 10], "{broken", '{"TP2": 1.0}'][:12 if k else 10]) + "\n")
+        os.utime(os.path.join(src, f"b{k}.json"), (1_700_000_000 + k * 60,) * 2)
+    paths = C.Paths(os.path.join(tmp_dir, "store"))
+
+    def run(**more):
+        job = I.run_ingest(spark, paths, "text", {"maxFilesPerTrigger": "1"}, src, available_now=True, **more)
+        job.awaitTermination()
+        return job
+    real = I.commit_once
+
+    def killed(spark_, path, name, write):
+        if path == paths.rejects:
+            raise RuntimeError("killed")
+        return real(spark_, path, name, write)
+    with monkeypatch.context() as m:
+        m.setattr(I, "commit_once", killed)
+        with pytest.raises(StreamingQueryException):
+            run()
+    assert spark.read.parquet(paths.stream).count() == 20          # of the first two micro-batches
+    job = run()
+    assert [(c["landed"], c["rejected"]) for c in job.counts()] == [(10, 2), (10, 2)]
+    assert job.query.lastProgress.numInputRows == 12                # a message is read once
+    assert spark.read.parquet(paths.stream).count() == 30 and spark.read.parquet(paths.rejects).count() == 4
+    assert spark.read.parquet(paths.stream).select("timestamp").distinct().count() == 30
+    # another checkpoint has micro-batches of its own, with the same numbers
+    run(checkpoint=os.path.join(tmp_dir, "other"))
+    assert spark.read.parquet(paths.stream).count() == 60
+
+
+def test_a_replayed_segment_lands_once(spark, tmp_dir):
+    from vigil.streaming import ingest as I
+    os.makedirs(src := os.path.join(tmp_dir, "src"))
+    good = [json.dumps({"timestamp": f"2024-01-01 00:{i:02d}:00", "TP2": float(i)}) for i in range(40)]
+    for k, part in enumerate((good[:20], good[10:30], good[:5] + good[:5], good[25:])):
+        with open(os.path.join(src, f"b{k}.json"), "w") as f:
+            f.write("\n".join(part) + "\n")
+        os.utime(os.path.join(src, f"b{k}.json"), (1_700_000_000 + k * 60,) * 2)
+    for once, rows in (("1 hour", 40), (None, 65)):
+        paths = C.Paths(os.path.join(tmp_dir, f"store{rows}"))
+        I.run_ingest(spark, paths, "text", {"maxFilesPerTrigger": "1"}, src, available_now=True, once=once).awaitTermination()
+        assert spark.read.parquet(paths.stream).count() == rows
+        assert spark.read.parquet(paths.stream).select("timestamp").distinct().count() == 40
+
+
+def test_replay_takes_the_next_rows_of_each_run(spark, tmp_dir, monkeypatch):
+    """Three runs of 300 take 900 different rows in order; one that is killed is done again; the last takes what is left."""
+    from vigil.streaming import ingest as I
+    sensors = sensor_table(spark, SF_SMALL).withColumn("ts", F.when(F.col("event_id") % 3 == 0, F.col("ts")).otherwise(F.date_trunc("week", "ts").cast("timestamp_ntz")))
+    path, order = os.path.join(tmp_dir, "messages"), ["ts", "event_id"]
+    assert [I.replay_rows(sensors, path, 300, order) for _ in range(2)] == [300, 300]
+    with monkeypatch.context() as m:
+        m.setattr("vigil.sources.commit.Folders.rename", lambda *a, **k: (_ for _ in ()).throw(KeyboardInterrupt()))
+        with pytest.raises(KeyboardInterrupt):
+            I.replay_rows(sensors, path, 300, order)
+    assert [I.replay_rows(sensors, path, 300, order) for _ in range(4)] == [300, 100, 0, 0]
+    sent = spark.read.text(path).select("run", F.get_json_object("value", "$.timestamp").cast("timestamp_ntz").alias("ts"),
+                                        F.get_json_object("value", "$.TP2").cast("double").alias("v")).collect()
+    ranked = sensors.orderBy(*order).collect()
+    for run in range(4):
+        assert sorted((r.ts, r.v) for r in sent if r.run == run) == sorted((r.ts, r.TP2) for r in ranked[300 * run:300 * run + 300])

@@ -31,13 +31,14 @@ from vigil.plans.fixture_model import fixed_model
 from vigil.session import scratch_path, write_table
 from vigil.sources import codec, fixture, ingest, sinks, validate
 from vigil.sources.commit import current_version
-from vigil.streaming.ingest import replay_batch, run_ingest, stream_source
+from vigil.streaming.ingest import replay_batch, replay_rows, run_ingest, stream_source
 from vigil.streaming.scoring import stream_score
 
 PLACES = 6
 CAP = 500                                   # rows that the cap_rows query asks for
 STREAM_FILES = 14                           # message files of the stream_score query, and how long a message may be on its way
 STREAM_DELAY = "3 days"
+REPLAY_RUNS = 12                            # scheduled runs of the replay_batch query
 RUN_ID = "fixture-run"
 PROCESSED_AT = "2024-02-01 00:00:00"
 ALERT_AS_OF = "2024-02-01 00:05:00"
@@ -568,10 +569,22 @@ def q_stream_ingest(spark, d):
     return _landed(spark, paths.stream).withColumn("reason", F.lit(None).cast("string")).unionByName(bad, allowMissingColumns=True)
 
 
+def q_stream_once(spark, d):
+    """The ingest job over messages of which a part is sent again in later micro-batches: each lands once."""
+    src, paths = _messages(spark, d, clean=True), C.Paths(scratch_path(spark, "store"))
+    spark.read.text(src).filter(F.xxhash64("value") % 7 == 0).write.mode("append").text(src)
+    run_ingest(spark, paths, "text", {"maxFilesPerTrigger": "4"}, src, available_now=True, once="1 day").awaitTermination()
+    return _landed(spark, paths.stream)
+
+
 def q_replay_batch(spark, d):
-    src, sink = _messages(spark, d), scratch_path(spark, "landed")
-    replay_batch(spark, src, sink, scratch_path(spark, "ckpt"), files_per_batch=1).awaitTermination()
-    return _landed(spark, sink)
+    """Twelve scheduled runs of as many readings each, in time order, and the landing of what they sent; ``run`` numbers the runs."""
+    sensors, src, sink = prepared(spark, d).sensors, scratch_path(spark, "replayed"), scratch_path(spark, "landed")
+    per_run = -(-sensors.count() // REPLAY_RUNS)
+    while replay_rows(sensors, src, per_run, ["ts", "event_id"]):
+        pass
+    replay_batch(spark, src, sink, scratch_path(spark, "ckpt"), files_per_batch=4, keep=("run",)).awaitTermination()
+    return rounded(spark.read.parquet(sink).select("ts", *C.ANALOGUE_COLS, *C.DIGITAL_COLS, F.col("run").cast("int").alias("run")))
 
 
 def _arriving(spark, d) -> str:

@@ -413,7 +413,8 @@ def oracle_sql() -> dict[str, str]:
                           "fault_hint, cluster as cluster_id, round(rolling_mean_TP2, 6) + 0e0 as rolling_mean_TP2, "
                           "round(rolling_mean_motor, 6) + 0e0 as rolling_mean_motor "
                           "from s_labeled where ts <= (select max(mark) from passed)", stream=True),
-        "replay_batch": q(f"select ts, {landed} from sensor where event_id % 50 not in (3, 11)"),
+        "stream_once": q(f"select ts, {sel(A + D, DOUBLES)} from sensor"),
+        "replay_batch": q(f"select ts, {sel(A + D, DOUBLES)}, cast((row_number() over (order by ts, event_id) - 1) // ((count(*) over () + 11) // 12) as int) as run from sensor"),
         # 2.6
         "latest_n": q(f"select {sensor_sel} from sensor order by ts desc limit {C.RECENT_LIMIT}"),
         "last_alerts": q(f"select source_timestamp, round(anomaly_score, 6) + 0e0 as anomaly_score, fault_hint from preds "

@@ -93,8 +93,10 @@ def write_raw_batches(df: DataFrame, path: str, fmt: str = "parquet", mode: str
     out = df
     if "date" in partition_by and "date" not in df.columns:
         out = out.withColumn("date", F.to_date("ts" if "ts" in df.columns else "timestamp"))
-    if partition_by:
+    if partition_by and df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
         out = out.hint("rebalance", *[F.col(c) for c in partition_by])
+    elif "date" in partition_by and "ts" in out.columns:        # a stateful micro-batch, which has no adaptive plans
+        out = out.repartition("date", F.hour("ts"))
     w = out.write.format(fmt).mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
