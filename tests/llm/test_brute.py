@@ -136,21 +136,14 @@ def test_toxicity_odd(spark, docs_of):
 
 
 def slow_spans(rows, least=10):
-    """Sequences of units with ``least`` words or more, and whole lines, that stand elsewhere before: every such range of
-    units is looked at, by its words."""
+    """The shortest sequences of units with ``least`` words or more, and whole lines, whose words stand elsewhere before."""
     import regex
     cutter, texts = regex.compile(CUTS), []
     for i, text in sorted(rows):
         units = [(s, e, text[s:e].lower().split()) for s, e, *_ in units_of(text or "", cutter)]
-        ranges = set()
-        for a in range(len(units)):
-            n = 0
-            for b in range(a, len(units)):
-                n += len(units[b][2])
-                if n >= least:
-                    ranges.add((a, b + 1))
-                    if n >= 3 * least:      # a longer range is covered by those inside it
-                        break
+        # the shortest range with enough words from each unit on, and up to each unit
+        enough = [(a, b) for a in range(len(units)) for b in range(a + 1, min(len(units), a + least) + 1) if sum(len(u[2]) for u in units[a:b]) >= least]
+        ranges = {min(r for r in enough if r[0] == a) for a in {r[0] for r in enough}} | {max(r for r in enough if r[1] == b) for b in {r[1] for r in enough}}
         held = [(a, b, tuple(w for u in units[a:b] for w in u[2])) for a, b in ranges]
         lines = []
         for k, (s, _, words) in enumerate(units):
