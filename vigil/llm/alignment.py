@@ -38,14 +38,14 @@ from vigil.llm.bpe import byte_alphabet, tokenizer_path
 from vigil.llm.common import ship, small_slices, table
 from vigil.session import write_table
 
-BLOCK_BYTES = 1 << 20           # text that is tokenized and aligned at once
-KEPT_WINDOWS = 20_000           # window alignments kept per worker, and as many older ones
-KEPT_RUNS = 120_000             # runs of text whose ids are kept per worker, and as many older ones
+BLOCK_BYTES = 512 << 10         # text that is tokenized and aligned at once
+KEPT_WINDOWS = 5_000            # window alignments kept per worker, and as many older ones
+KEPT_RUNS = 200_000             # runs of text whose ids are kept per worker, and as many older ones
 LONGEST_KEPT = 64               # longer windows (in tokens) and runs (in characters) are not kept
 #: A space between two characters that are neither white space nor joined to what stands beside them: both tokenizers start
 #: a token at each such space, whatever else the text holds.
 CUT = re.compile(" (?<=[!-~\u00c0-\u024f] )(?=[!-~\u00c0-\u024f])")
-EDGES = re.compile("[!-~\u00c0-\u024f](?:.*[!-~\u00c0-\u024f])?\\Z", re.DOTALL)
+PLAIN = frozenset(map(chr, [*range(0x21, 0x7F), *range(0xC0, 0x250)]))
 BETWEEN = b"\xff" * 4           # stands between the two id tuples (32-bit integers) of a window: no id
 HOT_PAIRS = 1 << 18             # pairs whose counts are sent to all tasks, at most (17 bytes each)
 FIRST, SECOND = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -115,7 +115,7 @@ class Aligner:
         """The windows of each run; None if its bytes don't come back. Runs are read as one text with spaces between, and by
         themselves if a run can't stand in it or a window reaches over such a space."""
         out: dict[str, list[bytes] | None] = {}
-        joined = [r for r in runs if EDGES.match(r)]
+        joined = [r for r in runs if r[0] in PLAIN and r[-1] in PLAIN]
         if joined and (found := self.windows([" ".join(joined)])[0]):
             starts, whole = found
             own = np.cumsum([0, *[len(r.encode()) + 1 for r in joined[:-1]]])
@@ -143,9 +143,10 @@ class Aligner:
         n_all = np.diff(lasts, prepend=0) - 1
         n_a = bars - (lasts - n_all - 1)
         ends_a, ends_b = np.cumsum(self.sizes_a[ids_a]), np.cumsum(self.sizes_b[ids_b])
-        ends = np.union1d(ends_a, ends_b)
+        ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")    # two sorted runs: a merge
+        again = np.append(ends[1:] == ends[:-1], False)
+        shared, ends = ends[again], ends[~again]
         links = ids_a[np.searchsorted(ends_a, ends)] << 32 | ids_b[np.searchsorted(ends_b, ends)]
-        shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
         group_a, group_b = np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)
         # the groups' texts: ids of the first, the last with a bar, ids of the second, the last with a semicolon
         shown = np.concatenate([2 * ids_a + (shared[group_a] == ends_a), 2 * (ids_b + len(self.sizes_a)) + (shared[group_b] == ends_b)])
