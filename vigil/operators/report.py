@@ -77,8 +77,13 @@ def exact_quantiles(df: DataFrame, col: str, quantiles=C.PERCENTILES, sketch: by
     v = F.col(col).cast("double")
     if sketch is None:
         sketch = df.agg(quantile_sketch(v).alias("s")).first()["s"]
-    one = df.sparkSession.range(1).select(F.lit(bytes(sketch)).alias("s")) if sketch is not None else None
-    n = one.select(F.kll_sketch_get_n_double("s")).first()[0] if one is not None else 0
+    spark = df.sparkSession
+
+    def asked(expression: str):
+        """Of the sketch, which is a row of constants: no job runs."""
+        return spark.sql(f"select {expression} as x from values (X'{bytes(sketch).hex()}') as t(s)").first()["x"]
+
+    n = asked("kll_sketch_get_n_double(s)") if sketch is not None else 0
     if not n:
         return [None] * len(quantiles)
     ranks = {q: max(1, n - math.floor(n - q * n)) for q in quantiles}
@@ -87,7 +92,7 @@ def exact_quantiles(df: DataFrame, col: str, quantiles=C.PERCENTILES, sketch: by
     while len(found) < len(set(ranks.values())):
         left = sorted({r for r in ranks.values() if r not in found})
         at = [min(1.0, max(0.0, r / n + d)) for r in left for d in (-reach, reach)]
-        ends = one.select(F.kll_sketch_get_quantile_double("s", F.array(*map(F.lit, at)))).first()[0]
+        ends = asked(f"kll_sketch_get_quantile_double(s, array({', '.join(f'{x!r}d' for x in at)}))")
         # an end of the sketch's range is no bound: a bracket that reaches it is open
         spans = [(-math.inf if lo <= 0 else a, math.inf if hi >= 1 else b)
                  for lo, hi, a, b in zip(at[::2], at[1::2], ends[::2], ends[1::2], strict=True)]
@@ -97,21 +102,21 @@ def exact_quantiles(df: DataFrame, col: str, quantiles=C.PERCENTILES, sketch: by
                 merged[-1][1] = max(merged[-1][1], b)
             else:
                 merged.append([a, b])
-        x = F.col("v")
-        inside = F.lit(False)
-        place = F.lit(0)
-        for a, b in merged:                                 # 2 i + 1 within bracket i, 2 i before it
-            inside = inside | x.between(F.lit(a), F.lit(b))
-            place = place + (x >= F.lit(a)).cast("int") + (x > F.lit(b)).cast("int")
-        counts = df.select(v.alias("v")).filter(x.isNotNull() & ~F.isnan(x)).select(
-            place.alias("p"), F.when(inside, x).alias("v")).groupBy("p", "v").agg(F.count(F.lit(1)).alias("c"))
+        # 2 i + 1 within bracket i, 2 i before it: the first condition that holds, so that the value is computed once
+        x, place = F.col("v"), F.when(F.isnan("v"), F.lit(None))
+        for i, (a, b) in enumerate(merged):
+            place = place.when(x < F.lit(a), F.lit(2 * i)).when(x <= F.lit(b), F.lit(2 * i + 1))
+        place = place.when(x.isNotNull(), F.lit(2 * len(merged)))
+        counts = df.select(v.alias("v")).groupBy(place.alias("p"), F.when(place % 2 == 1, x).alias("v")).agg(
+            F.count(F.lit(1)).alias("c"))           # no filter on it: that would be pushed below the score, and repeat it
         few_rows = n * 2 * reach * len(left) <= few         # the brackets hold about that many rows, so no more values
-        rows = counts.limit(few + 1).collect() if few_rows else None
+        rows = counts.coalesce(1).limit(few + 1).collect() if few_rows else None        # one part: one job
         held = None
         if rows is None or len(rows) > few:
             held = write_table(counts, "bracket-counts")    # a small share of the rows; the input is not read again
             rows = held.groupBy("p").agg(F.sum("c").alias("c")).collect()
         sums: dict[int, int] = {}
+        rows = [r for r in rows if r["p"] is not None]
         for r in rows:
             sums[r["p"]] = sums.get(r["p"], 0) + r["c"]
         for rank in left:
