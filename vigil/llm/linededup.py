@@ -53,9 +53,9 @@ def line_classes(lines: DataFrame) -> DataFrame:
     """One row for each different line with a word: ``(d, line)`` of its first occurrence, its tokens and how often it occurs."""
     cut = F.split(F.btrim("text", F.lit(BLANKS)), WORD_GAP)
     found = lines.where(F.col("text").rlike(A_WORD)).select(
-        "d", "line", *_line_key(), F.array_distinct(cut).alias("words"))
-    first = found.groupBy("h", "g").agg(F.min(F.struct("d", "line")).alias("first"), F.first("words").alias("words"))
-    return first.select("first.d", "first.line", "h", "g", "words", F.transform("words", lambda w: F.hash(w)).alias("tokens"))
+        "d", "line", *_line_key(), F.transform(F.array_distinct(cut), lambda w: F.hash(w)).alias("tokens"))
+    first = found.groupBy("h", "g").agg(F.min(F.struct("d", "line")).alias("first"), F.first("tokens").alias("tokens"))
+    return first.select("first.d", "first.line", "h", "g", "tokens")
 
 
 def _place(token: Column) -> Column:
@@ -167,13 +167,29 @@ def _thinned(classes: DataFrame, pairs: DataFrame) -> DataFrame:
     return classes.where(word.bitwiseAND(_shift(spot % 64)) != 0)
 
 
-def verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs whose Jaccard similarity, of the sets of words, reaches the threshold."""
-    held = _thinned(classes, pairs).select(F.struct("d", "line").alias("key"), "words")
-    one = held.select(F.col("key").alias("x"), F.col("words").alias("a"))
-    two = held.select(F.col("key").alias("y"), F.col("words").alias("b"))
-    met = pairs.join(one, "x").join(two, "y").withColumn("shared", F.size(F.array_intersect("a", "b")))
-    return met.where(DEN * F.col("shared") >= NUM * (F.size("a") + F.size("b") - F.col("shared"))).select("x", "y")
+def _sides(pairs: DataFrame, held: DataFrame, col: str) -> DataFrame:
+    """``pairs`` with column ``col`` of both lines as ``a`` and ``b``."""
+    keyed = held.select(F.struct("d", "line").alias("key"), F.col(col).alias("v"))
+    return pairs.join(keyed.select(F.col("key").alias("x"), F.col("v").alias("a")), "x").join(
+        keyed.select(F.col("key").alias("y"), F.col("v").alias("b")), "y")
+
+
+def _similar(a: Column, b: Column, shared: Column) -> Column:
+    return DEN * shared >= NUM * (F.size(a) + F.size(b) - shared)
+
+
+def verified(pairs: DataFrame, classes: DataFrame, lines: DataFrame) -> DataFrame:
+    """The pairs whose Jaccard similarity, of the sets of words, reaches the threshold. The tokens rule out most others; where
+    two words of a line have one token, the line may share one more than its different tokens show. The few pairs
+    that are left are compared by their words."""
+    a, b = F.col("a"), F.col("b")
+    spare = F.greatest(F.size(a) - F.size(F.array_distinct(a)), F.size(b) - F.size(F.array_distinct(b)))
+    by_token = _sides(pairs.select("x", "y"), _thinned(classes, pairs), "tokens").where(
+        _similar(a, b, F.size(F.array_intersect(a, b)) + spare)).select("x", "y")
+    likely = write_table(by_token, "line-likely")
+    words = F.array_distinct(F.split(F.btrim("text", F.lit(BLANKS)), WORD_GAP)).alias("words")
+    return _sides(likely, _thinned(lines, likely).select("d", "line", words), "words").where(
+        _similar(a, b, F.size(F.array_intersect(a, b)))).select("x", "y")
 
 
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -183,14 +199,14 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     index = prefix_index(classes, rarity_table(classes))
     pairs = write_table(first_candidates(index), "line-pairs")
     earliest = write_table(pairs.groupBy("x").agg(F.min("y").alias("y")), "line-pairs")
-    found = write_table(verified(earliest, classes).select("x"), "line-matches")
+    found = write_table(verified(earliest, classes, lines).select("x"), "line-matches")
     rest = write_table(pairs.join(found, "x", "left_anti").join(earliest, ["x", "y"], "left_anti"), "line-pairs")
-    found = write_table(found.union(verified(rest, classes).select("x").distinct()), "line-matches")
+    found = write_table(found.union(verified(rest, classes, lines).select("x").distinct()), "line-matches")
     open_ = write_table(pairs.where("by_first").select("x").distinct().join(found, "x", "left_anti"), "line-open")
     if open_.limit(1).count():
         left = index.join(open_.select("x.d", "x.line"), ["d", "line"], "left_semi").select(*index.columns)
         again = write_table(_counted(_pairs(index, left)).where(enough_shared()).select("x", "y").join(pairs.select("x", "y"), ["x", "y"], "left_anti"), "line-pairs")
-        found = found.union(verified(again, classes).select("x").distinct())
+        found = found.union(verified(again, classes, lines).select("x").distinct())
     firsts = classes.select("h", "g", F.col("d").alias("first_d"), F.col("line").alias("first_line"))
     copies = lines.where(F.col("text").rlike(A_WORD)).select("d", "line", *_line_key()).join(firsts, ["h", "g"]).where(
         "d <> first_d or line <> first_line").select("d", "line", F.lit(True).alias("exact"))
