@@ -43,3 +43,13 @@ def test_bound_is_fine_grained(spark):
     bound = S.newest_bound(df, "ts", 100)
     cand = df.filter(F.col("ts") >= F.lit(bound).cast("timestamp_ntz")).count()
     assert 100 <= cand <= 500
+
+
+def test_latest_score_of_equal_times_is_the_highest(spark):
+    from vigil.operators import serve as S
+    rows = [("2024-01-01 00:00:00", 9.0), ("2024-01-01 00:00:10", 2.0), ("2024-01-01 00:00:10", 7.0), ("2024-01-01 00:00:10", 3.0), (None, 50.0)]
+    df = spark.createDataFrame(rows, "t string, anomaly_score double").selectExpr("cast(t as timestamp_ntz) as source_timestamp", "anomaly_score", "false as is_anomaly")
+    for parts in (1, 2, 5):
+        row = S.dashboard_kpis(df.repartition(parts)).first()
+        assert (row.latest_score, row.status, row.total_records) == (7.0, "ANOMALY", 5)
+    assert S.dashboard_kpis(df.filter("source_timestamp is null")).first().latest_score is None

@@ -154,12 +154,14 @@ def alert_count(predictions: DataFrame, as_of: Column, minutes: int = C.ALERT_WI
 
 
 def dashboard_kpis(predictions: DataFrame, threshold: float = C.DASHBOARD_THRESHOLD) -> DataFrame:
-    """Total, anomalies, share, mean score, latest score and status at the user threshold."""
+    """Total, anomalies, share, mean score, latest score and status at the user threshold. Of several predictions with the
+    newest time the highest score is the latest."""
     flagged = rethreshold(predictions, threshold)
+    newest = F.when(F.col("source_timestamp").isNotNull(), F.struct("source_timestamp", "anomaly_score"))
     agg = flagged.agg(F.count(F.lit(1)).alias("total_records"),
                       F.count_if(F.col("is_anomaly")).alias("anomalies"),
                       F.avg("anomaly_score").alias("avg_score"),
-                      F.max_by("anomaly_score", "source_timestamp").alias("latest_score"))
+                      F.max_by("anomaly_score", newest).alias("latest_score"))
     return agg.select(
         "total_records", "anomalies",
         F.try_divide(F.lit(100.0) * F.col("anomalies"), F.col("total_records").cast("double")).alias("anomaly_pct"),
