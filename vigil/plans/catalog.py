@@ -11,6 +11,7 @@ so results compare across engines.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -573,7 +574,8 @@ def q_stream_once(spark, d):
     """The ingest job over messages of which a part is sent again in later micro-batches: each lands once."""
     src, paths = _messages(spark, d, clean=True), C.Paths(scratch_path(spark, "store"))
     spark.read.text(src).filter(F.xxhash64("value") % 7 == 0).write.mode("append").text(src)
-    run_ingest(spark, paths, "text", {"maxFilesPerTrigger": "4"}, src, available_now=True, once="1 day").awaitTermination()
+    with state_partitions(spark, 8):
+        run_ingest(spark, paths, "text", {"maxFilesPerTrigger": "4"}, src, available_now=True, once="1 day").awaitTermination()
     return _landed(spark, paths.stream)
 
 
@@ -587,6 +589,17 @@ def q_replay_batch(spark, d):
     return rounded(spark.read.parquet(sink).select("ts", *C.ANALOGUE_COLS, *C.DIGITAL_COLS, F.col("run").cast("int").alias("run")))
 
 
+@contextmanager
+def state_partitions(spark, n: int):
+    """Streams that start inside keep their state in ``n`` parts (a checkpoint keeps that number): few keys need no more."""
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+
+
 def _arriving(spark, d) -> str:
     """The sensor rows as JSON message files that arrive one after the other, some messages one or five files late."""
     path = scratch_path(spark, "arriving")
@@ -610,7 +623,8 @@ def q_stream_score(spark, d):
     _, thr = fixed_scored(spark, d)
     preds = scratch_path(spark, "stream-predictions")
     msgs = stream_source(spark, "text", {"maxFilesPerTrigger": "1"}, _arriving(spark, d))
-    stream_score(msgs, preds, scratch_path(spark, "ckpt"), fixed_model().with_threshold(thr), RUN_ID, delay=STREAM_DELAY).awaitTermination()
+    with state_partitions(spark, 4):
+        stream_score(msgs, preds, scratch_path(spark, "ckpt"), fixed_model().with_threshold(thr), RUN_ID, delay=STREAM_DELAY).awaitTermination()
     return rounded(spark.read.parquet(preds).select("source_timestamp", "anomaly_score", "is_anomaly", "fault_hint",
                                                     "cluster_id", "rolling_mean_TP2", "rolling_mean_motor"))
 
