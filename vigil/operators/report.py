@@ -317,11 +317,15 @@ def table_summary(df: DataFrame, name: str, ts_col: str) -> DataFrame:
     has_flag = "is_anomaly" in df.columns
     if has_flag:
         aggs.append(F.count_if(F.col("is_anomaly")).alias("anomalies"))
-    out = df.agg(*aggs)
+    return summary_row(df.agg(*aggs), name, df.columns, has_flag)
+
+
+def summary_row(totals: DataFrame, name: str, columns: list[str], has_flag: bool) -> DataFrame:
+    """The summary of a table from its ``totals`` (records, first_ts, last_ts and, with a flag, anomalies)."""
     anomalies = F.col("anomalies") if has_flag else F.lit(None).cast("long")
-    return out.select(F.lit(name).alias("table_name"), F.lit(len(df.columns)).alias("n_columns"),
-                      F.lit(",".join(df.columns)).alias("column_names"), "records", "first_ts", "last_ts",
-                      anomalies.alias("anomalies"), _pct(anomalies, F.col("records")).alias("anomaly_pct"))
+    return totals.select(F.lit(name).alias("table_name"), F.lit(len(columns)).alias("n_columns"),
+                         F.lit(",".join(columns)).alias("column_names"), "records", "first_ts", "last_ts",
+                         anomalies.alias("anomalies"), _pct(anomalies, F.col("records")).alias("anomaly_pct"))
 
 
 def freshness(df: DataFrame) -> DataFrame:

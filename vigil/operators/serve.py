@@ -162,7 +162,12 @@ def dashboard_kpis(predictions: DataFrame, threshold: float = C.DASHBOARD_THRESH
                       F.count_if(F.col("is_anomaly")).alias("anomalies"),
                       F.avg("anomaly_score").alias("avg_score"),
                       F.max_by("anomaly_score", newest).alias("latest_score"))
-    return agg.select(
+    return kpi_row(agg, threshold)
+
+
+def kpi_row(totals: DataFrame, threshold: float) -> DataFrame:
+    """Share and status of ``totals`` (total_records, anomalies, avg_score, latest_score)."""
+    return totals.select(
         "total_records", "anomalies",
         F.try_divide(F.lit(100.0) * F.col("anomalies"), F.col("total_records").cast("double")).alias("anomaly_pct"),
         "avg_score", "latest_score",

@@ -25,12 +25,13 @@ from vigil.operators import ghost as G
 from vigil.operators import model as M
 from vigil.operators import ordered as O
 from vigil.operators import output as P
+from vigil.operators import partials as D
 from vigil.operators import report as R
 from vigil.operators import serve as S
 from vigil.plans.batch import run_batch, run_checks
 from vigil.plans.fixture_model import fixed_model
 from vigil.session import scratch_path, write_table
-from vigil.sources import codec, fixture, ingest, sinks, validate
+from vigil.sources import codec, fixture, ingest, sinks, validate, zones
 from vigil.sources.commit import current_version
 from vigil.streaming.ingest import replay_batch, replay_rows, run_ingest, stream_source
 from vigil.streaming.scoring import stream_score
@@ -41,6 +42,8 @@ STREAM_FILES = 14                           # message files of the stream_score
 STREAM_DELAY = "3 days"
 REPLAY_RUNS = 12                            # scheduled runs of the replay_batch query
 RUN_ID = "fixture-run"
+CENTER_MOVE = 0.05                          # most that a center may lie off the mean of its rows, in standard deviations
+THRESHOLDS = [3.0, 6.0, 6.2, 9.75, 15.0]     # of the queries on partial results: at ends of bands and inside
 PROCESSED_AT = "2024-02-01 00:00:00"
 ALERT_AS_OF = "2024-02-01 00:05:00"
 SENSOR_COLS = ["event_id", "ts", "asset_id"] + C.ANALOGUE_COLS + C.DIGITAL_COLS
@@ -342,10 +345,15 @@ def _train_scored(spark, d):
 
 
 def q_fit_kmeans(spark, d):
-    """What holds for every fit: the clusters share out all train rows, and none is empty."""
-    sizes = _train_scored(spark, d).groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
-    return sizes.agg(F.sum("size").alias("train_rows"), F.count(F.lit(1)).alias("clusters"),
-                     (F.min("size") > 0).alias("none_empty"))
+    """What holds for every fit: the clusters share out all train rows, none is empty, and each center is the mean of its
+    rows (scaled), up to the last move of a fit that ends by MLlib's tolerance or number of rounds."""
+    model = trained(spark, d).model
+    z = M.scale_features(_train_scored(spark, d), model)
+    means = z.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), *[F.avg(M.SCALED_PREFIX + f).alias(M.SCALED_PREFIX + f) for f in model.features])
+    center = F.element_at(F.array(*[F.array(*map(F.lit, c)) for c in model.centers]), F.col("cluster") + 1)
+    off = F.sqrt(sum((F.pow(F.col(M.SCALED_PREFIX + f) - center[i], 2) for i, f in enumerate(model.features)), start=F.lit(0.0)))
+    return means.withColumn("off", off).agg(F.sum("size").alias("train_rows"), F.count(F.lit(1)).alias("clusters"),
+                                            (F.min("size") > 0).alias("none_empty"), (F.max("off") < CENTER_MOVE).alias("centers_are_means"))
 
 
 def q_assign_cluster(spark, d):
@@ -517,6 +525,59 @@ def q_append_predictions(spark, d):
     return rounded(spark.read.parquet(path).select(*C.PREDICTION_COLS))
 
 
+def _zoned(spark, d) -> zones.Zoned:
+    """The sensor rows landed in two parts; the zone map is from before the second one."""
+    path, rows = scratch_path(spark, "zoned"), prepared(spark, d).sensors.select(*SENSOR_COLS)
+    first = F.pmod(F.xxhash64("event_id"), F.lit(4)) > 0
+    ingest.write_raw_batches(rows.where(first), path)
+    zones.refresh_zones(spark, path, "ts")
+    ingest.write_raw_batches(rows.where(~first), path)
+    return zones.zoned(spark, path, "ts")
+
+
+def q_zone_summary(spark, d):
+    """Bounds, counts and freshness of landed tables from their zone maps."""
+    preds = scratch_path(spark, "predictions")
+    sinks.append_predictions(fixed_predictions(spark, d), preds, run_id=RUN_ID)
+    landed, z = _zoned(spark, d), zones.zoned(spark, preds, "source_timestamp")
+    return rounded(zones.table_summary(landed, C.RAW_TABLE, SENSOR_COLS).unionByName(zones.table_summary(z, C.PREDICTIONS_TABLE, C.PREDICTION_COLS)))
+
+
+def q_zone_recent_slice(spark, d):
+    return rounded(zones.recent_slice(_zoned(spark, d)).select(*SENSOR_COLS))
+
+
+def q_zone_latest_n(spark, d):
+    return rounded(zones.latest_n(_zoned(spark, d), C.RECENT_LIMIT).select(*SENSOR_COLS))
+
+
+def _partials(spark, d) -> str:
+    """Partial results of two runs, the second one repeated."""
+    path, preds = scratch_path(spark, "partials"), fixed_predictions(spark, d)
+    first = F.pmod(F.xxhash64("source_timestamp"), F.lit(3)) > 0
+    for run, rows in (("a", preds.where(first)), ("b", preds.where(~first)), ("b", preds.where(~first))):
+        D.add_partials(rows, path, run)
+    return path
+
+
+def q_partial_kpis(spark, d):
+    """The dashboard's key figures at several thresholds, of all rows and of the last hours, from partial results."""
+    path, out = _partials(spark, d), None
+    for hours in (None, C.DEFAULT_RECENT_HOURS):
+        for t in THRESHOLDS:
+            one = D.dashboard_kpis(spark, path, t, hours).select(F.lit(hours).cast("int").alias("hours"), F.lit(t).alias("threshold"), "*")
+            out = one if out is None else out.unionByName(one)
+    return rounded(out)
+
+
+def q_partial_faults(spark, d):
+    path, out = _partials(spark, d), None
+    for t in THRESHOLDS:
+        one = D.fault_distribution(spark, path, t).select(F.lit(t).alias("threshold"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def q_save_report(spark, d):
     t, thr = fixed_test(spark, d)
     path = scratch_path(spark, "report")

@@ -273,6 +273,16 @@ def oracle_sql() -> dict[str, str]:
                   "round({pct}, 6) + 0e0 as anomaly_pct from {src}")
     sensor_names = ",".join(SENSOR)
     pred_names = ",".join(PRED_COLS)
+
+    def kpis(hours: str, t: str, where: str) -> str:
+        return (f"select cast({hours} as integer) as hours, {t} as threshold, total_records, anomalies, "
+                f"round({_pct('anomalies', 'total_records')}, 6) + 0e0 as anomaly_pct, round(avg_score, 6) + 0e0 as avg_score, "
+                f"round(latest_score, 6) + 0e0 as latest_score, case when latest_score > {t} then 'ANOMALY' else 'NORMAL' end as status "
+                f"from (select count(*) as total_records, count_if(anomaly_score > {t}) as anomalies, avg(anomaly_score) as avg_score, "
+                f"arg_max(anomaly_score, source_timestamp) as latest_score from preds {where})")
+
+    levels = ("30e-1", "60e-1", "62e-1", "975e-2", "150e-1")
+    last_hours = "where source_timestamp >= (select max(source_timestamp) from preds) - interval 6 hour"
     return {
         # 2.1
         "read_raw": q(f"select {sensor_sel} from sensor"),
@@ -385,7 +395,7 @@ def oracle_sql() -> dict[str, str]:
         "fault_distribution": q(f"select fault_hint, count(*) as count from preds where anomaly_score > "
                                 f"{sql_double(C.DASHBOARD_THRESHOLD)} group by fault_hint"),
         "score": q("select event_id, cluster, round(anomaly_score, 6) + 0e0 as anomaly_score, is_anomaly, fault_hint from test"),
-        "fit_kmeans": q("select count(*) as train_rows, 8 as clusters, true as none_empty from split where data_split = 'train'"),
+        "fit_kmeans": q("select count(*) as train_rows, 8 as clusters, true as none_empty, true as centers_are_means from split where data_split = 'train'"),
         "train_model": q("select 8 as k, 14 as n_features, round(avg(TP2), 6) + 0e0 as mean_TP2, round(stddev_samp(TP2), 6) + 0e0 as std_TP2, "
                          "true as threshold_holds from split where data_split = 'train'"),
         # sinks, streams and jobs (round trips)
@@ -420,6 +430,17 @@ def oracle_sql() -> dict[str, str]:
         "last_alerts": q(f"select source_timestamp, round(anomaly_score, 6) + 0e0 as anomaly_score, fault_hint from preds "
                          f"where anomaly_score > 6e0 order by source_timestamp desc limit {C.LAST_ALERTS}"),
         "sample_record": q(f"select {sensor_sel} from sensor order by ts, event_id limit 1"),
+        "zone_summary": q(
+            ts_summary.format(name=C.RAW_TABLE, ncols=len(SENSOR), names=sensor_names, ts="ts",
+                              anom="cast(null as bigint)", pct="cast(null as double)", src="sensor")
+            + " union all "
+            + ts_summary.format(name=C.PREDICTIONS_TABLE, ncols=len(PRED_COLS), names=pred_names, ts="source_timestamp",
+                                anom="count_if(is_anomaly)", pct=_pct("count_if(is_anomaly)", "count(*)"), src="preds")),
+        "zone_recent_slice": q(f"select {sensor_sel} from sensor where ts >= (select max(ts) from sensor) - interval 6 hour"),
+        "zone_latest_n": q(f"select {sensor_sel} from sensor order by ts desc limit 5000"),
+        "partial_kpis": q(" union all ".join([kpis("null", t, "") for t in levels] + [kpis("6", t, last_hours) for t in levels])),
+        "partial_faults": q(" union all ".join(f"select {t} as threshold, fault_hint, count(*) as count from preds where anomaly_score > {t} "
+                                               "group by fault_hint" for t in levels)),
         "time_bounds": q("select min(ts) as first_ts, max(ts) as last_ts from sensor"),
         "clusters_by_id": q(_cluster_quality("labeled")),
         "faults_by_count": q(_fault_breakdown("labeled")),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from vigil import config as C
 from vigil.functions import columns as X
 from vigil.sources.commit import current_version, replace_version
+from vigil.sources.zones import refresh_zones
 
 
 def read_sensor_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -123,6 +124,8 @@ def load_raw(spark: SparkSession, csv_path: str, target: str, drop: bool = False
     rows = stamp_ingest(resolve_timestamp(counted), loaded_at)
     replace_version(spark, target, lambda folder: write_raw_batches(rows, folder, fmt, mode="overwrite"))
     counts = obs.get
+    if fmt == "parquet":
+        refresh_zones(spark, target, "ts")
     return {"inserted": int(counts["inserted"]), "skipped": int(counts["skipped"]), "loaded": True}
 
 

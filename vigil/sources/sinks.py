@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from vigil import config as C
 from vigil.sources.commit import commit_once, replace_version
+from vigil.sources.zones import refresh_zones
 
 #: Formats whose tables are folders; others (connectors) get plain appends, and a unique key on the run id is theirs to keep.
 FOLDER_FORMATS = {"parquet", "orc", "json", "csv", "avro"}
@@ -25,7 +26,10 @@ def append_predictions(preds: DataFrame, path: str, fmt: str = "parquet", run_id
         out.write.format(fmt).mode(mode).partitionBy("processed_date", "date").save(folder)
 
     if fmt in FOLDER_FORMATS:
-        return commit_once(preds.sparkSession, path, run_id or uuid.uuid4().hex, write)
+        done = commit_once(preds.sparkSession, path, run_id or uuid.uuid4().hex, write)
+        if done and fmt == "parquet":
+            refresh_zones(preds.sparkSession, path, "source_timestamp")
+        return done
     write(path, "append")
     return True
 
