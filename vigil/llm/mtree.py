@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -54,7 +55,7 @@ def scaled_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
 def _matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
     """Rows of a list column as whole numbers, filled with zeros up to ``width``."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    lengths = pa.compute.list_value_length(column).to_numpy(zero_copy_only=False)
+    lengths = pc.list_value_length(column).to_numpy(zero_copy_only=False)
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
     if len(lengths) and (lengths == width).all():
         return flat.reshape(len(lengths), width)
@@ -85,9 +86,9 @@ class Space:
         lift = np.sqrt(np.maximum(self.most - na, 0).astype(np.float64))[:, None] - np.sqrt(np.maximum(self.most - nb, 0).astype(np.float64))[None, :]
         return np.sqrt(np.maximum(plain + lift * lift, 0.0))
 
-    def of_score(self, norm: int, score: np.ndarray) -> np.ndarray:
+    def of_score(self, norm: int | np.ndarray, score: np.ndarray) -> np.ndarray:
         """Distance of a query with squared norm ``norm`` from a candidate with this product."""
-        return np.sqrt(np.maximum(float(norm) + self.most - 2.0 * score, 0.0))
+        return np.sqrt(np.maximum(np.asarray(norm, np.float64) + self.most - 2.0 * score, 0.0))
 
 
 PAGE_SHAPE = "region int, tree int, page int, leaf boolean, ids array<long>, vectors binary, radii array<double>, parents array<double>"
@@ -120,39 +121,56 @@ def build_pages(ids: np.ndarray, v: np.ndarray, center: np.ndarray, space: Space
     return pages
 
 
-def search_tree(pages: dict[int, tuple], center_far: float, q: np.ndarray, q_id: int, k: int, floor: int | None, space: Space) -> list[tuple[int, int]]:
-    """The ``k`` best ``(score, id)`` of one tree with a score of ``floor`` at least (ties to the smaller id): best-first."""
-    norm = int((q * q).sum())
-    best: list[tuple[int, int]] = []            # a heap of (score, -id): the worst first
-    slack = SLACK * np.sqrt(float(norm) + space.most + 1.0)
-    reach = float(space.of_score(norm, np.float64(floor))) + slack if floor is not None else np.inf
-    waiting = [(0.0, 0, center_far)]
-    while waiting:
-        low, page, far = heapq.heappop(waiting)
-        if low > reach:
-            break
-        leaf, ids, vectors, radii, parents = pages[page]
-        open_ = np.abs(far - parents) - radii <= reach       # the rest is ruled out without computing a distance
-        if not open_.any():
-            continue
-        scores = space.products(vectors[open_], q[None, :])[:, 0]
-        away = space.of_score(norm, scores)
-        if not leaf:
-            for child, lowest, d in zip(ids[open_], np.maximum(away - radii[open_], 0.0), away, strict=True):
-                if lowest <= reach:
-                    heapq.heappush(waiting, (float(lowest), int(child), float(d)))
-            continue
-        near = np.flatnonzero(away <= reach)
-        for score, i in zip(scores[near].tolist(), ids[open_][near].tolist(), strict=True):
-            if i == q_id or (floor is not None and score < floor):
+NONE, LAST = np.iinfo(np.int64).min + 1, np.iinfo(np.int64).max     # no score yet, and an id after all others
+
+
+def search_tree(pages: dict[int, tuple], center: np.ndarray, q: np.ndarray, q_ids: np.ndarray, floors: np.ndarray, k: int,
+                space: Space) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every query the ``k`` best of one tree with a score of its floor at least (``NONE``: any), ties to the smaller id, as
+    ``(query position, score, id)``. Best-first for each query: it goes on with its page of the lowest possible distance.
+    Queries that are at the same page are compared with its entries together."""
+    norms = (q * q).sum(axis=1)
+    slack = SLACK * np.sqrt(norms.astype(np.float64) + space.most + 1.0)
+    reach = np.where(floors == NONE, np.inf, space.of_score(norms, floors) + slack)
+    best, best_ids = np.full((len(q), k), NONE), np.full((len(q), k), LAST)
+    center_far = space.of_score(norms, space.products(q, center[None, :])[:, 0])
+    waiting: list[list[tuple[float, int, float]]] = [[(0.0, 0, far)] for far in center_far.tolist()]
+    active = list(range(len(q)))
+    while active:
+        at: dict[int, list[tuple[int, float]]] = {}
+        for i in active:
+            if waiting[i]:
+                low, page, far = heapq.heappop(waiting[i])
+                if low <= reach[i]:
+                    at.setdefault(page, []).append((i, far))
+        active = [i for who in at.values() for i, _ in who]
+        for page, who in at.items():
+            leaf, ids, vectors, radii, parents = pages[page]
+            rows, far = np.array([i for i, _ in who]), np.array([f for _, f in who])
+            limit = reach[rows][:, None]
+            open_ = np.abs(far[:, None] - parents) - radii <= limit          # the rest is ruled out without its distance
+            held = np.flatnonzero(open_.any(axis=0))
+            if not len(held):
+                continue
+            open_, ids, radii = open_[:, held], ids[held], radii[held]
+            scores = space.products(q[rows], vectors[held])
+            away = space.of_score(norms[rows][:, None], scores)
+            if not leaf:
+                lowest = np.maximum(away - radii, 0.0)
+                for x, y in zip(*np.nonzero(open_ & (lowest <= limit)), strict=True):
+                    heapq.heappush(waiting[rows[x]], (float(lowest[x, y]), int(ids[y]), float(away[x, y])))
                 continue
-            if len(best) < k:
-                heapq.heappush(best, (score, -i))
-            elif (score, -i) > best[0]:
-                heapq.heapreplace(best, (score, -i))
-        if len(best) == k:
-            reach = min(reach, float(space.of_score(norm, np.float64(best[0][0]))) + slack)
-    return [(s, -i) for s, i in best]
+            good = open_ & (away <= limit) & (scores >= floors[rows][:, None]) & (ids != q_ids[rows][:, None])
+            some = good.any(axis=1)
+            rows, good = rows[some], good[some]
+            s = np.concatenate([best[rows], np.where(good, scores[some], NONE)], axis=1)
+            c = np.concatenate([best_ids[rows], np.where(good, ids, LAST)], axis=1)
+            order = np.lexsort((c, -s), axis=-1)[:, :k]
+            best[rows], best_ids[rows] = np.take_along_axis(s, order, 1), np.take_along_axis(c, order, 1)
+            full = rows[best[rows, k - 1] != NONE]
+            reach[full] = np.minimum(reach[full], space.of_score(norms[full], best[full, k - 1]) + slack[full])
+    i, j = np.nonzero(best != NONE)
+    return i, best[i, j], best_ids[i, j]
 
 
 def mtree_top_k(vectors: DataFrame, queries: DataFrame, k: int = K, pivots: int = PIVOTS) -> DataFrame:
@@ -227,21 +245,17 @@ def mtree_top_k(vectors: DataFrame, queries: DataFrame, k: int = K, pivots: int
     spread = pages.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def search(tree: pa.Table, ask: pa.Table) -> pa.Table:
-        out: list[tuple[int, int, int]] = []
+        i = score = found = np.zeros(0, np.int64)
         if tree.num_rows and ask.num_rows:
-            center = roots[tree.column("region")[0].as_py()]
-            own = {}
-            for p in tree.select(["page", "leaf", "ids", "vectors", "radii", "parents"]).to_pylist():
-                own[p["page"]] = (p["leaf"], np.array(p["ids"], np.int64), np.frombuffer(p["vectors"], np.int64).reshape(-1, space.width),
-                                  np.array(p["radii"]), np.array(p["parents"]))
-            q = _matrix(ask.column("v"), space.width)
-            to_center = space.products(q, center[None, :])[:, 0]
-            for i, (q_id, floor) in enumerate(zip(ask.column("id").to_pylist(), ask.column("floor").to_pylist(), strict=True)):
-                far = float(space.of_score(int((q[i] * q[i]).sum()), np.float64(to_center[i])))
-                out += [(q_id, i, s, c) for s, c in search_tree(own, far, q[i], q_id, k, floor, space)]
-        vs = ask.column("v").take(pa.array([o[1] for o in out], pa.int64()))
-        return pa.Table.from_arrays([pa.array([o[0] for o in out], pa.int64()), vs, pa.array([o[3] for o in out], pa.int64()),
-                                     pa.array([o[2] for o in out], pa.int64())], names=["query_id", "v", "id", "score"])
+            ids, v, radii, parents = (tree.column(c).combine_chunks() for c in ("ids", "vectors", "radii", "parents"))
+            own = {p: (leaf, ids[n].values.to_numpy(), np.frombuffer(v[n].as_buffer(), np.int64).reshape(-1, space.width),
+                       radii[n].values.to_numpy(), parents[n].values.to_numpy())
+                   for n, (p, leaf) in enumerate(zip(tree.column("page").to_pylist(), tree.column("leaf").to_pylist(), strict=True))}
+            floors = pc.fill_null(ask.column("floor"), int(NONE)).to_numpy()
+            i, score, found = search_tree(own, roots[tree.column("region")[0].as_py()], _matrix(ask.column("v"), space.width),
+                                          ask.column("id").to_numpy(), floors, k, space)
+        return pa.Table.from_arrays([ask.column("id").take(pa.array(i)), ask.column("v").take(pa.array(i)), pa.array(found), pa.array(score)],
+                                    names=["query_id", "v", "id", "score"])
 
     key = ["region", "tree", "block"]
     found = spread.groupBy(*key).cogroup(aimed.groupBy(*key)).applyInArrow(search, "query_id long, v array<long>, id long, score long")
