@@ -7,15 +7,15 @@ their first occurrence beforehand, so copies cost one row each and never meet in
 
 Tokens are ordered by rarity: how often they occur in different lines, counted in a table of
 ``RARITY`` hashed places (any order that all lines share is exact; a full place only makes a token
-look more common), then by hash. Two similar lines share a token among the first ``n - ceil(0.8 n) + 1``
+look more common, and only the magnitude of its count is kept), then by hash. Two similar lines share a token among the first ``n - ceil(0.8 n) + 1``
 of each. Lines that meet in such a token pass the length filter, the positional filter (tokens left
-behind both positions), a bound from 128-bit sketches and one from the number of tokens that the two
+behind both positions), a bound from 192-bit sketches and one from the number of tokens that the two
 prefixes share; all four only drop pairs that can't reach the threshold. The rest is verified.
 
 Many variants of one line would give a pair for each two of them. A line is therefore compared with
 the first line of its token group, and with the others only where that first one is ruled out by the
 filters; a line whose candidates all fail verification is then compared with all. Of a line's
-candidates the earliest is verified first, the others only if it fails. So every line finds an earlier partner if there is one, and a hot group stays linear.
+candidates the one with the nearest sketch is verified first, the others only if it fails. So every line finds an earlier partner if there is one, and a hot group stays linear.
 
 Only DataFrame functions run on the main path. Lines without a word stay. Documents without an id
 stay as they are and take no part; rows that share an id count as one document, in ``line_dedup`` only if
@@ -30,32 +30,48 @@ from pyspark.sql.types import StructType
 
 from vigil.llm.common import WORD_GAP, packed, table, unpacked
 from vigil.llm.quality import let
-from vigil.session import write_table
+from vigil.session import drop_path, table_path, write_table
 
-A_WORD = r"[^\x20\x09-\x0D]"
 BLANKS = " \t\n\x0b\x0c\r"
 NUM, DEN = 4, 5             # similarity of at least NUM / DEN
-RARITY = 1 << 16            # places of the rarity table
+RARITY = 1 << 17            # places of the rarity table
+SKETCHES = ("s1", "s2", "s3")   # longs of a line's sketch
 FILTER_WORDS = 1 << 15      # 64-bit words of the bitmap that thins the lines before verification
 
 
 def document_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(d, line, text)`` of all lines of all documents with an id."""
     return docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(id_col).alias("d"), F.posexplode(F.split(F.col(text_col), "\n")).alias("line", "text"))
+        F.col(id_col).alias("d"), F.posexplode_outer(F.split(F.col(text_col), "\n")).alias("line", "text"))     # no filter that splits the text first
 
 
 def _line_key() -> list[Column]:
     return [F.xxhash64("text").alias("h"), F.hash("text").alias("g")]
 
 
+def _word_lines(lines: DataFrame) -> DataFrame:
+    """The lines that have a word."""
+    return lines.where(F.ltrim("text", F.lit(BLANKS)) != "")
+
+
+def line_words() -> Column:
+    """The different words of ``text``, which has one at least."""
+    return F.array_distinct(F.split(F.btrim("text", F.lit(BLANKS)), WORD_GAP))
+
+
 def line_classes(lines: DataFrame) -> DataFrame:
-    """One row for each different line with a word: ``(d, line)`` of its first occurrence, its tokens and how often it occurs."""
-    cut = F.split(F.btrim("text", F.lit(BLANKS)), WORD_GAP)
-    found = lines.where(F.col("text").rlike(A_WORD)).select(
-        "d", "line", *_line_key(), F.transform(F.array_distinct(cut), lambda w: F.hash(w)).alias("tokens"))
-    first = found.groupBy("h", "g").agg(F.min(F.struct("d", "line")).alias("first"), F.first("tokens").alias("tokens"))
-    return first.select("first.d", "first.line", "h", "g", "tokens")
+    """One row for each different line with a word: ``(d, line)`` of its first occurrence, its key, how often
+    it occurs, its tokens and their sketches.
+
+    A sketch is a bitmap of the tokens, ``len(SKETCHES)`` longs. They are gathered from one row for each token: generated code, where a
+    function over the array would be interpreted for every token. Both sides of the join stand on the one exchange by key."""
+    found = _word_lines(lines).select("d", "line", *_line_key(), F.transform(line_words(), lambda w: F.hash(w)).alias("tokens"))
+    first = found.groupBy("h", "g").agg(F.min(F.struct("d", "line")).alias("first"), F.first("tokens").alias("tokens"),
+                                        F.count(F.lit(1)).alias("copies"))
+    part, bit = F.pmod(F.shiftright("t", 6), F.lit(len(SKETCHES))), F.call_function("shiftleft", F.lit(1).cast("long"), F.col("t"))
+    sketches = first.select("h", "g", "first", "copies", F.explode("tokens").alias("t")).groupBy("h", "g", "first", "copies").agg(
+        *(F.bit_or(F.when(part == i, bit).otherwise(F.lit(0).cast("long"))).alias(s) for i, s in enumerate(SKETCHES)))
+    return first.join(sketches.drop("first", "copies").hint("merge"), ["h", "g"]).select("first.d", "first.line", "h", "g", "copies", "tokens", *SKETCHES)
 
 
 def _place(token: Column) -> Column:
@@ -63,11 +79,12 @@ def _place(token: Column) -> Column:
 
 
 def rarity_table(classes: DataFrame) -> list[int]:
-    """How many lines hold a token of each place: ``RARITY`` numbers."""
-    counts = classes.select(F.explode("tokens").alias("t")).groupBy(_place(F.col("t")).alias("place")).count().collect()
+    """The rank of every place: eight times the binary logarithm of how many lines hold a token of it; ``RARITY`` numbers."""
+    counts = classes.select(F.explode("tokens").alias("t")).groupBy(_place(F.col("t")).alias("place")).count().select(
+        "place", F.floor(8 * F.log2("count")).cast("int").alias("rank")).toArrow()
     out = [0] * RARITY
-    for place, n in counts:
-        out[place] = n
+    for place, rank in zip(counts.column("place").to_pylist(), counts.column("rank").to_pylist(), strict=True):
+        out[place] = rank
     return out
 
 
@@ -80,38 +97,40 @@ def _literal(numbers: list[int], kind: str) -> Column:
     return F.split(F.lit(",".join(map(str, numbers))), ",").cast(f"array<{kind}>")
 
 
-def prefix_index(classes: DataFrame, rarity: list[int]) -> DataFrame:
-    """``(token, d, line, n, pos, s1, s2)`` for the tokens of every line's prefix; pos counts from 0."""
+def line_prefixes(classes: DataFrame, rarity: list[int]) -> DataFrame:
+    """``(d, line, h, g, copies, n, sketches, prefix)``: the number of tokens and the keys of the rarest ones, in order. A key is the
+    token's rank times 2^33 and the token: different tokens have different keys."""
     known = _literal(rarity, "long")
-    ordered = F.sort_array(F.transform("tokens", lambda t: F.shiftleft(F.get(known, _place(t)), 32).bitwiseOR(
-        t.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))))
-    prefix = F.expr(f"size(tokens) - ({NUM} * size(tokens) + {DEN - 1}) div {DEN} + 1").cast("int")
+    ordered = F.sort_array(F.transform("tokens", lambda t: F.shiftleft(F.get(known, _place(t)), 33) + t))
+    size = F.expr(f"size(tokens) - ({NUM} * size(tokens) + {DEN - 1}) div {DEN} + 1").cast("int")
+    return classes.select("d", "line", "h", "g", "copies", F.size("tokens").alias("n"), *SKETCHES, F.slice(ordered, 1, size).alias("prefix"))
 
-    def sketch(half: int) -> Column:
-        """The tokens' bits 0 to 63 or 64 to 127."""
-        return F.aggregate("tokens", F.lit(0).cast("long"), lambda a, t: F.when(
-            t.bitwiseAND(F.lit(64)) == half, a.bitwiseOR(_shift(t.bitwiseAND(F.lit(63))))).otherwise(a))
 
-    entries = classes.select("d", "line", F.size("tokens").alias("n"), sketch(0).alias("s1"), sketch(64).alias("s2"),
-                             F.posexplode(F.slice(ordered, 1, prefix)).alias("pos", "key"))
+def prefix_index(prefixes: DataFrame) -> DataFrame:
+    """``(token, d, line, n, pos, sketches)`` for the tokens of every line's prefix; pos counts from 0."""
+    entries = prefixes.select("d", "line", "n", *SKETCHES, F.posexplode("prefix").alias("pos", "token"))
     # nothing is null here; saying so keeps the optimizer from putting different filters before the one exchange
     def filled(c: str) -> Column:
         kind = entries.schema[c].dataType
         return F.col(c) if isinstance(kind, StructType) else F.coalesce(F.col(c), F.lit(0).cast(kind)).alias(c)
 
-    return entries.select(F.coalesce(F.col("key").bitwiseAND(F.lit(0xFFFFFFFF)), F.lit(0)).alias("token"),
-                          *(filled(c) for c in ("d", "line", "n", "pos", "s1", "s2")))
+    return entries.select(*(filled(c) for c in ("token", "d", "line", "n", "pos", *SKETCHES)))
+
+
+def _apart(a: str, b: str) -> Column:
+    """Bits that one of the sketches of ``a`` and ``b`` has alone: for each there is a token of one line only."""
+    return sum((F.bit_count(F.col(f"{a}{s}").bitwiseXOR(F.col(f"{b}{s}"))) for s in SKETCHES[1:]),
+               F.bit_count(F.col(f"{a}{SKETCHES[0]}").bitwiseXOR(F.col(f"{b}{SKETCHES[0]}"))))
 
 
 def may_match(a: str, b: str) -> Column:
     """Length, positional and sketch filter between the index entries ``a`` and ``b`` (column prefixes)."""
-    c = {f"{k}_{s}": F.col(f"{x}{k}") for s, x in (("a", a), ("b", b)) for k in ("n", "pos", "s1", "s2")}
+    c = {f"{k}_{s}": F.col(f"{x}{k}") for s, x in (("a", a), ("b", b)) for k in ("n", "pos")}
     both = c["n_a"] + c["n_b"]
     reach = F.least(c["pos_a"], c["pos_b"]) + F.least(c["n_a"] - c["pos_a"], c["n_b"] - c["pos_b"])
-    apart = F.bit_count(c["s1_a"].bitwiseXOR(c["s1_b"])) + F.bit_count(c["s2_a"].bitwiseXOR(c["s2_b"]))      # a bit of one sketch only: a token of one line only
     # overlap >= NUM / (NUM + DEN) * both is what the threshold asks for
     return ((DEN * F.least(c["n_a"], c["n_b"]) >= NUM * F.greatest(c["n_a"], c["n_b"])) & ((NUM + DEN) * reach >= NUM * both)
-            & ((NUM + DEN) * (both - apart) >= 2 * NUM * both))
+            & ((NUM + DEN) * (both - _apart(a, b)) >= 2 * NUM * both))
 
 
 def _before(a: str, b: str) -> Column:
@@ -119,12 +138,17 @@ def _before(a: str, b: str) -> Column:
     return (F.col(f"{a}d") < F.col(f"{b}d")) | ((F.col(f"{a}d") == F.col(f"{b}d")) & (F.col(f"{a}line") < F.col(f"{b}line")))
 
 
+def _far(a: str, b: str) -> Column:
+    """How far the sketches are apart for the lines' length, in thousandths."""
+    return F.floor(1000 * _apart(a, b) / (F.col(f"{a}n") + F.col(f"{b}n"))).alias("far")
+
+
 def _pairs(index: DataFrame, left: DataFrame) -> DataFrame:
-    """``(x, y, n_x, n_y)`` for every entry of ``left`` and each earlier one of the index with the same token that passes the filters."""
+    """``(x, y, n_x, n_y, far)`` for every entry of ``left`` and each earlier one of the index with the same token that passes the filters."""
     right = index.select(*(F.col(c).alias(f"o_{c}") for c in index.columns))
     return left.join(right, (F.col("token") == F.col("o_token")) & _before("o_", "") & may_match("", "o_")).select(
         F.struct("d", "line").alias("x"), F.struct(F.col("o_d").alias("d"), F.col("o_line").alias("line")).alias("y"),
-        F.col("n").alias("n_x"), F.col("o_n").alias("n_y"))
+        F.col("n").alias("n_x"), F.col("o_n").alias("n_y"), _far("", "o_"))
 
 
 def enough_shared() -> Column:
@@ -135,80 +159,80 @@ def enough_shared() -> Column:
 
 
 def _counted(pairs: DataFrame, *more: Column) -> DataFrame:
-    return pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("shared"), F.max("n_x").alias("n_x"), F.max("n_y").alias("n_y"), *more)
+    return pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("shared"), F.max("n_x").alias("n_x"), F.max("n_y").alias("n_y"),
+                                    F.min("far").alias("far"), *more)
 
 
 def first_candidates(index: DataFrame) -> DataFrame:
-    """``(x, y, by_first)``: candidates with the first line of each token group, or, where the filters rule that one out,
+    """``(x, y, far, by_first)``: candidates with the first line of each token group, or, where the filters rule that one out,
     with every earlier line of the group. A line without candidates of the first kind has met all lines it shares a
     token with, so how many tokens it shares with each is known and rules out most of them."""
     index = index.repartition("token")          # the window and the join share this exchange
     group = Window.partitionBy("token").orderBy("d", "line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    seen = index.withColumn("first", F.first(F.struct("d", "line", "n", "pos", "s1", "s2")).over(group)).where(_before("first.", ""))
+    seen = index.withColumn("first", F.first(F.struct("d", "line", "n", "pos", *SKETCHES)).over(group)).where(_before("first.", ""))
     likely = may_match("", "first.")
     near = seen.where(likely).select(F.struct("d", "line").alias("x"), F.struct("first.d", "first.line").alias("y"),
-                                     F.col("n").alias("n_x"), F.col("first.n").alias("n_y"), F.lit(True).alias("by_first"))
+                                     F.col("n").alias("n_x"), F.col("first.n").alias("n_y"), _far("", "first."), F.lit(True).alias("by_first"))
     rest = _pairs(index, seen.where(~likely).drop("first")).withColumn("by_first", F.lit(False))
     met = write_table(_counted(near.union(rest), F.max("by_first").alias("by_first")), "line-meetings")
     partly = met.where("by_first").select("x", F.lit(True).alias("partly")).distinct()
-    return met.join(partly, "x", "left").where(F.col("partly") | enough_shared()).select("x", "y", "by_first")
+    return met.join(partly, "x", "left").where(F.col("partly") | enough_shared()).select("x", "y", "far", "by_first")
 
 
-def _thinned(classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Lines that may be in a pair: a bitmap of ``FILTER_WORDS`` longs keeps all that are and drops most others."""
+def _thinned(rows: DataFrame, key: list[str], wanted: DataFrame) -> DataFrame:
+    """Rows whose ``key`` may be in ``wanted``: a bitmap of ``FILTER_WORDS`` longs keeps all that are and drops most others."""
     bits = FILTER_WORDS * 64
-    spot = F.pmod(F.xxhash64("d", "line"), F.lit(bits))
-    ends = pairs.select(F.explode(F.array("x", "y")).alias("e")).select("e.*").select(spot.alias("spot"))
-    words_ = ends.groupBy(F.expr("spot div 64").cast("int").alias("w")).agg(F.bit_or(_shift(F.col("spot") % 64)).alias("bits")).collect()
+    spot = F.pmod(F.xxhash64(*key), F.lit(bits))
+    words_ = wanted.select(spot.alias("spot")).groupBy(F.expr("spot div 64").cast("int").alias("w")).agg(
+        F.bit_or(_shift(F.col("spot") % 64)).alias("bits")).toArrow()
     out = [0] * FILTER_WORDS
-    for w, b in words_:
+    for w, b in zip(words_.column("w").to_pylist(), words_.column("bits").to_pylist(), strict=True):
         out[w] = b
-    word = F.get(_literal(out, "long"), F.expr(f"pmod(xxhash64(d, line), {bits}) div 64").cast("int"))
-    return classes.where(word.bitwiseAND(_shift(spot % 64)) != 0)
-
-
-def _sides(pairs: DataFrame, held: DataFrame, col: str) -> DataFrame:
-    """``pairs`` with column ``col`` of both lines as ``a`` and ``b``."""
-    keyed = held.select(F.struct("d", "line").alias("key"), F.col(col).alias("v"))
-    return pairs.join(keyed.select(F.col("key").alias("x"), F.col("v").alias("a")), "x").join(
-        keyed.select(F.col("key").alias("y"), F.col("v").alias("b")), "y")
+    word = F.get(_literal(out, "long"), F.expr(f"pmod(xxhash64({', '.join(key)}), {bits}) div 64").cast("int"))
+    return rows.where(word.bitwiseAND(_shift(spot % 64)) != 0)
 
 
 def _similar(a: Column, b: Column, shared: Column) -> Column:
     return DEN * shared >= NUM * (F.size(a) + F.size(b) - shared)
 
 
-def verified(pairs: DataFrame, classes: DataFrame, lines: DataFrame) -> DataFrame:
-    """The pairs whose Jaccard similarity, of the sets of words, reaches the threshold. The tokens rule out most others; where
-    two words of a line have one token, the line may share one more than its different tokens show. The few pairs
-    that are left are compared by their words."""
+def verified(pairs: DataFrame, prefixes: DataFrame, lines: DataFrame) -> DataFrame:
+    """The pairs whose Jaccard similarity, of the sets of words, reaches the threshold. Only the lines of pairs are cut into
+    words again; where rows share an id, only the texts that stand for a class."""
+    named = ["d", "line", "h", "g"]
+    ends = pairs.select(F.explode(F.array("x", "y")).alias("e")).select("e.*")
+    there = _thinned(prefixes.select(*named), ["d", "line"], ends)
+    held = _thinned(_word_lines(lines), ["d", "line"], ends).select("d", "line", "text", *_line_key()).join(there, named, "left_semi")
+    keyed = write_table(held.select(F.struct("d", "line").alias("key"), line_words().alias("v")), "line-words")      # both sides read it
     a, b = F.col("a"), F.col("b")
-    spare = F.greatest(F.size(a) - F.size(F.array_distinct(a)), F.size(b) - F.size(F.array_distinct(b)))
-    by_token = _sides(pairs.select("x", "y"), _thinned(classes, pairs), "tokens").where(
-        _similar(a, b, F.size(F.array_intersect(a, b)) + spare)).select("x", "y")
-    likely = write_table(by_token, "line-likely")
-    words = F.array_distinct(F.split(F.btrim("text", F.lit(BLANKS)), WORD_GAP)).alias("words")
-    return _sides(likely, _thinned(lines, likely).select("d", "line", words), "words").where(
+    return pairs.select("x", "y").join(keyed.select(F.col("key").alias("x"), F.col("v").alias("a")), "x").join(
+        keyed.select(F.col("key").alias("y"), F.col("v").alias("b")), "y").where(
         _similar(a, b, F.size(F.array_intersect(a, b)))).select("x", "y")
 
 
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(d, line, exact)`` for every line with an earlier line of the needed similarity; ``exact`` if that one is equal."""
+    spark, path = docs.sparkSession, table_path(docs.sparkSession, "lines")
     lines = document_lines(docs, id_col, text_col)
-    classes = write_table(line_classes(lines), "lines")
-    index = prefix_index(classes, rarity_table(classes))
+    classes = write_table(line_classes(lines), "lines", path=path)
+    prefixes = write_table(line_prefixes(classes, rarity_table(classes)), "line-prefixes")
+    drop_path(spark, path)                      # the tokens are not needed any more
+    index = prefix_index(prefixes)
     pairs = write_table(first_candidates(index), "line-pairs")
-    earliest = write_table(pairs.groupBy("x").agg(F.min("y").alias("y")), "line-pairs")
-    found = write_table(verified(earliest, classes, lines).select("x"), "line-matches")
-    rest = write_table(pairs.join(found, "x", "left_anti").join(earliest, ["x", "y"], "left_anti"), "line-pairs")
-    found = write_table(found.union(verified(rest, classes, lines).select("x").distinct()), "line-matches")
-    open_ = write_table(pairs.where("by_first").select("x").distinct().join(found, "x", "left_anti"), "line-open")
-    if open_.limit(1).count():
-        left = index.join(open_.select("x.d", "x.line"), ["d", "line"], "left_semi").select(*index.columns)
-        again = write_table(_counted(_pairs(index, left)).where(enough_shared()).select("x", "y").join(pairs.select("x", "y"), ["x", "y"], "left_anti"), "line-pairs")
-        found = found.union(verified(again, classes, lines).select("x").distinct())
-    firsts = classes.select("h", "g", F.col("d").alias("first_d"), F.col("line").alias("first_line"))
-    copies = lines.where(F.col("text").rlike(A_WORD)).select("d", "line", *_line_key()).join(firsts, ["h", "g"]).where(
+    nearest = write_table(pairs.groupBy("x").agg(F.min(F.struct("far", "y")).alias("best")).select("x", "best.y"), "line-pairs")
+    found = write_table(verified(nearest, prefixes, lines).select("x").distinct(), "line-matches")
+    rest = write_table(pairs.join(found, "x", "left_anti").join(nearest, ["x", "y"], "left_anti"), "line-pairs")
+    if not rest.isEmpty():
+        found = write_table(found.union(verified(rest, prefixes, lines).select("x").distinct()), "line-matches")
+    open_ = write_table(pairs.where("by_first").select("x").distinct().join(found, "x", "left_anti").select("x.d", "x.line"), "line-open")
+    if not open_.isEmpty():
+        left = write_table(_thinned(index, ["d", "line"], open_).join(open_, ["d", "line"], "left_semi").select(*index.columns), "line-open")
+        again = _counted(_pairs(_thinned(index, ["token"], left), left)).where(enough_shared()).select("x", "y")
+        again = write_table(again.join(pairs.select("x", "y"), ["x", "y"], "left_anti"), "line-pairs")
+        if not again.isEmpty():
+            found = found.union(verified(again, prefixes, lines).select("x").distinct())
+    firsts = prefixes.where("copies > 1").select("h", "g", F.col("d").alias("first_d"), F.col("line").alias("first_line"))
+    copies = _word_lines(lines).select("d", "line", *_line_key()).join(firsts, ["h", "g"]).where(
         "d <> first_d or line <> first_line").select("d", "line", F.lit(True).alias("exact"))
     return copies.union(found.select("x.d", "x.line", F.lit(False)))
 
