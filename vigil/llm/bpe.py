@@ -3,8 +3,9 @@
 A block of a partition is tokenized at once. Its distinct pieces are laid out in one
 symbol array; an index maps every mergeable pair to all positions where it occurs; the
 pair ranks that are active are applied in ascending order, each to its whole list of
-positions, and the lists of the neighbouring pairs get the new positions. Merged pieces
-are kept per worker in a bounded table, so a word that returns is not merged again.
+positions, and the lists of the neighbouring pairs get the new positions. Encoded words
+and merged pieces are kept per worker in bounded tables, so a word that returns is not encoded again, nor
+a piece merged again that returns in another spelling or with other marks around it.
 
 Texts are whole, in any language. Null texts are empty, empty texts have no ids. Rows
 with equal ids or texts are encoded each on their own; extra columns are not read.
@@ -29,6 +30,7 @@ from vigil.llm.common import ship, small_slices, table, text_bytes
 BLOCK_BYTES = 4 << 20           # text that is split and looked up at once
 INDEX_WORDS = 40_000            # new words that share one pair index
 KEPT_WORDS = 450_000            # words kept per worker; beyond, those that the last block didn't use go
+KEPT_PIECES = 150_000           # merged pieces of new words kept per worker, and as many of the words before them
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -90,6 +92,8 @@ class PairIndexCodec:
         if any(first_use.get(new, rank + 1) <= rank for rank, (_, _, new) in enumerate(self.merges)):
             raise ValueError("a merge uses a token before it can exist: ranks can't be applied in one ascending pass")
         self.known: dict[bytes, bytes] = {}
+        self.young: dict[str, bytes] = {}       # merged pieces: of the last words, and of those before them
+        self.aged: dict[str, bytes] = {}
 
     def merge(self, pieces: list[str]) -> list[list[int]]:
         """Token ids of each piece (characters of the byte alphabet)."""
@@ -145,32 +149,36 @@ class PairIndexCodec:
         return [[s for s in sym[i:j] if s >= 0] for i, j in zip(starts, starts[1:], strict=False)]
 
     def learn(self, words: list[bytes]) -> None:
-        """Encode words (no ASCII white space inside) that are not known yet, all in one pair index."""
-        parts: list[list[int | str]] = []
-        pieces: dict[str, None] = {}
+        """Encode words (no ASCII white space inside) that are not known yet; pieces that no earlier word had are merged in one pair index."""
+        if len(self.young) > KEPT_PIECES:
+            self.aged, self.young = self.young, {}
+        young, aged = self.young, self.aged
+        parts: list[list[bytes | str]] = []
+        fresh: dict[str, None] = {}
         for word in words:
-            own: list[int | str] = []
+            own: list[bytes | str] = []
             text = word.decode("utf-8")
             for part in self.added_cut.split(text) if self.added_cut and "<" in text else (text,):
                 if part in self.added:
-                    own.append(self.added[part])
+                    own.append(array("I", [self.added[part]]).tobytes())
                 elif part:
                     if self.plain and part.isascii() and part.isprintable():
                         found = self.plain(part.lower())
                     else:
                         found = [piece for piece, _ in self.cut(self.normal(part))]
-                    pieces.update(dict.fromkeys(found))
+                    for piece in found:
+                        if piece not in young:
+                            if piece in aged:
+                                young[piece] = aged[piece]
+                            else:
+                                fresh[piece] = None
                     own += found
             parts.append(own)
-        merged = dict(zip(pieces, self.merge(list(pieces)), strict=True))
+        for piece, ids in zip(fresh, self.merge(list(fresh)), strict=True):
+            young[piece] = array("I", ids).tobytes()
         for word, own in zip(words, parts, strict=True):
-            ids = array("I")
-            for x in own:
-                if isinstance(x, str):
-                    ids.extend(merged[x])
-                else:
-                    ids.append(x)
-            self.known[word] = ids.tobytes()
+            ids = [young[x] if isinstance(x, str) else x for x in own]
+            self.known[word] = ids[0] if len(ids) == 1 else b"".join(ids)
 
     def encode_block(self, texts: list[bytes | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
