@@ -5,9 +5,20 @@ from __future__ import annotations
 import numpy as np
 
 
+BLOCK_ROWS = 1024           # rows whose frames are laid out at once: they fit the processor's cache
+
+
 def frame_stats(values: np.ndarray, new: int, preceding: int) -> tuple[np.ndarray, np.ndarray]:
     """Mean and sample deviation (NaN for a single value) of the last ``new`` values, each with up to ``preceding`` before it."""
     padded = np.concatenate([np.full(max(0, preceding + new - len(values)), np.nan), values[-(preceding + new):]])
+    means, stds = np.empty(new), np.empty(new)
+    for start in range(0, new, BLOCK_ROWS):
+        end = min(start + BLOCK_ROWS, new)
+        means[start:end], stds[start:end] = _block_stats(padded[start:end + preceding], preceding)
+    return means, stds
+
+
+def _block_stats(padded: np.ndarray, preceding: int) -> tuple[np.ndarray, np.ndarray]:
     frames = np.lib.stride_tricks.sliding_window_view(padded, preceding + 1)
     if not np.isnan(padded).any():
         mean = frames.cumsum(axis=1)[:, -1] / (preceding + 1)           # summed in row order, as a sliding frame does

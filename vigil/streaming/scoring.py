@@ -44,6 +44,18 @@ def packed_rows(rows: pd.DataFrame) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
+def in_order(rows: pd.DataFrame) -> pd.DataFrame:
+    """The rows by reading time; the other columns tell apart those of one time."""
+    at = rows["ts"].to_numpy()
+    order = np.argsort(at, kind="stable")
+    again = at[order][1:] == at[order][:-1]
+    tied = np.append(again, False) | np.append(False, again) if len(rows) else np.zeros(0, bool)
+    if tied.any():
+        spots = order[tied]
+        order[tied] = spots[np.lexsort([rows[c].to_numpy()[spots] for c in reversed(SCORE_COLS)])]
+    return rows.iloc[order].reset_index(drop=True)
+
+
 def rolling_stream(rows: DataFrame, key: str, delay: str, preceding: int = C.ROLLING_PRECEDING) -> DataFrame:
     """Complete readings with the rolling columns, each once the watermark has passed it. ``rows`` is a stream with ``key``, ``ts``
     and the sensor columns."""
@@ -65,7 +77,7 @@ def rolling_stream(rows: DataFrame, key: str, delay: str, preceding: int = C.ROL
         rows = pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0]
         passed = state.getCurrentWatermarkMs()
         micros = rows["ts"].astype("datetime64[us]").astype("int64")
-        due = rows[micros <= passed * 1000].sort_values(SCORE_COLS, kind="stable").reset_index(drop=True)
+        due = in_order(rows[micros <= passed * 1000])
         rest = rows[micros > passed * 1000]
         out, kept = due.copy(), []
         for (col, (mean, std)), ring in zip(rolled.items(), rings, strict=True):
