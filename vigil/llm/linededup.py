@@ -220,7 +220,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     index = prefix_index(prefixes)
     pairs = write_table(first_candidates(index), "line-pairs")
     nearest = write_table(pairs.groupBy("x").agg(F.min(F.struct("far", "y")).alias("best")).select("x", "best.y"), "line-pairs")
-    found = write_table(verified(nearest, prefixes, lines).select("x").distinct(), "line-matches")
+    found = write_table(verified(nearest, prefixes, lines).select("x"), "line-matches")
     rest = write_table(pairs.join(found, "x", "left_anti").join(nearest, ["x", "y"], "left_anti"), "line-pairs")
     if not rest.isEmpty():
         found = write_table(found.union(verified(rest, prefixes, lines).select("x").distinct()), "line-matches")
