@@ -63,14 +63,14 @@ def line_classes(lines: DataFrame) -> DataFrame:
     """One row for each different line with a word: ``(d, line)`` of its first occurrence, its key, how often
     it occurs, its tokens and their sketches.
 
-    A sketch is a bitmap of the tokens, ``len(SKETCHES)`` longs. They are gathered from one row for each token: generated code, where a
+    A sketch holds the parity of the number of tokens of each of its bits, ``len(SKETCHES)`` longs. They are gathered from one row for each token: generated code, where a
     function over the array would be interpreted for every token. Both sides of the join stand on the one exchange by key."""
     found = _word_lines(lines).select("d", "line", *_line_key(), F.transform(line_words(), lambda w: F.hash(w)).alias("tokens"))
     first = found.groupBy("h", "g").agg(F.min(F.struct("d", "line")).alias("first"), F.first("tokens").alias("tokens"),
                                         F.count(F.lit(1)).alias("copies"))
     part, bit = F.pmod(F.shiftright("t", 6), F.lit(len(SKETCHES))), F.call_function("shiftleft", F.lit(1).cast("long"), F.col("t"))
     sketches = first.select("h", "g", "first", "copies", F.explode("tokens").alias("t")).groupBy("h", "g", "first", "copies").agg(
-        *(F.bit_or(F.when(part == i, bit).otherwise(F.lit(0).cast("long"))).alias(s) for i, s in enumerate(SKETCHES)))
+        *(F.bit_xor(F.when(part == i, bit).otherwise(F.lit(0).cast("long"))).alias(s) for i, s in enumerate(SKETCHES)))
     return first.join(sketches.drop("first", "copies").hint("merge"), ["h", "g"]).select("first.d", "first.line", "h", "g", "copies", "tokens", *SKETCHES)
 
 
