@@ -5,6 +5,8 @@ import os
 import shutil
 from datetime import timedelta
 
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ from vigil.operators import ordered as O
 from vigil.plans.fixture_model import fixed_model
 from vigil.sources import codec
 from vigil.sources.fixture import sensor_table
+from vigil.streaming import scoring
 from vigil.streaming.ingest import replay_batch, stream_source
 from vigil.streaming.scoring import late_rows, stream_score
 
@@ -154,6 +157,39 @@ def test_lost_state_stops_the_query(spark, tmp_dir):
         score_files(spark, tmp_dir, "1 hour")
 
 
+def test_a_micro_batch_is_handed_over_with_one_copy_of_the_state(spark, tmp_dir, monkeypatch):
+    """Spark sends the whole state with every part of a key's readings: the parts are large, whatever the session's are."""
+    rows = [r.asDict() for r in O.drop_incomplete(sensor_table(spark, SF_SMALL)).orderBy("ts").limit(120).collect()]
+    real, parts = scoring.stream_sink, []
+    monkeypatch.setattr(scoring, "stream_sink", lambda *a: parts.append(spark.conf.get(scoring.PART_CONF)) or real(*a))
+    kept, found = spark.conf.get(scoring.PART_CONF), {}
+    try:
+        for part_rows, session in ((scoring.PART_ROWS, "7"), (7, "7"), (scoring.PART_ROWS, "0"), (7, "9")):
+            folder = os.path.join(tmp_dir, f"{part_rows}-{session}")
+            os.makedirs(src := os.path.join(folder, "src"))
+            for k in range(3):
+                write_file(src, k, rows[40 * k:40 * (k + 1)][::-1])
+            monkeypatch.setattr(scoring, "PART_ROWS", part_rows)
+            spark.conf.set(scoring.PART_CONF, session)
+            score_files(spark, folder, "30 hours")
+            assert spark.conf.get(scoring.PART_CONF) == session
+            preds = spark.read.parquet(os.path.join(folder, "preds")).collect()
+            found[part_rows, session] = sorted((r.source_timestamp, r.anomaly_score, r.rolling_mean_TP2, r.rolling_mean_motor) for r in preds)
+    finally:
+        spark.conf.set(scoring.PART_CONF, kept)
+    assert parts == ["1000000", "7", "0", "9"]
+    one, *others = found.values()
+    assert len(one) > 60 and all(o == one for o in others)
+
+
+def test_waiting_readings_are_packed_small(spark):
+    rows = O.drop_incomplete(sensor_table(spark, SF_MID)).select(*scoring.SCORE_COLS).toPandas()
+    packed = scoring.packed_rows(rows)
+    assert len(packed) < rows.memory_usage(index=False).sum() / 3
+    back = pa.ipc.open_stream(packed).read_all().to_pandas()
+    pd.testing.assert_frame_equal(back, rows)
+
+
 def test_assets_have_states_of_their_own(spark, tmp_dir):
     """Two assets in one stream, told apart by a message column (here the folder); each sees its own readings only."""
     rows = [r.asDict() for r in O.drop_incomplete(sensor_table(spark, SF_SMALL)).orderBy("ts").limit(400).collect()]

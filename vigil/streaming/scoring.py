@@ -9,16 +9,20 @@ last watermark stay in the state for the next run.
 The state of a key (its newest 180 scored readings and those that wait) is versioned in the checkpoint folder with the
 offsets; a lost one stops the query. Its size is bounded by the frame and by what a key sends within the delay. Keys are
 spread over the tasks; one key's readings of a micro-batch go to one task, so the source's batch size bounds that.
+
+Spark hands a key's readings over in parts, and the whole state again with each part, so the parts are large
+(``PART_ROWS``) and the rows that wait are packed small.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -34,12 +38,25 @@ from vigil.streaming.ingest import land, stream_sink
 
 SCORE_COLS = ["ts"] + C.ANALOGUE_COLS + C.DIGITAL_COLS
 STATE = "rings array<array<double>>, waiting binary"        # newest values of each rolled column; rows that wait (Arrow stream)
+PART_ROWS = 1_000_000               # readings of a key that are handed over with one copy of its state
+PART_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def large_parts(spark: SparkSession):
+    """Streams that start inside hand their readings over in parts of ``PART_ROWS`` at least (0: not parted at all)."""
+    kept = spark.conf.get(PART_CONF)
+    spark.conf.set(PART_CONF, str(max(PART_ROWS, int(kept)) if int(kept) > 0 else kept))
+    try:
+        yield
+    finally:
+        spark.conf.set(PART_CONF, kept)
 
 
 def packed_rows(rows: pd.DataFrame) -> bytes:
     table = pa.Table.from_pandas(rows, preserve_index=False)
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema) as writer:
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
         writer.write_table(table)
     return sink.getvalue().to_pybytes()
 
@@ -111,7 +128,8 @@ def stream_score(messages: DataFrame, predictions_path: str, checkpoint: str, mo
     message key), ``delay`` how long a reading may be on its way."""
     preds = score_stream(land(messages, (key,) if key else ()), model, run_id, delay, key)
     dated = preds.withColumns({"processed_date": F.to_date("processed_at"), "date": F.to_date("source_timestamp")})
-    return stream_sink(dated, predictions_path, checkpoint, available_now, processing_time, ("processed_date", "date"))
+    with large_parts(messages.sparkSession):
+        return stream_sink(dated, predictions_path, checkpoint, available_now, processing_time, ("processed_date", "date"))
 
 
 def late_rows(query: StreamingQuery) -> int:
